@@ -47,6 +47,17 @@ def clip_lower(x: ColumnOrName, low: float) -> Column:
     return F.when(c.isNotNull(), F.greatest(c, F.lit(float(low))))
 
 
+def exact_sum(x: ColumnOrName, scale: int = 10) -> Column:
+    """Order-independent sum of a DOUBLE column: each value is taken at
+    ``scale`` decimals and summed as DECIMAL, then returned as DOUBLE."""
+    return F.sum(_c(x).cast(f"decimal(38,{scale})")).cast("double")
+
+
+def exact_avg(x: ColumnOrName, scale: int = 10) -> Column:
+    c = _c(x)
+    return exact_sum(c, scale) / F.count(c)
+
+
 def nullif_zero(x: ColumnOrName) -> Column:
     c = _c(x)
     return F.when(c != 0, c)
@@ -140,24 +151,26 @@ def last_by(value: ColumnOrName, order: ColumnOrName) -> Column:
 # ---------------------------------------------------------------------------
 
 def fmt_currency(x: ColumnOrName, symbol: str = "$") -> Column:
-    """``$1.23M`` / ``$4.56K`` / ``$7.89``."""
+    """``$1.23M`` / ``$4.56K`` / ``$7.89``.  The scaled value is rounded
+    half-to-even first, so formatting never re-rounds a tie."""
     c = _c(x).cast("double")
     return (
-        F.when(c >= 1_000_000, F.format_string(symbol + "%.2fM", c / F.lit(1_000_000.0)))
-        .when(c >= 1_000, F.format_string(symbol + "%.2fK", c / F.lit(1_000.0)))
-        .otherwise(F.format_string(symbol + "%.2f", c))
+        F.when(c >= 1_000_000, F.format_string(symbol + "%.2fM", rnd(c / F.lit(1_000_000.0), 2)))
+        .when(c >= 1_000, F.format_string(symbol + "%.2fK", rnd(c / F.lit(1_000.0), 2)))
+        .otherwise(F.format_string(symbol + "%.2f", rnd(c, 2)))
     )
 
 
 def fmt_pct(x: ColumnOrName, digits: int = 2) -> Column:
     """Fraction shown as percent: 0.1234 -> ``12.34%``."""
-    return F.format_string(f"%.{digits}f%%", _c(x).cast("double") * F.lit(100.0))
+    return F.format_string(f"%.{digits}f%%", rnd(_c(x).cast("double") * F.lit(100.0), digits))
 
 
 def fmt_signed_pct(x: ColumnOrName, digits: int = 2, suffix: str = "") -> Column:
     """Signed percent, ``+1.23%`` / ``-4.56%``; NULL stays NULL."""
     c = _c(x).cast("double")
-    return F.when(c.isNotNull(), F.format_string(f"%+.{digits}f%%{suffix}", c * F.lit(100.0)))
+    return F.when(c.isNotNull(),
+                  F.format_string(f"%+.{digits}f%%{suffix}", rnd(c * F.lit(100.0), digits)))
 
 
 def fmt_thousands(x: ColumnOrName) -> Column:
