@@ -6,12 +6,9 @@ from __future__ import annotations
 def _load():
     from orderlens.plans import catalog  # noqa: F401  (registers on import)
     for mod in ("orderlens.plans.dashboard", "orderlens.plans.measures_q",
-                "orderlens.plans.ml_queries", "orderlens.plans.metrics_q", "orderlens.plans.models"):
-        try:
-            __import__(mod)
-        except ModuleNotFoundError as exc:  # module not written yet
-            if exc.name != mod:
-                raise
+                "orderlens.plans.ml_queries", "orderlens.plans.metrics_q", "orderlens.plans.models",
+                "orderlens.plans.exports"):
+        __import__(mod)
     return catalog
 
 
