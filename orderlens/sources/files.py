@@ -49,7 +49,7 @@ def parse_dates(df: DataFrame, cols=RAW_DATE_COLUMNS) -> DataFrame:
 def clean_raw_csv(spark: SparkSession, path: str, completed_status: str = C.COMPLETED_STATUS) -> DataFrame:
     """IO1 + CL8: keep-first in file order, coercing casts, rules, dates."""
     raw = parse_dates(read_raw_csv(spark, path))
-    raw = raw.withColumns({c: F.try_cast(F.col(c), "bigint")
+    raw = raw.withColumns({c: F.col(c).try_cast("bigint")
                            for c in ("visits", "cart_additions", "completed_orders") if c in raw.columns})
     out = C.clean(raw, completed_status=completed_status, dedup_order=[FILE_POSITION])
     return out.drop(FILE_POSITION)
