@@ -36,7 +36,12 @@ def check_years(years: Sequence[int] | None) -> None:
 
 def slice_orders(fact: DataFrame, years: Sequence[int] | None) -> DataFrame:
     check_years(years)
-    return fact if years is None else fact.filter(F.year("order_date").isin(list(years)))
+    if years is None:
+        return fact
+    # the clean fact is stored partitioned by ``year`` (= year(order_date)):
+    # filtering that column prunes whole directories
+    yr = F.col("year") if "year" in fact.columns else F.year("order_date")
+    return fact.filter(yr.isin(list(years)))
 
 
 def slice_weekly(weekly: DataFrame, years: Sequence[int] | None) -> DataFrame:

@@ -22,7 +22,7 @@ from orderlens.session import ensure_checkpoint_dir
 from orderlens.sources import tables as TB
 
 _LOCK = threading.RLock()
-_WRITTEN: dict[tuple[str, str, str], str] = {}
+_WRITTEN: dict[tuple[str, str, str], tuple] = {}
 
 _ADAPTER_ONLY = ("l_suppkey", "l_extendedprice", "l_tax", "l_shipdate")
 
@@ -32,16 +32,25 @@ def _stage_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "orderlens-stages", f"{name}-{digest}")
 
 
-def materialize(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Write ``build()`` once per (application, input, stage) and read it back."""
+def materialize(spark: SparkSession, sf_dir: str, name: str, build,
+                partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``build()`` once per (application, input, stage) and read it back
+    with the schema it was written with (partition columns keep their type)."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
     with _LOCK:
-        path = _WRITTEN.get(key)
-        if path is None:
+        entry = _WRITTEN.get(key)
+        if entry is None:
             path = _stage_path(spark, sf_dir, name)
-            build().write.mode("overwrite").parquet(path)
-            _WRITTEN[key] = path
-    return spark.read.parquet(path)
+            df = build()
+            writer = df.write.mode("overwrite")
+            if partition_by:
+                writer = writer.partitionBy(*partition_by)
+            writer.parquet(path)
+            entry = (path, df.schema)
+            _WRITTEN[key] = entry
+    path, schema = entry
+    out = spark.read.schema(schema).parquet(path)
+    return out.select(*schema.fieldNames())
 
 
 def clean_orders_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,8 +63,10 @@ def clean_orders_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clean order-line fact (materialized)."""
-    return materialize(spark, sf_dir, "orders_clean", lambda: clean_orders_plan(spark, sf_dir))
+    """The clean order-line fact, written partitioned by ``year`` so year
+    slicers prune whole directories."""
+    return materialize(spark, sf_dir, "orders_clean", lambda: clean_orders_plan(spark, sf_dir),
+                       partition_by=("year",))
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
