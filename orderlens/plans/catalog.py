@@ -242,3 +242,36 @@ ORDER BY total_revenue DESC, g.customer_segment""",
     f"g AS ({O.group_sums('customer_segment')}),\nrep AS ({O.repeat_by('customer_segment')})"))
 def q_segment_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.segment_performance(S.orders_clean(spark, sf_dir), S.customers(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# CSV landing zone end to end (IO1, IO2, IO5, CL2 on text)
+# ---------------------------------------------------------------------------
+
+LANDING_COLUMNS = ("order_id", "customer_id", "order_date", "customer_signup_date", "week_start",
+                   "quantity", "unit_price", "discount", "revenue", "margin", "visits",
+                   "cart_additions", "completed_orders", "is_completed")
+
+
+@register("csv_landing_clean", O.with_base(f"""
+SELECT order_id, customer_id, order_date, customer_signup_date, week_start,
+       CAST(quantity AS DOUBLE) AS quantity, CAST(unit_price AS DOUBLE) AS unit_price,
+       CAST(discount AS DOUBLE) AS discount, CAST(revenue AS DOUBLE) AS revenue,
+       CAST(margin AS DOUBLE) AS margin, visits, cart_additions, completed_orders, is_completed
+FROM cl"""))
+def q_csv_landing_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw order lines (duplicates included) are written to a CSV landing
+    folder in keep-first order, read back as text and cleaned: file-order
+    de-duplication, coercing numeric casts, date parsing, rules."""
+    import hashlib
+    import os
+
+    from orderlens.session import ensure_checkpoint_dir
+    from orderlens.sources import files as IO
+
+    digest = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10]
+    landing = os.path.join(ensure_checkpoint_dir(spark), "orderlens-landing", digest)
+    raw = TB.raw_orders(spark, sf_dir, dedup=False)
+    ordered = raw.orderBy("order_id", *TB.LINE_KEEP_FIRST_ORDER).select(*TB.RAW_COLUMNS)
+    IO.write_csv(ordered, landing)
+    return IO.clean_raw_csv(spark, landing, TB.COMPLETED_STATUS_DRIVER).select(*LANDING_COLUMNS)
