@@ -267,7 +267,7 @@ def _fact(spark, sf):
 
 
 def _weekly(spark, sf):
-    return M.weekly_kpis(S.orders_clean(spark, sf), S.customers(spark, sf))
+    return S.serving(spark, sf, "weekly_kpis")
 
 
 def dsql(select: str, extra: str = "") -> str:
@@ -405,8 +405,7 @@ FROM (
   FROM cr
 ) x"""))
 def q_customer_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cl = S.orders_clean(spark, sf_dir)
-    return customer_cards(MQ.naive_churn_risk(spark, sf_dir), M.dim_customers(cl, S.customers(spark, sf_dir)))
+    return customer_cards(MQ.naive_churn_risk(spark, sf_dir), S.serving(spark, sf_dir, "dim_customers"))
 
 
 @register("segment_share", dsql(f"""
@@ -434,8 +433,7 @@ SELECT customer_segment AS segment, {f_cur('total_revenue')} AS revenue, total_o
        {f_thou('total_orders')} AS orders_display
 FROM segp""", SEGMENT_PERF_CTE))
 def q_segment_table_formatted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segment_table_formatted(M.segment_performance(S.orders_clean(spark, sf_dir),
-                                                         S.customers(spark, sf_dir)))
+    return segment_table_formatted(S.serving(spark, sf_dir, "segment_performance"))
 
 
 @register("churn_scatter", dsql("""
@@ -497,8 +495,7 @@ LEFT JOIN (SELECT product_id, {O.first_by('product_name')} AS product_name,
   ON p.product_id = r.product_id
 ORDER BY r.total_revenue DESC, r.product_id LIMIT {TOP_PRODUCTS}"""))
 def q_top20_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cl = S.orders_clean(spark, sf_dir)
-    return top_products(cl, M.dim_products(cl))
+    return top_products(S.orders_clean(spark, sf_dir), S.serving(spark, sf_dir, "dim_products"))
 
 
 @register("slicer_values", dsql("""

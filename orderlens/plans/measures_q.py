@@ -17,16 +17,15 @@ from orderlens.plans.catalog import register
 
 
 def star_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cl = S.orders_clean(spark, sf_dir)
-    return ME.star(cl, M.dim_customers(cl, S.customers(spark, sf_dir)))
+    return ME.star(S.orders_clean(spark, sf_dir), dim_customers_frame(spark, sf_dir))
 
 
 def weekly_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.weekly_kpis(S.orders_clean(spark, sf_dir), S.customers(spark, sf_dir))
+    return S.serving(spark, sf_dir, "weekly_kpis")
 
 
 def dim_customers_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.dim_customers(S.orders_clean(spark, sf_dir), S.customers(spark, sf_dir))
+    return S.serving(spark, sf_dir, "dim_customers")
 
 
 # --- SQL pieces ----------------------------------------------------------------

@@ -150,15 +150,15 @@ def ml_sql(select: str, extra: str = "") -> str:
 # ---------------------------------------------------------------------------
 
 def weekly_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return MF.weekly_features(S.orders_clean(spark, sf_dir))
+    return S.serving(spark, sf_dir, "forecast_features")
 
 
 def churn_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return MF.churn_features(S.orders_clean(spark, sf_dir), S.customers(spark, sf_dir))
+    return S.serving(spark, sf_dir, "churn_features")
 
 
 def demand_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return MF.demand_features(S.orders_clean(spark, sf_dir))
+    return S.serving(spark, sf_dir, "demand_features")
 
 
 def naive_sales_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +185,7 @@ WEEKLY_FEATURE_COLUMNS = ("week_start", "revenue", "orders", "units", "avg_disc"
 @register("forecast_features", ml_sql(f"SELECT {', '.join(WEEKLY_FEATURE_COLUMNS)} FROM wf"))
 def q_forecast_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML1 + ML4: weekly forecast features with the temporal hold-out flag."""
-    return weekly_frame(spark, sf_dir).select(*WEEKLY_FEATURE_COLUMNS)
+    return MF.weekly_features(S.orders_clean(spark, sf_dir)).select(*WEEKLY_FEATURE_COLUMNS)
 
 
 FUTURE_COLUMNS = ("week_start", *MF.FORECAST_FEATURES, "horizon")
@@ -204,7 +204,7 @@ CHURN_COLUMNS = ("customer_id", "customer_segment", "days_since_last_purchase",
 @register("churn_features", ml_sql(f"SELECT {', '.join(CHURN_COLUMNS)} FROM cf"))
 def q_churn_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML2."""
-    return churn_frame(spark, sf_dir).select(*CHURN_COLUMNS)
+    return MF.churn_features(S.orders_clean(spark, sf_dir), S.customers(spark, sf_dir)).select(*CHURN_COLUMNS)
 
 
 DEMAND_COLUMNS = ("product_category", "week_start", "units", "revenue", *MF.DEMAND_FEATURES)
@@ -213,7 +213,7 @@ DEMAND_COLUMNS = ("product_category", "week_start", "units", "revenue", *MF.DEMA
 @register("demand_features", ml_sql(f"SELECT {', '.join(DEMAND_COLUMNS)} FROM dw"))
 def q_demand_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML3."""
-    return demand_frame(spark, sf_dir).select(*DEMAND_COLUMNS)
+    return MF.demand_features(S.orders_clean(spark, sf_dir)).select(*DEMAND_COLUMNS)
 
 
 @register("demand_trend", ml_sql("SELECT product_category, recent, prior, ratio, demand_trend FROM dt"))

@@ -23,6 +23,7 @@ from orderlens.sources import tables as TB
 
 _LOCK = threading.RLock()
 _WRITTEN: dict[tuple[str, str, str], tuple] = {}
+_KEY_LOCKS: dict[tuple[str, str, str], threading.RLock] = {}
 
 _ADAPTER_ONLY = ("l_suppkey", "l_extendedprice", "l_tax", "l_shipdate")
 
@@ -32,12 +33,21 @@ def _stage_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "orderlens-stages", f"{name}-{digest}")
 
 
+def _key_lock(key) -> threading.RLock:
+    with _LOCK:
+        lock = _KEY_LOCKS.get(key)
+        if lock is None:
+            lock = _KEY_LOCKS[key] = threading.RLock()
+        return lock
+
+
 def materialize(spark: SparkSession, sf_dir: str, name: str, build,
                 partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``build()`` once per (application, input, stage) and read it back
-    with the schema it was written with (partition columns keep their type)."""
+    with the schema it was written with (partition columns keep their type).
+    Different stages may be built concurrently from several threads."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
-    with _LOCK:
+    with _key_lock(key):
         entry = _WRITTEN.get(key)
         if entry is None:
             path = _stage_path(spark, sf_dir, name)
@@ -47,7 +57,8 @@ def materialize(spark: SparkSession, sf_dir: str, name: str, build,
                 writer = writer.partitionBy(*partition_by)
             writer.parquet(path)
             entry = (path, df.schema)
-            _WRITTEN[key] = entry
+            with _LOCK:
+                _WRITTEN[key] = entry
     path, schema = entry
     out = spark.read.schema(schema).parquet(path)
     return out.select(*schema.fieldNames())
@@ -74,3 +85,39 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     completed order)."""
     return materialize(spark, sf_dir, "customer_rfm",
                        lambda: FT.customer_rfm(orders_clean(spark, sf_dir)))
+
+
+def serving(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Serving tables read by the dashboard, measure and model queries,
+    written once per session (the source model's serving zone).  Builder
+    queries (``weekly_kpis`` etc.) still compute from the fact; consumers
+    read these small tables instead of re-scanning the fact."""
+    from orderlens.operators import marts as M
+    from orderlens.plans import ml_features as MF
+
+    builders = {
+        "weekly_kpis": lambda: M.weekly_kpis(orders_clean(spark, sf_dir), customers(spark, sf_dir)),
+        "dim_customers": lambda: M.dim_customers(orders_clean(spark, sf_dir), customers(spark, sf_dir)),
+        "dim_products": lambda: M.dim_products(orders_clean(spark, sf_dir)),
+        "segment_performance": lambda: M.segment_performance(orders_clean(spark, sf_dir),
+                                                             customers(spark, sf_dir)),
+        "forecast_features": lambda: MF.weekly_features(orders_clean(spark, sf_dir)),
+        "churn_features": lambda: MF.churn_features(orders_clean(spark, sf_dir), customers(spark, sf_dir)),
+        "demand_features": lambda: MF.demand_features(orders_clean(spark, sf_dir)),
+    }
+    return materialize(spark, sf_dir, f"serving_{name}", builders[name])
+
+
+SERVING_TABLES = ("weekly_kpis", "dim_customers", "dim_products", "segment_performance",
+                  "forecast_features", "churn_features", "demand_features")
+
+
+def build_serving(spark: SparkSession, sf_dir: str, names=SERVING_TABLES, parallel: int = 4) -> None:
+    """Write the serving tables concurrently: independent Spark jobs submitted
+    from a small thread pool share the cluster instead of running one by one."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    orders_clean(spark, sf_dir)
+    customers(spark, sf_dir)
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        list(pool.map(lambda n: serving(spark, sf_dir, n), names))
