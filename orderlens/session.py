@@ -45,6 +45,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = spark.sparkContext.master
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS / object "
+                               "store) for stage tables; a machine-local folder is not visible to "
+                               "every executor")
         conf_dir = tempfile.mkdtemp(prefix="orderlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(conf_dir)
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
