@@ -34,6 +34,13 @@ class Measure:
     build: Callable[[], Column]
     fmt: str = ""
     doc: str = ""
+    # two-level form: level-1 aggregate per (keys, DISTINCT_KEY) and its merge
+    partial: Callable[[], Column] | None = None
+    merge: Callable[[str], Column] | None = None
+
+
+# the column every distinct-count measure of the star counts
+DISTINCT_KEY = "customer_id"
 
 
 def _done():
@@ -48,8 +55,24 @@ BASE: dict[str, Measure] = {}
 DERIVED: dict[str, tuple[Callable[[], Column], tuple[str, ...]]] = {}
 
 
-def _base(name, table, build, fmt="", doc=""):
-    BASE[name] = Measure(name, table, build, fmt, doc)
+def _base(name, table, build, fmt="", doc="", partial=None, merge=None):
+    BASE[name] = Measure(name, table, build, fmt, doc, partial, merge)
+
+
+def _sum_merge(cast=None):
+    def merge(c: str) -> Column:
+        out = F.sum(c)
+        return out.cast(cast) if cast else out
+    return merge
+
+
+def _flag(cond: Callable[[], Column]) -> Callable[[], Column]:
+    """Level-1 flag: does this (keys, customer) group satisfy ``cond``?"""
+    return lambda: F.max(F.when(cond() & F.col(DISTINCT_KEY).isNotNull(), F.lit(True)))
+
+
+def _count_flags(c: str) -> Column:
+    return F.count_if(F.col(c))
 
 
 def _derived(name, build, needs):
@@ -57,18 +80,26 @@ def _derived(name, build, needs):
 
 
 # --- star (fact_orders + dim_customers) -------------------------------------
-_base("total_revenue", "star", lambda: _sum_completed("revenue").cast("double"), "currency", "ME1")
-_base("total_orders", "star", lambda: F.count_if(_done()), "#,0", "ME2")
-_base("units_sold", "star", lambda: _sum_completed("quantity"), "#,0", "ME4")
-_base("gross_margin", "star", lambda: _sum_completed("margin").cast("double"), "currency", "ME5")
+_base("total_revenue", "star", lambda: _sum_completed("revenue").cast("double"), "currency", "ME1",
+      lambda: _sum_completed("revenue"), _sum_merge("double"))
+_base("total_orders", "star", lambda: F.count_if(_done()), "#,0", "ME2",
+      lambda: F.count_if(_done()), _sum_merge())
+_base("units_sold", "star", lambda: _sum_completed("quantity"), "#,0", "ME4",
+      lambda: _sum_completed("quantity"), _sum_merge())
+_base("gross_margin", "star", lambda: _sum_completed("margin").cast("double"), "currency", "ME5",
+      lambda: _sum_completed("margin"), _sum_merge("double"))
 _base("active_customers", "star",
-      lambda: F.count_distinct(F.when(_done(), F.col("customer_id"))), "#,0", "ME7")
+      lambda: F.count_distinct(F.when(_done(), F.col("customer_id"))), "#,0", "ME7",
+      _flag(_done), _count_flags)
+_repeat = (lambda: _done() & F.coalesce(F.col("is_repeat_customer"), F.lit(False)))
 _base("repeat_customers", "star",
-      lambda: F.count_distinct(F.when(_done() & F.coalesce(F.col("is_repeat_customer"), F.lit(False)),
-                                      F.col("customer_id"))), "#,0", "ME9 (distinct completed buyers flagged repeat)")
-_base("_sum_completed_orders", "star", lambda: F.sum("completed_orders"))
-_base("_sum_visits", "star", lambda: F.sum("visits"))
-_base("_sum_cart_additions", "star", lambda: F.sum("cart_additions"))
+      lambda: F.count_distinct(F.when(_repeat(), F.col("customer_id"))), "#,0",
+      "ME9 (distinct completed buyers flagged repeat)", _flag(_repeat), _count_flags)
+_base("_sum_completed_orders", "star", lambda: F.sum("completed_orders"), "", "",
+      lambda: F.sum("completed_orders"), _sum_merge())
+_base("_sum_visits", "star", lambda: F.sum("visits"), "", "", lambda: F.sum("visits"), _sum_merge())
+_base("_sum_cart_additions", "star", lambda: F.sum("cart_additions"), "", "",
+      lambda: F.sum("cart_additions"), _sum_merge())
 
 _derived("average_order_value", lambda: E.safe_div("total_revenue", "total_orders"),
          ["total_revenue", "total_orders"])
@@ -140,14 +171,35 @@ def _expand(names: Sequence[str]) -> tuple[list[str], list[str]]:
     return base, derived
 
 
+def _two_level(names: Sequence[str]) -> bool:
+    """Use the two-level plan when several distinct counts are requested and
+    every base measure can be decomposed."""
+    ms = [BASE[n] for n in names]
+    n_distinct = sum(1 for m in ms if m.merge is _count_flags)
+    return n_distinct >= 2 and all(m.partial is not None for m in ms)
+
+
 def evaluate(df: DataFrame, names: Sequence[str], by: Sequence[str] = (),
              where: Column | None = None) -> DataFrame:
-    """Evaluate measures of one table in one aggregation pass."""
+    """Evaluate measures of one table in one aggregation pass.
+
+    Several conditional distinct counts over the same key would make Spark
+    plan an ``Expand`` (every input row copied once per distinct aggregate
+    before the shuffle).  Instead the star measures are computed in two
+    levels: a partial aggregate per (slicer keys, customer) - combined
+    map-side, so a hot customer collapses before the shuffle - then a merge
+    per slicer key, where each distinct count is a count of flags."""
     base, derived = _expand(names)
     if where is not None:
         df = df.filter(where)
-    aggs = [BASE[n].build().alias(n) for n in base]
-    out = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    by = list(by)
+    if _two_level(base):
+        lvl1 = df.groupBy(*by, DISTINCT_KEY).agg(*[BASE[n].partial().alias(n) for n in base])
+        aggs = [BASE[n].merge(n).alias(n) for n in base]
+        out = lvl1.groupBy(*by).agg(*aggs) if by else lvl1.agg(*aggs)
+    else:
+        aggs = [BASE[n].build().alias(n) for n in base]
+        out = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
     for n in derived:
         out = out.withColumn(n, DERIVED[n][0]())
     return out.select(*by, *names)
