@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions import exprs as E
 
-AUC_BUCKETS = 1024
+AUC_BUCKETS = 65536
 
 
 def regression_metrics(df: DataFrame, label: str, pred: str, mape: bool = True) -> DataFrame:
