@@ -398,9 +398,9 @@ SELECT high_risk_customers, churn_rate, repeat_customers, repeat_rate,
        {f_thou('repeat_customers')} AS repeat_display,
        {f_pct('repeat_rate')} AS repeat_rate_display
 FROM (
-  SELECT count_if(risk_level = 'High') AS high_risk_customers,
+  SELECT CAST(count_if(risk_level = 'High') AS BIGINT) AS high_risk_customers,
          {O.ratio("count_if(risk_level = 'High')", 'count(*)')} AS churn_rate,
-         (SELECT count_if(is_repeat_customer) FROM dimc) AS repeat_customers,
+         (SELECT CAST(count_if(is_repeat_customer) AS BIGINT) FROM dimc) AS repeat_customers,
          (SELECT COALESCE({O.ratio('count_if(is_repeat_customer)', 'count(*)')}, 0.0) FROM dimc) AS repeat_rate
   FROM cr
 ) x"""))
@@ -456,7 +456,7 @@ FROM (
   SELECT COALESCE({_xsum('CASE WHEN is_future THEN predicted_revenue END')}, 0.0) AS predicted_revenue_next,
          COALESCE({O.ratio(_xsum('CASE WHEN NOT is_future THEN abs(prediction_error) END'),
                            _xsum('CASE WHEN NOT is_future THEN actual_revenue END'))}, 0.0) AS forecast_error_pct,
-         (SELECT count_if(risk_level = 'High') FROM cr) AS high_risk_customers,
+         (SELECT CAST(count_if(risk_level = 'High') AS BIGINT) FROM cr) AS high_risk_customers,
          (SELECT {O.ratio("count_if(risk_level = 'High')", 'count(*)')} FROM cr) AS churn_rate
   FROM sf
 ) x"""))

@@ -90,8 +90,8 @@ def msql(select: str, extra: str = "") -> str:
 @register("measures_total", msql(f"""
 SELECT s.*,
        (SELECT CAST(sum(new_customers) AS BIGINT) FROM weekly) AS new_customers,
-       (SELECT count_if(purchase_frequency >= 2) FROM dimc) AS repeat_customers_dim,
-       (SELECT count_if(risk_level = 'High') FROM cr) AS high_risk_customers,
+       (SELECT CAST(count_if(purchase_frequency >= 2) AS BIGINT) FROM dimc) AS repeat_customers_dim,
+       (SELECT CAST(count_if(risk_level = 'High') AS BIGINT) FROM cr) AS high_risk_customers,
        (SELECT {_safe("count_if(risk_level = 'High')", 'count(*)')} FROM cr) AS churn_risk_rate_tmdl,
        (SELECT count(DISTINCT CASE WHEN demand_trend = 'Increasing' THEN product_category END) FROM dp)
            AS increasing_demand_categories
@@ -127,7 +127,7 @@ def q_measures_by_year_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("measures_by_risk_level", msql(f"""
-SELECT risk_level, count_if(risk_level = 'High') AS high_risk_customers,
+SELECT risk_level, CAST(count_if(risk_level = 'High') AS BIGINT) AS high_risk_customers,
        {_safe("count_if(risk_level = 'High')", 'count(*)')} AS churn_risk_rate_tmdl,
        {_safe("count_if(risk_level = 'High')", '(SELECT count(*) FROM cr)')} AS churn_risk_rate
 FROM cr WHERE risk_level IS NOT NULL GROUP BY risk_level"""))

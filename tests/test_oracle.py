@@ -21,9 +21,17 @@ def test_every_query_is_registered_with_unique_name():
     assert len(qs) >= 60
 
 
+SPARK_TO_DUCK = {"LongType()": "BIGINT", "IntegerType()": "INTEGER", "DoubleType()": "DOUBLE",
+                 "StringType()": "VARCHAR", "DateType()": "DATE", "BooleanType()": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, sf_dir, con, name):
-    got = entry.queries()[name](spark, sf_dir).toPandas()
+    df = entry.queries()[name](spark, sf_dir)
+    want_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE ({SQL[name]})").fetchall()}
+    got_types = {f.name: SPARK_TO_DUCK.get(str(f.dataType), str(f.dataType)) for f in df.schema.fields}
+    assert got_types == want_types
+    got = df.toPandas()
     want = con.execute(SQL[name]).df()
     ok, msg = compare(got, want)
     assert ok, msg
