@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.functions import exprs as E
-from orderlens.operators import marts as M
 from orderlens.plans import ml_queries as MQ
 from orderlens.plans import oracle as O
 from orderlens.plans import stages as S

@@ -4,7 +4,6 @@ deterministic stand-in scorers (all SQL-checked)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from orderlens.plans import ml_features as MF
 from orderlens.plans import oracle as O

@@ -2,7 +2,6 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
 
 from orderlens.operators import clean as C
 from orderlens.sources import files as IO

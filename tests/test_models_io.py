@@ -1,6 +1,5 @@
 """Learned models (rows / ranges only), model and table persistence, slicers."""
 
-import os
 
 import pytest
 from pyspark.sql import functions as F
