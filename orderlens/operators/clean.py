@@ -19,11 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderlens.constants import COMPLETED_STATUS
 from orderlens.functions import exprs as E
 
 NUMERIC_COLUMNS = ("quantity", "unit_price", "discount", "revenue", "margin")
 KEY_COLUMNS = ("order_id", "customer_id", "product_id", "order_date")
-COMPLETED_STATUS = "Completed"
 
 
 def dedup_keep_first(df: DataFrame, key: str | Sequence[str],

@@ -18,10 +18,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlens.constants import CHURN_INACTIVE_DAYS, REPEAT_MIN_ORDERS, ROLLING_WINDOW_ROWS
 from orderlens.functions import exprs as E
 
-CHURN_INACTIVE_DAYS = 60
-REPEAT_MIN_ORDERS = 2
 
 RFM_COLUMNS = ("customer_id", "days_since_last_purchase", "purchase_frequency",
                "total_revenue", "avg_order_value", "is_repeat_customer", "is_churned")
@@ -68,7 +67,7 @@ def add_customer_features(clean: DataFrame, rfm: DataFrame | None = None) -> Dat
     return clean.join(rfm.select(*RFM_COLUMNS), "customer_id", "left")
 
 
-def product_weekly_units(clean: DataFrame, window_rows: int = 4) -> DataFrame:
+def product_weekly_units(clean: DataFrame, window_rows: int = ROLLING_WINDOW_ROWS) -> DataFrame:
     """MT2: completed units per (product, week) and the mean of the current
     and previous ``window_rows - 1`` product-week rows (min 1 row)."""
     w = (Window.partitionBy("product_id").orderBy("week_start")

@@ -23,6 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlens.constants import DIM_DATE_BUFFER_DAYS
 from orderlens.functions import exprs as E
 
 ROW_ORDER = ("order_date", "order_id")
@@ -90,7 +91,7 @@ def dim_products(clean: DataFrame) -> DataFrame:
                     E.rnd("_price", 2).alias("unit_price")))
 
 
-def dim_date(clean: DataFrame, buffer_days: int = 42) -> DataFrame:
+def dim_date(clean: DataFrame, buffer_days: int = DIM_DATE_BUFFER_DAYS) -> DataFrame:
     """MT7: one row per day from the first order date to the last + 6 weeks."""
     span = clean.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi"))
     days = span.select(F.explode(F.sequence(F.col("lo"), F.date_add(F.col("hi"), buffer_days)))

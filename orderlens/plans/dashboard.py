@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.constants import RISK_LEVELS, TOP_PRODUCTS
 from orderlens.functions import exprs as E
 from orderlens.plans import ml_queries as MQ
 from orderlens.plans import oracle as O
@@ -22,9 +23,6 @@ from orderlens.plans import stages as S
 from orderlens.plans.catalog import register
 from orderlens.plans.measures_q import DIMC_CTE
 
-# Risk-level domain in display order.
-RISK_LEVELS = ("Low", "Medium", "High")
-TOP_PRODUCTS = 20
 
 
 def check_years(years: Sequence[int] | None) -> None:

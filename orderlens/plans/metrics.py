@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlens.constants import CLASS_THRESHOLD
 from orderlens.functions import exprs as E
 
 AUC_BUCKETS = 65536
@@ -64,7 +65,8 @@ def _roc_auc_parts(df: DataFrame, label: str, score: str) -> DataFrame:
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
 
 
-def classification_metrics(df: DataFrame, label: str, prob: str, threshold: float = 0.5) -> DataFrame:
+def classification_metrics(df: DataFrame, label: str, prob: str,
+                           threshold: float = CLASS_THRESHOLD) -> DataFrame:
     """One row: accuracy, precision, recall, f1, roc_auc (NULL with one class)."""
     y = F.col(label).cast("bigint")
     p = (F.col(prob) >= F.lit(threshold)).cast("bigint")

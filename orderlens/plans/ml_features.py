@@ -19,13 +19,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlens.constants import (CLASS_THRESHOLD, FORECAST_HORIZON, LAGS, RISK_BIN_EDGES,
+                                 RISK_LEVELS, TEST_WEEKS, TREND_DOWN, TREND_LABELS, TREND_UP)
 from orderlens.functions import exprs as E
 
 Scorer = Callable[[DataFrame], DataFrame]
 
-TEST_WEEKS = 8
-FORECAST_HORIZON = 4
-LAGS = (1, 2, 4)
 
 FORECAST_FEATURES = ("week_num", "month", "quarter", "t",
                      "revenue_lag1", "revenue_lag2", "revenue_lag4",
@@ -172,7 +171,8 @@ def naive_demand(df: DataFrame) -> DataFrame:
 def naive_churn(df: DataFrame) -> DataFrame:
     """Inactivity share of 180 days, capped at 1."""
     p = F.least(F.col("days_since_last_purchase").cast("double") / F.lit(180.0), F.lit(1.0))
-    return df.withColumns({"probability_1": p, "prediction": F.when(p >= 0.5, 1.0).otherwise(0.0)})
+    return df.withColumns({"probability_1": p,
+                           "prediction": F.when(p >= CLASS_THRESHOLD, 1.0).otherwise(0.0)})
 
 
 # ---------------------------------------------------------------------------
@@ -206,9 +206,10 @@ def sales_forecast(weekly: DataFrame, scorer: Scorer, model_name: str,
 
 def risk_level(p):
     """SC3: right-closed bins (-0.01, 0.33] Low, (0.33, 0.66] Medium, (0.66, 1.01] High."""
-    return (F.when((p > -0.01) & (p <= 0.33), "Low")
-            .when((p > 0.33) & (p <= 0.66), "Medium")
-            .when((p > 0.66) & (p <= 1.01), "High"))
+    e, lv = RISK_BIN_EDGES, RISK_LEVELS
+    return (F.when((p > e[0]) & (p <= e[1]), lv[0])
+            .when((p > e[1]) & (p <= e[2]), lv[1])
+            .when((p > e[2]) & (p <= e[3]), lv[2]))
 
 
 def churn_risk(cust: DataFrame, scorer: Scorer) -> DataFrame:
@@ -238,8 +239,8 @@ def demand_trend(cat_wk: DataFrame) -> DataFrame:
                 F.count(F.lit(1)).alias("_n")))
     prior = F.when(F.col("_n") >= 8, F.col("_prior8")).otherwise(F.col("_all"))
     ratio = E.ratio(F.col("recent"), prior)
-    label = (F.when(ratio > 1.05, "Increasing").when(ratio < 0.95, "Decreasing")
-             .otherwise("Stable"))
+    up, down, flat = TREND_LABELS
+    label = F.when(ratio > TREND_UP, up).when(ratio < TREND_DOWN, down).otherwise(flat)
     return agg.select("product_category", "recent", prior.alias("prior"),
                       ratio.alias("ratio"), label.alias("demand_trend"))
 

@@ -33,23 +33,16 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.constants import (CHURN_FOREST_DEPTH, CHURN_FOREST_TREES, CHURN_TEST_SHARE,
+                                 DEMAND_TEST_SHARE, FOREST_DEPTH, FOREST_TREES, GBT_DEPTH, GBT_ITERS,
+                                 GBT_STEP, LOGREG_ITERS)
+from orderlens.constants import RANDOM_SEED as SEED
 from orderlens.plans import metrics as MT
 from orderlens.plans import ml_features as MF
 from orderlens.plans import ml_queries as MQ
 from orderlens.plans.catalog import register
 from orderlens.session import ensure_checkpoint_dir
 
-SEED = 42
-FOREST_TREES = 200
-FOREST_DEPTH = 8
-GBT_ITERS = 200
-GBT_STEP = 0.05
-GBT_DEPTH = 4
-CHURN_FOREST_TREES = 150
-CHURN_FOREST_DEPTH = 6
-LOGREG_ITERS = 500
-CHURN_TEST_SHARE = 0.25
-DEMAND_TEST_SHARE = 0.20
 
 QUERY_SIZES = {"forest_trees": 30, "gbt_iters": 30, "churn_forest_trees": 30}
 

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderlens.constants import EXPECTED_TABLES as EXPECTED_TABLES_FIXED
 from orderlens.operators import clean as C
 
 RAW_DATE_COLUMNS = ("order_date", "customer_signup_date", "last_purchase_date")
@@ -110,7 +111,8 @@ SERVING_SCHEMAS: Mapping[str, str] = {
                           "metric_name string, metric_value double"),
 }
 
-EXPECTED_TABLES = tuple(SERVING_SCHEMAS)
+EXPECTED_TABLES = EXPECTED_TABLES_FIXED
+assert set(EXPECTED_TABLES) == set(SERVING_SCHEMAS)
 
 
 def serving_schema(name: str) -> T.StructType:
