@@ -254,6 +254,6 @@ def demand_predictions(cat_wk: DataFrame, scorer: Scorer) -> DataFrame:
             .select("product_category",
                     F.col("week_start").alias("week"),
                     F.col("units").alias("actual_units_sold"),
-                    E.rnd(E.clip_lower("prediction", 0.0), 0).cast("bigint").alias("predicted_units_sold"),
-                    "demand_trend")
+                    "demand_trend",
+                    E.rnd(E.clip_lower("prediction", 0.0), 0).cast("bigint").alias("predicted_units_sold"))
             .orderBy("product_category", "week"))

@@ -130,9 +130,8 @@ cr AS (
   FROM (SELECT *, {O.rnd('least(CAST(days_since_last_purchase AS DOUBLE) / 180.0, 1.0)', 4)} AS p FROM cf) x
 ),
 dp AS (
-  SELECT d.product_category, d.week_start AS week, d.units AS actual_units_sold,
-         CAST({O.rnd('greatest(CAST(d.units_lag1 AS DOUBLE), 0.0)', 0)} AS BIGINT) AS predicted_units_sold,
-         t.demand_trend
+  SELECT d.product_category, d.week_start AS week, d.units AS actual_units_sold, t.demand_trend,
+         CAST({O.rnd('greatest(CAST(d.units_lag1 AS DOUBLE), 0.0)', 0)} AS BIGINT) AS predicted_units_sold
   FROM dw d LEFT JOIN dt t ON t.product_category = d.product_category
 )"""
 

@@ -106,7 +106,7 @@ SERVING_SCHEMAS: Mapping[str, str] = {
                             "total_revenue double, purchase_frequency bigint, avg_order_value double, "
                             "churn_risk_probability double, risk_level string"),
     "product_demand_predictions": ("product_category string, week date, actual_units_sold bigint, "
-                                   "predicted_units_sold bigint, demand_trend string"),
+                                   "demand_trend string, predicted_units_sold bigint"),
     "model_performance": ("model string, algorithm string, target string, metric_type string, "
                           "metric_name string, metric_value double"),
 }
