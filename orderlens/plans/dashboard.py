@@ -239,8 +239,9 @@ def risk_distribution(spark: SparkSession, churn: DataFrame) -> DataFrame:
     Low, Medium, High (absent level -> NULL count)."""
     domain = spark.createDataFrame([(lvl, i) for i, lvl in enumerate(RISK_LEVELS)],
                                    "risk_level string, ordinal int")
+    # one row per distinct level (at most the domain plus NULL): a proven bound
     counts = churn.groupBy("risk_level").agg(F.count(F.lit(1)).alias("count"))
-    return (F.broadcast(domain).join(counts, "risk_level", "left")
+    return (domain.join(F.broadcast(counts), "risk_level", "left")
             .select("risk_level", "ordinal", "count").orderBy("ordinal"))
 
 
