@@ -52,6 +52,10 @@ def materialize(spark: SparkSession, sf_dir: str, name: str, build,
         if entry is None:
             path = _stage_path(spark, sf_dir, name)
             df = build()
+            # REBALANCE lets AQE size the written files: small outputs are
+            # coalesced (few files per year), a large year is split into
+            # advisory-size partitions instead of one task per directory
+            df = df.hint("rebalance", *partition_by)
             writer = df.write.mode("overwrite")
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
