@@ -119,7 +119,7 @@ _base("repeat_customers_dim", "customers",
       lambda: F.count_if(F.col("purchase_frequency") >= 2), "#,0", "ME9 (plan: dim_customers frequency >= 2)")
 _base("high_risk_customers", "churn", lambda: F.count_if(F.col("risk_level") == "High"), "#,0", "ME17")
 _base("_churn_rows", "churn", lambda: F.count(F.lit(1)))
-_derived("churn_risk_rate_tmdl", lambda: E.safe_div("high_risk_customers", "_churn_rows"),
+_derived("churn_risk_rate_model", lambda: E.safe_div("high_risk_customers", "_churn_rows"),
          ["high_risk_customers", "_churn_rows"])
 _base("increasing_demand_categories", "demand",
       lambda: F.count_distinct(F.when(F.col("demand_trend") == "Increasing", F.col("product_category"))),
@@ -127,7 +127,7 @@ _base("increasing_demand_categories", "demand",
 _base("predicted_revenue", "forecast",
       lambda: E.exact_sum(F.when(F.col("is_future"), F.col("predicted_revenue"))), "currency",
       "ME15 (plan: future rows only)")
-_base("predicted_revenue_tmdl", "forecast",
+_base("predicted_revenue_model", "forecast",
       lambda: E.exact_sum(F.when(F.col("predicted_revenue").isNotNull(), F.col("predicted_revenue"))),
       "currency", "ME15 (model: every non-blank prediction)")
 _base("_abs_err_actual", "forecast",
@@ -138,7 +138,7 @@ _base("_sum_err", "forecast", lambda: E.exact_sum("prediction_error"))
 _base("_sum_actual", "forecast", lambda: E.exact_sum("actual_revenue"))
 _derived("forecast_error_pct", lambda: E.safe_div("_abs_err_actual", "_actual_actual"),
          ["_abs_err_actual", "_actual_actual"])
-_derived("forecast_error_pct_tmdl", lambda: E.safe_div(F.abs(F.col("_sum_err")), "_sum_actual"),
+_derived("forecast_error_pct_model", lambda: E.safe_div(F.abs(F.col("_sum_err")), "_sum_actual"),
          ["_sum_err", "_sum_actual"])
 
 STAR_MEASURES = ("total_revenue", "total_orders", "average_order_value", "units_sold", "gross_margin",

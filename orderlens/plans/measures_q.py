@@ -92,7 +92,7 @@ SELECT s.*,
        (SELECT CAST(sum(new_customers) AS BIGINT) FROM weekly) AS new_customers,
        (SELECT CAST(count_if(purchase_frequency >= 2) AS BIGINT) FROM dimc) AS repeat_customers_dim,
        (SELECT CAST(count_if(risk_level = 'High') AS BIGINT) FROM cr) AS high_risk_customers,
-       (SELECT {_safe("count_if(risk_level = 'High')", 'count(*)')} FROM cr) AS churn_risk_rate_tmdl,
+       (SELECT {_safe("count_if(risk_level = 'High')", 'count(*)')} FROM cr) AS churn_risk_rate_model,
        (SELECT count(DISTINCT CASE WHEN demand_trend = 'Increasing' THEN product_category END) FROM dp)
            AS increasing_demand_categories
 FROM ({star_sql()}) s"""))
@@ -106,8 +106,8 @@ def q_measures_total(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("repeat_customers_dim"),
         ME.evaluate_scalar(MQ.naive_churn_risk(spark, sf_dir), "high_risk_customers")
         .alias("high_risk_customers"),
-        ME.evaluate_scalar(MQ.naive_churn_risk(spark, sf_dir), "churn_risk_rate_tmdl")
-        .alias("churn_risk_rate_tmdl"),
+        ME.evaluate_scalar(MQ.naive_churn_risk(spark, sf_dir), "churn_risk_rate_model")
+        .alias("churn_risk_rate_model"),
         ME.evaluate_scalar(MQ.naive_demand_predictions(spark, sf_dir), "increasing_demand_categories")
         .alias("increasing_demand_categories"),
     )
@@ -128,7 +128,7 @@ def q_measures_by_year_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("measures_by_risk_level", msql(f"""
 SELECT risk_level, CAST(count_if(risk_level = 'High') AS BIGINT) AS high_risk_customers,
-       {_safe("count_if(risk_level = 'High')", 'count(*)')} AS churn_risk_rate_tmdl,
+       {_safe("count_if(risk_level = 'High')", 'count(*)')} AS churn_risk_rate_model,
        {_safe("count_if(risk_level = 'High')", '(SELECT count(*) FROM cr)')} AS churn_risk_rate
 FROM cr WHERE risk_level IS NOT NULL GROUP BY risk_level"""))
 def q_measures_by_risk_level(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +136,7 @@ def q_measures_by_risk_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     the risk-level filter from its denominator (AG17); the model's does not."""
     churn = MQ.naive_churn_risk(spark, sf_dir)
     all_rows = churn.agg(F.count(F.lit(1))).scalar()
-    out = ME.evaluate(churn, ["high_risk_customers", "churn_risk_rate_tmdl"], by=["risk_level"],
+    out = ME.evaluate(churn, ["high_risk_customers", "churn_risk_rate_model"], by=["risk_level"],
                       where=F.col("risk_level").isNotNull())
     return out.withColumn("churn_risk_rate", E.safe_div("high_risk_customers", all_rows))
 
@@ -197,17 +197,17 @@ def _xsum(expr: str) -> str:
 
 @register("forecast_measures", msql(f"""
 SELECT {_xsum('CASE WHEN is_future THEN predicted_revenue END')} AS predicted_revenue,
-       {_xsum('CASE WHEN predicted_revenue IS NOT NULL THEN predicted_revenue END')} AS predicted_revenue_tmdl,
+       {_xsum('CASE WHEN predicted_revenue IS NOT NULL THEN predicted_revenue END')} AS predicted_revenue_model,
        COALESCE({_xsum('CASE WHEN NOT is_future THEN abs(prediction_error) END')}
                 / NULLIF({_xsum('CASE WHEN NOT is_future THEN actual_revenue END')}, 0), 0.0) AS forecast_error_pct,
        COALESCE(abs({_xsum('prediction_error')}) / NULLIF({_xsum('actual_revenue')}, 0), 0.0)
-           AS forecast_error_pct_tmdl
+           AS forecast_error_pct_model
 FROM sf"""))
 def q_forecast_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ME15 / ME16 in both definitions (AG16 iterator sum of |error|)."""
     return ME.evaluate(MQ.naive_sales_forecast(spark, sf_dir),
-                       ["predicted_revenue", "predicted_revenue_tmdl",
-                        "forecast_error_pct", "forecast_error_pct_tmdl"])
+                       ["predicted_revenue", "predicted_revenue_model",
+                        "forecast_error_pct", "forecast_error_pct_model"])
 
 
 # AG22: default summarization per fact column (fixed values of the model)
