@@ -60,7 +60,10 @@ FROM raw"""))
 def q_dedup_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CL1 replayed on the wide joined frame (duplicates included)."""
     raw = TB.raw_orders(spark, sf_dir, dedup=False)
-    out = C.dedup_keep_first(raw, "order_id", TB.LINE_KEEP_FIRST_ORDER)
+    # only the reported columns ride through the aggregate (the struct is
+    # opaque to column pruning, so project first)
+    cols = list(dict.fromkeys([*DEDUP_COLUMNS, *TB.LINE_KEEP_FIRST_ORDER]))
+    out = C.dedup_keep_first(raw.select(*cols), "order_id", TB.LINE_KEEP_FIRST_ORDER)
     return _money_as_double(out.select(*DEDUP_COLUMNS))
 
 
