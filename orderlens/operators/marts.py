@@ -11,9 +11,9 @@ Scale notes:
   aggregate - rather than an un-partitioned window;
 * the only un-partitioned windows (week-over-week lags) run on the weekly
   aggregate, bounded by the number of weeks;
-* "repeat customer" counts semi-join the distinct (group, customer) pairs to
-  the customer table instead of joining customer attributes back onto every
-  order line.
+* "repeat customer" counts flag the distinct (group, customer) rows of the
+  first aggregation level - never order lines - by joining them to the
+  repeat customers, so unique and repeat customers share one pass.
 """
 
 from __future__ import annotations
@@ -130,6 +130,43 @@ def repeat_customers_by(clean: DataFrame, rfm: DataFrame, key: str,
             .groupBy(key).agg(F.count(F.lit(1)).alias(out)))
 
 
+def _sums_with_customers(comp: DataFrame, key: str, rfm: DataFrame) -> DataFrame:
+    """The ``_weekly_sums`` aggregates plus distinct repeat customers, in one
+    pass over the fact: level 1 aggregates per (key, customer) - combined
+    map-side - and level 2 merges per key, where distinct customers are a
+    count of level-1 rows and repeat customers a count of flagged ones.
+    The flag comes from joining the (key, customer) rows, not order lines,
+    to the repeat customers."""
+    lvl1 = (comp.filter(F.col(key).isNotNull())
+            .groupBy(key, "customer_id")
+            .agg(F.sum("revenue").alias("_rev"),
+                 F.count("revenue").alias("_rev_n"),
+                 F.count("order_id").alias("_orders"),
+                 F.sum("quantity").alias("_units"),
+                 F.sum("margin").alias("_margin"),
+                 F.sum("discount").alias("_disc"),
+                 F.count("discount").alias("_disc_n"),
+                 F.sum("visits").alias("_visits"),
+                 F.sum("cart_additions").alias("_carts"),
+                 F.sum("completed_orders").alias("_completed")))
+    repeaters = (rfm.filter(F.col("is_repeat_customer")).select("customer_id")
+                 .withColumn("_rep", F.lit(True)))
+    flagged = lvl1.join(repeaters, "customer_id", "left")
+    return (flagged.groupBy(key)
+            .agg(F.sum("_rev").alias("_rev"),
+                 F.sum("_rev_n").alias("_rev_n"),
+                 F.sum("_orders").alias("total_orders"),
+                 F.sum("_units").alias("total_units"),
+                 F.sum("_margin").alias("_margin"),
+                 F.count("customer_id").alias("unique_customers"),
+                 F.sum("_disc").alias("_disc"),
+                 F.sum("_disc_n").alias("_disc_n"),
+                 F.sum("_visits").alias("visits"),
+                 F.sum("_carts").alias("cart_additions"),
+                 F.sum("_completed").alias("completed_orders"),
+                 F.count_if(F.col("_rep") & F.col("customer_id").isNotNull()).alias("repeat_customers")))
+
+
 def _weekly_sums(comp: DataFrame, key: str) -> DataFrame:
     return (comp.filter(F.col(key).isNotNull())
             .groupBy(key)
@@ -159,7 +196,7 @@ def weekly_kpis(clean: DataFrame, rfm: DataFrame) -> DataFrame:
 
     Week-over-week growth is the change against the previous *row* (not the
     calendar week), computed on the unrounded sums and rounded to 4 dp."""
-    wk = _weekly_sums(completed(clean), "week_start")
+    wk = _sums_with_customers(completed(clean), "week_start", rfm)
     rev = F.col("_rev").cast("double")
     by_week = Window.orderBy("week_start")
     wk = wk.select(
@@ -178,10 +215,10 @@ def weekly_kpis(clean: DataFrame, rfm: DataFrame) -> DataFrame:
         E.pct_change(rev, F.lag(rev, 1).over(by_week)).alias("revenue_wow_growth"),
         E.pct_change(F.col("total_orders"), F.lag("total_orders", 1).over(by_week))
         .alias("orders_wow_growth"),
+        "repeat_customers",
     )
     wk = (wk.join(new_customers_by_week(clean), "week_start", "left")
-          .join(repeat_customers_by(clean, rfm, "week_start"), "week_start", "left")
-          .na.fill({"new_customers": 0, "repeat_customers": 0}))
+          .na.fill({"new_customers": 0}))
     return wk.select(*WEEKLY_COLUMNS)
 
 
@@ -207,10 +244,8 @@ def performance_by(clean: DataFrame, dim: str) -> DataFrame:
 def segment_performance(clean: DataFrame, rfm: DataFrame) -> DataFrame:
     """MT11: per customer segment, with distinct repeat customers and the
     repeat rate (no discount / share columns)."""
-    g = _weekly_sums(completed(clean), "customer_segment")
+    g = _sums_with_customers(completed(clean), "customer_segment", rfm)
     rev = F.col("_rev").cast("double")
-    g = g.join(repeat_customers_by(clean, rfm, "customer_segment"), "customer_segment", "left") \
-         .na.fill({"repeat_customers": 0})
     return (g.select(
         "customer_segment",
         rev.alias("total_revenue"),
