@@ -52,10 +52,12 @@ def materialize(spark: SparkSession, sf_dir: str, name: str, build,
         if entry is None:
             path = _stage_path(spark, sf_dir, name)
             df = build()
-            # REBALANCE lets AQE size the written files: small outputs are
-            # coalesced (few files per year), a large year is split into
-            # advisory-size partitions instead of one task per directory
-            df = df.hint("rebalance", *partition_by)
+            if not partition_by:
+                # small serving tables: REBALANCE lets AQE coalesce the output
+                # into a few files.  The partitioned fact is written straight
+                # from its last shuffle (each task writes one file per year):
+                # a rebalance there would be one more full shuffle of the fact.
+                df = df.hint("rebalance")
             writer = df.write.mode("overwrite")
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
