@@ -39,6 +39,10 @@ class Measure:
     merge: Callable[[str], Column] | None = None
 
 
+# money measures of the forecast table are summed at cent precision: exact,
+# and independent of partition merge order
+MONEY_SCALE = 2
+
 # the column every distinct-count measure of the star counts
 DISTINCT_KEY = "customer_id"
 
@@ -125,17 +129,17 @@ _base("increasing_demand_categories", "demand",
       lambda: F.count_distinct(F.when(F.col("demand_trend") == "Increasing", F.col("product_category"))),
       "#,0", "ME19")
 _base("predicted_revenue", "forecast",
-      lambda: E.exact_sum(F.when(F.col("is_future"), F.col("predicted_revenue"))), "currency",
+      lambda: E.exact_sum(F.when(F.col("is_future"), F.col("predicted_revenue")), MONEY_SCALE), "currency",
       "ME15 (plan: future rows only)")
 _base("predicted_revenue_model", "forecast",
-      lambda: E.exact_sum(F.when(F.col("predicted_revenue").isNotNull(), F.col("predicted_revenue"))),
+      lambda: E.exact_sum(F.when(F.col("predicted_revenue").isNotNull(), F.col("predicted_revenue")), MONEY_SCALE),
       "currency", "ME15 (model: every non-blank prediction)")
 _base("_abs_err_actual", "forecast",
-      lambda: E.exact_sum(F.when(~F.col("is_future"), F.abs(F.col("prediction_error")))))
+      lambda: E.exact_sum(F.when(~F.col("is_future"), F.abs(F.col("prediction_error"))), MONEY_SCALE))
 _base("_actual_actual", "forecast",
-      lambda: E.exact_sum(F.when(~F.col("is_future"), F.col("actual_revenue"))))
-_base("_sum_err", "forecast", lambda: E.exact_sum("prediction_error"))
-_base("_sum_actual", "forecast", lambda: E.exact_sum("actual_revenue"))
+      lambda: E.exact_sum(F.when(~F.col("is_future"), F.col("actual_revenue")), MONEY_SCALE))
+_base("_sum_err", "forecast", lambda: E.exact_sum("prediction_error", MONEY_SCALE))
+_base("_sum_actual", "forecast", lambda: E.exact_sum("actual_revenue", MONEY_SCALE))
 _derived("forecast_error_pct", lambda: E.safe_div("_abs_err_actual", "_actual_actual"),
          ["_abs_err_actual", "_actual_actual"])
 _derived("forecast_error_pct_model", lambda: E.safe_div(F.abs(F.col("_sum_err")), "_sum_actual"),

@@ -203,9 +203,9 @@ def forecast_cards(forecast: DataFrame, churn: DataFrame) -> DataFrame:
     high = c.select("h").scalar()
     rate = c.select(E.ratio("h", "n")).scalar()
     f = forecast.agg(
-        E.exact_sum(F.when(F.col("is_future"), F.col("predicted_revenue"))).alias("_pred"),
-        E.exact_sum(F.when(~F.col("is_future"), F.abs("prediction_error"))).alias("_abs"),
-        E.exact_sum(F.when(~F.col("is_future"), F.col("actual_revenue"))).alias("_act"))
+        E.exact_sum(F.when(F.col("is_future"), F.col("predicted_revenue")), 2).alias("_pred"),
+        E.exact_sum(F.when(~F.col("is_future"), F.abs("prediction_error")), 2).alias("_abs"),
+        E.exact_sum(F.when(~F.col("is_future"), F.col("actual_revenue")), 2).alias("_act"))
     out = f.select(F.coalesce("_pred", F.lit(0.0)).alias("predicted_revenue_next"),
                    E.safe_div("_abs", "_act").alias("forecast_error_pct"),
                    high.alias("high_risk_customers"), rate.alias("churn_rate"))
@@ -442,7 +442,8 @@ def q_churn_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _xsum(expr: str) -> str:
-    return f"CAST(sum(CAST(({expr}) AS DECIMAL(38,10))) AS DOUBLE)"
+    """Cent-precision money sum (matches ``exprs.exact_sum(x, 2)``)."""
+    return f"CAST(sum(CAST(({expr}) AS DECIMAL(38,2))) AS DOUBLE)"
 
 
 @register("forecast_cards", dsql(f"""

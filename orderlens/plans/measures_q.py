@@ -191,16 +191,16 @@ def q_wow_last_nonblank(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _xsum(expr: str) -> str:
-    return f"CAST(sum(CAST(({expr}) AS DECIMAL(38,10))) AS DOUBLE)"
+def _xsum(expr: str, scale: int = 10) -> str:
+    return f"CAST(sum(CAST(({expr}) AS DECIMAL(38,{scale}))) AS DOUBLE)"
 
 
 @register("forecast_measures", msql(f"""
-SELECT {_xsum('CASE WHEN is_future THEN predicted_revenue END')} AS predicted_revenue,
-       {_xsum('CASE WHEN predicted_revenue IS NOT NULL THEN predicted_revenue END')} AS predicted_revenue_model,
-       COALESCE({_xsum('CASE WHEN NOT is_future THEN abs(prediction_error) END')}
-                / NULLIF({_xsum('CASE WHEN NOT is_future THEN actual_revenue END')}, 0), 0.0) AS forecast_error_pct,
-       COALESCE(abs({_xsum('prediction_error')}) / NULLIF({_xsum('actual_revenue')}, 0), 0.0)
+SELECT {_xsum('CASE WHEN is_future THEN predicted_revenue END', 2)} AS predicted_revenue,
+       {_xsum('CASE WHEN predicted_revenue IS NOT NULL THEN predicted_revenue END', 2)} AS predicted_revenue_model,
+       COALESCE({_xsum('CASE WHEN NOT is_future THEN abs(prediction_error) END', 2)}
+                / NULLIF({_xsum('CASE WHEN NOT is_future THEN actual_revenue END', 2)}, 0), 0.0) AS forecast_error_pct,
+       COALESCE(abs({_xsum('prediction_error', 2)}) / NULLIF({_xsum('actual_revenue', 2)}, 0), 0.0)
            AS forecast_error_pct_model
 FROM sf"""))
 def q_forecast_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
