@@ -46,3 +46,26 @@ EXPECTED_TABLES = (
     "sales_forecast", "customer_churn_risk",
     "product_demand_predictions", "model_performance",
 )
+
+# --- measure display formats (semantic model) --------------------------------
+MEASURE_FORMATS = {
+    "total_revenue": "£#,0.00",
+    "total_orders": "#,0",
+    "average_order_value": "£#,0.00",
+    "units_sold": "#,0",
+    "gross_margin": "£#,0.00",
+    "gross_margin_pct": "0.00%",
+    "active_customers": "#,0",
+    "new_customers": "#,0",
+    "repeat_customers": "#,0",
+    "repeat_customer_rate": "0.00%",
+    "conversion_rate": "0.00%",
+    "cart_abandonment_rate": "0.00%",
+    "wow_revenue_growth": "+0.00%;-0.00%;0.00%",
+    "wow_orders_growth": "+0.00%;-0.00%;0.00%",
+    "predicted_revenue": "£#,0.00",
+    "forecast_error_pct": "0.00%",
+    "high_risk_customers": "#,0",
+    "churn_risk_rate": "0.00%",
+    "increasing_demand_categories": "#,0",
+}

@@ -176,3 +176,25 @@ def fmt_signed_pct(x: ColumnOrName, digits: int = 2, suffix: str = "") -> Column
 def fmt_thousands(x: ColumnOrName) -> Column:
     """``#,0``: integer with thousands separators."""
     return F.format_number(_c(x).cast("double"), 0)
+
+
+def fmt_measure(x: ColumnOrName, pattern: str) -> Column:
+    """Display a measure value with one of the model's format strings:
+    ``#,0``, ``£#,0.00`` (any currency prefix), ``0.00%`` and the signed
+    ``+0.00%;-0.00%;0.00%``.  Values are rounded half-to-even first."""
+    c = _c(x).cast("double")
+    if pattern == "#,0":
+        return F.format_number(rnd(c, 0), 0)
+    if pattern.endswith("#,0.00"):
+        prefix = pattern[: -len("#,0.00")]
+        body = F.format_number(F.abs(rnd(c, 2)), 2)
+        return F.when(c.isNotNull(), F.concat(F.when(rnd(c, 2) < 0, F.lit("-")).otherwise(F.lit("")),
+                                               F.lit(prefix), body))
+    if pattern == "0.00%":
+        return F.when(c.isNotNull(), fmt_pct(c, 2))
+    if pattern == "+0.00%;-0.00%;0.00%":
+        r = rnd(c * F.lit(100.0), 2)
+        return (F.when(c.isNull(), F.lit(None))
+                .when(r == 0, F.lit("0.00%"))
+                .otherwise(F.format_string("%+.2f%%", r)))
+    raise ValueError(f"unsupported format {pattern!r}")

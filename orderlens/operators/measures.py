@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.constants import MEASURE_FORMATS
 from orderlens.functions import exprs as E
 
 
@@ -213,3 +214,11 @@ def evaluate_scalar(df: DataFrame, name: str, where: Column | None = None) -> Co
     """One measure over a whole table as a scalar-subquery Column, for
     combining measures of different tables in one row."""
     return evaluate(df, [name], where=where).scalar()
+
+
+def display(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """SC9: add ``<measure>_display`` strings in the model's display format
+    (measures without a format are left as they are)."""
+    cols = {f"{n}_display": E.fmt_measure(n, MEASURE_FORMATS[n]) for n in names
+            if n in MEASURE_FORMATS and n in df.columns}
+    return df.withColumns(cols)

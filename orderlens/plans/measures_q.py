@@ -243,3 +243,61 @@ def q_default_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
         else:
             aggs.append(E.exact_avg(col).alias(f"avg_{col}"))
     return fact.agg(*aggs)
+
+
+def _fmt_sql(x: str, pattern: str) -> str:
+    """SQL twin of ``exprs.fmt_measure``."""
+    if pattern == "#,0":
+        return f"format('{{:,.0f}}', {O.rnd(x, 0)})"
+    if pattern.endswith("#,0.00"):
+        prefix = pattern[: -len("#,0.00")]
+        r = O.rnd(x, 2)
+        return (f"(CASE WHEN {x} IS NOT NULL THEN (CASE WHEN {r} < 0 THEN '-' ELSE '' END) || '{prefix}' || "
+                f"format('{{:,.2f}}', abs({r})) END)")
+    if pattern == "0.00%":
+        return f"(CASE WHEN {x} IS NOT NULL THEN printf('%.2f%%', {O.rnd(f'{x} * 100.0', 2)}) END)"
+    if pattern == "+0.00%;-0.00%;0.00%":
+        r = O.rnd(f"{x} * 100.0", 2)
+        return (f"(CASE WHEN {x} IS NULL THEN NULL WHEN {r} = 0 THEN '0.00%' "
+                f"ELSE printf('%+.2f%%', {r}) END)")
+    raise ValueError(pattern)
+
+
+DISPLAYED = ("total_revenue", "total_orders", "average_order_value", "units_sold", "gross_margin",
+             "gross_margin_pct", "active_customers", "repeat_customers", "repeat_customer_rate",
+             "conversion_rate", "cart_abandonment_rate")
+WOW = ("wow_revenue_growth", "wow_orders_growth")
+
+_WOW_SQL = """
+SELECT COALESCE((c.total_revenue - p.total_revenue) / NULLIF(p.total_revenue, 0), 0.0) AS wow_revenue_growth,
+       COALESCE(CAST(c.total_orders - p.total_orders AS DOUBLE) / CAST(NULLIF(p.total_orders, 0) AS DOUBLE), 0.0)
+           AS wow_orders_growth
+FROM weekly c LEFT JOIN weekly p ON p.week_start = CAST(c.week_start - 7 AS DATE)
+WHERE c.week_start = (SELECT max(week_start) FROM weekly)"""
+
+
+@register("measures_display", msql(f"""
+SELECT context, measure, display FROM (
+  SELECT customer_segment AS context,
+         {', '.join(f'{_fmt_sql(n, ME.MEASURE_FORMATS[n])} AS {n}' for n in DISPLAYED)}
+  FROM ({star_sql('customer_segment', 'customer_segment IS NOT NULL')}) m
+) UNPIVOT INCLUDE NULLS (display FOR measure IN ({', '.join(DISPLAYED)}))
+UNION ALL
+SELECT context, measure, display FROM (
+  SELECT 'latest_week' AS context, {', '.join(f"{_fmt_sql(n, ME.MEASURE_FORMATS[n])} AS {n}" for n in WOW)}
+  FROM ({_WOW_SQL}) w
+) UNPIVOT INCLUDE NULLS (display FOR measure IN ({', '.join(WOW)}))"""))
+def q_measures_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SC9: measures in the model's display formats, long form (context,
+    measure, display): star measures per segment, and the calendar
+    week-over-week measures of the latest week (signed format)."""
+    by_seg = ME.evaluate(star_frame(spark, sf_dir), DISPLAYED, by=["customer_segment"],
+                         where=F.col("customer_segment").isNotNull())
+    seg = ME.display(by_seg, DISPLAYED).select(
+        F.col("customer_segment").alias("context"), *[F.col(f"{n}_display").alias(n) for n in DISPLAYED])
+    latest = (q_wow_calendar(spark, sf_dir)
+              .agg(F.max_by(F.struct(*WOW), "current_week").alias("w")).select("w.*"))
+    wow = ME.display(latest, WOW).select(
+        F.lit("latest_week").alias("context"), *[F.col(f"{n}_display").alias(n) for n in WOW])
+    return (seg.unpivot(["context"], list(DISPLAYED), "measure", "display")
+            .unionByName(wow.unpivot(["context"], list(WOW), "measure", "display")))
