@@ -67,7 +67,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def _schema(spec: str) -> T.StructType:
-    return T._parse_datatype_string(spec)  # DDL "a string, b double, ..."
+    return T.StructType.fromDDL(spec)  # DDL "a string, b double, ..."
 
 
 # IO6: declared column types of the serving tables (fixed values of the model).
