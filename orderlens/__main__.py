@@ -18,6 +18,8 @@ def main(argv=None) -> None:
     ap.add_argument("--completed-status", default=None)
     ap.add_argument("--naive", action="store_true", help="stand-in scorers instead of trained models")
     ap.add_argument("--master", default=None, help="local master for a standalone run, e.g. local[8]")
+    ap.add_argument("--processed", action="store_true",
+                    help="also write the processed zone (clean orders + order-level features)")
     args = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -28,7 +30,8 @@ def main(argv=None) -> None:
     spark = build_session(master=args.master) if args.master else SparkSession.builder.getOrCreate()
     ensure_checkpoint_dir(spark)
     manifest = run_batch(spark, args.out, sf_dir=args.sf_dir, raw_csv=args.raw_csv,
-                         completed_status=args.completed_status, learned=not args.naive)
+                         completed_status=args.completed_status, learned=not args.naive,
+                         write_processed=args.processed)
     for r in manifest.collect():
         print(f"{'OK' if r.status == 'OK' else 'XX'}  {r.table}  ({r.size_kb} KB, {r.rows} rows)")
 

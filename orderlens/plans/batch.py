@@ -69,8 +69,14 @@ def serving_from_clean(clean: DataFrame, work_dir: str, learned: bool = True,
 
 def run_batch(spark: SparkSession, out_dir: str, *, sf_dir: str | None = None, raw_csv: str | None = None,
               completed_status: str | None = None, learned: bool = True,
-              sizes: dict | None = None) -> DataFrame:
-    """Run everything and return the export manifest."""
+              sizes: dict | None = None, write_processed: bool = False) -> DataFrame:
+    """Run everything and return the export manifest.
+
+    ``write_processed`` also writes the processed zone (IO4): the clean
+    orders and the order-level feature frame (clean + RFM + product trend +
+    funnel).  The marts do not need the feature frame - joining customer and
+    product features back onto every line costs two shuffles of the fact -
+    so it is only produced on request."""
     if (sf_dir is None) == (raw_csv is None):
         raise ValueError("give exactly one input: sf_dir (driver tables) or raw_csv (landing folder)")
     work = os.path.join(out_dir, "_work")
@@ -80,6 +86,9 @@ def run_batch(spark: SparkSession, out_dir: str, *, sf_dir: str | None = None, r
         status = completed_status or "Completed"
         clean = _stage(FT.add_funnel_features(IO.clean_raw_csv(spark, raw_csv, status)),
                        os.path.join(work, "orders_clean"), partition_by=("year",))
+    if write_processed:
+        IO.write_parquet(clean, os.path.join(out_dir, "processed", "orders_clean"))
+        IO.write_parquet(FT.build_features(clean), os.path.join(out_dir, "processed", "orders_features"))
     tables = serving_from_clean(clean, work, learned=learned, sizes=sizes)
     serving_dir = os.path.join(out_dir, "serving")
     IO.export_serving(tables, serving_dir)

@@ -17,6 +17,9 @@ def test_batch_from_csv_landing(spark, tmp_path):
     land = tmp_path / "landing"
     land.mkdir()
     (land / "orders.csv").write_text("\n".join(lines) + "\n")
-    man = run_batch(spark, str(tmp_path / "out"), raw_csv=str(land), learned=False).toPandas()
+    out = tmp_path / "out"
+    man = run_batch(spark, str(out), raw_csv=str(land), learned=False, write_processed=True).toPandas()
     assert (man.status == "OK").all()
     assert man.set_index("table").rows["fact_orders"] == 120
+    feats = spark.read.parquet(str(out / "processed" / "orders_features"))
+    assert feats.count() == 120 and {"rolling_4w_units", "is_churned", "conversion_rate"} <= set(feats.columns)
