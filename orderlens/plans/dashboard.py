@@ -505,3 +505,62 @@ SELECT * FROM (
 ) ORDER BY slicer, value"""))
 def q_slicer_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slicer_values(_fact(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Page API: every frame a dashboard page shows, under the page's slicers
+# ---------------------------------------------------------------------------
+
+PAGES = ("executive_overview", "weekly_kpi_tracking", "product_category", "customer_segment",
+         "predictive_insights")
+
+
+def page(spark: SparkSession, sf_dir: str, name: str, years=None, category: str | None = None,
+         predictions: str = "learned") -> dict[str, DataFrame]:
+    """The data behind one dashboard page as named DataFrames (lazy).
+
+    ``years`` is the sidebar year selection (``None`` = all years, empty =
+    error); ``category`` the product selector (default: first in order);
+    ``predictions`` chooses the learned models or the stand-in scorers."""
+    from orderlens.plans import ml_features as MF
+    from orderlens.plans import models as MD
+
+    check_years(years)
+    fact = S.orders_clean(spark, sf_dir)
+    weekly = S.serving(spark, sf_dir, "weekly_kpis")
+    if predictions == "learned":
+        ms = MD.fitted_models(spark, sf_dir)
+        forecast = MF.sales_forecast(MQ.weekly_frame(spark, sf_dir), ms["forecast"].score, ms["forecast"].name)
+        churn = MF.churn_risk(MQ.churn_frame(spark, sf_dir), ms["churn"].score)
+        demand = MF.demand_predictions(MQ.demand_frame(spark, sf_dir), ms["demand"].score)
+    elif predictions == "naive":
+        forecast = MQ.naive_sales_forecast(spark, sf_dir)
+        churn = MQ.naive_churn_risk(spark, sf_dir)
+        demand = MQ.naive_demand_predictions(spark, sf_dir)
+    else:
+        raise ValueError("predictions must be 'learned' or 'naive'")
+    if name == "executive_overview":
+        return {"cards": exec_cards(fact, weekly, years),
+                "weekly_revenue": weekly_series(weekly, years),
+                "revenue_by_segment": revenue_by(fact, "customer_segment", years),
+                "revenue_by_channel": revenue_by(fact, "sales_channel", years)}
+    if name == "weekly_kpi_tracking":
+        return {"cards": weekly_funnel_cards(fact, weekly, years),
+                "revenue_and_orders": weekly_series(weekly, years),
+                "new_vs_repeat": new_vs_repeat_series(weekly, years)}
+    if name == "product_category":
+        return {"revenue_by_category": revenue_by(fact, "product_category", years),
+                "latest_units": latest_units_by_category(demand),
+                "category_series": category_series(demand, category),
+                "top_products": top_products(slice_orders(fact, years), S.serving(spark, sf_dir, "dim_products"))}
+    if name == "customer_segment":
+        return {"cards": customer_cards(churn, S.serving(spark, sf_dir, "dim_customers")),
+                "segment_share": segment_share(fact, years),
+                "segment_table": segment_table_formatted(S.serving(spark, sf_dir, "segment_performance")),
+                "churn_scatter": churn_scatter(churn)}
+    if name == "predictive_insights":
+        return {"cards": forecast_cards(forecast, churn),
+                "forecast_line": forecast_line(forecast),
+                "risk_distribution": risk_distribution(spark, churn),
+                "latest_units": latest_units_by_category(demand)}
+    raise ValueError(f"unknown page {name!r}; pages: {', '.join(PAGES)}")

@@ -44,3 +44,15 @@ def test_segment_share_sums_to_one(frames):
     fact, _, years = frames
     rows = D.segment_share(fact, years=years).collect()
     assert sum(r.revenue_share for r in rows) == pytest.approx(1.0)
+
+
+def test_every_page_builds(spark, sf_dir):
+    for name in D.PAGES:
+        frames = D.page(spark, sf_dir, name, years=None, predictions="naive")
+        assert frames and all(df.columns for df in frames.values())
+    exec_page = D.page(spark, sf_dir, "executive_overview", years=[1997], predictions="naive")
+    assert exec_page["cards"].count() == 1
+    with pytest.raises(ValueError):
+        D.page(spark, sf_dir, "executive_overview", years=[], predictions="naive")
+    with pytest.raises(ValueError):
+        D.page(spark, sf_dir, "nope", predictions="naive")
