@@ -6,9 +6,10 @@
   hold-out, best = highest hold-out ROC-AUC;
 * demand: random forest on the category-week frame, random 20 % hold-out.
 
-Splits are deterministic hash splits (``xxhash64(key, seed)``): every row
-decides independently, so no window has to collect a whole class into one
-task; each label stratum gets the target share in expectation.
+Splits are exact and deterministic (``exact_split``): every class gets
+exactly ``ceil(share * n)`` test rows - those with the smallest
+``xxhash64(key, seed)`` - selected through a per-(class, bucket) histogram,
+so no window ever holds a whole class in one task.
 
 Tree-ensemble sizes default to the source model's values
 (``FOREST_TREES`` etc.).  The registered rows-only queries use them for the
@@ -31,7 +32,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlens.constants import (CHURN_FOREST_DEPTH, CHURN_FOREST_TREES, CHURN_TEST_SHARE,
@@ -49,6 +50,42 @@ from orderlens.session import ensure_checkpoint_dir
 QUERY_SIZES = {"forest_trees": FOREST_TREES, "gbt_iters": 30, "churn_forest_trees": CHURN_FOREST_TREES}
 
 
+def exact_split(df: DataFrame, key: str, share: float, seed: int = SEED,
+                strata: str | None = None, bucket_bits: int = 15) -> DataFrame:
+    """Adds ``is_test``: exactly ``ceil(share * n)`` rows of every stratum
+    (class) go to the test side - the rows with the smallest
+    ``xxhash64(key, seed)`` - chosen without ever putting a class in one task.
+
+    1. every row gets a 31-bit hash and its top ``bucket_bits`` bits as a bucket;
+    2. rows are counted per (stratum, bucket) - at most strata x 2^bits rows;
+    3. a running count over those buckets finds, per stratum, the bucket where
+       the k-th row lies and how many rows of it are needed (one row per
+       stratum, broadcast: bounded by the number of classes);
+    4. inside that bucket the rows are ranked by (hash, key) with a window
+       partitioned by (stratum, bucket): a uniform hash spreads even a hot
+       class over 2^bits partitions.
+    ``key`` must identify a row."""
+    shift = 31 - bucket_bits
+    h = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 31))
+    d = (df.withColumn("_h", h)
+         .withColumn("_b", F.shiftright(F.col("_h"), shift))
+         .withColumn("_s", F.col(strata) if strata else F.lit(0)))
+    counts = d.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    run = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    counts = (counts.withColumn("_cum", F.sum("_n").over(run))
+              .withColumn("_tot", F.sum("_n").over(Window.partitionBy("_s")))
+              .withColumn("_k", F.ceil(F.col("_tot") * F.lit(float(share)))))
+    cut = (counts.filter(F.col("_cum") >= F.col("_k"))
+           .groupBy("_s").agg(F.min_by(F.struct("_b", "_cum", "_n", "_k"), "_b").alias("c"))
+           .select("_s", F.col("c._b").alias("_cut_b"),
+                   (F.col("c._k") - (F.col("c._cum") - F.col("c._n"))).alias("_need")))
+    rank = F.row_number().over(Window.partitionBy("_s", "_b").orderBy("_h", key))
+    d = d.join(F.broadcast(cut), "_s", "left")
+    test = ((F.col("_b") < F.col("_cut_b"))
+            | ((F.col("_b") == F.col("_cut_b")) & (rank <= F.col("_need"))))
+    return d.withColumn("is_test", F.coalesce(test, F.lit(False))).drop("_h", "_b", "_s", "_cut_b", "_need")
+
+
 def hash_split(df: DataFrame, key, share: float, seed: int = SEED) -> DataFrame:
     """Adds ``is_test``: a deterministic per-row hash decision with
     probability ``share`` (stratification holds per label in expectation)."""
@@ -114,8 +151,8 @@ def train_forecast(weekly: DataFrame, forest_trees=FOREST_TREES, gbt_iters=GBT_I
 
 def train_churn(cust: DataFrame, forest_trees=CHURN_FOREST_TREES) -> Fitted:
     """ML5 / ML9 / ML10 / ML13: keep the higher hold-out ROC-AUC."""
-    data = hash_split(cust.withColumn("label", F.col("is_churned").cast("double")),
-                      F.col("customer_id"), CHURN_TEST_SHARE).cache()
+    data = exact_split(cust.withColumn("label", F.col("is_churned").cast("double")),
+                       "customer_id", CHURN_TEST_SHARE, strata="label").cache()
     train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
     n_train = max(train.count(), 1)
     cands = [
@@ -136,8 +173,8 @@ def train_churn(cust: DataFrame, forest_trees=CHURN_FOREST_TREES) -> Fitted:
 
 def train_demand(cat_wk: DataFrame, forest_trees=FOREST_TREES) -> Fitted:
     """ML6 / ML7 on the category-week frame."""
-    data = hash_split(cat_wk, F.concat_ws("|", "product_category", F.col("week_start").cast("string")),
-                      DEMAND_TEST_SHARE).cache()
+    keyed = cat_wk.withColumn("_key", F.concat_ws("|", "product_category", F.col("week_start").cast("string")))
+    data = exact_split(keyed, "_key", DEMAND_TEST_SHARE).drop("_key").cache()
     est = RandomForestRegressor(labelCol="units", numTrees=forest_trees, maxDepth=FOREST_DEPTH,
                                 featureSubsetStrategy="all", seed=SEED)
     fitted = Fitted("RandomForest", _pipeline(MF.DEMAND_FEATURES, est).fit(data.filter(~F.col("is_test"))),
