@@ -41,3 +41,18 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns[0] == "week_start"
+
+
+@pytest.mark.parametrize("name", ["weekly_kpis", "measures_total", "csv_landing_clean"])
+def test_results_do_not_depend_on_session_settings(spark, sf_dir, con, name):
+    """Same results with ANSI off and many shuffle partitions (a driver's session may differ)."""
+    conf = {"spark.sql.ansi.enabled": "false", "spark.sql.shuffle.partitions": "64"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        ok, msg = compare(entry.queries()[name](spark, sf_dir).toPandas(), con.execute(SQL[name]).df())
+        assert ok, msg
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
