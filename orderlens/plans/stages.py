@@ -118,7 +118,8 @@ SERVING_TABLES = ("weekly_kpis", "dim_customers", "dim_products", "segment_perfo
                   "forecast_features", "churn_features", "demand_features")
 
 
-def build_serving(spark: SparkSession, sf_dir: str, names=SERVING_TABLES, parallel: int = 4) -> None:
+def build_serving(spark: SparkSession, sf_dir: str, names=SERVING_TABLES,
+                  parallel: int = len(SERVING_TABLES)) -> None:
     """Write the serving tables concurrently: independent Spark jobs submitted
     from a small thread pool share the cluster instead of running one by one."""
     from concurrent.futures import ThreadPoolExecutor
