@@ -66,3 +66,18 @@ def test_coerce_matches_to_numeric(spark):
             assert g is None, v
         else:
             assert g == w, v
+
+
+def test_measure_formats_match_python_formatting(spark):
+    rng = np.random.default_rng(19)
+    x = np.concatenate([rng.normal(0, 1e6, 300), rng.normal(0, 1, 300), [0.0, -0.0, 0.005, -0.004]])
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    rows = df.select(E.fmt_measure("x", "#,0").alias("n"), E.fmt_measure("x", "£#,0.00").alias("c"),
+                     E.fmt_measure("x", "0.00%").alias("p"),
+                     E.fmt_measure("x", "+0.00%;-0.00%;0.00%").alias("s")).collect()
+    for v, r in zip(x, rows):
+        v0, v2, p2 = np.round(v, 0), np.round(v, 2), np.round(v * 100.0, 2)
+        assert r.n == f"{v0:,.0f}".replace("-0", "0") or r.n == f"{v0:,.0f}"
+        assert r.c == ("-" if v2 < 0 else "") + "£" + f"{abs(v2):,.2f}"
+        assert r.p == f"{p2:.2f}%"
+        assert r.s == ("0.00%" if p2 == 0 else f"{p2:+.2f}%")
