@@ -145,11 +145,18 @@ def load_bundle(spark: SparkSession, folder: str, names=("fact_orders", "weekly_
     return out
 
 
-def export_serving(tables: Mapping[str, DataFrame], folder: str) -> None:
-    """Write every computed serving table as CSV under ``folder/<name>``."""
-    for name, df in tables.items():
+def export_serving(tables: Mapping[str, DataFrame], folder: str, parallel: int = 4) -> None:
+    """Write every computed serving table as CSV under ``folder/<name>``; the
+    independent write jobs are submitted concurrently from a small pool."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def write(item):
+        name, df = item
         write_csv(conform(df, name), os.path.join(folder, name))
 
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        list(pool.map(write, tables.items()))
+
 
 def _dir_size(spark: SparkSession, path: str) -> int | None:
     jvm = spark.sparkContext._jvm
