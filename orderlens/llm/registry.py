@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orderlens.llm import shards
+from orderlens.llm import pii, shards
 
-MODULES = (shards,)
+MODULES = (shards, pii)
 
 
 def all_queries():
