@@ -122,7 +122,7 @@ def _sql() -> str:
     score = (lambda k: f"{SCORES[k]} + CASE WHEN regexp_matches({near}, '{NEAR_WORDS}') THEN {NEAR_POINTS} ELSE 0 END "
              f"- CASE WHEN regexp_matches({near}, '{FAR_WORDS}') THEN {FAR_POINTS} ELSE 0 END")
     lists = ",\n  ".join(
-        f"list_transform(list_filter({S.sql_spans(k, patterns[k], 't')}, lambda s: {valid[k]}), lambda s: "
+        f"list_transform(list_filter({S.sql_spans(k, f'm_{k}', f'g_{k}')}, lambda s: {valid[k]}), lambda s: "
         f"{{'label': '{k}:' || s.start || ':' || (s.start + length(s.match)), 'score': {score(k)}}}) AS s_{k}"
         for k in KINDS)
     counts = ", ".join(f"len(s_{k})::BIGINT AS n_{k}" for k in KINDS)
@@ -133,7 +133,7 @@ def _sql() -> str:
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 s AS (SELECT doc_id,
   {lists}
-FROM d)
+FROM (SELECT *, {S.sql_found(patterns, "t")} FROM d))
 SELECT doc_id, {counts}, sha256({text(base)}) AS base_sha256, {text(every)} AS spans,
   len(list_filter({every}, lambda s: s.score >= {MIN_SCORE}))::BIGINT AS n_confirmed,
   coalesce(list_max(list_transform({every}, lambda s: s.score)), 0)::BIGINT AS max_score

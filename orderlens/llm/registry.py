@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orderlens.llm import pii, shards
+from orderlens.llm import pii, secrets, shards
 
-MODULES = (shards, pii)
+MODULES = (shards, pii, secrets)
 
 
 def all_queries():

@@ -77,9 +77,14 @@ def span_text(spans: Column) -> Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def sql_spans(kind: str, pattern: str, text: str = "text") -> str:
+def sql_found(patterns: dict[str, str], text: str) -> str:
+    """DuckDB columns ``m_<kind>`` and ``g_<kind>``: matches and gaps."""
+    return ", ".join(f"regexp_extract_all({text}, '{p}') AS m_{k}, string_split_regex({text}, '{p}') AS g_{k}"
+                     for k, p in patterns.items())
+
+
+def sql_spans(kind: str, m: str, g: str) -> str:
     """DuckDB expression of the spans of a pattern (list of structs)."""
-    m, g = f"regexp_extract_all({text}, '{pattern}')", f"string_split_regex({text}, '{pattern}')"
     return (f"list_transform(range(1, len({m}) + 1), lambda i: {{'kind': '{kind}', 'match': {m}[i], "
             f"'start': (list_sum(list_transform({g}[1:i], lambda x: length(x))) "
             f"+ coalesce(list_sum(list_transform({m}[1:i - 1], lambda x: length(x))), 0))::BIGINT}})")
