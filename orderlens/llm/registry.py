@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orderlens.llm import pii, secrets, shards
+from orderlens.llm import bpe, pii, secrets, shards
 
-MODULES = (shards, pii, secrets)
+MODULES = (shards, pii, secrets, bpe)
 
 
 def all_queries():
