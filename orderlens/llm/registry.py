@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orderlens.llm import bpe, pii, secrets, shards
+from orderlens.llm import bpe, pii, secrets, shards, simhash
 
-MODULES = (shards, pii, secrets, bpe)
+MODULES = (shards, pii, secrets, bpe, simhash)
 
 
 def all_queries():
