@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orderlens.llm import bpe, pii, secrets, shards, simhash
+from orderlens.llm import bpe, pii, quality, secrets, shards, simhash
 
-MODULES = (shards, pii, secrets, bpe, simhash)
+MODULES = (quality, simhash, shards, secrets, pii, bpe)
 
 
 def all_queries():
