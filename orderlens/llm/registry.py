@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orderlens.llm import bpe, pii, quality, secrets, shards, simhash
+from orderlens.llm import bpe, decontaminate, pii, quality, secrets, shards, simhash, tokencount
 
-MODULES = (quality, simhash, shards, secrets, pii, bpe)
+MODULES = (quality, simhash, shards, decontaminate, secrets, tokencount, pii, bpe)
 
 
 def all_queries():
