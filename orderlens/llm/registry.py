@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orderlens.llm import bpe, decontaminate, kmers, pii, quality, secrets, shards, simhash, tokencount
+from orderlens.llm import bpe, decontaminate, kmers, pii, quality, secrets, shards, simhash, suffixes, tokencount
 
-MODULES = (quality, kmers, simhash, shards, decontaminate, secrets, tokencount, pii, bpe)
+MODULES = (quality, kmers, simhash, suffixes, shards, decontaminate, secrets, tokencount, pii, bpe)
 
 
 def all_queries():
