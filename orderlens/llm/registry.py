@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from orderlens.llm import bpe, decontaminate, kmers, pii, quality, secrets, shards, simhash, suffixes, tokencount
 
 MODULES = (quality, kmers, simhash, suffixes, shards, decontaminate, secrets, tokencount, pii, bpe)
 
 
 def all_queries():
-    return {name: fn for module in MODULES for name, fn in module.QUERIES.items()}
+    found = {name: fn for module in MODULES for name, fn in module.QUERIES.items()}
+    return found | {"pipeline": corpus_pipeline.run}
 
 
 def all_oracles():
