@@ -47,15 +47,25 @@ def clip_lower(x: ColumnOrName, low: float) -> Column:
     return F.when(c.isNotNull(), F.greatest(c, F.lit(float(low))))
 
 
-def exact_sum(x: ColumnOrName, scale: int = 10) -> Column:
-    """Order-independent sum of a DOUBLE column: each value is taken at
-    ``scale`` decimals and summed as DECIMAL, then returned as DOUBLE."""
-    return F.sum(_c(x).cast(f"decimal(38,{scale})")).cast("double")
+def exact_sum(x: ColumnOrName) -> Column:
+    """Order-independent sum of a DOUBLE column without cutting its values.
+
+    Whole parts are summed as DECIMAL(38,0) and the rest (below 1) as
+    DECIMAL(38,20): both sums are exact, so the result does not depend on the
+    order in which partitions merge, fractions of a cent count, and sums stay
+    clear of overflow up to 1e38."""
+    c = _c(x).cast("double")
+    rest = c % F.lit(1.0)
+    whole = F.sum((c - rest).cast("decimal(38,0)"))
+    part = F.sum(rest.cast("decimal(30,20)"))
+    carry = F.floor(part)
+    return ((whole + carry.cast("decimal(28,0)")).cast("double")
+            + (part - carry).cast("decimal(38,20)").cast("double"))
 
 
-def exact_avg(x: ColumnOrName, scale: int = 10) -> Column:
+def exact_avg(x: ColumnOrName) -> Column:
     c = _c(x)
-    return exact_sum(c, scale) / F.count(c)
+    return exact_sum(c) / F.count(c)
 
 
 def nullif_zero(x: ColumnOrName) -> Column:
@@ -150,27 +160,53 @@ def last_by(value: ColumnOrName, order: ColumnOrName) -> Column:
 # Display formats
 # ---------------------------------------------------------------------------
 
+def fixed(x: ColumnOrName, digits: int, plus: bool = False) -> Column:
+    """Fixed-point text of a DOUBLE, ``%.<digits>f`` as C prints it: the value
+    itself is rounded half-to-even, not its shortest decimal form (which is
+    what ``format_string`` rounds, half up).
+
+    ``x * 2 * 10^digits`` is split into a rounded product and its exact error
+    (the factor has few bits), so the comparison with the midpoint of two
+    neighbours is exact.  Missing prints as ``nan``; from 1e13 on there are no
+    two digits left to round and ``format_string`` is right."""
+    c = _c(x).cast("double")
+    a, scale = F.abs(c), 10 ** digits
+    twice = a * F.lit(2.0 * scale)
+    split = a * F.lit(134217729.0)
+    high = split - (split - a)
+    error = (high * F.lit(2.0 * scale) - twice) + (a - high) * F.lit(2.0 * scale)
+    n = F.floor(a * F.lit(float(scale)))
+    over = (twice - (2 * n + 1).cast("double")) + error
+    q = n + F.when(over > 0, 1).when(over == 0, n % 2).otherwise(0)
+    text = F.floor(q / scale).cast("string") if digits else q.cast("string")
+    if digits:
+        text = F.concat(text, F.lit("."), F.lpad((q % scale).cast("string"), digits, "0"))
+    sign = F.when(c.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit("+" if plus else ""))
+    flag = "+" if plus else ""
+    return (F.when(c.isNull(), F.lit("nan"))
+            .when(a < 1e13, F.concat(sign, text))
+            .otherwise(F.format_string(f"%{flag}.{digits}f", c)))
+
+
 def fmt_currency(x: ColumnOrName, symbol: str = "$") -> Column:
-    """``$1.23M`` / ``$4.56K`` / ``$7.89``.  The scaled value is rounded
-    half-to-even first, so formatting never re-rounds a tie."""
+    """``$1.23M`` / ``$4.56K`` / ``$7.89``; missing prints as ``$nan``."""
     c = _c(x).cast("double")
     return (
-        F.when(c >= 1_000_000, F.format_string(symbol + "%.2fM", rnd(c / F.lit(1_000_000.0), 2)))
-        .when(c >= 1_000, F.format_string(symbol + "%.2fK", rnd(c / F.lit(1_000.0), 2)))
-        .otherwise(F.format_string(symbol + "%.2f", rnd(c, 2)))
+        F.when(c >= 1_000_000, F.concat(F.lit(symbol), fixed(c / F.lit(1_000_000.0), 2), F.lit("M")))
+        .when(c >= 1_000, F.concat(F.lit(symbol), fixed(c / F.lit(1_000.0), 2), F.lit("K")))
+        .otherwise(F.concat(F.lit(symbol), fixed(c, 2)))
     )
 
 
 def fmt_pct(x: ColumnOrName, digits: int = 2) -> Column:
-    """Fraction shown as percent: 0.1234 -> ``12.34%``."""
-    return F.format_string(f"%.{digits}f%%", rnd(_c(x).cast("double") * F.lit(100.0), digits))
+    """Fraction shown as percent: 0.1234 -> ``12.34%``; missing is ``nan%``."""
+    return F.concat(fixed(_c(x).cast("double") * F.lit(100.0), digits), F.lit("%"))
 
 
 def fmt_signed_pct(x: ColumnOrName, digits: int = 2, suffix: str = "") -> Column:
     """Signed percent, ``+1.23%`` / ``-4.56%``; NULL stays NULL."""
     c = _c(x).cast("double")
-    return F.when(c.isNotNull(),
-                  F.format_string(f"%+.{digits}f%%{suffix}", rnd(c * F.lit(100.0), digits)))
+    return F.when(c.isNotNull(), F.concat(fixed(c * F.lit(100.0), digits, plus=True), F.lit("%" + suffix)))
 
 
 def fmt_thousands(x: ColumnOrName) -> Column:

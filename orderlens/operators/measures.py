@@ -8,7 +8,7 @@ computes every requested measure in a single aggregation pass.  Ratios are
 
 Tables the measures read:
 
-* ``star``     - order lines with ``is_repeat_customer`` from dim_customers (JN7/JN8)
+* ``star``     - order lines related to dim_customers (JN7/JN8)
 * ``weekly``   - the weekly KPI mart
 * ``forecast`` - the sales-forecast table
 * ``churn``    - the churn-risk table
@@ -32,7 +32,7 @@ from orderlens.functions import exprs as E
 class Measure:
     name: str
     table: str
-    build: Callable[[], Column]
+    build: Callable[[], Column] | None
     fmt: str = ""
     doc: str = ""
     # two-level form: level-1 aggregate per (keys, DISTINCT_KEY) and its merge
@@ -40,10 +40,6 @@ class Measure:
     merge: Callable[[str], Column] | None = None
 
 
-# money measures of the forecast table are summed at cent precision: exact,
-# and independent of partition merge order
-MONEY_SCALE = 2
-
 # the column every distinct-count measure of the star counts
 DISTINCT_KEY = "customer_id"
 
@@ -88,7 +84,7 @@ def _derived(name, build, needs):
 _base("total_revenue", "star", lambda: _sum_completed("revenue").cast("double"), "currency", "ME1",
       lambda: _sum_completed("revenue"), _sum_merge("double"))
 _base("total_orders", "star", lambda: F.count_if(_done()), "#,0", "ME2",
-      lambda: F.count_if(_done()), _sum_merge())
+      lambda: F.count_if(_done()), lambda c: F.coalesce(F.sum(c), F.lit(0)))
 _base("units_sold", "star", lambda: _sum_completed("quantity"), "#,0", "ME4",
       lambda: _sum_completed("quantity"), _sum_merge())
 _base("gross_margin", "star", lambda: _sum_completed("margin").cast("double"), "currency", "ME5",
@@ -96,10 +92,8 @@ _base("gross_margin", "star", lambda: _sum_completed("margin").cast("double"), "
 _base("active_customers", "star",
       lambda: F.count_distinct(F.when(_done(), F.col("customer_id"))), "#,0", "ME7",
       _flag(_done), _count_flags)
-_repeat = (lambda: _done() & F.coalesce(F.col("is_repeat_customer"), F.lit(False)))
-_base("repeat_customers", "star",
-      lambda: F.count_distinct(F.when(_repeat(), F.col("customer_id"))), "#,0",
-      "ME9 (distinct completed buyers flagged repeat)", _flag(_repeat), _count_flags)
+_base("repeat_customers", "star", None, "#,0", "ME9 (distinct completed buyers flagged repeat)",
+      _flag(_done), lambda c: F.count_if(F.col(c) & F.coalesce(F.col("is_repeat_customer"), F.lit(False))))
 _base("_sum_completed_orders", "star", lambda: F.sum("completed_orders"), "", "",
       lambda: F.sum("completed_orders"), _sum_merge())
 _base("_sum_visits", "star", lambda: F.sum("visits"), "", "", lambda: F.sum("visits"), _sum_merge())
@@ -130,17 +124,17 @@ _base("increasing_demand_categories", "demand",
       lambda: F.count_distinct(F.when(F.col("demand_trend") == "Increasing", F.col("product_category"))),
       "#,0", "ME19")
 _base("predicted_revenue", "forecast",
-      lambda: E.exact_sum(F.when(F.col("is_future"), F.col("predicted_revenue")), MONEY_SCALE), "currency",
+      lambda: E.exact_sum(F.when(F.col("is_future"), F.col("predicted_revenue"))), "currency",
       "ME15 (plan: future rows only)")
 _base("predicted_revenue_model", "forecast",
-      lambda: E.exact_sum(F.when(F.col("predicted_revenue").isNotNull(), F.col("predicted_revenue")), MONEY_SCALE),
+      lambda: E.exact_sum(F.when(F.col("predicted_revenue").isNotNull(), F.col("predicted_revenue"))),
       "currency", "ME15 (model: every non-blank prediction)")
 _base("_abs_err_actual", "forecast",
-      lambda: E.exact_sum(F.when(~F.col("is_future"), F.abs(F.col("prediction_error"))), MONEY_SCALE))
+      lambda: E.exact_sum(F.when(~F.col("is_future"), F.abs(F.col("prediction_error")))))
 _base("_actual_actual", "forecast",
-      lambda: E.exact_sum(F.when(~F.col("is_future"), F.col("actual_revenue")), MONEY_SCALE))
-_base("_sum_err", "forecast", lambda: E.exact_sum("prediction_error", MONEY_SCALE))
-_base("_sum_actual", "forecast", lambda: E.exact_sum("actual_revenue", MONEY_SCALE))
+      lambda: E.exact_sum(F.when(~F.col("is_future"), F.col("actual_revenue"))))
+_base("_sum_err", "forecast", lambda: E.exact_sum("prediction_error"))
+_base("_sum_actual", "forecast", lambda: E.exact_sum("actual_revenue"))
 _derived("forecast_error_pct", lambda: E.safe_div("_abs_err_actual", "_actual_actual"),
          ["_abs_err_actual", "_actual_actual"])
 _derived("forecast_error_pct_model", lambda: E.safe_div(F.abs(F.col("_sum_err")), "_sum_actual"),
@@ -151,9 +145,21 @@ STAR_MEASURES = ("total_revenue", "total_orders", "average_order_value", "units_
                  "conversion_rate", "cart_abandonment_rate")
 
 
-def star(fact: DataFrame, dim_customers: DataFrame) -> DataFrame:
-    """JN7 / JN8: order lines with the related customer's repeat flag."""
-    return fact.join(dim_customers.select("customer_id", "is_repeat_customer"), "customer_id", "left")
+@dataclass(frozen=True)
+class Star:
+    """The fact with its relation to dim_customers (JN7 / JN8).  The relation is
+    followed after the fact has been reduced to a row per (slicers, customer),
+    so order lines never cross the customer join."""
+    fact: DataFrame
+    customers: DataFrame
+
+    def filter(self, where: Column) -> Star:
+        return Star(self.fact.filter(where), self.customers)
+
+
+def star(fact: DataFrame, dim_customers: DataFrame) -> Star:
+    """JN7 / JN8: order lines related to the customer's repeat flag."""
+    return Star(fact, dim_customers.select(DISTINCT_KEY, "is_repeat_customer"))
 
 
 def _expand(names: Sequence[str]) -> tuple[list[str], list[str]]:
@@ -176,41 +182,37 @@ def _expand(names: Sequence[str]) -> tuple[list[str], list[str]]:
     return base, derived
 
 
-def _two_level(names: Sequence[str]) -> bool:
-    """Use the two-level plan when several distinct counts are requested and
-    every base measure can be decomposed."""
-    ms = [BASE[n] for n in names]
-    n_distinct = sum(1 for m in ms if m.merge is _count_flags)
-    return n_distinct >= 2 and all(m.partial is not None for m in ms)
+def _evaluate_star(star: Star, base: Sequence[str], by: list[str]) -> DataFrame:
+    """Two levels: a partial aggregate per (slicers, customer), combined on the
+    map side, so a hot customer collapses before the shuffle; the customer's
+    flag joins those rows; a merge per slicer value, in which each distinct
+    count is a count of flags (no ``Expand``)."""
+    rows = star.fact.groupBy(*by, DISTINCT_KEY).agg(*[BASE[n].partial().alias(n) for n in base])
+    if "repeat_customers" in base:
+        rows = rows.join(star.customers, DISTINCT_KEY, "left")
+    aggs = [BASE[n].merge(n).alias(n) for n in base]
+    return rows.groupBy(*by).agg(*aggs) if by else rows.agg(*aggs)
 
 
-def evaluate(df: DataFrame, names: Sequence[str], by: Sequence[str] = (),
+def evaluate(table: DataFrame | Star, names: Sequence[str], by: Sequence[str] = (),
              where: Column | None = None) -> DataFrame:
-    """Evaluate measures of one table in one aggregation pass.
-
-    Several conditional distinct counts over the same key would make Spark
-    plan an ``Expand`` (every input row copied once per distinct aggregate
-    before the shuffle).  Instead the star measures are computed in two
-    levels: a partial aggregate per (slicer keys, customer) - combined
-    map-side, so a hot customer collapses before the shuffle - then a merge
-    per slicer key, where each distinct count is a count of flags."""
+    """Evaluate measures of one table in one aggregation pass over it; star
+    measures take a ``Star`` and filters and slicers of its fact."""
     base, derived = _expand(names)
     if where is not None:
-        df = df.filter(where)
+        table = table.filter(where)
     by = list(by)
-    if _two_level(base):
-        lvl1 = df.groupBy(*by, DISTINCT_KEY).agg(*[BASE[n].partial().alias(n) for n in base])
-        aggs = [BASE[n].merge(n).alias(n) for n in base]
-        out = lvl1.groupBy(*by).agg(*aggs) if by else lvl1.agg(*aggs)
+    if isinstance(table, Star):
+        out = _evaluate_star(table, base, by)
     else:
         aggs = [BASE[n].build().alias(n) for n in base]
-        out = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+        out = table.groupBy(*by).agg(*aggs) if by else table.agg(*aggs)
     for n in derived:
         out = out.withColumn(n, DERIVED[n][0]())
     return out.select(*by, *names)
 
 
-def evaluate_scalar(df: DataFrame, name: str, where: Column | None = None) -> Column:
+def evaluate_scalar(df: DataFrame | Star, name: str, where: Column | None = None) -> Column:
     """One measure over a whole table as a scalar-subquery Column, for
     combining measures of different tables in one row."""
     return evaluate(df, [name], where=where).scalar()

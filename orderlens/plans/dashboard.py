@@ -203,9 +203,9 @@ def forecast_cards(forecast: DataFrame, churn: DataFrame) -> DataFrame:
     high = c.select("h").scalar()
     rate = c.select(E.ratio("h", "n")).scalar()
     f = forecast.agg(
-        E.exact_sum(F.when(F.col("is_future"), F.col("predicted_revenue")), 2).alias("_pred"),
-        E.exact_sum(F.when(~F.col("is_future"), F.abs("prediction_error")), 2).alias("_abs"),
-        E.exact_sum(F.when(~F.col("is_future"), F.col("actual_revenue")), 2).alias("_act"))
+        E.exact_sum(F.when(F.col("is_future"), F.col("predicted_revenue"))).alias("_pred"),
+        E.exact_sum(F.when(~F.col("is_future"), F.abs("prediction_error"))).alias("_abs"),
+        E.exact_sum(F.when(~F.col("is_future"), F.col("actual_revenue"))).alias("_act"))
     out = f.select(F.coalesce("_pred", F.lit(0.0)).alias("predicted_revenue_next"),
                    E.safe_div("_abs", "_act").alias("forecast_error_pct"),
                    high.alias("high_risk_customers"), rate.alias("churn_rate"))
@@ -276,17 +276,17 @@ def dsql(select: str, extra: str = "") -> str:
 
 
 def f_cur(x: str) -> str:
-    return (f"(CASE WHEN {x} >= 1000000 THEN printf('$%.2fM', {O.rnd(f'{x} / 1000000.0', 2)}) "
-            f"WHEN {x} >= 1000 THEN printf('$%.2fK', {O.rnd(f'{x} / 1000.0', 2)}) "
-            f"ELSE printf('$%.2f', {O.rnd(x, 2)}) END)")
+    """The raw value under ``printf``; a missing one prints as nan."""
+    return (f"(CASE WHEN {x} IS NULL THEN '$nan' WHEN {x} >= 1000000 THEN printf('$%.2fM', {x} / 1000000.0) "
+            f"WHEN {x} >= 1000 THEN printf('$%.2fK', {x} / 1000.0) ELSE printf('$%.2f', CAST({x} AS DOUBLE)) END)")
 
 
 def f_pct(x: str, d: int = 2) -> str:
-    return f"printf('%.{d}f%%', {O.rnd(f'{x} * 100.0', d)})"
+    return f"(CASE WHEN {x} IS NULL THEN 'nan%' ELSE printf('%.{d}f%%', {x} * 100.0) END)"
 
 
 def f_signed(x: str, d: int, suffix: str) -> str:
-    return f"(CASE WHEN {x} IS NOT NULL THEN printf('%+.{d}f%%{suffix}', {O.rnd(f'{x} * 100.0', d)}) END)"
+    return f"(CASE WHEN {x} IS NOT NULL THEN printf('%+.{d}f%%{suffix}', {x} * 100.0) END)"
 
 
 def f_thou(x: str) -> str:
@@ -441,20 +441,15 @@ def q_churn_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return churn_scatter(MQ.naive_churn_risk(spark, sf_dir))
 
 
-def _xsum(expr: str) -> str:
-    """Cent-precision money sum (matches ``exprs.exact_sum(x, 2)``)."""
-    return f"CAST(sum(CAST(({expr}) AS DECIMAL(38,2))) AS DOUBLE)"
-
-
 @register("forecast_cards", dsql(f"""
 SELECT predicted_revenue_next, forecast_error_pct, high_risk_customers, churn_rate,
        {f_cur('predicted_revenue_next')} AS predicted_display,
        {f_pct('forecast_error_pct')} AS error_display,
        printf('%.0f%% of customer base', {O.rnd('churn_rate * 100.0', 0)}) AS churn_delta
 FROM (
-  SELECT COALESCE({_xsum('CASE WHEN is_future THEN predicted_revenue END')}, 0.0) AS predicted_revenue_next,
-         COALESCE({O.ratio(_xsum('CASE WHEN NOT is_future THEN abs(prediction_error) END'),
-                           _xsum('CASE WHEN NOT is_future THEN actual_revenue END'))}, 0.0) AS forecast_error_pct,
+  SELECT COALESCE({O.binary_sum('CASE WHEN is_future THEN predicted_revenue END')}, 0.0) AS predicted_revenue_next,
+         COALESCE({O.ratio(O.binary_sum('CASE WHEN NOT is_future THEN abs(prediction_error) END'),
+                           O.binary_sum('CASE WHEN NOT is_future THEN actual_revenue END'))}, 0.0) AS forecast_error_pct,
          (SELECT CAST(count_if(risk_level = 'High') AS BIGINT) FROM cr) AS high_risk_customers,
          (SELECT {O.ratio("count_if(risk_level = 'High')", 'count(*)')} FROM cr) AS churn_rate
   FROM sf

@@ -16,7 +16,7 @@ from orderlens.plans import stages as S
 from orderlens.plans.catalog import register
 
 
-def star_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+def star_frame(spark: SparkSession, sf_dir: str) -> ME.Star:
     return ME.star(S.orders_clean(spark, sf_dir), dim_customers_frame(spark, sf_dir))
 
 
@@ -192,23 +192,47 @@ def q_wow_last_nonblank(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _xsum(expr: str, scale: int = 10) -> str:
-    return f"CAST(sum(CAST(({expr}) AS DECIMAL(38,{scale}))) AS DOUBLE)"
+def _xavg(col: str) -> str:
+    return O.rnd(f"(fsum(CAST({col} AS DOUBLE)) / count({col}))", 10)
 
 
-@register("forecast_measures", msql(f"""
-SELECT {_xsum('CASE WHEN is_future THEN predicted_revenue END', 2)} AS predicted_revenue,
-       {_xsum('CASE WHEN predicted_revenue IS NOT NULL THEN predicted_revenue END', 2)} AS predicted_revenue_model,
-       COALESCE({_xsum('CASE WHEN NOT is_future THEN abs(prediction_error) END', 2)}
-                / NULLIF({_xsum('CASE WHEN NOT is_future THEN actual_revenue END', 2)}, 0), 0.0) AS forecast_error_pct,
-       COALESCE(abs({_xsum('prediction_error', 2)}) / NULLIF({_xsum('actual_revenue', 2)}, 0), 0.0)
-           AS forecast_error_pct_model
-FROM sf"""))
+FORECAST_MEASURES = ("predicted_revenue", "predicted_revenue_model", "forecast_error_pct", "forecast_error_pct_model")
+
+
+def _forecast_sql(source: str) -> str:
+    """The forecast measures of a table, from uncut values."""
+    parts = {
+        "predicted_revenue": O.binary_sum("CASE WHEN is_future THEN predicted_revenue END"),
+        "predicted_revenue_model": O.binary_sum("predicted_revenue"),
+        "forecast_error_pct":
+            f"COALESCE({O.binary_sum('CASE WHEN NOT is_future THEN abs(prediction_error) END')} "
+            f"/ NULLIF({O.binary_sum('CASE WHEN NOT is_future THEN actual_revenue END')}, 0), 0.0)",
+        "forecast_error_pct_model":
+            f"COALESCE(abs({O.binary_sum('prediction_error')}) / NULLIF({O.binary_sum('actual_revenue')}, 0), 0.0)",
+    }
+    return "SELECT " + ", ".join(f"{O.rnd(sql, 6)} AS {name}" for name, sql in parts.items()) + f" FROM {source}"
+
+
+def _forecast_measures(forecast: DataFrame) -> DataFrame:
+    out = ME.evaluate(forecast, FORECAST_MEASURES)
+    return out.select(*[E.rnd(c, 6).alias(c) for c in FORECAST_MEASURES])
+
+
+@register("forecast_measures", msql(_forecast_sql("sf")))
 def q_forecast_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ME15 / ME16 in both definitions (AG16 iterator sum of |error|)."""
-    return ME.evaluate(MQ.naive_sales_forecast(spark, sf_dir),
-                       ["predicted_revenue", "predicted_revenue_model",
-                        "forecast_error_pct", "forecast_error_pct_model"])
+    """ME15 / ME16 in both definitions (AG16 iterator sum of |error|), 6 dp."""
+    return _forecast_measures(MQ.naive_sales_forecast(spark, sf_dir))
+
+
+@register("forecast_measures_fractional", msql(_forecast_sql(
+    "(SELECT is_future, actual_revenue, predicted_revenue / 7.0 AS predicted_revenue, "
+    "actual_revenue - predicted_revenue / 7.0 AS prediction_error FROM sf)")))
+def q_forecast_measures_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on a scorer whose predictions are no whole cents."""
+    forecast = MQ.naive_sales_forecast(spark, sf_dir).withColumn(
+        "predicted_revenue", F.col("predicted_revenue") / F.lit(7.0))
+    return _forecast_measures(forecast.withColumn(
+        "prediction_error", F.col("actual_revenue") - F.col("predicted_revenue")))
 
 
 # AG22: default summarization per fact column (fixed values of the model)
@@ -221,18 +245,18 @@ DEFAULT_SUMMARIZATION = {
 
 @register("default_summaries", msql(f"""
 SELECT CAST(sum(quantity) AS BIGINT) AS sum_quantity,
-       {_xsum('discount')} / count(discount) AS avg_discount,
+       {_xavg('discount')} AS avg_discount,
        CAST(sum(revenue) AS DOUBLE) AS sum_revenue,
        CAST(sum(margin) AS DOUBLE) AS sum_margin,
        CAST(sum(visits) AS BIGINT) AS sum_visits,
        CAST(sum(cart_additions) AS BIGINT) AS sum_cart_additions,
        CAST(sum(completed_orders) AS BIGINT) AS sum_completed_orders,
-       {_xsum('conversion_rate')} / count(conversion_rate) AS avg_conversion_rate,
-       {_xsum('cart_abandonment_rate')} / count(cart_abandonment_rate) AS avg_cart_abandonment_rate
+       {_xavg('conversion_rate')} AS avg_conversion_rate,
+       {_xavg('cart_abandonment_rate')} AS avg_cart_abandonment_rate
 FROM cl"""))
 def q_default_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG22: each numeric fact column under its default summarization (an
-    average of per-row ratios, which is not the ratio of sums)."""
+    average of per-row ratios, which is not the ratio of sums), averages at 10 dp."""
     fact = S.orders_clean(spark, sf_dir)
     aggs = []
     for col, how in DEFAULT_SUMMARIZATION.items():
@@ -242,7 +266,7 @@ def q_default_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
                 c = c.cast("double")
             aggs.append(c.alias(f"sum_{col}"))
         else:
-            aggs.append(E.exact_avg(col).alias(f"avg_{col}"))
+            aggs.append(E.rnd(E.exact_avg(col), 10).alias(f"avg_{col}"))
     return fact.agg(*aggs)
 
 

@@ -7,12 +7,13 @@ Every metric is a distributed aggregate over a (label, prediction) frame:
   F1 (0 on zero division) and ROC-AUC with ties counted one half.
 
 ROC-AUC needs, for every positive, the number of negatives with a lower
-score.  Scores are first aggregated per distinct value, then placed in a
-fixed number of equal-width buckets over [0, 1]: a window *inside* each
-bucket gives the within-bucket running count and a window over the bucket
-totals (at most ``AUC_BUCKETS + 1`` rows, broadcast) gives the offset of
-the bucket.  No step gathers all scores into one task.  The result is exact
-(integer counts; only the final ratio is a DOUBLE).
+score.  Scores are first aggregated per distinct value, then range-partitioned
+by score: Spark samples the distinct scores, so the ranges hold about equally
+many of them wherever the scores lie (near 0 and 1, or in one narrow band).  A
+window inside each range counts the negatives below, and the totals of the
+ranges before it (one row per partition) are added.  No step gathers all scores
+into one task.  The result is exact (integer counts; only the final ratio is a
+DOUBLE) and does not depend on where the ranges are cut.
 
 Sums of DOUBLE errors go through ``exact_sum`` so results do not depend on
 the order partitions are merged in.
@@ -25,9 +26,7 @@ from pyspark.sql import functions as F
 
 from orderlens.constants import CLASS_THRESHOLD
 from orderlens.functions import exprs as E
-
-AUC_BUCKETS = 65536
-
+from orderlens.plans.stages import materialize_frame
 
 def regression_metrics(df: DataFrame, label: str, pred: str, mape: bool = True) -> DataFrame:
     """One row: mae, rmse (and mape_pct)."""
@@ -40,6 +39,11 @@ def regression_metrics(df: DataFrame, label: str, pred: str, mape: bool = True)
     return df.agg(*aggs)
 
 
+def ranged(per: DataFrame) -> DataFrame:
+    """Distinct scores with the number ``r`` of their score range."""
+    return per.repartitionByRange("s").withColumn("r", F.spark_partition_id())
+
+
 def _roc_auc_parts(df: DataFrame, label: str, score: str) -> DataFrame:
     """One row: ``auc_num`` (2 x sum over positives of lower negatives +
     half ties, as an integer), positives, negatives."""
@@ -47,18 +51,16 @@ def _roc_auc_parts(df: DataFrame, label: str, score: str) -> DataFrame:
     per = (df.filter(F.col(score).isNotNull())
            .groupBy(F.col(score).cast("double").alias("s"))
            .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
-    bucket = F.least(F.greatest(F.floor(F.col("s") * AUC_BUCKETS), F.lit(0)), F.lit(AUC_BUCKETS))
-    per = per.withColumn("b", bucket.cast("int"))
-    offsets = (per.groupBy("b").agg(F.sum("neg").alias("neg_b"))
-               .withColumn("neg_before_b",
-                           F.coalesce(F.sum("neg_b").over(
-                               Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .select("b", "neg_before_b"))
+    # one write of the ranged scores: the totals and the ranks must see the same cut
+    per = materialize_frame(ranged(per), "auc-scores")
+    before = F.sum("neg_r").over(Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1))
+    # one row per range, at most ``spark.sql.shuffle.partitions`` of them
+    offsets = (per.groupBy("r").agg(F.sum("neg").alias("neg_r"))
+               .select("r", F.coalesce(before, F.lit(0)).alias("neg_before")))
     within = F.coalesce(F.sum("neg").over(
-        Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = (per.withColumn("neg_within", within)
-              .join(F.broadcast(offsets), "b", "inner")
-              .withColumn("neg_below", F.col("neg_before_b") + F.col("neg_within")))
+        Window.partitionBy("r").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = (per.withColumn("neg_within", within).join(F.broadcast(offsets), "r", "inner")
+              .withColumn("neg_below", F.col("neg_before") + F.col("neg_within")))
     return ranked.agg(
         F.sum(F.col("pos").cast("decimal(38,0)") * F.col("neg_below") * 2
               + F.col("pos").cast("decimal(38,0)") * F.col("neg")).alias("auc_num"),

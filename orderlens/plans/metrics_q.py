@@ -14,7 +14,7 @@ from orderlens.plans.catalog import register
 
 
 def _xavg(expr: str) -> str:
-    return f"(CAST(sum(CAST(({expr}) AS DECIMAL(38,10))) AS DOUBLE) / count({expr}))"
+    return f"(fsum({expr}) / count({expr}))"
 
 
 def _reg_sql(y: str, p: str, src: str, mape: bool = True) -> str:

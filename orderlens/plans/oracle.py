@@ -189,3 +189,8 @@ SELECT {dim},
        {rnd(ratio('CAST(_rev AS DOUBLE)', '(SELECT CAST(sum(revenue) AS DOUBLE) FROM comp WHERE ' + dim + ' IS NOT NULL)'), 4)}
            AS revenue_share
 FROM g ORDER BY total_revenue DESC, {dim}""", f"g AS ({group_sums(dim)})")
+
+
+def binary_sum(expr: str) -> str:
+    """Sum of DOUBLE values as integers of 2^-40, rounded once at the end."""
+    return f"(CAST(sum(CAST(({expr}) * 1099511627776.0 AS HUGEINT)) AS DOUBLE) / 1099511627776.0)"

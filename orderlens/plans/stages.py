@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,6 +71,13 @@ def materialize(spark: SparkSession, sf_dir: str, name: str, build,
     return out.select(*schema.fieldNames())
 
 
+def materialize_frame(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate frame once to the shared folder and read it back."""
+    path = os.path.join(ensure_checkpoint_dir(df.sparkSession), "orderlens-frames", f"{label}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clean_orders_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lazy plan of the clean fact: adapter (CL1 at line grain) -> CL2-CL8 ->
     MT3 funnel columns (row-local, so they ride along for free)."""

@@ -44,7 +44,7 @@ def test_display_formats(spark):
                                "v double, p double, w double, n double")
     rows = df.select(E.fmt_currency("v").alias("c"), E.fmt_pct("p").alias("p"),
                      E.fmt_signed_pct("w", 1, " WoW").alias("w"), E.fmt_thousands("n").alias("n")).collect()
-    assert rows[0].c == "$1.23M" and rows[0].p == "12.34%" and rows[0].w == "+5.7% WoW" and rows[0].n == "1,234"
+    assert rows[0].c == "$1.23M" and rows[0].p == "12.35%" and rows[0].w == "+5.7% WoW" and rows[0].n == "1,234"
     assert rows[1].c == "$999.99" and rows[1].w == "-25.0% WoW"
 
 
@@ -52,3 +52,25 @@ def test_first_by_skips_missing(spark):
     df = spark.createDataFrame([("a", None, 1), ("a", "x", 2), ("a", "y", 3)], "k string, v string, o int")
     assert df.groupBy("k").agg(E.first_by("v", "o").alias("f"), E.last_by("v", "o").alias("l")).first() \
         .asDict() == {"k": "a", "f": "x", "l": "y"}
+
+
+def test_display_formats_round_the_value_itself(spark):
+    """fmt_currency and fmt_pct print what C prints for the unrounded number."""
+    import random
+    random.seed(9)
+    values = [1115.0, 1145.0, 2675.0, 0.125, 0.375, 1.005, 2.675, -1115.0, -0.0, 0.0, 999.995, 999999.995, 1e13 + 0.5]
+    values += [round(random.uniform(0, 10 ** random.randint(0, 9)), random.randint(0, 4)) for _ in range(3000)]
+    values += [(2 * random.randint(0, 10 ** 6) + 1) / 200 for _ in range(1000)]
+
+    def money(v):
+        if v >= 1_000_000:
+            return f"${v / 1_000_000:.2f}M"
+        return f"${v / 1_000:.2f}K" if v >= 1_000 else f"${v:.2f}"
+
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for r in df.select("v", E.fmt_currency("v").alias("c"), E.fmt_pct("v").alias("p"),
+                       E.fmt_signed_pct("v", 1, " WoW").alias("w")).collect():
+        assert (r.c, r.p, r.w) == (money(r.v), f"{r.v * 100:.2f}%", f"{r.v * 100:+.1f}% WoW")
+    r = spark.sql("SELECT CAST(NULL AS DOUBLE) v").select(
+        E.fmt_currency("v").alias("c"), E.fmt_pct("v").alias("p"), E.fmt_signed_pct("v").alias("w")).first()
+    assert (r.c, r.p, r.w) == ("$nan", "nan%", None)

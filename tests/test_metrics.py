@@ -41,3 +41,41 @@ def test_regression_metrics(spark):
     assert got.mae == pytest.approx(np.abs(y - p).mean())
     assert got.rmse == pytest.approx(np.sqrt(((y - p) ** 2).mean()))
     assert got.mape_pct == pytest.approx((np.abs(y - p) / np.clip(y, 1, None)).mean() * 100)
+
+
+def test_scores_near_0_and_1_spread_over_the_ranges(spark):
+    """A leaking label puts all scores within 1e-6 of 0 and 1; the ranges that
+    are sorted still hold about equally many."""
+    rng = np.random.default_rng(4)
+    n = 4000
+    y = rng.integers(0, 2, n)
+    s = np.where(y == 1, 1 - 1e-6 * rng.random(n), 1e-6 * rng.random(n))
+    s[:40] = 1 - s[:40]
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)], "y long, s double")
+    assert MT.classification_metrics(df, "y", "s").first().roc_auc == pytest.approx(_auc_brute(y, s), abs=1e-12)
+    per = df.groupBy("s").count().repartition(16)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in MT.ranged(per).groupBy("r").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert len(sizes) == 8 and max(sizes) < 3 * n / 8
+
+
+def test_huge_errors_do_not_overflow(spark):
+    df = spark.createDataFrame([(1e14 + i, float(i)) for i in range(400)], "y double, p double")
+    got = MT.regression_metrics(df, "y", "p").first()
+    assert got.mae == 1e14 and got.rmse == 1e14
+
+
+def test_sums_keep_fractions_of_a_cent(spark):
+    from orderlens.functions import exprs as E
+    df = spark.createDataFrame([(0.004,)] * 300 + [(None,)], "v double").repartition(7)
+    assert df.agg(E.exact_sum("v").alias("s")).first().s == pytest.approx(1.2, rel=1e-15)
+    import math
+    import random
+    random.seed(1)
+    values = [random.uniform(-1, 1) * 10 ** random.randint(-9, 12) for _ in range(2000)]
+    got = spark.createDataFrame([(v,) for v in values], "v double").agg(E.exact_sum("v").alias("s")).first().s
+    assert got == pytest.approx(math.fsum(values), rel=1e-14)

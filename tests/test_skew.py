@@ -19,32 +19,28 @@ def _fact(spark, n=6000, hot_share=3):
               "completed_orders int").withColumn("margin", F.col("revenue") * 0.3)
 
 
-def test_star_join_splits_hot_customer(spark):
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    old = {k: spark.conf.get(k, None) for k in conf}
+def test_star_measures_reduce_lines_before_the_customer_join(spark):
+    """No order line crosses the customer join: what it reads is at most a row
+    per (slicers, customer), however many lines the hot customer has."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
         fact = _fact(spark).repartition(8)
         dim = spark.createDataFrame([("HOT", True)] + [(f"C{i}", i % 2 == 0) for i in range(200)],
                                     "customer_id string, is_repeat_customer boolean")
-        star = ME.star(fact, dim)
-        out = star.groupBy("order_date").agg(F.count_if(F.col("is_repeat_customer")).alias("rep"),
-                                             F.count(F.lit(1)).alias("n"))
-        rows = out.collect()
-        assert sum(r.rep for r in rows) == 2000 + 2000 and sum(r.n for r in rows) == 6000
-        final = out._jdf.queryExecution().executedPlan().toString()
-        assert "isSkewJoin=true" in final or "skew=true" in final
+        for by in ([], ["customer_segment"]):
+            out = ME.evaluate(ME.star(fact, dim), ["total_revenue", "total_orders", "active_customers",
+                                                   "repeat_customers"], by=by)
+            row = out.first()
+            assert (row.total_orders, row.active_customers, row.repeat_customers) == (6000, 201, 101)
+            plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+            depth = [len(x) - len(x.lstrip(" :+-")) for x in plan]
+            join = next(i for i, x in enumerate(plan) if "Join LeftOuter" in x)
+            left = next(i for i in range(join + 1, len(plan)) if "Aggregate" in plan[i])
+            assert depth[left] > depth[join] and "customer_id" in plan[left]
+            assert not any("Expand" in x for x in plan)
     finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_dedup_with_hot_group_of_copies(spark):
