@@ -90,19 +90,12 @@ class Rollup:
         return ledger.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).where(F.col("n_docs") != 0)
 
 
-def copies(rows: DataFrame) -> DataFrame:
-    """Rows of ``counted`` whose text an earlier document has (smaller doc_id;
-    of rows with the same doc_id and text all but one)."""
-    first = rows.groupBy("hash").agg(F.min("_o").alias("first")).select(F.col("hash").alias("_h"), "first")
-    same = rows.groupBy("hash", "_o", "source", "lang", "n_bytes", "words", "pretokens", "ids").agg(
-        F.count(F.lit(1)).alias("n"))
-    # one of the first document's rows stays: the smallest by source and language
-    lead = same.join(first, (F.col("hash") == F.col("_h")) & (F.col("_o") == F.col("first"))).groupBy("hash").agg(
-        F.min(F.struct("_o", "source", "lang")).alias("lead")).select(F.col("hash").alias("_h"), "lead")
-    marked = same.join(lead, F.col("hash") == F.col("_h"))
-    is_lead = F.struct("_o", "source", "lang").eqNullSafe(F.col("lead"))
-    return marked.withColumn("n", F.col("n") - F.when(is_lead, 1).otherwise(0)).where(F.col("n") > 0).select(
-        "source", "lang", "n_bytes", "words", "pretokens", "ids", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+def leaders(rows: DataFrame) -> DataFrame:
+    """One row of ``counted`` for each text, that of the earliest document
+    (smallest doc_id, then source and language).  An aggregate that combines on
+    the map side: copies of a text collapse before they are dealt out."""
+    kept = ("_o", "source", "lang", "n_bytes", "words", "pretokens", "ids")
+    return rows.groupBy("hash").agg(F.min(F.struct(*kept)).alias("first")).select("first.*")
 
 
 def token_rollup(docs: DataFrame, path: str, ledger: str) -> DataFrame:
@@ -118,11 +111,11 @@ def token_rollup(docs: DataFrame, path: str, ledger: str) -> DataFrame:
     come last.  Repeated rows are copies of each other.  An empty table gives
     no rows; other columns are ignored."""
     rows = counted(docs, path)
-    gone = stage_table(copies(rows), "token-copies")
-    load = signed(rows, {WORDS: "words", BPE: "ids"}, 1)
-    dedup = signed(gone, {WORDS: "words", BPE: "ids"}, -1)
-    old = signed(rows, {WORDS: "words"}, -1).union(signed(gone, {WORDS: "words"}, 1))
-    new = signed(rows, {PRETOKENS: "pretokens"}, 1).union(signed(gone, {PRETOKENS: "pretokens"}, -1))
+    stays = stage_table(leaders(rows), "token-leaders")
+    first = {WORDS: "words", BPE: "ids"}
+    load = signed(rows, first, 1)
+    dedup = signed(rows, first, -1).union(signed(stays, first, 1))  # all rows but the leaders go
+    old, new = signed(stays, {WORDS: "words"}, -1), signed(stays, {PRETOKENS: "pretokens"}, 1)
     rollup = Rollup(docs.sparkSession, ledger)
     rollup.commit("load", load)
     rollup.commit("dedup", dedup)
