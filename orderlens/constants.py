@@ -69,3 +69,7 @@ MEASURE_FORMATS = {
     "churn_risk_rate": "0.00%",
     "increasing_demand_categories": "#,0",
 }
+
+# Fields of a raw CSV that count as missing, in every column.
+MISSING_WORDS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+                 "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")

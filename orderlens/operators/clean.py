@@ -17,7 +17,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from orderlens.constants import COMPLETED_STATUS
 from orderlens.functions import exprs as E
@@ -127,7 +126,3 @@ def clean_audit(raw: DataFrame, deduped: DataFrame, cleaned: DataFrame) -> DataF
     return (cleaned.agg(F.count(F.lit(1)).alias("rows_after"))
             .select(before.alias("rows_before"), after_dedup.alias("rows_after_dedup"), "rows_after")
             .withColumn("rows_removed", F.col("rows_before") - F.col("rows_after")))
-
-
-def is_string_typed(df: DataFrame, col: str) -> bool:
-    return isinstance(df.schema[col].dataType, T.StringType)

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.operators import clean as C
@@ -266,15 +266,69 @@ def q_csv_landing_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw order lines (duplicates included) are written to a CSV landing
     folder in keep-first order, read back as text and cleaned: file-order
     de-duplication, coercing numeric casts, date parsing, rules."""
+    raw = TB.raw_orders(spark, sf_dir, dedup=False)
+    # the sort puts copies of a key into one file in keep-first order: the file
+    # order is what the landing read de-duplicates by
+    ordered = raw.orderBy("order_id", *TB.LINE_KEEP_FIRST_ORDER).select(*TB.RAW_COLUMNS)
+    return _landed(ordered, sf_dir, "clean").select(*LANDING_COLUMNS).withColumns(
+        {c: F.col(c).cast("double") for c in C.NUMERIC_COLUMNS})
+
+
+def _landed(rows: DataFrame, sf_dir: str, name: str) -> DataFrame:
+    """Write rows to a CSV landing folder and run the landing read over it."""
     import hashlib
     import os
 
     from orderlens.session import ensure_checkpoint_dir
     from orderlens.sources import files as IO
 
+    spark = rows.sparkSession
     digest = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10]
-    landing = os.path.join(ensure_checkpoint_dir(spark), "orderlens-landing", digest)
-    raw = TB.raw_orders(spark, sf_dir, dedup=False)
-    ordered = raw.orderBy("order_id", *TB.LINE_KEEP_FIRST_ORDER).select(*TB.RAW_COLUMNS)
-    IO.write_csv(ordered, landing)
-    return IO.clean_raw_csv(spark, landing, TB.COMPLETED_STATUS_DRIVER).select(*LANDING_COLUMNS)
+    landing = os.path.join(ensure_checkpoint_dir(spark), f"orderlens-landing-{name}", digest)
+    IO.write_csv(rows, landing)
+    return IO.clean_raw_csv(spark, landing, TB.COMPLETED_STATUS_DRIVER)
+
+
+DIRTY_NAME = '24" Monitor, black'
+DIRTY_COLUMNS = ("order_id", "customer_id", "customer_segment", "product_id", "product_name", "order_date",
+                 *C.NUMERIC_COLUMNS, "visits", "cart_additions", "is_completed")
+
+
+@register("csv_landing_dirty", O.with_base(f"""
+SELECT order_id, customer_id, CASE WHEN k <> 12 THEN customer_segment END AS customer_segment, product_id,
+       CASE WHEN k = 9 THEN '{DIRTY_NAME}' ELSE product_name END AS product_name, order_date,
+       CAST(quantity AS DOUBLE) AS quantity, CAST(unit_price AS DOUBLE) AS unit_price,
+       CASE WHEN k = 3 THEN 0.0 ELSE CAST(discount AS DOUBLE) END AS discount,
+       CAST(revenue AS DOUBLE) AS revenue, CAST(margin AS DOUBLE) AS margin,
+       CASE WHEN k = 10 THEN 3 ELSE visits END AS visits, CASE WHEN k = 10 THEN 2 ELSE cart_additions END AS cart_additions,
+       order_status = 'F' AND k <> 13 AS is_completed
+FROM (SELECT *, (CAST(split_part(order_id, '-', 1) AS BIGINT) * 7 + CAST(split_part(order_id, '-', 2) AS BIGINT)) % 23 AS k
+      FROM raw) r
+WHERE k NOT IN (0, 1, 2, 4, 5, 6, 7, 8, 11, 15) AND revenue > 0 AND quantity > 0 AND unit_price > 0
+  AND discount BETWEEN 0 AND 1"""))
+def q_csv_landing_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO1, CL1-CL6 on a dirty landing zone: a rule on the key spoils rows (bad
+    and missing numbers, missing words as keys, discounts missing or out of
+    range, doubled quotes beside a comma, counts as ``3.0``, later copies that
+    must lose, first copies that fail and take the id with them)."""
+    raw = TB.raw_orders(spark, sf_dir, dedup=True).select(*TB.RAW_COLUMNS)
+    text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
+    key = F.split("order_id", "-")
+    text = text.withColumn("k", (key[0].cast("bigint") * 7 + key[1].cast("bigint")) % 23)
+    spoil = {"quantity": {0: "abc"}, "revenue": {1: "NaN", 11: "-5", 15: "-5"}, "unit_price": {2: "1.0d"},
+             "discount": {3: None, 4: "1.5", 5: "-0.1"}, "customer_id": {6: "NA"}, "product_id": {7: "null"},
+             "order_date": {8: "not a date"}, "product_name": {9: DIRTY_NAME}, "visits": {10: "3.0"},
+             "cart_additions": {10: "2.0"}, "customer_segment": {12: "N/A"}, "order_status": {13: "Refunded"}}
+    dirty = text.withColumns({c: _spoiled(c, how) for c, how in spoil.items()})
+    later = text.where(F.col("k").isin(14, 15)).withColumn("quantity", F.lit("999"))
+    both = dirty.withColumn("copy", F.lit(0)).unionByName(later.withColumn("copy", F.lit(1)))
+    rows = both.orderBy("order_id", "copy").select(*TB.RAW_COLUMNS)
+    return _landed(rows, sf_dir, "dirty").select(*DIRTY_COLUMNS).withColumns(
+        {c: F.col(c).cast("double") for c in C.NUMERIC_COLUMNS})
+
+
+def _spoiled(column: str, how: dict) -> Column:
+    out = F.col(column)
+    for k, text in how.items():
+        out = F.when(F.col("k") == k, F.lit(text)).otherwise(out)
+    return out

@@ -22,23 +22,38 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.constants import EXPECTED_TABLES as EXPECTED_TABLES_FIXED
+from orderlens.constants import MISSING_WORDS
+from orderlens.functions import exprs as E
 from orderlens.operators import clean as C
 
 RAW_DATE_COLUMNS = ("order_date", "customer_signup_date", "last_purchase_date")
 FILE_POSITION = "_file_pos"
+CORRUPT_RECORD = "_corrupt_record"
+COUNT_COLUMNS = ("visits", "cart_additions", "completed_orders")
+#: Exact type of landing numbers: no cent fraction that a file holds is cut.
+LANDING_DECIMAL = "decimal(28,6)"
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """IO1: header CSV, all columns as STRING (no inference), plus
-    ``_file_pos`` = (file path, split start, row id within the split), a
-    total order equal to file order.  A missing path raises
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """IO1: header CSV, all columns as STRING (no inference), missing words as
+    NULL, plus ``_file_pos`` = (file path, split start, row id within the
+    split), a total order equal to file order, and ``_corrupt_record``, the
+    text of a row with too few or too many fields (else NULL; such rows stay).
+
+    Quotes are doubled inside quoted fields.  Fields that hold line breaks need
+    ``multi_line``, which reads each file in one task.  A missing path raises
     ``AnalysisException`` (PATH_NOT_FOUND) when the frame is defined (IO2)."""
-    df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("mode", "PERMISSIVE").csv(path))
+    reader = (spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
+              .option("quote", '"').option("escape", '"').option("multiLine", multi_line))
+    names = reader.csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT_RECORD]])
+    df = reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT_RECORD).option(
+        "columnPruning", False).csv(path)  # a pruned read would not see that a row is too short
     pos = F.struct(F.col("_metadata.file_path").alias("f"),
                    F.col("_metadata.file_block_start").alias("b"),
                    F.monotonically_increasing_id().alias("r"))
-    return df.withColumn(FILE_POSITION, pos)
+    known = {c: F.when(~F.col(f"`{c}`").isin(*MISSING_WORDS), F.col(f"`{c}`")) for c in names}
+    return df.withColumn(FILE_POSITION, pos).withColumns(known)
 
 
 def parse_dates(df: DataFrame, cols=RAW_DATE_COLUMNS) -> DataFrame:
@@ -47,13 +62,28 @@ def parse_dates(df: DataFrame, cols=RAW_DATE_COLUMNS) -> DataFrame:
     return df.withColumns({c: F.try_to_date(F.trim(F.col(c))) for c in present}) if present else df
 
 
-def clean_raw_csv(spark: SparkSession, path: str, completed_status: str = C.COMPLETED_STATUS) -> DataFrame:
-    """IO1 + CL8: keep-first in file order, coercing casts, rules, dates."""
-    raw = parse_dates(read_raw_csv(spark, path))
-    raw = raw.withColumns({c: F.col(c).try_cast("bigint")
-                           for c in ("visits", "cart_additions", "completed_orders") if c in raw.columns})
+def clean_raw_csv(spark: SparkSession, path: str, completed_status: str = C.COMPLETED_STATUS,
+                  multi_line: bool = False) -> DataFrame:
+    """IO1 + CL8: keep-first in file order, coercing casts, rules, dates.
+
+    Counts may be written as ``3.0`` (a count column with a missing value);
+    numbers leave as exact decimals once the rules have seen them."""
+    raw = parse_dates(read_raw_csv(spark, path, multi_line)).drop(CORRUPT_RECORD)
+    raw = raw.withColumns({c: E.coerce_double(c).try_cast("bigint") for c in COUNT_COLUMNS if c in raw.columns})
     out = C.clean(raw, completed_status=completed_status, dedup_order=[FILE_POSITION])
-    return out.drop(FILE_POSITION)
+    return out.drop(FILE_POSITION).withColumns(
+        {c: F.col(c).try_cast(LANDING_DECIMAL) for c in C.NUMERIC_COLUMNS if c in out.columns})
+
+
+def landing_audit(spark: SparkSession, path: str, completed_status: str = C.COMPLETED_STATUS,
+                  multi_line: bool = False) -> DataFrame:
+    """IO10 of the landing zone in one row: rows read, corrupt rows among them,
+    distinct order ids, rows after the rules."""
+    raw = read_raw_csv(spark, path, multi_line).select("order_id", CORRUPT_RECORD).agg(
+        F.count(F.lit(1)).alias("rows_read"), F.count(CORRUPT_RECORD).alias("rows_corrupt"),
+        (F.count_distinct("order_id") + F.max(F.col("order_id").isNull().cast("int"))).alias("rows_after_dedup"))
+    after = clean_raw_csv(spark, path, completed_status, multi_line).agg(F.count(F.lit(1))).scalar()
+    return raw.select("*", after.alias("rows_after"))
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -63,7 +93,8 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """IO5: header CSV directory (one part per task), dates as yyyy-MM-dd."""
-    df.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
+    (df.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd")
+     .option("escape", '"').csv(path))
 
 
 def _schema(spec: str) -> T.StructType:
@@ -169,11 +200,17 @@ def _dir_size(spark: SparkSession, path: str) -> int | None:
 
 def export_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """IO8: expected tables vs written ones, with size, row count and status.
-    Listing is metadata only; row counts are distributed counts."""
-    rows = []
-    for name in EXPECTED_TABLES:
-        size = _dir_size(spark, os.path.join(folder, name))
-        n = read_serving_csv(spark, folder, name).count() if size is not None else None
-        rows.append((name, "OK" if size is not None else "MISSING",
-                     None if size is None else round(size / 1024.0, 1), n))
-    return spark.createDataFrame(rows, "table string, status string, size_kb double, rows bigint")
+    Listing is metadata only; the row counts of all tables are one job."""
+    sizes = {name: _dir_size(spark, os.path.join(folder, name)) for name in EXPECTED_TABLES}
+    listed = spark.createDataFrame(
+        [(name, None if size is None else round(size / 1024.0, 1)) for name, size in sizes.items()],
+        "table string, size_kb double")
+    counts = spark.createDataFrame([], "t string, n bigint")
+    for name, size in sizes.items():
+        if size is not None:
+            counts = counts.unionByName(read_serving_csv(spark, folder, name).select(F.lit(name).alias("t")).groupBy(
+                "t").agg(F.count(F.lit(1)).alias("n")))
+    written = F.col("size_kb").isNotNull()
+    return (listed.join(counts, F.col("table") == F.col("t"), "left")
+            .select("table", F.when(written, "OK").otherwise("MISSING").alias("status"), "size_kb",
+                    F.when(written, F.coalesce("n", F.lit(0))).cast("bigint").alias("rows")))

@@ -66,3 +66,32 @@ def test_nan_never_passes_rules(spark):
         "order_id string, customer_id string, product_id string, order_date date, revenue double, "
         "quantity double, discount double, unit_price double, margin double, order_status string")
     assert C.clean(df, dedup=False).count() == 0
+
+
+def test_landing_read_loses_no_row(spark, tmp_path):
+    """Doubled quotes, missing words, counts with a fraction, exact money, and
+    rows with too few or too many fields."""
+    lines = [HEADER,
+             _line("Q1").replace("CRM", '"24"" Monitor, black"'), _line("Q2").replace("CRM", '"say ""hi"""'),
+             _line("Q3").replace(",10,2,1,", ",3.0,2.0,1.0,"), _line("NaN"), _line("Q4", cust="NA"),
+             _line("Q5", rev="0.001"), _line("Q6").replace(",SMB,", ",null,"), _line("Q7") + ",extra", "Q8,C1,SMB"]
+    p = tmp_path / "orders_raw.csv"
+    p.write_text("\n".join(lines) + "\n")
+    got = {r.order_id: r for r in IO.clean_raw_csv(spark, str(p)).collect()}
+    assert set(got) == {"Q1", "Q2", "Q3", "Q5", "Q6", "Q7"}
+    assert got["Q1"].product_name == '24" Monitor, black' and got["Q2"].product_name == 'say "hi"'
+    assert got["Q1"].revenue == 18 and got["Q1"].margin == 5
+    assert (got["Q3"].visits, got["Q3"].cart_additions, got["Q3"].completed_orders) == (3, 2, 1)
+    assert str(got["Q5"].revenue) == "0.001000" and got["Q6"].customer_segment is None
+    audit = IO.landing_audit(spark, str(p)).first()
+    assert (audit.rows_read, audit.rows_corrupt, audit.rows_after_dedup, audit.rows_after) == (9, 2, 9, 6)
+
+
+def test_csv_sink_round_trip_of_quotes(spark, tmp_path):
+    rows = [("1", 'a "b", c'), ("2", "x,y"), ("3", '"')]
+    df = spark.createDataFrame(rows, "order_id string, name string")
+    IO.write_csv(df, str(tmp_path / "out"))
+    got = IO.read_raw_csv(spark, str(tmp_path / "out"))
+    assert sorted((r.order_id, r.name) for r in got.select("order_id", "name").collect()) == rows
+    IO.write_csv(spark.createDataFrame([("1", "two\nlines")], "order_id string, name string"), str(tmp_path / "ml"))
+    assert IO.read_raw_csv(spark, str(tmp_path / "ml"), multi_line=True).first()["name"] == "two\nlines"
