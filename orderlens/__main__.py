@@ -20,6 +20,7 @@ def main(argv=None) -> None:
     ap.add_argument("--master", default=None, help="local master for a standalone run, e.g. local[8]")
     ap.add_argument("--processed", action="store_true",
                     help="also write the processed zone (clean orders + order-level features)")
+    ap.add_argument("--models-from", default=None, help="score with the saved models of this folder, train nothing")
     args = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -31,7 +32,7 @@ def main(argv=None) -> None:
     ensure_checkpoint_dir(spark)
     manifest = run_batch(spark, args.out, sf_dir=args.sf_dir, raw_csv=args.raw_csv,
                          completed_status=args.completed_status, learned=not args.naive,
-                         write_processed=args.processed)
+                         write_processed=args.processed, models_from=args.models_from)
     for r in manifest.collect():
         print(f"{'OK' if r.status == 'OK' else 'XX'}  {r.table}  ({r.size_kb} KB, {r.rows} rows)")
 

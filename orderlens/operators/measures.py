@@ -92,7 +92,7 @@ _base("gross_margin", "star", lambda: _sum_completed("margin").cast("double"), "
 _base("active_customers", "star",
       lambda: F.count_distinct(F.when(_done(), F.col("customer_id"))), "#,0", "ME7",
       _flag(_done), _count_flags)
-_base("repeat_customers", "star", None, "#,0", "ME9 (distinct completed buyers flagged repeat)",
+_base("repeat_customers_model", "star", None, "#,0", "ME9 (model: distinct completed buyers flagged repeat)",
       _flag(_done), lambda c: F.count_if(F.col(c) & F.coalesce(F.col("is_repeat_customer"), F.lit(False))))
 _base("_sum_completed_orders", "star", lambda: F.sum("completed_orders"), "", "",
       lambda: F.sum("completed_orders"), _sum_merge())
@@ -104,8 +104,8 @@ _derived("average_order_value", lambda: E.safe_div("total_revenue", "total_order
          ["total_revenue", "total_orders"])
 _derived("gross_margin_pct", lambda: E.safe_div("gross_margin", "total_revenue"),
          ["gross_margin", "total_revenue"])
-_derived("repeat_customer_rate", lambda: E.safe_div("repeat_customers", "active_customers"),
-         ["repeat_customers", "active_customers"])
+_derived("repeat_customer_rate_model", lambda: E.safe_div("repeat_customers_model", "active_customers"),
+         ["repeat_customers_model", "active_customers"])
 _derived("conversion_rate", lambda: E.safe_div("_sum_completed_orders", "_sum_visits"),
          ["_sum_completed_orders", "_sum_visits"])
 _derived("cart_abandonment_rate",
@@ -114,7 +114,7 @@ _derived("cart_abandonment_rate",
 
 # --- other tables ------------------------------------------------------------
 _base("new_customers", "weekly", lambda: F.sum("new_customers"), "#,0", "ME8")
-_base("repeat_customers_dim", "customers",
+_base("repeat_customers", "customers",
       lambda: F.count_if(F.col("purchase_frequency") >= 2), "#,0", "ME9 (plan: dim_customers frequency >= 2)")
 _base("high_risk_customers", "churn", lambda: F.count_if(F.col("risk_level") == "High"), "#,0", "ME17")
 _base("_churn_rows", "churn", lambda: F.count(F.lit(1)))
@@ -141,7 +141,7 @@ _derived("forecast_error_pct_model", lambda: E.safe_div(F.abs(F.col("_sum_err"))
          ["_sum_err", "_sum_actual"])
 
 STAR_MEASURES = ("total_revenue", "total_orders", "average_order_value", "units_sold", "gross_margin",
-                 "gross_margin_pct", "active_customers", "repeat_customers", "repeat_customer_rate",
+                 "gross_margin_pct", "active_customers", "repeat_customers_model", "repeat_customer_rate_model",
                  "conversion_rate", "cart_abandonment_rate")
 
 
@@ -188,7 +188,7 @@ def _evaluate_star(star: Star, base: Sequence[str], by: list[str]) -> DataFrame:
     flag joins those rows; a merge per slicer value, in which each distinct
     count is a count of flags (no ``Expand``)."""
     rows = star.fact.groupBy(*by, DISTINCT_KEY).agg(*[BASE[n].partial().alias(n) for n in base])
-    if "repeat_customers" in base:
+    if "repeat_customers_model" in base:
         rows = rows.join(star.customers, DISTINCT_KEY, "left")
     aggs = [BASE[n].merge(n).alias(n) for n in base]
     return rows.groupBy(*by).agg(*aggs) if by else rows.agg(*aggs)
@@ -212,6 +212,19 @@ def evaluate(table: DataFrame | Star, names: Sequence[str], by: Sequence[str] =
     return out.select(*by, *names)
 
 
+def with_plan_repeat(out: DataFrame, customers: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Add the plan's ``repeat_customers`` (dim_customers with two purchases or
+    more, in the same slicer context) and ``repeat_customer_rate`` (ME10: over
+    the active customers of the fact) to evaluated star measures."""
+    repeat = evaluate(customers, ["repeat_customers"], by=by)
+    if by:
+        joined = out.join(repeat, list(by), "left").withColumn(
+            "repeat_customers", F.coalesce("repeat_customers", F.lit(0)))
+    else:
+        joined = out.withColumn("repeat_customers", repeat.scalar())
+    return joined.withColumn("repeat_customer_rate", E.safe_div("repeat_customers", "active_customers"))
+
+
 def evaluate_scalar(df: DataFrame | Star, name: str, where: Column | None = None) -> Column:
     """One measure over a whole table as a scalar-subquery Column, for
     combining measures of different tables in one row."""

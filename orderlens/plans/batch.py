@@ -32,20 +32,25 @@ def _stage(df: DataFrame, path: str, partition_by=()) -> DataFrame:
 
 
 def serving_from_clean(clean: DataFrame, work_dir: str, learned: bool = True,
-                       sizes: dict | None = None) -> dict[str, DataFrame]:
-    """The 12 serving tables from a clean fact (with funnel columns)."""
+                       sizes: dict | None = None, models_from: str | None = None) -> dict[str, DataFrame]:
+    """The 12 serving tables from a clean fact (with funnel columns).  Models
+    are trained and their bundles saved under ``work_dir/models``, or loaded
+    from the bundles in ``models_from``."""
     rfm = _stage(FT.customer_rfm(clean), os.path.join(work_dir, "customer_rfm"))
     weekly = _stage(MF.weekly_features(clean), os.path.join(work_dir, "forecast_features"))
     cust = _stage(MF.churn_features(clean, rfm), os.path.join(work_dir, "churn_features"))
     cat_wk = _stage(MF.demand_features(clean), os.path.join(work_dir, "demand_features"))
     if learned:
-        sizes = sizes or {}
-        f = MD.train_forecast(weekly, sizes.get("forest_trees", MD.FOREST_TREES),
-                              sizes.get("gbt_iters", MD.GBT_ITERS))
-        c = MD.train_churn(cust, sizes.get("churn_forest_trees", MD.CHURN_FOREST_TREES))
-        d = MD.train_demand(cat_wk, sizes.get("forest_trees", MD.FOREST_TREES))
-        for name, m in (("forecast", f), ("churn", c), ("demand", d)):
-            MD.save_model(m, os.path.join(work_dir, "models", name))
+        if models_from is not None:
+            ms = MD.load_models(models_from)
+        else:
+            sizes = sizes or {}
+            ms = {"forecast": MD.train_forecast(weekly, sizes.get("forest_trees", MD.FOREST_TREES),
+                                                sizes.get("gbt_iters", MD.GBT_ITERS)),
+                  "churn": MD.train_churn(cust, sizes.get("churn_forest_trees", MD.CHURN_FOREST_TREES)),
+                  "demand": MD.train_demand(cat_wk, sizes.get("forest_trees", MD.FOREST_TREES))}
+            MD.save_models(ms, os.path.join(work_dir, "models"), cust, cat_wk)
+        f, c, d = ms["forecast"], ms["churn"], ms["demand"]
         scorers = {"forecast": (f.score, f.name), "churn": (c.score, c.name), "demand": (d.score, d.name)}
     else:
         scorers = {"forecast": (MF.naive_forecast, "NaiveLag1"), "churn": (MF.naive_churn, "InactivityShare"),
@@ -69,8 +74,11 @@ def serving_from_clean(clean: DataFrame, work_dir: str, learned: bool = True,
 
 def run_batch(spark: SparkSession, out_dir: str, *, sf_dir: str | None = None, raw_csv: str | None = None,
               completed_status: str | None = None, learned: bool = True,
-              sizes: dict | None = None, write_processed: bool = False) -> DataFrame:
-    """Run everything and return the export manifest.
+              sizes: dict | None = None, write_processed: bool = False,
+              models_from: str | None = None) -> DataFrame:
+    """Run everything and return the export manifest.  ``models_from`` names
+    the model bundles of an earlier run (its ``_work/models``): they score, and
+    nothing is trained.
 
     ``write_processed`` also writes the processed zone (IO4): the clean
     orders and the order-level feature frame (clean + RFM + product trend +
@@ -89,7 +97,7 @@ def run_batch(spark: SparkSession, out_dir: str, *, sf_dir: str | None = None, r
     if write_processed:
         IO.write_parquet(clean, os.path.join(out_dir, "processed", "orders_clean"))
         IO.write_parquet(FT.build_features(clean), os.path.join(out_dir, "processed", "orders_features"))
-    tables = serving_from_clean(clean, work, learned=learned, sizes=sizes)
+    tables = serving_from_clean(clean, work, learned=learned, sizes=sizes, models_from=models_from)
     serving_dir = os.path.join(out_dir, "serving")
     IO.export_serving(tables, serving_dir)
     return IO.export_manifest(spark, serving_dir)

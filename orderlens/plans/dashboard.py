@@ -11,8 +11,10 @@ with scalar subqueries (each one a distributed aggregate).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.constants import RISK_LEVELS, TOP_PRODUCTS
@@ -46,6 +48,61 @@ def slice_weekly(weekly: DataFrame, years: Sequence[int] | None) -> DataFrame:
     return weekly if years is None else weekly.filter(F.year("week_start").isin(list(years)))
 
 
+@dataclass(frozen=True)
+class Slicers:
+    """Selections of a report page.  ``None`` selects everything; an empty
+    selection is an error (PF11).  Each method slices one table by those
+    selections that its columns carry; a table without the column is not
+    related to the slicer and stays whole."""
+    years: Sequence[int] | None = None
+    quarters: Sequence[int] | None = None
+    segments: Sequence[str] | None = None
+    channels: Sequence[str] | None = None
+    categories: Sequence[str] | None = None
+    risk_levels: Sequence[str] | None = None
+    model_names: Sequence[str] | None = None
+    start: date | str | None = None
+    end: date | str | None = None
+
+    def __post_init__(self) -> None:
+        check_years(self.years)
+        for name in ("quarters", "segments", "channels", "categories", "risk_levels", "model_names"):
+            if getattr(self, name) is not None and len(getattr(self, name)) == 0:
+                raise ValueError(f"Select at least one of {name}.")
+
+    def _by(self, df: DataFrame, selections: Sequence[tuple[Column, Sequence | None]]) -> DataFrame:
+        for column, chosen in selections:
+            if chosen is not None:
+                df = df.filter(column.isin(list(chosen)))
+        return df
+
+    def orders(self, fact: DataFrame) -> DataFrame:
+        return self._by(slice_orders(fact, self.years), [
+            (F.quarter("order_date"), self.quarters), (F.col("customer_segment"), self.segments),
+            (F.col("sales_channel"), self.channels), (F.col("product_category"), self.categories)])
+
+    def weekly(self, weekly: DataFrame) -> DataFrame:
+        wk = self._by(slice_weekly(weekly, self.years), [(F.quarter("week_start"), self.quarters)])
+        return self._dates(wk)
+
+    def _dates(self, df: DataFrame) -> DataFrame:
+        if self.start is not None:
+            df = df.filter(F.col("week_start") >= F.lit(self.start).cast("date"))
+        return df if self.end is None else df.filter(F.col("week_start") <= F.lit(self.end).cast("date"))
+
+    def customers(self, df: DataFrame) -> DataFrame:
+        return self._by(df, [(F.col("customer_segment"), self.segments)])
+
+    def churn(self, df: DataFrame) -> DataFrame:
+        return self._by(df, [(F.col("customer_segment"), self.segments), (F.col("risk_level"), self.risk_levels)])
+
+    def demand(self, df: DataFrame) -> DataFrame:
+        return self._by(df, [(F.col("product_category"), self.categories)])
+
+    def forecast(self, df: DataFrame) -> DataFrame:
+        return self._dates(self._by(df, [(F.col("model_name"), self.model_names)]))
+
+
 def slicer_values(fact: DataFrame) -> DataFrame:
     """TK4: sorted distinct years and categories offered by the slicers."""
     years = fact.select(F.lit("year").alias("slicer"), F.year("order_date").cast("string").alias("value"))
@@ -251,9 +308,10 @@ def top_products(fact: DataFrame, dim_products: DataFrame, k: int = TOP_PRODUCTS
     rev = (fact.filter(F.col("is_completed"))
            .groupBy("product_id").agg(F.sum("revenue").cast("double").alias("total_revenue"),
                                       F.count(F.lit(1)).alias("total_orders")))
-    return (rev.join(dim_products.select("product_id", "product_name", "product_category"),
-                     "product_id", "left")
-            .orderBy(F.desc("total_revenue"), "product_id").limit(k))
+    # the k rows are picked first, so the product lookup joins k rows
+    top = rev.orderBy(F.desc("total_revenue"), "product_id").limit(k)
+    return (top.join(dim_products.select("product_id", "product_name", "product_category"), "product_id", "left")
+            .orderBy(F.desc("total_revenue"), "product_id"))
 
 
 # ---------------------------------------------------------------------------
@@ -297,7 +355,10 @@ EXEC_REV = "COALESCE(CAST(sum(revenue) AS DOUBLE), 0.0)"
 EXEC_MARGIN = "COALESCE(CAST(sum(margin) AS DOUBLE), 0.0)"
 
 
-@register("exec_cards", dsql(f"""
+def exec_sql(orders: str = "true", weeks: str = "true") -> str:
+    """Executive cards of the orders and weeks that pass two conditions."""
+    shown = f"FROM weekly WHERE {weeks}"
+    return dsql(f"""
 SELECT total_revenue, total_orders, avg_order_value, gross_margin_pct, active_customers,
        {f_cur('total_revenue')} AS revenue_display, {f_thou('total_orders')} AS orders_display,
        {f_cur('avg_order_value')} AS aov_display, {f_pct('gross_margin_pct')} AS margin_display,
@@ -308,14 +369,79 @@ FROM (
          COALESCE({O.ratio(EXEC_REV, 'count(*)')}, 0.0) AS avg_order_value,
          COALESCE({O.ratio(EXEC_MARGIN, EXEC_REV)}, 0.0) AS gross_margin_pct,
          count(DISTINCT customer_id) AS active_customers,
-         CASE WHEN (SELECT count(*) FROM weekly) > 1 THEN
-              (SELECT revenue_wow_growth FROM weekly ORDER BY week_start DESC LIMIT 1) END AS rw,
-         CASE WHEN (SELECT count(*) FROM weekly) > 1 THEN
-              (SELECT orders_wow_growth FROM weekly ORDER BY week_start DESC LIMIT 1) END AS ow
-  FROM comp
-) x"""))
+         CASE WHEN (SELECT count(*) {shown}) > 1 THEN
+              (SELECT revenue_wow_growth {shown} ORDER BY week_start DESC LIMIT 1) END AS rw,
+         CASE WHEN (SELECT count(*) {shown}) > 1 THEN
+              (SELECT orders_wow_growth {shown} ORDER BY week_start DESC LIMIT 1) END AS ow
+  FROM comp WHERE {orders}
+) x""")
+
+
+def sliced_exec_cards(spark: SparkSession, sf_dir: str, slicers: Slicers) -> DataFrame:
+    return exec_cards(slicers.orders(_fact(spark, sf_dir)), slicers.weekly(_weekly(spark, sf_dir)))
+
+
+@register("exec_cards", exec_sql())
 def q_exec_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exec_cards(_fact(spark, sf_dir), _weekly(spark, sf_dir))
+    return sliced_exec_cards(spark, sf_dir, Slicers())
+
+
+@register("exec_cards_year", exec_sql("year(order_date) IN (1995, 1996)", "year(week_start) IN (1995, 1996)"))
+def q_exec_cards_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PF6 on the executive page."""
+    return sliced_exec_cards(spark, sf_dir, Slicers(years=[1995, 1996]))
+
+
+@register("exec_cards_quarter", exec_sql("quarter(order_date) = 2", "quarter(week_start) = 2"))
+def q_exec_cards_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sliced_exec_cards(spark, sf_dir, Slicers(quarters=[2]))
+
+
+@register("exec_cards_segment", exec_sql("customer_segment IN ('BUILDING', 'MACHINERY')"))
+def q_exec_cards_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sliced_exec_cards(spark, sf_dir, Slicers(segments=["BUILDING", "MACHINERY"]))
+
+
+@register("exec_cards_channel", exec_sql("sales_channel = '1-URGENT'"))
+def q_exec_cards_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sliced_exec_cards(spark, sf_dir, Slicers(channels=["1-URGENT"]))
+
+
+@register("weekly_series_range", dsql("""
+SELECT week_start, total_revenue, revenue_wow_growth * 100.0 AS revenue_wow_pct,
+       total_orders, orders_wow_growth * 100.0 AS orders_wow_pct
+FROM weekly WHERE week_start BETWEEN DATE '1995-03-01' AND DATE '1996-06-30' ORDER BY week_start"""))
+def q_weekly_series_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PF10: the date-range slicer."""
+    return weekly_series(Slicers(start="1995-03-01", end="1996-06-30").weekly(_weekly(spark, sf_dir)))
+
+
+@register("churn_scatter_sliced", dsql("""
+SELECT customer_id, customer_segment, purchase_frequency, churn_risk_probability, total_revenue, risk_level
+FROM cr WHERE risk_level IN ('Low', 'High') AND customer_segment = 'BUILDING'"""))
+def q_churn_scatter_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Risk-level and segment slicers of the customer page."""
+    return churn_scatter(Slicers(risk_levels=["Low", "High"], segments=["BUILDING"]).churn(
+        MQ.naive_churn_risk(spark, sf_dir)))
+
+
+@register("forecast_line_model", dsql(f"""
+SELECT 'Actual' AS series, week_start, actual_revenue AS value FROM sf
+WHERE NOT is_future AND model_name = '{MQ.NAIVE_FORECAST_NAME}'
+UNION ALL
+SELECT 'Predicted (in-sample)', week_start, predicted_revenue FROM sf
+WHERE NOT is_future AND model_name = '{MQ.NAIVE_FORECAST_NAME}'
+UNION ALL
+SELECT 'Forecast', week_start, predicted_revenue
+FROM (SELECT * FROM sf WHERE NOT is_future ORDER BY week_start DESC LIMIT 1) b
+UNION ALL
+SELECT 'Forecast', week_start, predicted_revenue FROM sf WHERE is_future AND model_name <> 'other'"""))
+def q_forecast_line_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model slicer of the insights page: the rows of a second model are left out."""
+    own = MQ.naive_sales_forecast(spark, sf_dir)
+    other = own.withColumn("model_name", F.lit("other")).withColumn(
+        "predicted_revenue", F.col("predicted_revenue") * F.lit(2.0))
+    return forecast_line(Slicers(model_names=[MQ.NAIVE_FORECAST_NAME]).forecast(own.unionByName(other)))
 
 
 @register("weekly_series", dsql("""
@@ -507,55 +633,91 @@ def q_slicer_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 PAGES = ("executive_overview", "weekly_kpi_tracking", "product_category", "customer_segment",
-         "predictive_insights")
+         "predictive_insights", "model_performance")
+
+
+class _Predictions:
+    """Prediction tables of a page, made when a page asks: learned models are
+    not trained for pages that show none."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, kind: str):
+        if kind not in ("learned", "naive"):
+            raise ValueError("predictions must be 'learned' or 'naive'")
+        self.spark, self.sf_dir, self.learned = spark, sf_dir, kind == "learned"
+
+    def _model(self, name: str):
+        from orderlens.plans import models as MD
+        return MD.fitted_models(self.spark, self.sf_dir)[name]
+
+    def forecast(self) -> DataFrame:
+        from orderlens.plans import ml_features as MF
+        if not self.learned:
+            return MQ.naive_sales_forecast(self.spark, self.sf_dir)
+        m = self._model("forecast")
+        return MF.sales_forecast(MQ.weekly_frame(self.spark, self.sf_dir), m.score, m.name)
+
+    def churn(self) -> DataFrame:
+        from orderlens.plans import ml_features as MF
+        if not self.learned:
+            return MQ.naive_churn_risk(self.spark, self.sf_dir)
+        return MF.churn_risk(MQ.churn_frame(self.spark, self.sf_dir), self._model("churn").score)
+
+    def demand(self) -> DataFrame:
+        from orderlens.plans import ml_features as MF
+        if not self.learned:
+            return MQ.naive_demand_predictions(self.spark, self.sf_dir)
+        return MF.demand_predictions(MQ.demand_frame(self.spark, self.sf_dir), self._model("demand").score)
+
+    def performance(self) -> DataFrame:
+        from orderlens.plans import metrics_q as MTQ
+        from orderlens.plans import models as MD
+        return (MD.q_model_performance if self.learned else MTQ.naive_model_performance)(self.spark, self.sf_dir)
 
 
 def page(spark: SparkSession, sf_dir: str, name: str, years=None, category: str | None = None,
-         predictions: str = "learned") -> dict[str, DataFrame]:
+         predictions: str = "learned", slicers: Slicers | None = None) -> dict[str, DataFrame]:
     """The data behind one dashboard page as named DataFrames (lazy).
 
-    ``years`` is the sidebar year selection (``None`` = all years, empty =
-    error); ``category`` the product selector (default: first in order);
-    ``predictions`` chooses the learned models or the stand-in scorers."""
-    from orderlens.plans import ml_features as MF
-    from orderlens.plans import models as MD
-
-    check_years(years)
-    fact = S.orders_clean(spark, sf_dir)
-    weekly = S.serving(spark, sf_dir, "weekly_kpis")
-    if predictions == "learned":
-        ms = MD.fitted_models(spark, sf_dir)
-        forecast = MF.sales_forecast(MQ.weekly_frame(spark, sf_dir), ms["forecast"].score, ms["forecast"].name)
-        churn = MF.churn_risk(MQ.churn_frame(spark, sf_dir), ms["churn"].score)
-        demand = MF.demand_predictions(MQ.demand_frame(spark, sf_dir), ms["demand"].score)
-    elif predictions == "naive":
-        forecast = MQ.naive_sales_forecast(spark, sf_dir)
-        churn = MQ.naive_churn_risk(spark, sf_dir)
-        demand = MQ.naive_demand_predictions(spark, sf_dir)
-    else:
-        raise ValueError("predictions must be 'learned' or 'naive'")
+    ``slicers`` apply to every frame of the page; ``years`` is short for a year
+    selection alone.  ``category`` is the product selector of the category
+    series (default: first in order); ``predictions`` chooses the learned models
+    or the stand-in scorers."""
+    if slicers is not None and years is not None:
+        raise ValueError("give years in the slicers")
+    sl = slicers or Slicers(years=years)
+    made = _Predictions(spark, sf_dir, predictions)
+    fact = sl.orders(S.orders_clean(spark, sf_dir))
+    weekly = sl.weekly(S.serving(spark, sf_dir, "weekly_kpis"))
+    customers = sl.customers(S.serving(spark, sf_dir, "dim_customers"))
     if name == "executive_overview":
-        return {"cards": exec_cards(fact, weekly, years),
-                "weekly_revenue": weekly_series(weekly, years),
-                "revenue_by_segment": revenue_by(fact, "customer_segment", years),
-                "revenue_by_channel": revenue_by(fact, "sales_channel", years)}
+        return {"cards": exec_cards(fact, weekly),
+                "weekly_revenue": weekly_series(weekly),
+                "revenue_by_segment": revenue_by(fact, "customer_segment"),
+                "revenue_by_channel": revenue_by(fact, "sales_channel")}
     if name == "weekly_kpi_tracking":
-        return {"cards": weekly_funnel_cards(fact, weekly, years),
-                "revenue_and_orders": weekly_series(weekly, years),
-                "new_vs_repeat": new_vs_repeat_series(weekly, years)}
+        return {"cards": weekly_funnel_cards(fact, weekly),
+                "revenue_and_orders": weekly_series(weekly),
+                "new_vs_repeat": new_vs_repeat_series(weekly)}
     if name == "product_category":
-        return {"revenue_by_category": revenue_by(fact, "product_category", years),
+        demand = sl.demand(made.demand())
+        return {"revenue_by_category": revenue_by(fact, "product_category"),
                 "latest_units": latest_units_by_category(demand),
                 "category_series": category_series(demand, category),
-                "top_products": top_products(slice_orders(fact, years), S.serving(spark, sf_dir, "dim_products"))}
+                "top_products": top_products(fact, S.serving(spark, sf_dir, "dim_products"))}
     if name == "customer_segment":
-        return {"cards": customer_cards(churn, S.serving(spark, sf_dir, "dim_customers")),
-                "segment_share": segment_share(fact, years),
-                "segment_table": segment_table_formatted(S.serving(spark, sf_dir, "segment_performance")),
+        churn = sl.churn(made.churn())
+        return {"cards": customer_cards(churn, customers),
+                "segment_share": segment_share(fact),
+                "segment_table": segment_table_formatted(sl.customers(S.serving(spark, sf_dir, "segment_performance"))),
+                "risk_distribution": risk_distribution(spark, churn),
                 "churn_scatter": churn_scatter(churn)}
     if name == "predictive_insights":
+        forecast, churn = sl.forecast(made.forecast()), sl.churn(made.churn())
         return {"cards": forecast_cards(forecast, churn),
                 "forecast_line": forecast_line(forecast),
                 "risk_distribution": risk_distribution(spark, churn),
-                "latest_units": latest_units_by_category(demand)}
+                "latest_units": latest_units_by_category(sl.demand(made.demand()))}
+    if name == "model_performance":
+        from orderlens.plans import metrics as MT
+        return {"matrix": MT.performance_pivot(made.performance())}
     raise ValueError(f"unknown page {name!r}; pages: {', '.join(PAGES)}")

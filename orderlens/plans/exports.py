@@ -1,4 +1,4 @@
-"""Serving-table export (IO5, IO6, IO8) as a registered rows-only query."""
+"""Serving-table export and typed reload (IO5-IO8) as registered queries."""
 
 from __future__ import annotations
 
@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from orderlens.operators import marts as M
 from orderlens.plans import metrics_q as MTQ
 from orderlens.plans import ml_queries as MQ
+from orderlens.plans import oracle as O
 from orderlens.plans import stages as S
 from orderlens.plans.catalog import register
+from orderlens.plans.dashboard import dsql
 from orderlens.session import ensure_checkpoint_dir
 from orderlens.sources import files as IO
 
@@ -41,10 +43,56 @@ def export_folder(spark: SparkSession, sf_dir: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "orderlens-export", digest)
 
 
-@register("export_manifest")
+def _counts_sql() -> str:
+    sources = {
+        "fact_orders": "cl", "dim_customers": "dimc", "dim_products": "(SELECT DISTINCT product_id FROM cl)",
+        "dim_date": "(SELECT unnest(generate_series(min(order_date), max(order_date) + INTERVAL 42 DAY, "
+                    "INTERVAL 1 DAY)) FROM cl)",
+        "weekly_kpis": "weekly", "campaign_performance": "(SELECT DISTINCT campaign_name FROM comp "
+                                                         "WHERE campaign_name IS NOT NULL)",
+        "sales_channel_performance": "(SELECT DISTINCT sales_channel FROM comp WHERE sales_channel IS NOT NULL)",
+        "segment_performance": "(SELECT DISTINCT customer_segment FROM comp WHERE customer_segment IS NOT NULL)",
+        "sales_forecast": "sf", "customer_churn_risk": "cr", "product_demand_predictions": "dp",
+        "model_performance": "range(8)"}
+    return dsql("\nUNION ALL\n".join(
+        f"SELECT '{t}' AS \"table\", 'OK' AS status, count(*) AS rows FROM {src} x" for t, src in sources.items()))
+
+
+@register("export_manifest", _counts_sql())
 def q_export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IO5 + IO8: write the serving tables as CSV, then list expected vs
-    present with size and row count (rows-only: sizes depend on the writer)."""
+    present with row counts (the size depends on the writer and is left out)."""
     folder = export_folder(spark, sf_dir)
     IO.export_serving(serving_tables(spark, sf_dir), folder)
-    return IO.export_manifest(spark, folder)
+    return IO.export_manifest(spark, folder).select("table", "status", "rows")
+
+
+BUNDLE = ("fact_orders", "weekly_kpis")
+
+
+def _bundle(spark: SparkSession, sf_dir: str, names) -> dict[str, DataFrame]:
+    folder = export_folder(spark, sf_dir) + "-bundle"
+    made = {"fact_orders": lambda: M.fact_orders(S.orders_clean(spark, sf_dir)),
+            "weekly_kpis": lambda: M.weekly_kpis(S.orders_clean(spark, sf_dir), S.customers(spark, sf_dir))}
+    IO.export_serving({n: made[n]() for n in names}, folder)
+    return IO.load_bundle(spark, folder, names)
+
+
+@register("bundle_weekly", dsql("SELECT * FROM weekly"))
+def q_bundle_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO5 + IO6: the weekly mart written as CSV and read back with its types."""
+    return _bundle(spark, sf_dir, ["weekly_kpis"])["weekly_kpis"]
+
+
+@register("bundle_views", dsql(f"""
+SELECT f.sales_channel, f.week_start, f.orders, {O.rnd('f.revenue', 2)} AS revenue, w.total_orders AS week_orders
+FROM (SELECT sales_channel, week_start, count(*) AS orders, CAST(sum(revenue) AS DOUBLE) AS revenue
+      FROM comp GROUP BY 1, 2) f JOIN weekly w ON w.week_start = f.week_start"""))
+def q_bundle_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO7: SQL over the temp views of the loaded bundle."""
+    _bundle(spark, sf_dir, BUNDLE)
+    return spark.sql("""
+SELECT f.sales_channel, f.week_start, f.orders, rint(f.revenue * 100) / 100 AS revenue, w.total_orders AS week_orders
+FROM (SELECT sales_channel, week_start, count(*) AS orders, sum(revenue) AS revenue
+      FROM fact_orders WHERE is_completed GROUP BY sales_channel, week_start) f
+JOIN weekly_kpis w ON w.week_start = f.week_start""")

@@ -57,7 +57,7 @@ def _star_aggs() -> str:
          CAST(sum(CASE WHEN is_completed THEN margin END) AS DOUBLE) AS gross_margin,
          count(DISTINCT CASE WHEN is_completed THEN customer_id END) AS active_customers,
          count(DISTINCT CASE WHEN is_completed AND COALESCE(is_repeat_customer, false) THEN customer_id END)
-             AS repeat_customers,
+             AS repeat_customers_model,
          sum(completed_orders) AS _co, sum(visits) AS _v, sum(cart_additions) AS _ca"""
 
 
@@ -70,7 +70,8 @@ def _star_select(keys: str = "") -> str:
     return f"""
 SELECT {k}total_revenue, total_orders, {_safe('total_revenue', 'total_orders')} AS average_order_value,
        units_sold, gross_margin, {_safe('gross_margin', 'total_revenue')} AS gross_margin_pct,
-       active_customers, repeat_customers, {_safe('repeat_customers', 'active_customers')} AS repeat_customer_rate,
+       active_customers, repeat_customers_model,
+       {_safe('repeat_customers_model', 'active_customers')} AS repeat_customer_rate_model,
        {_safe('_co', '_v')} AS conversion_rate, 1.0 - {_safe('_co', '_ca')} AS cart_abandonment_rate"""
 
 
@@ -90,7 +91,8 @@ def msql(select: str, extra: str = "") -> str:
 @register("measures_total", msql(f"""
 SELECT s.*,
        (SELECT CAST(sum(new_customers) AS BIGINT) FROM weekly) AS new_customers,
-       (SELECT CAST(count_if(purchase_frequency >= 2) AS BIGINT) FROM dimc) AS repeat_customers_dim,
+       (SELECT CAST(count_if(purchase_frequency >= 2) AS BIGINT) FROM dimc) AS repeat_customers,
+       {_safe('(SELECT count_if(purchase_frequency >= 2) FROM dimc)', 's.active_customers')} AS repeat_customer_rate,
        (SELECT CAST(count_if(risk_level = 'High') AS BIGINT) FROM cr) AS high_risk_customers,
        (SELECT {_safe("count_if(risk_level = 'High')", 'count(*)')} FROM cr) AS churn_risk_rate_model,
        (SELECT count(DISTINCT CASE WHEN demand_trend = 'Increasing' THEN product_category END) FROM dp)
@@ -102,11 +104,9 @@ def q_measures_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     # both churn measures in one aggregate over the churn table (one subquery)
     churn = (ME.evaluate(MQ.naive_churn_risk(spark, sf_dir), ["high_risk_customers", "churn_risk_rate_model"])
              .select(F.struct("*")).scalar())
-    return out.select(
+    return ME.with_plan_repeat(out, dim_customers_frame(spark, sf_dir)).select(
         "*",
         ME.evaluate_scalar(weekly_frame(spark, sf_dir), "new_customers").alias("new_customers"),
-        ME.evaluate_scalar(dim_customers_frame(spark, sf_dir), "repeat_customers_dim")
-        .alias("repeat_customers_dim"),
         churn.getField("high_risk_customers").alias("high_risk_customers"),
         churn.getField("churn_risk_rate_model").alias("churn_risk_rate_model"),
         ME.evaluate_scalar(MQ.naive_demand_predictions(spark, sf_dir), "increasing_demand_categories")
@@ -114,11 +114,20 @@ def q_measures_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("measures_by_segment", msql(star_sql("customer_segment", "customer_segment IS NOT NULL")))
+BY_SEGMENT_SQL = f"""
+SELECT s.*, COALESCE(d.n, 0) AS repeat_customers, {_safe('COALESCE(d.n, 0)', 's.active_customers')} AS repeat_customer_rate
+FROM ({star_sql("customer_segment", "customer_segment IS NOT NULL")}) s
+LEFT JOIN (SELECT customer_segment, CAST(count_if(purchase_frequency >= 2) AS BIGINT) AS n FROM dimc GROUP BY 1) d
+  ON d.customer_segment = s.customer_segment"""
+
+
+@register("measures_by_segment", msql(BY_SEGMENT_SQL))
 def q_measures_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Star measures under a customer-segment slicer."""
-    return ME.evaluate(star_frame(spark, sf_dir), ME.STAR_MEASURES, by=["customer_segment"],
-                       where=F.col("customer_segment").isNotNull())
+    """Star measures under a customer-segment slicer, repeat customers in both
+    definitions."""
+    out = ME.evaluate(star_frame(spark, sf_dir), ME.STAR_MEASURES, by=["customer_segment"],
+                      where=F.col("customer_segment").isNotNull())
+    return ME.with_plan_repeat(out, dim_customers_frame(spark, sf_dir), ["customer_segment"])
 
 
 @register("measures_by_year_quarter", msql(star_sql("year, quarter")))
@@ -305,7 +314,7 @@ WHERE c.week_start = (SELECT max(week_start) FROM weekly)"""
 SELECT context, measure, display FROM (
   SELECT customer_segment AS context,
          {', '.join(f'{_fmt_sql(n, ME.MEASURE_FORMATS[n])} AS {n}' for n in DISPLAYED)}
-  FROM ({star_sql('customer_segment', 'customer_segment IS NOT NULL')}) m
+  FROM ({BY_SEGMENT_SQL}) m
 ) UNPIVOT INCLUDE NULLS (display FOR measure IN ({', '.join(DISPLAYED)}))
 UNION ALL
 SELECT context, measure, display FROM (
@@ -316,8 +325,7 @@ def q_measures_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SC9: measures in the model's display formats, long form (context,
     measure, display): star measures per segment, and the calendar
     week-over-week measures of the latest week (signed format)."""
-    by_seg = ME.evaluate(star_frame(spark, sf_dir), DISPLAYED, by=["customer_segment"],
-                         where=F.col("customer_segment").isNotNull())
+    by_seg = q_measures_by_segment(spark, sf_dir)
     seg = ME.display(by_seg, DISPLAYED).select(
         F.col("customer_segment").alias("context"), *[F.col(f"{n}_display").alias(n) for n in DISPLAYED])
     latest = (q_wow_calendar(spark, sf_dir)

@@ -130,11 +130,8 @@ def performance_pivot(perf: DataFrame) -> DataFrame:
     piv = (perf.groupBy("model", "metric_type")
            .pivot("metric_name", list(PIVOT_METRICS))
            .agg(F.first("metric_value")))
-    best = perf.agg(
-        F.min(F.when(F.col("metric_name") == "MAE", F.col("metric_value"))).alias("best_mae"),
-        F.max(F.when(F.col("metric_name") == "F1", F.col("metric_value"))).alias("best_f1"),
-        F.max(F.when(F.col("metric_name") == "ROC_AUC", F.col("metric_value"))).alias("best_roc_auc"))
-    return piv.select("*",
-                      best.select("best_mae").scalar().alias("best_mae"),
-                      best.select("best_f1").scalar().alias("best_f1"),
-                      best.select("best_roc_auc").scalar().alias("best_roc_auc"))
+    # a window over the pivoted rows (one per model), so that the metric table
+    # is evaluated once
+    every = Window.partitionBy()
+    return piv.select("*", F.min("MAE").over(every).alias("best_mae"), F.max("F1").over(every).alias("best_f1"),
+                      F.max("ROC_AUC").over(every).alias("best_roc_auc"))

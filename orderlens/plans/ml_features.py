@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from orderlens.constants import (CLASS_THRESHOLD, FORECAST_HORIZON, LAGS, RISK_BIN_EDGES,
                                  RISK_LEVELS, TEST_WEEKS, TREND_DOWN, TREND_LABELS, TREND_UP)
 from orderlens.functions import exprs as E
+from orderlens.plans.stages import materialize_frame
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -113,7 +114,11 @@ def future_weekly_features(weekly: DataFrame, horizon: int = FORECAST_HORIZON) -
 
 def label_encode(df: DataFrame, col: str, out: str) -> DataFrame:
     """SC5: 0-based alphabetical code of ``col`` over its distinct values.
-    The dictionary is computed on the distinct labels only."""
+
+    The frame is written once: the dictionary (a row per label, small enough for
+    the planner to broadcast by its measured size) and the coded rows both read
+    it back instead of building it twice."""
+    df = materialize_frame(df, f"coded-{col}")
     codes = (df.select(col).distinct()
              .withColumn(out, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("bigint")))
     return df.join(codes, col, "left")

@@ -22,8 +22,10 @@ ranges only.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import threading
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -38,11 +40,12 @@ from orderlens.constants import (CHURN_FOREST_DEPTH, CHURN_FOREST_TREES, CHURN_T
                                  DEMAND_TEST_SHARE, FOREST_DEPTH, FOREST_TREES, GBT_DEPTH, GBT_ITERS,
                                  GBT_STEP, LOGREG_ITERS)
 from orderlens.constants import RANDOM_SEED as SEED
+from orderlens.functions import exprs as E
 from orderlens.plans import metrics as MT
 from orderlens.plans import ml_features as MF
 from orderlens.plans import ml_queries as MQ
 from orderlens.plans.catalog import register
-from orderlens.session import ensure_checkpoint_dir
+from orderlens.session import ensure_checkpoint_dir, input_version
 
 
 # the registered queries train at the source model's sizes
@@ -60,10 +63,10 @@ def exact_split(df: DataFrame, key: str, share: float, seed: int = SEED,
     3. a running count over those buckets finds, per stratum, the bucket where
        the k-th row lies and how many rows of it are needed (one row per
        stratum, broadcast: bounded by the number of classes);
-    4. inside that bucket the rows are ranked by (hash, key) with a window
-       partitioned by (stratum, bucket): a uniform hash spreads even a hot
-       class over 2^bits partitions.
-    ``key`` must identify a row."""
+    4. only the rows of that bucket are ranked by (hash, key), which gives the
+       last test row of each stratum; every row compares itself with it.
+    ``key`` must identify a row; ``strata`` must be a label, a column of few
+    values, as one row per value is broadcast."""
     shift = 31 - bucket_bits
     h = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 31))
     d = (df.withColumn("_h", h)
@@ -78,18 +81,16 @@ def exact_split(df: DataFrame, key: str, share: float, seed: int = SEED,
            .groupBy("_s").agg(F.min_by(F.struct("_b", "_cum", "_n", "_k"), "_b").alias("c"))
            .select("_s", F.col("c._b").alias("_cut_b"),
                    (F.col("c._k") - (F.col("c._cum") - F.col("c._n"))).alias("_need")))
+    # the last test row of a stratum: only rows of its cut bucket are ranked
     rank = F.row_number().over(Window.partitionBy("_s", "_b").orderBy("_h", key))
-    d = d.join(F.broadcast(cut), "_s", "left")
-    test = ((F.col("_b") < F.col("_cut_b"))
-            | ((F.col("_b") == F.col("_cut_b")) & (rank <= F.col("_need"))))
-    return d.withColumn("is_test", F.coalesce(test, F.lit(False))).drop("_h", "_b", "_s", "_cut_b", "_need")
-
-
-def hash_split(df: DataFrame, key, share: float, seed: int = SEED) -> DataFrame:
-    """Adds ``is_test``: a deterministic per-row hash decision with
-    probability ``share`` (stratification holds per label in expectation)."""
-    h = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_000))
-    return df.withColumn("is_test", h < F.lit(int(share * 1_000_000)))
+    inside = d.join(F.broadcast(cut), "_s").filter(F.col("_b") == F.col("_cut_b"))
+    last = (inside.select("_s", "_h", F.col(key).alias("_key"), "_need", rank.alias("_rank"))
+            .filter(F.col("_rank") == F.col("_need"))
+            .select("_s", F.struct(F.col("_h").alias("h"), F.col("_key").alias("k")).alias("_last")))
+    # one row per stratum, and strata is a label: a proven bound
+    d = d.join(F.broadcast(last), "_s", "left")
+    test = F.struct(F.col("_h").alias("h"), F.col(key).alias("k")) <= F.col("_last")
+    return d.withColumn("is_test", F.coalesce(test, F.lit(False))).drop("_h", "_b", "_s", "_last")
 
 
 def _pipeline(features, estimator) -> Pipeline:
@@ -97,17 +98,6 @@ def _pipeline(features, estimator) -> Pipeline:
                                             handleInvalid="keep"), estimator])
 
 
-def _mae(scored: DataFrame, label: str) -> float:
-    row = MT.regression_metrics(scored, label, "prediction", mape=False).first()
-    return float(row["mae"]) if row["mae"] is not None else float("inf")
-
-
-def _auc(scored: DataFrame, label: str) -> float:
-    s = scored.withColumn("_y", F.col(label).cast("bigint"))
-    row = MT.classification_metrics(s, "_y", "probability_1").first()
-    return float(row["roc_auc"]) if row["roc_auc"] is not None else 0.0
-
-
 def with_probability(df: DataFrame) -> DataFrame:
     return df.withColumn("probability_1", vector_to_array("probability")[1])
 
@@ -117,7 +107,8 @@ class Fitted:
     name: str
     model: PipelineModel
     features: tuple[str, ...]
-    holdout: dict = field(default_factory=dict)
+    holdout: dict = field(default_factory=dict)  # metrics by candidate
+    labels: tuple[str, ...] = ()
 
     def score(self, df: DataFrame) -> DataFrame:
         out = self.model.transform(df)
@@ -126,72 +117,106 @@ class Fitted:
         return out.drop("features", "rawPrediction", "probability")
 
 
+REGRESSION_METRICS = {"mae": "MAE", "rmse": "RMSE", "mape_pct": "MAPE_pct"}
+CLASS_METRICS = {"accuracy": "Accuracy", "precision": "Precision", "recall": "Recall", "f1": "F1", "roc_auc": "ROC_AUC"}
+
+
+def _holdout(scored: DataFrame, label: str, classes: bool) -> dict[str, float | None]:
+    """Every hold-out metric of a scored frame."""
+    if classes:
+        row = MT.classification_metrics(scored.withColumn("_y", F.col(label).cast("bigint")), "_y", "probability_1").first()
+        return {name: row[c] for c, name in CLASS_METRICS.items()}
+    row = MT.regression_metrics(scored, label, "prediction").first()
+    return {name: row[c] for c, name in REGRESSION_METRICS.items()}
+
+
+def _select(data: DataFrame, label: str, features: Sequence[str], candidates: dict[str, Callable], metric: str,
+            larger: bool) -> Fitted:
+    """Fit every candidate on the train rows, measure all on the hold-out, pick
+    by ``metric`` (ties and missing values: the first of the list).  The winner
+    carries the metrics of all."""
+    data = data.cache()
+    try:
+        train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
+        n_train = max(train.count(), 1)
+        fitted = {name: Fitted(name, _pipeline(features, make(n_train)).fit(train), tuple(features))
+                  for name, make in candidates.items()}
+        table = {name: _holdout(f.score(test), label, larger) for name, f in fitted.items()}
+    finally:
+        data.unpersist()
+    worst = float("-inf") if larger else float("inf")
+    value = {name: worst if m[metric] is None else m[metric] for name, m in table.items()}
+    best = (max if larger else min)(value, key=value.get)
+    fitted[best].holdout = table
+    return fitted[best]
+
+
 def train_forecast(weekly: DataFrame, forest_trees=FOREST_TREES, gbt_iters=GBT_ITERS) -> Fitted:
-    """ML7 / ML8 / ML13: fit both on the train weeks; keep the lower hold-out MAE
-    (strict improvement, random forest first)."""
-    weekly = weekly.cache()
-    train, test = weekly.filter(~F.col("is_test")), weekly.filter(F.col("is_test"))
-    cands = [
-        ("RandomForest", RandomForestRegressor(labelCol="revenue", numTrees=forest_trees,
-                                               maxDepth=FOREST_DEPTH, featureSubsetStrategy="all",
-                                               seed=SEED)),
-        ("GradientBoosting", GBTRegressor(labelCol="revenue", maxIter=gbt_iters, stepSize=GBT_STEP,
-                                          maxDepth=GBT_DEPTH, seed=SEED)),
-    ]
-    best, best_mae = None, float("inf")
-    for name, est in cands:
-        fitted = Fitted(name, _pipeline(MF.FORECAST_FEATURES, est).fit(train), MF.FORECAST_FEATURES)
-        mae = _mae(fitted.score(test), "revenue")
-        fitted.holdout = {"MAE": mae}
-        if mae < best_mae:
-            best, best_mae = fitted, mae
-    return best
+    """ML7 / ML8 / ML13: the lower hold-out MAE of forest and boosting wins."""
+    return _select(weekly, "revenue", MF.FORECAST_FEATURES, {
+        "RandomForest": lambda n: RandomForestRegressor(
+            labelCol="revenue", numTrees=forest_trees, maxDepth=FOREST_DEPTH, featureSubsetStrategy="all", seed=SEED),
+        "GradientBoosting": lambda n: GBTRegressor(
+            labelCol="revenue", maxIter=gbt_iters, stepSize=GBT_STEP, maxDepth=GBT_DEPTH, seed=SEED),
+    }, "MAE", larger=False)
 
 
 def train_churn(cust: DataFrame, forest_trees=CHURN_FOREST_TREES) -> Fitted:
-    """ML5 / ML9 / ML10 / ML13: keep the higher hold-out ROC-AUC."""
+    """ML5 / ML9 / ML10 / ML13: the higher hold-out ROC-AUC wins."""
     data = exact_split(cust.withColumn("label", F.col("is_churned").cast("double")),
-                       "customer_id", CHURN_TEST_SHARE, strata="label").cache()
-    train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
-    n_train = max(train.count(), 1)
-    cands = [
-        ("LogisticRegression", LogisticRegression(maxIter=LOGREG_ITERS, regParam=1.0 / n_train,
-                                                  elasticNetParam=0.0, standardization=False)),
-        ("RandomForest", RandomForestClassifier(numTrees=forest_trees, maxDepth=CHURN_FOREST_DEPTH,
-                                                featureSubsetStrategy="sqrt", seed=SEED)),
-    ]
-    best, best_auc = None, 0.0
-    for name, est in cands:
-        fitted = Fitted(name, _pipeline(MF.CHURN_FEATURES, est).fit(train), MF.CHURN_FEATURES)
-        auc = _auc(fitted.score(test), "label")
-        fitted.holdout = {"ROC_AUC": auc}
-        if best is None or auc > best_auc:
-            best, best_auc = fitted, auc
-    return best
+                       "customer_id", CHURN_TEST_SHARE, strata="label")
+    return _select(data, "label", MF.CHURN_FEATURES, {
+        "LogisticRegression": lambda n: LogisticRegression(
+            maxIter=LOGREG_ITERS, regParam=1.0 / n, elasticNetParam=0.0, standardization=False),
+        "RandomForest": lambda n: RandomForestClassifier(
+            numTrees=forest_trees, maxDepth=CHURN_FOREST_DEPTH, featureSubsetStrategy="sqrt", seed=SEED),
+    }, "ROC_AUC", larger=True)
 
 
 def train_demand(cat_wk: DataFrame, forest_trees=FOREST_TREES) -> Fitted:
     """ML6 / ML7 on the category-week frame."""
     keyed = cat_wk.withColumn("_key", F.concat_ws("|", "product_category", F.col("week_start").cast("string")))
-    data = exact_split(keyed, "_key", DEMAND_TEST_SHARE).drop("_key").cache()
-    est = RandomForestRegressor(labelCol="units", numTrees=forest_trees, maxDepth=FOREST_DEPTH,
-                                featureSubsetStrategy="all", seed=SEED)
-    fitted = Fitted("RandomForest", _pipeline(MF.DEMAND_FEATURES, est).fit(data.filter(~F.col("is_test"))),
-                    MF.DEMAND_FEATURES)
-    fitted.holdout = {"MAE": _mae(fitted.score(data.filter(F.col("is_test"))), "units")}
-    return fitted
+    data = exact_split(keyed, "_key", DEMAND_TEST_SHARE).drop("_key")
+    return _select(data, "units", MF.DEMAND_FEATURES, {
+        "RandomForest": lambda n: RandomForestRegressor(
+            labelCol="units", numTrees=forest_trees, maxDepth=FOREST_DEPTH, featureSubsetStrategy="all", seed=SEED),
+    }, "MAE", larger=False)
 
 
 # ---------------------------------------------------------------------------
 # IO9: persist / reload fitted pipelines
 # ---------------------------------------------------------------------------
 
-def save_model(fitted: Fitted, path: str) -> None:
-    fitted.model.write().overwrite().save(path)
+_CARD = "name string, features array<string>, labels array<string>"
 
 
-def load_model(path: str, name: str, features) -> Fitted:
-    return Fitted(name, PipelineModel.load(path), tuple(features))
+def save_model(fitted: Fitted, path: str, labels: Sequence[str] = ()) -> None:
+    """A bundle: the pipeline, and a card with the winner's name, its features
+    in order and the labels of the encoder (their place is their code)."""
+    fitted.model.write().overwrite().save(f"{path}/pipeline")
+    spark = SparkSession.getActiveSession()
+    spark.createDataFrame([(fitted.name, list(fitted.features), list(labels))], _CARD).coalesce(1).write.mode(
+        "overwrite").json(f"{path}/card")
+
+
+def load_model(path: str) -> Fitted:
+    """A bundle back, ready to score."""
+    card = SparkSession.getActiveSession().read.schema(_CARD).json(f"{path}/card").first()
+    return Fitted(card["name"], PipelineModel.load(f"{path}/pipeline"), tuple(card["features"]),
+                  labels=tuple(card["labels"] or ()))
+
+
+def save_models(models: dict[str, Fitted], folder: str, churn: DataFrame, demand: DataFrame) -> None:
+    """Bundles of all models; the encoders' labels are the distinct labels of
+    their frames (segments, categories)."""
+    segments = [r[0] for r in churn.select("customer_segment", "segment_enc").distinct().orderBy("segment_enc").collect()]
+    categories = [r[0] for r in demand.select("product_category", "cat_enc").distinct().orderBy("cat_enc").collect()]
+    for name, m in models.items():
+        save_model(m, f"{folder}/{name}", {"churn": segments, "demand": categories}.get(name, ()))
+
+
+def load_models(folder: str) -> dict[str, Fitted]:
+    return {name: load_model(f"{folder}/{name}") for name in ("forecast", "churn", "demand")}
 
 
 # ---------------------------------------------------------------------------
@@ -203,7 +228,8 @@ _FITTED: dict[tuple, dict[str, Fitted]] = {}
 
 
 def fitted_models(spark: SparkSession, sf_dir: str) -> dict[str, Fitted]:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    version = input_version(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), version)
     with _LOCK:
         if key not in _FITTED:
             weekly = MQ.weekly_frame(spark, sf_dir)
@@ -212,9 +238,9 @@ def fitted_models(spark: SparkSession, sf_dir: str) -> dict[str, Fitted]:
                 "churn": train_churn(MQ.churn_frame(spark, sf_dir), QUERY_SIZES["churn_forest_trees"]),
                 "demand": train_demand(MQ.demand_frame(spark, sf_dir), QUERY_SIZES["forest_trees"]),
             }
-            base = os.path.join(ensure_checkpoint_dir(spark), "orderlens-models")
-            for name, m in models.items():
-                save_model(m, os.path.join(base, name))
+            digest = hashlib.sha1(f"{os.path.abspath(sf_dir)} {version}".encode()).hexdigest()[:10]
+            save_models(models, os.path.join(ensure_checkpoint_dir(spark), "orderlens-models", digest),
+                        MQ.churn_frame(spark, sf_dir), MQ.demand_frame(spark, sf_dir))
             _FITTED[key] = models
         return _FITTED[key]
 
@@ -250,6 +276,17 @@ def q_model_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
         ms["demand"].score(MQ.demand_frame(spark, sf_dir)), ms["demand"].name)
 
 
+@register("holdout_metrics")
+def q_holdout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML11-ML13: every hold-out metric of every candidate, and which candidate
+    was picked (rows-only)."""
+    rows = [(model, name, metric, None if value is None else float(value), name == m.name)
+            for model, m in fitted_models(spark, sf_dir).items()
+            for name, metrics in m.holdout.items() for metric, value in metrics.items()]
+    return spark.createDataFrame(rows, "model string, candidate string, metric_name string, metric_value double, "
+                                       "picked boolean").withColumn("metric_value", E.rnd("metric_value", 4))
+
+
 @register("feature_importances")
 def q_feature_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML19: tree importances or linear coefficients per feature (rows-only)."""

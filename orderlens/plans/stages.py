@@ -19,18 +19,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.operators import clean as C
 from orderlens.operators import features as FT
-from orderlens.session import ensure_checkpoint_dir
+from orderlens.session import ensure_checkpoint_dir, input_version
 from orderlens.sources import tables as TB
 
 _LOCK = threading.RLock()
-_WRITTEN: dict[tuple[str, str, str], tuple] = {}
-_KEY_LOCKS: dict[tuple[str, str, str], threading.RLock] = {}
+_WRITTEN: dict[tuple[str, ...], tuple] = {}
+_KEY_LOCKS: dict[tuple[str, ...], threading.RLock] = {}
 
 _ADAPTER_ONLY = ("l_suppkey", "l_extendedprice", "l_tax", "l_shipdate")
 
 
-def _stage_path(spark: SparkSession, sf_dir: str, name: str) -> str:
-    digest = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10]
+def _stage_path(spark: SparkSession, sf_dir: str, name: str, version: str) -> str:
+    digest = hashlib.sha1(f"{os.path.abspath(sf_dir)} {version}".encode()).hexdigest()[:10]
     return os.path.join(ensure_checkpoint_dir(spark), "orderlens-stages", f"{name}-{digest}")
 
 
@@ -46,12 +46,14 @@ def materialize(spark: SparkSession, sf_dir: str, name: str, build,
                 partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``build()`` once per (application, input, stage) and read it back
     with the schema it was written with (partition columns keep their type).
-    Different stages may be built concurrently from several threads."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    New or rewritten input files make a new stage.  Different stages may be
+    built concurrently from several threads."""
+    version = input_version(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), version, name)
     with _key_lock(key):
         entry = _WRITTEN.get(key)
         if entry is None:
-            path = _stage_path(spark, sf_dir, name)
+            path = _stage_path(spark, sf_dir, name, version)
             df = build()
             if not partition_by:
                 # small serving tables: REBALANCE lets AQE coalesce the output

@@ -68,6 +68,20 @@ def input_bytes(spark: SparkSession, paths) -> int:
     return total
 
 
+def input_version(spark: SparkSession, folder: str) -> str:
+    """Size and latest change of the files of an input folder (metadata only):
+    another value means that something was added, removed or rewritten."""
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = fs.listFiles(hp, True)
+    size = count = latest = 0
+    while files.hasNext():
+        f = files.next()
+        size, count, latest = size + f.getLen(), count + 1, max(latest, f.getModificationTime())
+    return f"{count}-{size}-{latest}"
+
+
 def scale_conf(total_input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Shuffle sizing for a given input: enough shuffle partitions that the
     widest shuffle (the order-line fact, ~3x its compressed Parquet size once

@@ -56,3 +56,42 @@ def test_every_page_builds(spark, sf_dir):
         D.page(spark, sf_dir, "executive_overview", years=[], predictions="naive")
     with pytest.raises(ValueError):
         D.page(spark, sf_dir, "nope", predictions="naive")
+
+
+def test_slicers_reach_every_frame_of_a_page(spark, sf_dir):
+    segment = S.serving(spark, sf_dir, "dim_customers").select("customer_segment").first()[0]
+    sl = D.Slicers(segments=[segment], risk_levels=["Low"])
+    frames = D.page(spark, sf_dir, "customer_segment", predictions="naive", slicers=sl)
+    assert [r.customer_segment for r in frames["segment_share"].collect()] == [segment]
+    assert [r.segment for r in frames["segment_table"].collect()] == [segment]
+    assert {(r.customer_segment, r.risk_level) for r in frames["churn_scatter"].collect()} <= {(segment, "Low")}
+    assert frames["cards"].first().high_risk_customers == 0
+    assert set(D.page(spark, sf_dir, "model_performance", predictions="naive")) == {"matrix"}
+    assert D.page(spark, sf_dir, "model_performance", predictions="naive")["matrix"].count() == 3
+    for bad in ({"years": []}, {"segments": []}, {"risk_levels": []}):
+        with pytest.raises(ValueError):
+            D.Slicers(**bad)
+
+
+def test_pages_without_predictions_train_nothing(spark, sf_dir, monkeypatch):
+    from orderlens.plans import models as MD
+
+    def no_training(*args):
+        raise AssertionError("trained")
+    monkeypatch.setattr(MD, "fitted_models", no_training)
+    for name in ("executive_overview", "weekly_kpi_tracking"):
+        D.page(spark, sf_dir, name)
+
+
+def test_stage_follows_its_input(spark, sf_dir, tmp_path):
+    """New files under the same folder make a new stage."""
+    import shutil
+    copy = str(tmp_path / "sf")
+    shutil.copytree(sf_dir, copy)
+    first = S.orders_clean(spark, copy).count()
+    lines = spark.read.parquet(f"{copy}/lineitem.parquet").limit(7).toPandas()
+    shutil.move(f"{copy}/lineitem.parquet", f"{copy}/old")
+    old = spark.read.parquet(f"{copy}/old")
+    spark.createDataFrame(lines, old.schema).write.parquet(f"{copy}/lineitem.parquet")
+    assert S.orders_clean(spark, copy).count() <= 7 < first
+

@@ -13,7 +13,7 @@ def star(spark, sf_dir):
 
 
 def test_where_equals_prefiltered(star):
-    names = ["total_revenue", "active_customers", "repeat_customer_rate", "conversion_rate"]
+    names = ["total_revenue", "active_customers", "repeat_customer_rate_model", "conversion_rate"]
     a = ME.evaluate(star, names, where=F.col("sales_channel") == "1-URGENT").first()
     b = ME.evaluate(star.filter(F.col("sales_channel") == "1-URGENT"), names).first()
     assert a == b
@@ -27,7 +27,7 @@ def test_grouped_totals_add_up(star):
 
 
 def test_distinct_measures_plan_has_no_expand(star):
-    df = ME.evaluate(star, ["active_customers", "repeat_customers"], by=["year"])
+    df = ME.evaluate(star, ["active_customers", "repeat_customers_model"], by=["year"])
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan
     one = ME.evaluate(star, ["active_customers"], by=["year"]).orderBy("year").collect()

@@ -23,6 +23,11 @@ def test_learned_tables_have_sane_ranges(spark, sf_dir):
     assert (dem.predicted_units_sold >= 0).all()
     perf = qs["model_performance"](spark, sf_dir).toPandas()
     assert len(perf) == 8 and perf.metric_value.notna().all()
+    hold = qs["holdout_metrics"](spark, sf_dir).toPandas()
+    assert len(hold) == 2 * 3 + 2 * 5 + 3 and set(hold.model) == {"forecast", "churn", "demand"}
+    assert all(g[g.picked].candidate.nunique() == 1 for _, g in hold.groupby("model"))
+    mae = hold[(hold.model == "forecast") & (hold.metric_name == "MAE")]
+    assert mae[mae.picked].metric_value.item() == mae.metric_value.min()
     imp = qs["feature_importances"](spark, sf_dir).toPandas()
     assert set(imp.model) == {"forecast", "churn", "demand"}
 
@@ -30,8 +35,9 @@ def test_learned_tables_have_sane_ranges(spark, sf_dir):
 def test_model_save_load_roundtrip(spark, sf_dir, tmp_path):
     m = MD.fitted_models(spark, sf_dir)["demand"]
     path = str(tmp_path / "demand")
-    MD.save_model(m, path)
-    again = MD.load_model(path, m.name, m.features)
+    MD.save_model(m, path, ["x", "y"])
+    again = MD.load_model(path)
+    assert (again.name, again.features, again.labels) == (m.name, tuple(m.features), ("x", "y"))
     from orderlens.plans import ml_queries as MQ
     frame = MQ.demand_frame(spark, sf_dir)
     a = m.score(frame).agg(F.sum("prediction")).first()[0]

@@ -30,9 +30,9 @@ def test_star_measures_reduce_lines_before_the_customer_join(spark):
                                     "customer_id string, is_repeat_customer boolean")
         for by in ([], ["customer_segment"]):
             out = ME.evaluate(ME.star(fact, dim), ["total_revenue", "total_orders", "active_customers",
-                                                   "repeat_customers"], by=by)
+                                                   "repeat_customers_model"], by=by)
             row = out.first()
-            assert (row.total_orders, row.active_customers, row.repeat_customers) == (6000, 201, 101)
+            assert (row.total_orders, row.active_customers, row.repeat_customers_model) == (6000, 201, 101)
             plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
             depth = [len(x) - len(x.lstrip(" :+-")) for x in plan]
             join = next(i for i, x in enumerate(plan) if "Join LeftOuter" in x)
