@@ -73,3 +73,25 @@ MEASURE_FORMATS = {
 # Fields of a raw CSV that count as missing, in every column.
 MISSING_WORDS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
                  "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+# Model features in the order the models see them.
+FORECAST_FEATURES = ("week_num", "month", "quarter", "t",
+                     "revenue_lag1", "revenue_lag2", "revenue_lag4",
+                     "orders_lag1", "orders_lag2", "orders_lag4",
+                     "revenue_roll4", "avg_disc", "n_customers")
+CHURN_FEATURES = ("days_since_last_purchase", "purchase_frequency",
+                  "total_revenue", "avg_order_value", "segment_enc")
+DEMAND_FEATURES = ("cat_enc", "week_num", "month", "t",
+                   "units_lag1", "units_lag2", "units_lag4", "units_roll4")
+
+# Columns of the fact table.
+FACT_COLUMNS = (
+    "order_id", "order_date", "week_start", "year", "month",
+    "week_number", "quarter", "customer_id", "customer_segment",
+    "product_id", "product_category", "product_name",
+    "quantity", "unit_price", "discount", "revenue", "margin",
+    "city", "sales_channel", "campaign_name",
+    "visits", "cart_additions", "completed_orders",
+    "payment_method", "order_status", "is_completed",
+    "conversion_rate", "cart_abandonment_rate",
+)

@@ -23,22 +23,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.constants import DIM_DATE_BUFFER_DAYS
+from orderlens.constants import DIM_DATE_BUFFER_DAYS, FACT_COLUMNS
 from orderlens.functions import exprs as E
 
 ROW_ORDER = ("order_date", "order_id")
 
-FACT_COLUMNS = (
-    "order_id", "order_date", "week_start", "year", "month",
-    "week_number", "quarter", "customer_id", "customer_segment",
-    "product_id", "product_category", "product_name",
-    "quantity", "unit_price", "discount", "revenue", "margin",
-    "city", "sales_channel", "campaign_name",
-    "visits", "cart_additions", "completed_orders",
-    "payment_method", "order_status", "is_completed",
-    "conversion_rate", "cart_abandonment_rate",
-)
-
 MONEY_COLUMNS = ("unit_price", "discount", "revenue", "margin")
 
 

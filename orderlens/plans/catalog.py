@@ -104,7 +104,8 @@ SELECT customer_id, last_purchase_date, days_since_last_purchase, purchase_frequ
        total_revenue, avg_order_value, total_units, is_repeat_customer, is_churned
 FROM rfm"""))
 def q_customer_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.customers(spark, sf_dir)
+    """MT1 from the fact (consumers read the stored table)."""
+    return FT.customer_rfm(S.orders_clean(spark, sf_dir))
 
 
 PRODUCT_WEEKLY_SQL = """

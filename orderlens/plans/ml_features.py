@@ -19,7 +19,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.constants import (CLASS_THRESHOLD, FORECAST_HORIZON, LAGS, RISK_BIN_EDGES,
+from orderlens.constants import (CHURN_FEATURES, CLASS_THRESHOLD, DEMAND_FEATURES, FORECAST_FEATURES,
+                                 FORECAST_HORIZON, LAGS, RISK_BIN_EDGES,
                                  RISK_LEVELS, TEST_WEEKS, TREND_DOWN, TREND_LABELS, TREND_UP)
 from orderlens.functions import exprs as E
 from orderlens.plans.stages import materialize_frame
@@ -27,16 +28,6 @@ from orderlens.plans.stages import materialize_frame
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-FORECAST_FEATURES = ("week_num", "month", "quarter", "t",
-                     "revenue_lag1", "revenue_lag2", "revenue_lag4",
-                     "orders_lag1", "orders_lag2", "orders_lag4",
-                     "revenue_roll4", "avg_disc", "n_customers")
-CHURN_FEATURES = ("days_since_last_purchase", "purchase_frequency",
-                  "total_revenue", "avg_order_value", "segment_enc")
-DEMAND_FEATURES = ("cat_enc", "week_num", "month", "t",
-                   "units_lag1", "units_lag2", "units_lag4", "units_roll4")
-
-
 def _prev_mean(col: str, w: Window, n: int = 4):
     """Mean of the previous ``n`` rows, NULL unless all ``n`` exist.  Summed
     oldest-first in a fixed order so the double result is reproducible."""
