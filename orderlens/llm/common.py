@@ -3,7 +3,9 @@ shared checkpoint folder, and the document order."""
 
 from __future__ import annotations
 
+import gc
 import os
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,6 +49,22 @@ def stage_table(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_tag(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Column:
+    """``text_tag`` where some doc_id comes more than once, else a constant: with
+    unique ids the second part of the key says nothing and need not travel."""
+    again = docs.groupBy(doc_order(doc_id).alias("o")).count().where("count > 1").limit(1).count()
+    return text_tag(text) if again else F.lit(0).cast("long")
+
+
+def release(spark: SparkSession) -> None:
+    """Drop shuffle files that no frame refers to any more, before the next large
+    shuffle (Spark does so at its own ``spark.cleaner.periodicGC.interval``)."""
+    for _ in range(2):  # the cleaner works beside the driver: give it a moment
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.7)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

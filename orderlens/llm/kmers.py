@@ -19,14 +19,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from orderlens.llm import packs as P
-from orderlens.llm.common import shuffle_partitions, stage_table, table, workers_import
+from orderlens.llm.common import release, row_tag, stage_table, table, workers_import
 
 WINDOW_WORDS, GRAM_WORDS = 20, 3
-#: Text bytes of a shard; buckets per shuffle partition.
-SHARD_BYTES, BUCKETS_PER_PARTITION = 6_000_000, 2
+#: Text bytes of a shard, and of what one bucket gets on average.
+SHARD_BYTES, BUCKET_BYTES = 6_000_000, 4_000_000
 #: Bits of a minimiser that go along; the bit above them marks a piece which may
 #: repeat a window within itself.
 VALUE_BITS = 0x7FFFFFFF
@@ -177,13 +177,13 @@ def _bucket(window: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW_WORDS, gram: int = GRAM_WORDS,
+def repeated_spans(docs: DataFrame, tag: Column, window: int = WINDOW_WORDS, gram: int = GRAM_WORDS,
                    shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Word intervals (_o, _tag, a, b) to remove, written once."""
     spark = docs.sparkSession
     workers_import(spark)
-    buckets = BUCKETS_PER_PARTITION * shuffle_partitions(spark)
-    sent = P.keyed(docs).mapInArrow(P.by_shard(_shard_packs(window, gram, buckets), shard_bytes), P.PACKS)
+    buckets = P.bucket_count(docs, BUCKET_BYTES)
+    sent = P.keyed(docs, tag).mapInArrow(P.by_shard(_shard_packs(window, gram, buckets), shard_bytes), P.PACKS)
     return stage_table(sent.groupBy("bucket").applyInArrow(_bucket(window), P.INTERVALS), "repeated-words")
 
 
@@ -217,7 +217,10 @@ def dedup_windows(docs: DataFrame, window: int = WINDOW_WORDS, gram: int = GRAM_
     by doc_id (NULL last), rows that share a doc_id by the hash of their text;
     rows equal in both are one document and get its result each.  An empty table
     gives none; other columns are ignored.  Texts of any length go whole."""
-    rows = P.with_spans(docs, repeated_spans(docs, window, gram, shard_bytes))
+    tag = row_tag(docs)
+    found = repeated_spans(docs, tag, window, gram, shard_bytes)
+    release(docs.sparkSession)
+    rows = P.with_spans(docs, tag, found)
     return rows.mapInArrow(_digest(with_text), _DEDUPED + (", kept string" if with_text else ""))
 
 

@@ -8,10 +8,10 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import doc_order, text_tag
+from orderlens.llm.common import doc_order
 
 INTERVALS = "_o long, _tag long, a int, b int"
 PACKS = "bucket int, payload binary"
@@ -19,14 +19,14 @@ _PACK_SCHEMA = pa.schema([("bucket", pa.int32()), ("payload", pa.binary())])
 _INTERVAL_SCHEMA = pa.schema([("_o", pa.int64()), ("_tag", pa.int64()), ("a", pa.int32()), ("b", pa.int32())])
 
 
-def pack(arrays: Iterable[np.ndarray | bytes]) -> bytes:
+def pack(arrays: Iterable[np.ndarray | bytes], level: int = 1) -> bytes:
     """Arrays one after the other, each with type and size, compressed."""
     parts = []
     for x in arrays:
         data = x if isinstance(x, bytes) else x.tobytes()
         kind = b"bytes" if isinstance(x, bytes) else x.dtype.str.encode()
         parts += [kind.ljust(8), len(data).to_bytes(8, "little"), data]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+    return zstandard.ZstdCompressor(level=level).compress(b"".join(parts))
 
 
 def unpack(payload: bytes) -> list:
@@ -76,6 +76,16 @@ def intervals(o: np.ndarray, tag: np.ndarray, start: np.ndarray, window: int) ->
             (start[last] + window).astype("<i4")]
 
 
+def first_of_each(texts: list[bytes], o: np.ndarray, tag: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of pieces in order of place: the first of each, and later copies (not
+    those at the first one's place, which are the same piece sent twice)."""
+    seen: dict[bytes, int] = {}
+    lead = np.fromiter((seen.setdefault(t, i) for i, t in enumerate(texts)), np.int64, len(texts))
+    place = np.arange(len(texts))
+    other = (o != o[lead]) | (tag != tag[lead]) | (start != start[lead])
+    return place[lead == place], place[(lead != place) & other]
+
+
 def interval_table(found: list[list[np.ndarray]]) -> pa.Table:
     columns = [np.concatenate([f[i] for f in found]) for i in range(4)] if found else [np.zeros(0)] * 4
     return pa.table([pa.array(c, t) for c, t in zip(columns, _INTERVAL_SCHEMA.types)], schema=_INTERVAL_SCHEMA)
@@ -128,16 +138,23 @@ def by_shard(work: Callable[[Shard], Iterator[tuple[int, bytes]]], shard_bytes:
     return run
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(doc_order().alias("_o"), text_tag().alias("_tag"), F.col("text").cast("string"))
+def keyed(docs: DataFrame, tag: Column) -> DataFrame:
+    return docs.select(doc_order().alias("_o"), tag.alias("_tag"), F.col("text").cast("string"))
+
+
+def bucket_count(docs: DataFrame, text_bytes: int) -> int:
+    """Buckets that hold what ``text_bytes`` of text send, on average: their
+    number follows the data, so a bucket fits in memory at any size."""
+    total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    return int(-(-total // text_bytes)) + 1
 
 
-def with_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
+def with_spans(docs: DataFrame, tag: Column, found: DataFrame) -> DataFrame:
     """(doc_id, text, spans) for every row: the intervals of its document,
     gathered by document before they meet the texts."""
     spans = found.groupBy("_o", "_tag").agg(F.collect_list(F.struct("a", "b")).alias("spans")).select(
         F.col("_o").alias("_so"), F.col("_tag").alias("_st"), "spans")
-    rows = docs.select(F.col("doc_id").cast("long"), doc_order().alias("_o"), text_tag().alias("_tag"),
+    rows = docs.select(F.col("doc_id").cast("long"), doc_order().alias("_o"), tag.alias("_tag"),
                        F.col("text").cast("string"))
     return rows.join(spans, (F.col("_o") == F.col("_so")) & (F.col("_tag") == F.col("_st")), "left").select(
         "doc_id", "text", "spans")

@@ -21,18 +21,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from orderlens.llm import packs as P
-from orderlens.llm.common import shuffle_partitions, stage_table, table, workers_import
+from orderlens.llm.common import release, row_tag, stage_table, table, workers_import
 from orderlens.llm.kmers import sliding_min
 
-WINDOW_BYTES, GRAM_BYTES = 100, 8
+#: A gram of 16 bytes is two or three words: texts that are no copies rarely share
+#: one, and runs of windows with one minimiser stay long.
+WINDOW_BYTES, GRAM_BYTES = 100, 16
 #: A suffix array holds fewer bytes than 2^21, so that two ranks and a place fit
 #: one 64-bit sort key.
 PLACE_BITS = 21
-SHARD_BYTES = 2_000_000
-BUCKETS_PER_PARTITION = 2
+#: Text bytes of one suffix array, of the shard that packs several of them, and
+#: of what one bucket gets on average: what survives in a bucket then mostly fits
+#: one suffix array.
+ARRAY_BYTES, SHARD_BYTES, BUCKET_BYTES = 2_000_000, 16_000_000, 2_000_000
+#: Bits of a minimiser that go along with a piece.
+VALUE_BYTES = 3
 _MASK = np.uint64((1 << PLACE_BITS) - 1)
 _BITS = np.uint64(PLACE_BITS)
 
@@ -153,13 +159,19 @@ def _segments(o: np.ndarray, tag: np.ndarray, texts: list[bytes], window: int,
 
 
 def _minimisers(data: np.ndarray, gram: int, window: int) -> np.ndarray:
-    """Smallest gram hash of every window of ``data`` (all places)."""
+    """Smallest gram hash of every window of ``data`` (all places).  Hashes of
+    short stretches are combined into those of ``gram`` bytes."""
+    part = 4 if gram % 4 == 0 else gram
+    words = np.zeros(len(data) - part + 1, np.uint64)
+    for k in range(part):
+        words = words * np.uint64(0x100000001B3) + data[k:k + len(words)]
+    words *= np.uint64(0x9E3779B97F4A7C15)
+    words ^= words >> np.uint64(32)
     n = len(data) - gram + 1
     acc = np.zeros(n, np.uint64)
-    for k in range(gram):
-        acc = acc * np.uint64(0x100000001B3) + data[k:k + n]
-    acc *= np.uint64(0x9E3779B97F4A7C15)
-    acc ^= acc >> np.uint64(32)
+    for k in range(0, gram, part):
+        acc = acc * np.uint64(0xC2B2AE3D27D4EB4F) + words[k:k + n]
+    acc ^= acc >> np.uint64(31)
     acc *= np.uint64(0xD6E8FEB86659FD93)
     return sliding_min(acc ^ acc >> np.uint64(29), window - gram + 1)
 
@@ -167,6 +179,8 @@ def _minimisers(data: np.ndarray, gram: int, window: int) -> np.ndarray:
 def _shard_packs(window: int, gram: int, buckets: int, most: int):
     def work(shard: P.Shard) -> Iterator[tuple[int, bytes]]:
         o, tag, texts = shard.in_order()
+        out: dict[int, list[tuple]] = {}
+        spans = [[np.zeros(0, t) for t in ("<i8", "<i8", "<i4", "<i4")]]
         for part in _segments(o, tag, texts, window, most):
             doc = np.array([d for d, _, _ in part], np.int64)
             base = np.array([at for _, at, _ in part], np.int64)
@@ -176,7 +190,7 @@ def _shard_packs(window: int, gram: int, buckets: int, most: int):
                 continue
             piece, offset, valid, late, _ = repeats(pieces, window)
             d = doc[piece[late]]
-            spans = P.intervals(o[d], tag[d], base[piece[late]] + offset[late], window)
+            spans.append(P.intervals(o[d], tag[d], base[piece[late]] + offset[late], window))
             goes = valid.copy()
             goes[late] = False
             least = _minimisers(np.frombuffer(data, np.uint8), gram, window)
@@ -186,22 +200,30 @@ def _shard_packs(window: int, gram: int, buckets: int, most: int):
             bucket = ((value >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
             a, b, value, bucket = a[by], b[by], value[by], bucket[by]
+            at = piece[a]
+            columns = (o[doc[at]], tag[doc[at]], base[at] + offset[a], b - a, value)
             cut = np.flatnonzero(np.diff(bucket)) + 1
-            groups = list(zip([0, *cut.tolist()], [*cut.tolist(), len(a)])) if len(a) else []
-            if not groups and len(spans[0]):
-                yield int(abs(o[0])) % buckets, _pack(o, tag, doc, base, piece, offset, a, b, value, data, spans)
-            for i, j in groups:
-                yield int(bucket[i]), _pack(o, tag, doc, base, piece, offset, a[i:j], b[i:j], value[i:j], data, spans)
-                spans = [s[:0] for s in spans]
+            for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(a)]) if len(a) else ():
+                run = b"".join([data[x:y] for x, y in zip(a[i:j].tolist(), b[i:j].tolist())])
+                out.setdefault(int(bucket[i]), []).append((*(c[i:j] for c in columns), run))
+        local = [np.concatenate(c) for c in zip(*spans)]
+        if len(local[0]) and not out:
+            out[int(abs(o[0])) % buckets] = []
+        for k, rows in out.items():
+            yield k, _pack(rows, local)
+            local = [c[:0] for c in local]
 
     return work
 
 
-def _pack(o, tag, doc, base, piece, offset, a, b, value, data, spans) -> bytes:
-    at = piece[a]
-    return P.pack([o[doc[at]].astype("<i8"), tag[doc[at]].astype("<i8"), (base[at] + offset[a]).astype("<i4"),
-                   (b - a).astype("<i4"), value.astype(np.uint32),
-                   b"".join([data[x:y] for x, y in zip(a.tolist(), b.tolist())]), *spans])
+def _pack(rows: list[tuple], spans: list[np.ndarray]) -> bytes:
+    """Pieces of a bucket: document, tag, start, length, some bytes of the
+    minimiser and the bytes themselves; and the shard's own intervals."""
+    o, tag, start, size, value = ([r[k] for r in rows] for k in range(5))
+    join = lambda c, kind: np.concatenate([np.zeros(0, np.int64), *c]).astype(kind)
+    low = np.concatenate([np.zeros(0, np.uint64), *value]).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :VALUE_BYTES]
+    return P.pack([join(o, "<i8"), join(tag, "<i8"), join(start, "<i4"), join(size, "<i4"),
+                   np.ascontiguousarray(low).ravel(), b"".join(r[5] for r in rows), *spans], level=6)
 
 
 class _Merged:
@@ -265,7 +287,8 @@ def _bucket(window: int, most: int):
             if len(po):
                 ends = np.cumsum(size, dtype=np.int64)
                 pieces.append((data, ends - size, ends))
-                for c, x in zip(columns, (po, pt, ps, value)):
+                low = value.reshape(-1, VALUE_BYTES).astype(np.uint32)
+                for c, x in zip(columns, (po, pt, ps, sum(low[:, k] << (8 * k) for k in range(VALUE_BYTES)))):
                     c.append(x)
         if not pieces:
             return P.interval_table(out)
@@ -277,6 +300,15 @@ def _bucket(window: int, most: int):
         keep = np.flatnonzero(shared)
         keep = keep[np.lexsort((start[keep], tag[keep], o[keep]))]
         texts = [pieces[w][0][x:y] for w, x, y in zip(which[keep].tolist(), begin[keep].tolist(), end[keep].tolist())]
+        # copies of a whole piece go at once; suffix arrays see different ones
+        first, again = P.first_of_each(texts, o[keep], tag[keep], start[keep])
+        if len(again):
+            at = keep[again]
+            out.append([o[at].astype("<i8"), tag[at].astype("<i8"), start[at].astype("<i4"),
+                        (start[at] + (end - begin)[at]).astype("<i4")])
+        _, inverse = np.unique(value[keep[first]], return_inverse=True)
+        first = first[np.bincount(inverse)[inverse] > 1] if len(first) else first
+        keep, texts = keep[first], [texts[i] for i in first.tolist()]
         sizes = np.cumsum([len(t) for t in texts]) if texts else np.zeros(0, np.int64)
         # chunks hold whole pieces: a piece is shorter than a segment of a shard
         late, merged, i = [], _Merged(window), 0
@@ -297,14 +329,14 @@ def _bucket(window: int, most: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW_BYTES, gram: int = GRAM_BYTES,
-                   shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def repeated_spans(docs: DataFrame, tag: Column, window: int = WINDOW_BYTES, gram: int = GRAM_BYTES,
+                   shard_bytes: int = SHARD_BYTES, array_bytes: int = ARRAY_BYTES) -> DataFrame:
     """Byte intervals (_o, _tag, a, b) to remove, written once."""
     spark = docs.sparkSession
     workers_import(spark)
-    buckets = BUCKETS_PER_PARTITION * shuffle_partitions(spark)
-    sent = P.keyed(docs).mapInArrow(P.by_shard(_shard_packs(window, gram, buckets, shard_bytes), shard_bytes), P.PACKS)
-    return stage_table(sent.groupBy("bucket").applyInArrow(_bucket(window, shard_bytes), P.INTERVALS), "repeated-bytes")
+    buckets = P.bucket_count(docs, BUCKET_BYTES)
+    sent = P.keyed(docs, tag).mapInArrow(P.by_shard(_shard_packs(window, gram, buckets, array_bytes), shard_bytes), P.PACKS)
+    return stage_table(sent.groupBy("bucket").applyInArrow(_bucket(window, array_bytes), P.INTERVALS), "repeated-bytes")
 
 
 _DEDUPED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -329,7 +361,8 @@ def _digest(with_bytes: bool):
 
 
 def dedup_bytes(docs: DataFrame, window: int = WINDOW_BYTES, gram: int = GRAM_BYTES,
-                shard_bytes: int = SHARD_BYTES, with_bytes: bool = False) -> DataFrame:
+                shard_bytes: int = SHARD_BYTES, array_bytes: int = ARRAY_BYTES,
+                with_bytes: bool = False) -> DataFrame:
     """Remove repeated byte strings from ``docs`` (doc_id, text), a row per row:
     doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and,
     if asked, the kept bytes (which may cut a character).
@@ -339,7 +372,10 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW_BYTES, gram: int = GRAM_BY
     rows equal in both are one document and get its result each.  An empty table
     gives none; other columns are ignored.  Texts of any length go whole, longer
     ones in parts that overlap by a window less one byte."""
-    rows = P.with_spans(docs, repeated_spans(docs, window, gram, shard_bytes))
+    tag = row_tag(docs)
+    found = repeated_spans(docs, tag, window, gram, shard_bytes, array_bytes)
+    release(docs.sparkSession)
+    rows = P.with_spans(docs, tag, found)
     return rows.mapInArrow(_digest(with_bytes), _DEDUPED + (", kept binary" if with_bytes else ""))
 
 

@@ -68,7 +68,7 @@ def test_suffix_arrays_brute(spark, seed, shard):
     df = words_df(spark, seed).withColumn("text", F.regexp_replace("text", "c", "é"))
     want = brute(df, 13, lambda b: list(b))
     got = sorted(str((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept))) for r in
-                 suffixes.dedup_bytes(df, 13, 4, shard, with_bytes=True).collect())
+                 suffixes.dedup_bytes(df, 13, 4, 3 * shard, shard, with_bytes=True).collect())
     rows = []
     for r in df.collect():
         units, gone = want[key(r.doc_id, r.text)]
