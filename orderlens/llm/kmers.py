@@ -15,7 +15,8 @@ in a third of all rows reaches its bucket once per shard.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ SHARD_BYTES, BUCKET_BYTES = 6_000_000, 4_000_000
 #: Bits of a minimiser that go along; the bit above them marks a piece which may
 #: repeat a window within itself.
 VALUE_BITS = 0x7FFFFFFF
+#: Two ranks and a place of so many bits fit one sort key.
+RANK_BITS = 21
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -51,34 +54,40 @@ def gram_hashes(hashes: np.ndarray, m: int) -> np.ndarray:
     return acc ^ (acc >> np.uint64(29))
 
 
-def _shard_packs(window: int, gram: int, buckets: int):
-    import xxhash
+class _Known(dict):
+    """Values of words by a function, each worked out once."""
+
+    def __init__(self, value: Callable):
+        self.value = value
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = v = self.value(word)
+        return v
 
+    def of(self, words, count: int, kind) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), kind, count)
+
+
+def _shard_packs(window: int, gram: int, buckets: int):
     def work(shard: P.Shard) -> Iterator[tuple[int, bytes]]:
+        import xxhash
         o, tag, texts = shard.in_order()
-        known: dict[bytes, int] = {}
+        known = _Known(xxhash.xxh64_intdigest)
         sent: set[bytes] = set()
-        digest = xxhash.xxh64_intdigest
         out: dict[int, list] = {}
         local = []
         for d, data in enumerate(texts):
             words = data.split()
             if len(words) < window:
                 continue
-            hashes = np.empty(len(words), np.uint64)
-            for i, w in enumerate(words):
-                h = known.get(w)
-                if h is None:
-                    h = known[w] = digest(w)
-                hashes[i] = h
-            grams = gram_hashes(hashes, gram)
+            grams = gram_hashes(known.of(words, len(words), np.uint64), gram)
             least = sliding_min(grams, window - gram + 1)
             # only a run that holds its minimiser twice can repeat a window
             twice = len(np.unique(grams)) < len(grams)
             cut = np.flatnonzero(least[1:] != least[:-1]) + 1
             first, last = [0, *cut.tolist()], [*cut.tolist(), len(least)]
             joined = b" ".join(words)
-            starts = np.cumsum([0] + [len(w) + 1 for w in words]).tolist()
+            starts = [0, *np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1).tolist()]
             for a, b, value in zip(first, last, least[first].tolist()):
                 piece = joined[starts[a]:starts[b + window - 1] - 1]
                 if piece in sent:
@@ -107,7 +116,18 @@ def window_ranks(ids: np.ndarray, window: int) -> np.ndarray:
     """Equal numbers for equal windows of ``ids`` and for no others: pairs of
     ranks are sorted into ranks of twice the length."""
     def join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.unique(a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64), return_inverse=True)[1]
+        n, place = len(a), np.uint64(RANK_BITS)
+        if max(n, a.max(initial=0) + 1, b.max(initial=0) + 1) > 1 << RANK_BITS:
+            return np.unique(a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64), return_inverse=True)[1]
+        # both ranks and the place in one word: sorting values beats sorting indices
+        key = (a.astype(np.uint64) << place | b.astype(np.uint64)) << place | np.arange(n, dtype=np.uint64)
+        key.sort()
+        pair = key >> place
+        out = np.empty(n, np.int64)
+        new = np.zeros(n, np.int64)
+        new[1:] = pair[1:] != pair[:-1]
+        out[(key & np.uint64((1 << RANK_BITS) - 1)).astype(np.int64)] = np.cumsum(new)
+        return out
 
     powers, size = {1: ids}, 1
     while size * 2 <= window:
@@ -126,10 +146,10 @@ def repeated_windows(pieces: list[bytes], o: np.ndarray, tag: np.ndarray, start:
                      window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(o, tag, start) of every window of the pieces that also starts earlier.
     Occurrences at one place of one document are the same occurrence."""
-    number: dict[bytes, int] = {}
     lists = [p.split(b" ") for p in pieces]
-    size = np.array([len(w) for w in lists], np.int64)
-    ids = np.fromiter((number.setdefault(w, len(number)) for words in lists for w in words), np.int64, size.sum())
+    size = np.fromiter(map(len, lists), np.int64, len(lists))
+    number = _Known(lambda word: len(number))
+    ids = number.of(chain.from_iterable(lists), int(size.sum()), np.int64)
     piece = np.repeat(np.arange(len(pieces)), size)
     offset = np.arange(len(ids)) - np.repeat(np.cumsum(size) - size, size)
     whole = np.flatnonzero(offset + window <= size[piece])
@@ -169,9 +189,21 @@ def _bucket(window: int):
             if len(keep):
                 texts = [p for text, flags in zip(pieces, np.split(shared, np.cumsum(lengths)[:-1])) if flags.any()
                          for p, f in zip(text.split(b"\n"), flags.tolist()) if f]
-                found = repeated_windows(texts, np.concatenate(o)[keep], np.concatenate(tag)[keep],
-                                         np.concatenate(start)[keep].astype(np.int64), window)
-                out.append(P.intervals(*found, window))
+                ko, kt, ks = (np.concatenate(c)[keep] for c in (o, tag, start))
+                by = np.lexsort((ks, kt, ko))
+                keep, ko, kt, ks, texts = keep[by], ko[by], kt[by], ks[by].astype(np.int64), [texts[i] for i in by]
+                # copies of a whole piece go at once; windows are counted in different ones
+                first, again = P.first_of_each(texts, ko, kt, ks)
+                if len(again):
+                    size = np.fromiter((texts[i].count(b" ") + 1 for i in again), np.int64, len(again))
+                    out.append([ko[again].astype("<i8"), kt[again].astype("<i8"), ks[again].astype("<i4"),
+                                (ks[again] + size).astype("<i4")])
+                mark = every[keep[first]]
+                _, inverse = np.unique(mark & VALUE_BITS, return_inverse=True)
+                first = first[(np.bincount(inverse)[inverse] > 1) | (mark > VALUE_BITS)]
+                if len(first):
+                    found = repeated_windows([texts[i] for i in first], ko[first], kt[first], ks[first], window)
+                    out.append(P.intervals(*found, window))
         return P.interval_table(out)
 
     return run
