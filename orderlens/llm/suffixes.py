@@ -36,7 +36,7 @@ PLACE_BITS = 21
 #: Text bytes of one suffix array, of the shard that packs several of them, and
 #: of what one bucket gets on average: what survives in a bucket then mostly fits
 #: one suffix array.
-ARRAY_BYTES, SHARD_BYTES, BUCKET_BYTES = 2_000_000, 16_000_000, 2_000_000
+ARRAY_BYTES, SHARD_BYTES, BUCKET_BYTES = 2_000_000, 8_000_000, 2_000_000
 #: Bits of a minimiser that go along with a piece.
 VALUE_BYTES = 3
 _MASK = np.uint64((1 << PLACE_BITS) - 1)
