@@ -15,6 +15,14 @@ from orderlens.llm.common import doc_order
 
 INTERVALS = "_o long, _tag long, a int, b int"
 PACKS = "bucket int, payload binary"
+#: Pieces of one minimiser from which its windows are dealt one by one, and bytes
+#: of single windows in each of the buckets they go to, on average.
+HOT_PIECES, HOT_BUCKET_BYTES = 10_000, 16_000_000
+#: Text bytes counted together, those looked at in one go, and pieces of one
+#: minimiser below which such a stretch does not report it.
+COUNT_BYTES, PART_BYTES, LEAST_PIECES = 64_000_000, 4_000_000, 16
+#: Bytes of pieces a shard holds before it sends them on.
+HELD_BYTES = 48_000_000
 _PACK_SCHEMA = pa.schema([("bucket", pa.int32()), ("payload", pa.binary())])
 _INTERVAL_SCHEMA = pa.schema([("_o", pa.int64()), ("_tag", pa.int64()), ("a", pa.int32()), ("b", pa.int32())])
 
@@ -149,6 +157,50 @@ def bucket_count(docs: DataFrame, text_bytes: int) -> int:
     return int(-(-total // text_bytes)) + 1
 
 
+def _counted(pieces_of: Callable, least: int) -> Callable:
+    def report(found: list[tuple]) -> pa.RecordBatch:
+        value, mark, windows = (np.concatenate(c) for c in zip(*found))
+        _, first = np.unique(mark, return_index=True)
+        values, inverse, count = np.unique(value[first], return_inverse=True, return_counts=True)
+        total = np.bincount(inverse, windows[first], len(values)).astype(np.int64)
+        many = count >= least
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (
+            values[many].view(np.int64), count[many], total[many])], names=["value", "pieces", "windows"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, texts, size, part = [], [], 0, 0
+        for batch in batches:
+            for text in batch.column(0):
+                texts.append((text.as_py() or "").encode())
+                part += len(texts[-1])
+                if part >= PART_BYTES:
+                    found += pieces_of(texts)
+                    texts, size, part = [], size + part, 0
+                    if size >= COUNT_BYTES and found:
+                        yield report(found)
+                        found, size = [], 0
+        found += pieces_of(texts)
+        if found:
+            yield report(found)
+
+    return run
+
+
+def hot_minimisers(docs: DataFrame, pieces_of: Callable, window_bytes: int, hot_pieces: int) -> tuple[np.ndarray, int]:
+    """Minimisers (sorted) of ``hot_pieces`` different pieces or more, and the
+    buckets their windows need.
+
+    ``pieces_of`` lists (minimiser, fingerprint, windows) of the pieces of some
+    texts.  The set only says where windows go, never which ones count: equal
+    windows have one minimiser and so go one way.  Copies count once a stretch."""
+    counted = docs.select(F.col("text").cast("string")).mapInArrow(
+        _counted(pieces_of, min(LEAST_PIECES, hot_pieces)), "value long, pieces long, windows long")
+    rows = counted.groupBy("value").agg(F.sum("pieces").alias("pieces"), F.sum("windows").alias("windows")).where(
+        F.col("pieces") >= hot_pieces).select("value", "windows").collect()
+    values = np.sort(np.array([r.value for r in rows], np.int64).view(np.uint64))
+    return values, sum(r.windows for r in rows) * window_bytes // HOT_BUCKET_BYTES + 1
+
+
 def with_spans(docs: DataFrame, tag: Column, found: DataFrame) -> DataFrame:
     """(doc_id, text, spans) for every row: the intervals of its document,
     gathered by document before they meet the texts."""

@@ -11,7 +11,9 @@
 3. In a bucket, chunks of bounded size get suffix arrays of their own, and their
    sorted windows are merged by binary search, the earliest place staying.
 
-A passage in a third of all rows reaches its bucket once per shard.
+A passage in a third of all rows reaches its bucket once per shard.  Its edges,
+which differ, all have a minimiser of the passage: minimisers of very many pieces
+are counted before, and their windows are dealt singly by the hash of the window.
 """
 
 from __future__ import annotations
@@ -158,9 +160,9 @@ def _segments(o: np.ndarray, tag: np.ndarray, texts: list[bytes], window: int,
         yield some
 
 
-def _minimisers(data: np.ndarray, gram: int, window: int) -> np.ndarray:
-    """Smallest gram hash of every window of ``data`` (all places).  Hashes of
-    short stretches are combined into those of ``gram`` bytes."""
+def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of every ``gram`` bytes of ``data`` (all places).  Hashes of short
+    stretches are combined into those of ``gram`` bytes."""
     part = 4 if gram % 4 == 0 else gram
     words = np.zeros(len(data) - part + 1, np.uint64)
     for k in range(part):
@@ -173,13 +175,42 @@ def _minimisers(data: np.ndarray, gram: int, window: int) -> np.ndarray:
         acc = acc * np.uint64(0xC2B2AE3D27D4EB4F) + words[k:k + n]
     acc ^= acc >> np.uint64(31)
     acc *= np.uint64(0xD6E8FEB86659FD93)
-    return sliding_min(acc ^ acc >> np.uint64(29), window - gram + 1)
+    return acc ^ acc >> np.uint64(29)
+
+
+def _minimisers(data: np.ndarray, gram: int, window: int) -> np.ndarray:
+    """Smallest gram hash of every window of ``data`` (all places)."""
+    return sliding_min(_gram_hashes(data, gram), window - gram + 1)
+
 
+def _pieces_of(window: int, gram: int, most: int):
+    """Minimiser, fingerprint (sum of the gram hashes) and windows of every piece."""
+    def run(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for part in _segments(None, None, texts, window, most):
+            pieces = [p for _, _, p in part]
+            data = np.frombuffer(b"".join(pieces), np.uint8)
+            if len(data) < window:
+                continue
+            piece = np.repeat(np.arange(len(pieces), dtype=np.int32), [len(p) for p in pieces])
+            hashes = _gram_hashes(data, gram)
+            least = sliding_min(hashes, window - gram + 1)
+            starts = np.flatnonzero(piece[:len(least)] == piece[window - 1:])
+            first, last = P.runs(starts, least[starts], piece[starts])
+            a, b = starts[first], starts[last] + 1
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes)])
+            yield least[a], total[b + window - gram] - total[a], b - a
+
+    return run
+
+
+def _shard_packs(window: int, gram: int, buckets: int, most: int, hot: np.ndarray, hot_buckets: int):
+    most_held = P.HELD_BYTES
 
-def _shard_packs(window: int, gram: int, buckets: int, most: int):
     def work(shard: P.Shard) -> Iterator[tuple[int, bytes]]:
+        import xxhash
         o, tag, texts = shard.in_order()
         out: dict[int, list[tuple]] = {}
+        held = 0
         spans = [[np.zeros(0, t) for t in ("<i8", "<i8", "<i4", "<i4")]]
         for part in _segments(o, tag, texts, window, most):
             doc = np.array([d for d, _, _ in part], np.int64)
@@ -198,6 +229,15 @@ def _shard_packs(window: int, gram: int, buckets: int, most: int):
             first, last = P.runs(starts, least[starts], piece[starts])
             a, b, value = starts[first], starts[last] + window, least[starts[first]]
             bucket = ((value >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+            single = np.isin(value, hot)
+            if single.any():
+                # windows one by one, with bits of their own hash for the minimiser's
+                n = (b - a - window + 1)[single]
+                w = np.repeat(a[single], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                own = np.fromiter((xxhash.xxh64_intdigest(data[x:x + window]) for x in w.tolist()), np.uint64, len(w))
+                to = buckets + ((own >> np.uint64(32)) % np.uint64(hot_buckets)).astype(np.int64)
+                a, b, value, bucket = (np.concatenate([c[~single], x]) for c, x in (
+                    (a, w), (b, w + window), (value, own), (bucket, to)))
             by = np.argsort(bucket, kind="stable")
             a, b, value, bucket = a[by], b[by], value[by], bucket[by]
             at = piece[a]
@@ -206,6 +246,12 @@ def _shard_packs(window: int, gram: int, buckets: int, most: int):
             for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(a)]) if len(a) else ():
                 run = b"".join([data[x:y] for x, y in zip(a[i:j].tolist(), b[i:j].tolist())])
                 out.setdefault(int(bucket[i]), []).append((*(c[i:j] for c in columns), run))
+            held += int((b - a).sum())
+            if held > most_held:
+                none = [c[:0] for c in spans[0]]
+                for k, rows in out.items():
+                    yield k, _pack(rows, none)
+                out, held = {}, 0
         local = [np.concatenate(c) for c in zip(*spans)]
         if len(local[0]) and not out:
             out[int(abs(o[0])) % buckets] = []
@@ -329,13 +375,21 @@ def _bucket(window: int, most: int):
     return run
 
 
+def sent_packs(docs: DataFrame, tag: Column, window: int, gram: int, shard_bytes: int, array_bytes: int,
+               hot_pieces: int) -> DataFrame:
+    """Packs of all shards, with the bucket each goes to."""
+    workers_import(docs.sparkSession)
+    buckets = P.bucket_count(docs, BUCKET_BYTES)
+    hot = P.hot_minimisers(docs, _pieces_of(window, gram, array_bytes), window, hot_pieces)
+    work = _shard_packs(window, gram, buckets, array_bytes, *hot)
+    return P.keyed(docs, tag).mapInArrow(P.by_shard(work, shard_bytes), P.PACKS)
+
+
 def repeated_spans(docs: DataFrame, tag: Column, window: int = WINDOW_BYTES, gram: int = GRAM_BYTES,
-                   shard_bytes: int = SHARD_BYTES, array_bytes: int = ARRAY_BYTES) -> DataFrame:
+                   shard_bytes: int = SHARD_BYTES, array_bytes: int = ARRAY_BYTES,
+                   hot_pieces: int = P.HOT_PIECES) -> DataFrame:
     """Byte intervals (_o, _tag, a, b) to remove, written once."""
-    spark = docs.sparkSession
-    workers_import(spark)
-    buckets = P.bucket_count(docs, BUCKET_BYTES)
-    sent = P.keyed(docs, tag).mapInArrow(P.by_shard(_shard_packs(window, gram, buckets, array_bytes), shard_bytes), P.PACKS)
+    sent = sent_packs(docs, tag, window, gram, shard_bytes, array_bytes, hot_pieces)
     return stage_table(sent.groupBy("bucket").applyInArrow(_bucket(window, array_bytes), P.INTERVALS), "repeated-bytes")
 
 
@@ -362,7 +416,7 @@ def _digest(with_bytes: bool):
 
 def dedup_bytes(docs: DataFrame, window: int = WINDOW_BYTES, gram: int = GRAM_BYTES,
                 shard_bytes: int = SHARD_BYTES, array_bytes: int = ARRAY_BYTES,
-                with_bytes: bool = False) -> DataFrame:
+                with_bytes: bool = False, hot_pieces: int = P.HOT_PIECES) -> DataFrame:
     """Remove repeated byte strings from ``docs`` (doc_id, text), a row per row:
     doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and,
     if asked, the kept bytes (which may cut a character).
@@ -373,7 +427,7 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW_BYTES, gram: int = GRAM_BY
     gives none; other columns are ignored.  Texts of any length go whole, longer
     ones in parts that overlap by a window less one byte."""
     tag = row_tag(docs)
-    found = repeated_spans(docs, tag, window, gram, shard_bytes, array_bytes)
+    found = repeated_spans(docs, tag, window, gram, shard_bytes, array_bytes, hot_pieces)
     release(docs.sparkSession)
     rows = P.with_spans(docs, tag, found)
     return rows.mapInArrow(_digest(with_bytes), _DEDUPED + (", kept binary" if with_bytes else ""))
