@@ -9,7 +9,9 @@ are removed.
 
 Copies within a shard (a stretch of a task's rows) collapse before the shuffle:
 a packed string that the shard has already sent is marked at once, so a passage
-in a third of all rows reaches its bucket once per shard.
+in a third of all rows reaches its bucket once per shard.  Minimisers of very many
+different pieces (edges of such passages, frequent grams) are counted before; their
+windows are dealt singly by the hash of the window.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ SHARD_BYTES, BUCKET_BYTES = 6_000_000, 4_000_000
 #: Bits of a minimiser that go along; the bit above them marks a piece which may
 #: repeat a window within itself.
 VALUE_BITS = 0x7FFFFFFF
+#: Bytes of one window, about, for the number of buckets of single windows.
+ABOUT_BYTES = 130
 #: Two ranks and a place of so many bits fit one sort key.
 RANK_BITS = 21
 
@@ -68,14 +72,48 @@ class _Known(dict):
         return np.fromiter(map(self.__getitem__, words), kind, count)
 
 
-def _shard_packs(window: int, gram: int, buckets: int):
+def _pieces_of(window: int, gram: int):
+    """Minimiser, fingerprint (sum of the gram hashes) and windows of every piece."""
+    def run(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        import xxhash
+        known = _Known(xxhash.xxh64_intdigest)
+        for data in texts:
+            words = data.split()
+            if len(words) < window:
+                continue
+            grams = gram_hashes(known.of(words, len(words), np.uint64), gram)
+            least = sliding_min(grams, window - gram + 1)
+            a = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1])
+            b = np.append(a[1:], len(least))
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(grams)])
+            yield least[a], total[b + window - gram] - total[a], b - a
+
+    return run
+
+
+def _shard_packs(window: int, gram: int, buckets: int, hot: np.ndarray, hot_buckets: int):
+    most_held = P.HELD_BYTES
+    hot = frozenset(hot.tolist())
+
     def work(shard: P.Shard) -> Iterator[tuple[int, bytes]]:
         import xxhash
         o, tag, texts = shard.in_order()
         known = _Known(xxhash.xxh64_intdigest)
         sent: set[bytes] = set()
+        single: set[bytes] = set()
         out: dict[int, list] = {}
         local = []
+        held = 0
+
+        def packs(spans: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
+            for bucket, rows in out.items():
+                d = np.array([r[0] for r in rows], np.int64)
+                yield bucket, P.pack([
+                    o[d].astype("<i8"), tag[d].astype("<i8"), np.array([r[1] for r in rows], "<i4"),
+                    np.array([r[2] for r in rows], "<u4"), b"\n".join(r[3] for r in rows), *spans])
+                spans = [s[:0] for s in spans]
+
+        none = [np.zeros(0, t) for t in ("<i8", "<i8", "<i4", "<i4")]
         for d, data in enumerate(texts):
             words = data.split()
             if len(words) < window:
@@ -94,20 +132,31 @@ def _shard_packs(window: int, gram: int, buckets: int):
                     local.append((d, a, b))
                     continue
                 sent.add(piece)
+                if value in hot:
+                    # windows one by one, with bits of their own hash for the minimiser's
+                    for at in range(a, b):
+                        one = joined[starts[at]:starts[at + window] - 1]
+                        if one in single:
+                            local.append((d, at, at + 1))
+                            continue
+                        single.add(one)
+                        own = xxhash.xxh64_intdigest(one)
+                        out.setdefault(buckets + (own >> 32) % hot_buckets, []).append((d, at, own & VALUE_BITS, one))
+                        held += len(one)
+                    continue
                 again = twice and np.count_nonzero(grams[a:b + window - gram] == value) > 1
                 out.setdefault((value >> 32) % buckets, []).append((d, a, value & VALUE_BITS | again << 31, piece))
-        spans = [np.zeros(0, t) for t in ("<i8", "<i8", "<i4", "<i4")]
+                held += len(piece)
+            if held > most_held:
+                yield from packs(none)
+                out, held = {}, 0
+        spans = none
         if local:
             at = np.array(local, np.int64)
             spans = [o[at[:, 0]].astype("<i8"), tag[at[:, 0]].astype("<i8"), at[:, 1].astype("<i4"),
                      (at[:, 2] + window - 1).astype("<i4")]
             out.setdefault(int(o[0]) % buckets, [])
-        for bucket, rows in out.items():
-            d = np.array([r[0] for r in rows], np.int64)
-            yield bucket, P.pack([
-                o[d].astype("<i8"), tag[d].astype("<i8"), np.array([r[1] for r in rows], "<i4"),
-                np.array([r[2] for r in rows], "<u4"), b"\n".join(r[3] for r in rows), *spans])
-            spans = [s[:0] for s in spans]
+        yield from packs(spans)
 
     return work
 
@@ -209,13 +258,19 @@ def _bucket(window: int):
     return run
 
 
+def sent_packs(docs: DataFrame, tag: Column, window: int, gram: int, shard_bytes: int, hot_pieces: int) -> DataFrame:
+    """Packs of all shards, with the bucket each goes to."""
+    workers_import(docs.sparkSession)
+    buckets = P.bucket_count(docs, BUCKET_BYTES)
+    hot = P.hot_minimisers(docs, _pieces_of(window, gram), ABOUT_BYTES, hot_pieces)
+    work = _shard_packs(window, gram, buckets, *hot)
+    return P.keyed(docs, tag).mapInArrow(P.by_shard(work, shard_bytes), P.PACKS)
+
+
 def repeated_spans(docs: DataFrame, tag: Column, window: int = WINDOW_WORDS, gram: int = GRAM_WORDS,
-                   shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                   shard_bytes: int = SHARD_BYTES, hot_pieces: int = P.HOT_PIECES) -> DataFrame:
     """Word intervals (_o, _tag, a, b) to remove, written once."""
-    spark = docs.sparkSession
-    workers_import(spark)
-    buckets = P.bucket_count(docs, BUCKET_BYTES)
-    sent = P.keyed(docs, tag).mapInArrow(P.by_shard(_shard_packs(window, gram, buckets), shard_bytes), P.PACKS)
+    sent = sent_packs(docs, tag, window, gram, shard_bytes, hot_pieces)
     return stage_table(sent.groupBy("bucket").applyInArrow(_bucket(window), P.INTERVALS), "repeated-words")
 
 
@@ -241,7 +296,8 @@ def _digest(with_text: bool):
 
 
 def dedup_windows(docs: DataFrame, window: int = WINDOW_WORDS, gram: int = GRAM_WORDS,
-                  shard_bytes: int = SHARD_BYTES, with_text: bool = False) -> DataFrame:
+                  shard_bytes: int = SHARD_BYTES, with_text: bool = False,
+                  hot_pieces: int = P.HOT_PIECES) -> DataFrame:
     """Remove repeated word windows from ``docs`` (doc_id, text), a row per row:
     doc_id, n_words, n_removed, kept_sha256 and, if asked, the kept text.
 
@@ -250,7 +306,7 @@ def dedup_windows(docs: DataFrame, window: int = WINDOW_WORDS, gram: int = GRAM_
     rows equal in both are one document and get its result each.  An empty table
     gives none; other columns are ignored.  Texts of any length go whole."""
     tag = row_tag(docs)
-    found = repeated_spans(docs, tag, window, gram, shard_bytes)
+    found = repeated_spans(docs, tag, window, gram, shard_bytes, hot_pieces)
     release(docs.sparkSession)
     rows = P.with_spans(docs, tag, found)
     return rows.mapInArrow(_digest(with_text), _DEDUPED + (", kept string" if with_text else ""))

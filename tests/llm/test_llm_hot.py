@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from test_llm_dedup import brute, key
 
-from orderlens.llm import packs, suffixes
+from orderlens.llm import kmers, packs, suffixes
 from orderlens.llm.common import row_tag
 
 
@@ -30,6 +30,7 @@ def largest_bucket(sent, size_at):
 def small(monkeypatch):
     monkeypatch.setattr(packs, "HOT_BUCKET_BYTES", 2000)
     monkeypatch.setattr(suffixes, "BUCKET_BYTES", 2000)
+    monkeypatch.setattr(kmers, "BUCKET_BYTES", 2000)
 
 
 def bytes_match(df, out):
@@ -56,3 +57,20 @@ def test_hot_windows_leave_a_shard_in_parts(spark, small, monkeypatch):
     monkeypatch.setattr(packs, "HELD_BYTES", 5000)
     df = passage_df(spark, 90)
     bytes_match(df, suffixes.dedup_bytes(df, 40, 8, 20000, 8000, with_bytes=True, hot_pieces=2))
+
+
+def test_super_kmers_hot_minimiser(spark, small):
+    for documents in (600, 1800):
+        df = passage_df(spark, documents)
+        whole, dealt = (largest_bucket(kmers.sent_packs(df, row_tag(df), 8, 2, 200000, hot), 4) for hot in (10 ** 9, 30))
+        print(documents, whole, dealt)
+        # undivided, the bucket grows with the documents
+        assert whole > 12 * documents and dealt < 8000
+    want = brute(df, 8, bytes.split)
+    rows = []
+    for r in df.collect():
+        units, gone = want[key(r.doc_id, r.text)]
+        rows.append(str((r.doc_id, len(units), sum(gone), b" ".join(u for u, g in zip(units, gone) if not g).decode())))
+    for hot in (2, 30):
+        got = kmers.dedup_windows(df, 8, 2, 200000, with_text=True, hot_pieces=hot).collect()
+        assert sorted(str((r.doc_id, r.n_words, r.n_removed, r.kept)) for r in got) == sorted(rows)
