@@ -42,6 +42,11 @@ EXAMPLE_OWNERS = 3
 LIVE_CHARS, LIVE_VARIETY = 16, 8
 PLACEHOLDERS = "example|sample|dummy|changeme|placeholder|your|xxxx|0000|1234567"
 REDACTED = "[SECRET]"
+#: For redaction, beyond the spans of the contract: a private key with its body
+#: (header fields hold some dashes; without an end it is the header alone), least
+#: characters of a body and of an assigned value.
+PEM_BLOCK = (PATTERNS["pem"] + r"(?:[^-]*+(?:-[^-]++){0,8}?-----END [A-Z ]*PRIVATE KEY-----)?", "-----BEGIN")
+PEM_CHARS, ASSIGN_CHARS = 40, 8
 
 _CANDIDATE = "array<struct<kind:string,start:int,end:int,hash:string,looks_live:boolean>>"
 
@@ -51,18 +56,28 @@ def _assigned(match: Column) -> Column:
     return F.regexp_extract(match, PATTERNS["assign"], 2)
 
 
-def _candidates(kind: str) -> Column:
+def _pem_body(match: Column) -> Column:
+    """Body of a key block without line breaks, written out ones too; empty without an end."""
+    body = F.regexp_extract(match, r"(?s)PRIVATE KEY-----(.*)-----END ", 1)
+    return F.regexp_replace(body, r"\s|\\[nr]", "")
+
+
+def _candidates(kind: str, redaction: bool = False) -> Column:
     """Candidates of one kind: spans that pass their length, with the hash of
-    the value and whether it looks live."""
-    found = S.located("_t", kind, JVM_PATTERNS[kind][0])
+    the value and whether it looks live.  For redaction a private key is its
+    whole block, and an assigned value of the base kind's length may be live."""
+    block = redaction and kind == "pem"
+    found = S.located("_t", kind, (PEM_BLOCK if block else JVM_PATTERNS[kind])[0])
     if kind == "assign":
         found = F.filter(found, lambda s: F.length(_assigned(s["match"])) >= 8)
+    least = ASSIGN_CHARS if redaction and kind == "assign" else PEM_CHARS if block else LIVE_CHARS
 
     def candidate(s: Column) -> Column:
-        value = _assigned(s["match"]) if kind == "assign" else s["match"]
-        live = ((F.length(value) >= LIVE_CHARS) & value.rlike("[0-9]") & value.rlike("[A-Za-z]")
-                & (F.size(F.array_distinct(F.split(value, ""))) >= LIVE_VARIETY)
-                & ~F.lower(value).rlike(PLACEHOLDERS))
+        value = _assigned(s["match"]) if kind == "assign" else _pem_body(s["match"]) if block else s["match"]
+        live = ((F.length(value) >= least) & value.rlike("[0-9]") & value.rlike("[A-Za-z]")
+                & (F.size(F.array_distinct(F.split(value, ""))) >= LIVE_VARIETY))
+        if not block:  # a long random body holds such short words by chance
+            live = live & ~F.lower(value).rlike(PLACEHOLDERS)
         return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
                         F.sha2(value, 256).alias("hash"), live.alias("looks_live"))
 
@@ -82,15 +97,15 @@ def owner_of(repository: str) -> Column:
     return F.substring_index(F.coalesce(F.col(repository), F.lit("")), "/", 1)
 
 
-def candidates(docs: DataFrame, repository: str = "source") -> DataFrame:
+def candidates(docs: DataFrame, repository: str = "source", redaction: bool = False) -> DataFrame:
     """A row for every row of ``docs`` with its candidate spans (no text):
     written to a stage table, as it is read for the counts and the verdicts."""
     rows = docs.select("doc_id", doc_order().alias("_o"), text_tag().alias("_tag"),
                        F.coalesce(F.col(repository), F.lit("")).alias("_repo"), owner_of(repository).alias("_owner"),
                        F.coalesce(F.col("text"), F.lit("")).alias("_t"))
-    rows = S.with_matches(rows, "_t", JVM_PATTERNS)
+    rows = S.with_matches(rows, "_t", JVM_PATTERNS | ({"pem": PEM_BLOCK} if redaction else {}))
     rows = rows.select("doc_id", "_o", "_tag", "_repo", "_owner",
-                       *[_candidates(k).alias(f"_s_{k}") for k in KINDS])
+                       *[_candidates(k, redaction).alias(f"_s_{k}") for k in KINDS])
     every = F.concat(*[F.col(f"_s_{k}") for k in KINDS])
     rows = rows.select("doc_id", "_o", "_tag", "_repo", "_owner", _in_order(every).alias("_spans"),
                        *[F.size(f"_s_{k}").cast("long").alias(f"n_{k}") for k in BASE_KINDS])
@@ -156,8 +171,11 @@ def scan_secrets(docs: DataFrame, repository: str = "source", example_owners: in
 
 def redact_live(docs: DataFrame, repository: str = "source", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
     """``docs`` with every live secret replaced by a mark; all rows and columns
-    stay, copied examples stay.  Overlapping spans are replaced together."""
-    found = candidates(docs, repository)
+    stay, copied examples stay.  Overlapping spans are replaced together.
+
+    Private keys go with their bodies and short assigned values count, which the
+    spans of ``scan_secrets`` (held to its SQL) leave out."""
+    found = candidates(docs, repository, redaction=True)
     live = by_document(found, example_owners).select(
         F.col("_o").alias("_vo"), F.col("_tag").alias("_vt"),
         F.filter("_verdicts", lambda s: s["verdict"] == "live").alias("_live")).where(F.size("_live") > 0)
