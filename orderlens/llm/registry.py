@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from orderlens.llm import bpe, decontaminate, kmers, pii, quality, secrets, shards, simhash, suffixes, tokencount
+from orderlens.llm import (bpe, codes, decontaminate, divergence, kmers, packing, pii, quality, secrets, shards, simhash,
+                           suffixes, tokencount)
 
-MODULES = (quality, kmers, simhash, suffixes, shards, decontaminate, secrets, tokencount, pii, bpe)
+MODULES = (quality, kmers, simhash, suffixes, shards, decontaminate, secrets, tokencount, pii, bpe, packing, divergence,
+           codes)
 
 
 def all_queries():
