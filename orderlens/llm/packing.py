@@ -17,10 +17,12 @@ The driver sees counts by length and runs of them, never documents.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,16 @@ from orderlens.llm.common import stage_table, table, workers_import
 #: Fixed values of the query: tokens of a sequence, id after each document.
 SEQUENCE_TOKENS, END_ID = 4096, 1
 #: A task forgets its words when it knows so many, or so many ids of theirs.
-KNOWN_WORDS, KNOWN_IDS = 300_000, 3_000_000
+KNOWN_WORDS, KNOWN_IDS = 600_000, 6_000_000
+#: Latin-1 texts, without the controls about whose class libraries differ.
+PLAIN = re.compile("[\x00-\x1b\x20-\x84\x86-\xff]*")
+#: The tokenizer's pre-token pattern on lower-cased Latin-1.
+_LETTERS, _NUMBERS, _SPACES = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\x09-\x0d\x20\xa0"
+PRETOKENS = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}{_SPACES}]+")
+#: The characters that stand for bytes in the vocabulary; those
+#: without a visible one take the next from 256 on.
+_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_CHARS = {b: 0x100 + i for i, b in enumerate(b for b in range(0x100) if b not in _VISIBLE)}
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, place long"
 _PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -54,31 +65,67 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+class _Numbers(dict):
+    """Numbers words as they come and keeps the new ones apart."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str | bytes] = []
+
+    def __missing__(self, word: str | bytes) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
 class _Vocabulary:
-    """Ids of the words met so far.  White space ends every pre-token of the
-    tokenizer, so a text's ids are those of its words, one after the other."""
+    """Ids of the words met so far; each is encoded once.
+
+    In texts of Latin-1 characters, whose normal form and lower case are plain,
+    a word is a pre-token (kept as str) and goes to the tokenizer's model.  In
+    others it is a run without white space, which ends every pre-token (kept as
+    bytes), and goes through the whole tokenizer."""
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
+        self.model = self.tokenizer.model
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, "<u4")
-        self.starts = self.sizes
+        self.number = _Numbers()
+        self.starts, self.sizes = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.flat, self.used = np.zeros(4096, "<u4"), 0
+
+    def _encode(self, word: str | bytes) -> list[int]:
+        if isinstance(word, str):
+            return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(BYTE_CHARS))]
+        return self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+
+    def _learn(self) -> None:
+        new, self.number.new = self.number.new, []
+        found = [self._encode(w) for w in new]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        last, first = len(self.number), len(self.number) - len(new)
+        if last > len(self.sizes):
+            self.starts, self.sizes = (np.concatenate([x, np.zeros(last, np.int64)]) for x in (self.starts, self.sizes))
+        end = self.used + int(sizes.sum())
+        if end > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(end, "<u4")])
+        self.sizes[first:last], self.starts[first:last] = sizes, self.used + np.cumsum(sizes) - sizes
+        self.flat[self.used:end] = np.fromiter(chain.from_iterable(found), "<u4", end - self.used)
+        self.used = end
 
     def ids(self, text: str) -> np.ndarray:
-        if len(self.number) > KNOWN_WORDS or len(self.flat) > KNOWN_IDS:
+        if len(self.number) > KNOWN_WORDS or self.used > KNOWN_IDS:
             self._forget()
-        words = text.encode("utf-8", "replace").split()
-        number, first = self.number, len(self.number)
-        at = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
-        if len(number) > first:
-            new = [w.decode() for w in list(number)[first:]]
-            found = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-            self.sizes = np.concatenate([self.sizes, np.array([len(x) for x in found], np.int64)])
-            self.flat = np.concatenate([self.flat, *(np.array(x, "<u4") for x in found)])
-            self.starts = np.cumsum(self.sizes) - self.sizes
+        if PLAIN.fullmatch(text) and not any(s in text for s in self.special):
+            words = PRETOKENS.findall(text.lower())
+        else:
+            words = text.encode("utf-8", "replace").split()
+        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        if self.number.new:
+            self._learn()
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0

@@ -142,6 +142,19 @@ def test_pack_odd_texts(spark, monkeypatch):
     check_packing(packing.pack(docs, packing.tokenizer_path()).collect(), docs.collect(), packing.SEQUENCE_TOKENS)
 
 
+def test_ids_of_random_texts():
+    """Both routes give the library's ids, for every Latin-1 character too."""
+    random.seed(4)
+    known = packing._Vocabulary(packing.tokenizer_path())
+    pieces = [*map(chr, range(256)), "'s", "'T", "'ll", " the", "é", "É", " ", "\n", "cat", "Dog's", "12", "…", "Σ", "ſ", "²"]
+    for i in range(1500):
+        text = "".join(random.choices(pieces[:-4] if i % 3 else pieces, k=random.randint(0, 40)))
+        want = known.tokenizer.encode(text, add_special_tokens=False).ids
+        assert known.ids(text).tolist() == want, repr(text)
+    for c in map(chr, range(256)):
+        assert known.ids("a" + c + "b").tolist() == known.tokenizer.encode("a" + c + "b", add_special_tokens=False).ids, repr(c)
+
+
 def test_op11_query(spark, sf_dir):
     rows = packing.op11_best_fit(spark, sf_dir).collect()
     n = check_packing(rows, table(spark, sf_dir, "documents").collect(), packing.SEQUENCE_TOKENS)
@@ -255,7 +268,7 @@ def brute_codes(rows, rounds=4, entries=256):
     as_long = lambda x: x if x < 1 << 63 else None
     by_label = {k: as_long(v) for k, v in by_label.items()}
     digest = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
-    return sorted(((r[0], "".join(f"{j:02x}" for _, j in c), sum(d for d, _ in c), by_label[r[2]]) for r, c in zip(kept, coded)),
+    return sorted(((r[0], "".join(f"{j:02x}" for _, j in c), as_long(sum(d for d, _ in c)), by_label[r[2]]) for r, c in zip(kept, coded)),
                   key=str), digest
 
 
