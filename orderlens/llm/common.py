@@ -49,6 +49,19 @@ def stage_table(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> str:
+    """A column name as Spark reads it, whatever it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """(_row, _o, _tag): every row as one struct beside its document's key, so
+    that no column of ``docs``, whatever its name, meets a key or a join's
+    column; ``select("_row.*")`` gives the rows back."""
+    return docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("_row"),
+                       doc_order().alias("_o"), text_tag().alias("_tag"))
+
+
 def row_tag(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Column:
     """``text_tag`` where some doc_id comes more than once, else a constant: with
     unique ids the second part of the key says nothing and need not travel."""

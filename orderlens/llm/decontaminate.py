@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import doc_order, stage_table, table, text_tag, workers_import
+from orderlens.llm.common import doc_order, stage_table, table, text_tag, whole_rows, workers_import
 
 #: Least tile in words, and the share of an item's words that tiles must cover.
 MIN_TILE, MIN_COVERAGE = 5, 0.8
@@ -209,16 +209,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least: int = MIN_TILE,
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, least: int = MIN_TILE, coverage: float = MIN_COVERAGE,
                       block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with all their columns."""
+    """The rows of ``docs`` that hold no benchmark item, with all their columns.
+
+    NULL and empty texts hold none and stay, repeated rows stay or go together,
+    an empty table stays empty.  Columns may have any names and keep their
+    values and types."""
     bad = hits(docs, benchmark, least, coverage, block_words).select(
         F.col("_o").alias("_ho"), F.col("_tag").alias("_ht")).distinct()
-    names = docs.columns
-    keyed = docs.withColumns({"_o": doc_order(), "_tag": text_tag()})
-    return keyed.join(bad, (F.col("_o") == F.col("_ho")) & (F.col("_tag") == F.col("_ht")),
-                      "left_anti").select(*[F.col(f"`{c}`") for c in names])
+    return whole_rows(docs).join(bad, (F.col("_o") == F.col("_ho")) & (F.col("_tag") == F.col("_ht")),
+                                 "left_anti").select("_row.*")
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``contamination`` over the whole documents table (NULL and empty texts
+    hold nothing; repeated rows are listed each; an empty table gives none)."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 

@@ -26,6 +26,9 @@ WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = 8, 20, 30
 #: Labelled rows the trees are fitted on, at most; fewer than MIN_TRAIN, or one
 #: class only, and the base rules decide alone.
 TRAIN_ROWS, MIN_TRAIN = 6000, 40
+#: Labelled ids looked up for them, as a multiple (some fail the base rules), and
+#: kept rows that a task hands back at a time.
+SPARE, OUT_ROWS = 2, 256
 #: A document stays if its score reaches this.
 MIN_SCORE = 0.5
 
@@ -181,17 +184,55 @@ def judge(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, leas
         "doc_id", *COUNTS, "base_failed", "kept", "score")
 
 
+def _keep(model: boosting.FlatTrees | None, least: float, text: int) -> Callable:
+    """Rows whose column ``text`` the base rules and the trees keep."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [statistics((v.as_py() or "").encode()) for v in batch.column(text)]
+            counts = np.array([c for c, _ in found], np.int64).reshape(-1, len(COUNTS))
+            n, repeat = counts[:, COUNTS.index("n_words")], counts[:, COUNTS.index("n_repeat_words")]
+            kept = (n >= MIN_WORDS) & (100 * repeat <= MAX_REPEAT_PERCENT * n)
+            if model is not None:
+                kept &= model.score(np.array([s for _, s in found], np.float64).reshape(-1, len(FEATURES))) >= least
+            at = np.flatnonzero(kept)
+            for i in range(0, len(at), OUT_ROWS):
+                yield batch.take(pa.array(at[i:i + OUT_ROWS]))
+
+    return run
+
+
+def labelled(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """Rows of ``docs`` whose id is among some ``SPARE * train_rows`` labelled
+    ids, taken by their hash: enough to train on, and few enough to look up
+    without a shuffle of the texts."""
+    ids = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("_id")).distinct()
+    share = min(1.0, SPARE * train_rows / max(ids.count(), 1))
+    near = ids.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.join(F.broadcast(near), F.col("doc_id") == F.col("_id"), "left_semi")
+
+
 def keep_good(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, least: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, with all their columns."""
-    good = _judged(docs, labels, train_rows, least).where("kept").select(
-        F.col("_o").alias("_go"), F.col("_tag").alias("_gt"))
-    names = docs.columns
-    keyed = docs.withColumns({"_o": doc_order(), "_tag": text_tag()})
-    return keyed.join(good, (F.col("_o") == F.col("_go")) & (F.col("_tag") == F.col("_gt")),
-                      "left_semi").select(*[F.col(f"`{c}`") for c in names])
+    """The rows of ``docs`` (doc_id, text, any other columns) that pass the base
+    rules and the trees, with all their columns.
+
+    The trees are fitted on a bounded sample of labelled rows; then every row is
+    judged where it is read, without a shuffle.  NULL and empty texts go.
+    Repeated rows are judged alike; a NULL doc_id is judged but not trained on;
+    an empty table stays empty.  Columns may have any names.  Without enough
+    labels the base rules decide alone."""
+    workers_import(docs.sparkSession)
+    model = fit_quality(measure(labelled(docs, labels, train_rows)), labels, train_rows)
+    # positions for names, as Arrow may not tell two such names apart
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    kept = plain.mapInArrow(_keep(model, least, docs.columns.index("text")), plain.schema)
+    return kept.toDF(*docs.columns)
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``judge`` over the whole documents table (NULL and empty texts fail the
+    base rules; repeated rows are judged each; an empty table gives none)."""
     return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 

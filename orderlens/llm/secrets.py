@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import spans as S
-from orderlens.llm.common import doc_order, stage_table, table, text_tag
+from orderlens.llm.common import doc_order, stage_table, table, text_tag, whole_rows
 
 #: Kinds in their order: the contract's base kinds, then the added ones.
 PATTERNS = {
@@ -173,28 +173,32 @@ def redact_live(docs: DataFrame, repository: str = "source", example_owners: int
     """``docs`` with every live secret replaced by a mark; all rows and columns
     stay, copied examples stay.  Overlapping spans are replaced together.
 
-    Private keys go with their bodies and short assigned values count, which the
+    NULL and empty texts stay as they are, repeated rows are redacted alike, an
+    empty table stays empty.  Columns may have any names and keep their values
+    and types.  Private keys go with their bodies and short assigned values count, which the
     spans of ``scan_secrets`` (held to its SQL) leave out."""
     found = candidates(docs, repository, redaction=True)
     live = by_document(found, example_owners).select(
         F.col("_o").alias("_vo"), F.col("_tag").alias("_vt"),
         F.filter("_verdicts", lambda s: s["verdict"] == "live").alias("_live")).where(F.size("_live") > 0)
-    names = docs.columns
-    rows = docs.withColumns({"_o": doc_order(), "_tag": text_tag()}).join(
-        live, (F.col("_o") == F.col("_vo")) & (F.col("_tag") == F.col("_vt")), "left")
+    rows = whole_rows(docs).join(live, (F.col("_o") == F.col("_vo")) & (F.col("_tag") == F.col("_vt")), "left")
+    text = F.col("_row").getField("text")
 
     def cut(acc: Column, s: Column) -> Column:
-        gap = F.col("text").substr(acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        gap = text.substr(acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
         out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], gap, F.lit(REDACTED))).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     clean = F.aggregate("_live", start, cut, lambda acc: F.concat(
-        acc["out"], F.col("text").substr(acc["at"] + 1, F.length("text"))))
-    return rows.withColumn("text", F.when(F.col("_live").isNotNull(), clean).otherwise(F.col("text"))).select(*names)
+        acc["out"], text.substr(acc["at"] + 1, F.length(text))))
+    row = F.when(F.col("_live").isNotNull(), F.col("_row").withField("text", clean)).otherwise(F.col("_row"))
+    return rows.select(row.alias("_row")).select("_row.*")
 
 
 def op7_scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``scan_secrets`` over the whole documents table (NULL text: empty;
+    repeated rows: a row each; an empty table gives none)."""
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import NULL_ID, doc_order, stage_table, table, text_tag, workers_import
+from orderlens.llm.common import NULL_ID, doc_order, stage_table, table, text_tag, whole_rows, workers_import
 from orderlens.llm.components import components
 
 #: Fixed values of the binary Golay code: generator polynomial, check bits.
@@ -200,20 +200,21 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = M
     """``docs`` with one document of each component: the one of smallest doc_id.
 
     Where several rows have that doc_id, the one of smallest text hash stays;
-    of rows equal in both, the first by the columns that can be ordered."""
-    names = docs.columns
+    of rows equal in both, the first by the columns that can be ordered.  Texts
+    without words are one component.  An empty table stays empty; columns may
+    have any names and keep their values and types."""
     rows = with_components(fingerprints(docs, shingle), max_bits)
     stays = rows.groupBy("root").agg(F.min(F.struct("_o", "_tag")).alias("s")).select(
         F.col("s._o").alias("_so"), F.col("s._tag").alias("_st"))
-    kept = docs.withColumns({"_o": doc_order(), "_tag": text_tag()}).join(
-        stays, (F.col("_o") == F.col("_so")) & (F.col("_tag") == F.col("_st")), "left_semi")
+    kept = whole_rows(docs).join(stays, (F.col("_o") == F.col("_so")) & (F.col("_tag") == F.col("_st")), "left_semi")
     order = [f.name for f in docs.schema.fields if "map" not in f.dataType.simpleString()]
-    row = F.struct(*[F.col(f"`{c}`") for c in names])
-    by = F.struct(*[F.col(f"`{c}`") for c in order])
-    return kept.groupBy("_o", "_tag").agg(F.min_by(row, by).alias("_row")).select("_row.*")
+    by = F.struct(*[F.col("_row").getField(c).alias(f"c{i}") for i, c in enumerate(order)])
+    return kept.groupBy("_o", "_tag").agg(F.min_by("_row", by).alias("_row")).select("_row.*")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``near_duplicates`` over the whole documents table (texts without words:
+    fingerprint zero; repeated rows are listed each; an empty table gives none)."""
     return near_duplicates(table(spark, sf_dir, "documents"), SHINGLE_WORDS, MAX_BITS)
 
 
