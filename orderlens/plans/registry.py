@@ -5,7 +5,7 @@ from __future__ import annotations
 
 def _load():
     from orderlens.plans import catalog  # noqa: F401  (registers on import)
-    for mod in ("orderlens.plans.dashboard", "orderlens.plans.measures_q",
+    for mod in ("orderlens.plans.dashboard", "orderlens.plans.measures_q", "orderlens.plans.model_q",
                 "orderlens.plans.ml_queries", "orderlens.plans.metrics_q", "orderlens.plans.models",
                 "orderlens.plans.exports"):
         __import__(mod)

@@ -115,6 +115,7 @@ def serving(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         "weekly_kpis": lambda: M.weekly_kpis(orders_clean(spark, sf_dir), customers(spark, sf_dir)),
         "dim_customers": lambda: M.dim_customers(orders_clean(spark, sf_dir), customers(spark, sf_dir)),
         "dim_products": lambda: M.dim_products(orders_clean(spark, sf_dir)),
+        "dim_date": lambda: M.dim_date(orders_clean(spark, sf_dir)),
         "segment_performance": lambda: M.segment_performance(orders_clean(spark, sf_dir),
                                                              customers(spark, sf_dir)),
         "forecast_features": lambda: MF.weekly_features(orders_clean(spark, sf_dir)),
