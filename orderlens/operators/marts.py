@@ -180,12 +180,13 @@ WEEKLY_COLUMNS = (
 )
 
 
-def weekly_kpis(clean: DataFrame, rfm: DataFrame) -> DataFrame:
+def weekly_kpis(clean: DataFrame, rfm: DataFrame, sums: DataFrame | None = None) -> DataFrame:
     """MT8: one row per week with at least one completed order.
 
     Week-over-week growth is the change against the previous *row* (not the
-    calendar week), computed on the unrounded sums and rounded to 4 dp."""
-    wk = _sums_with_customers(completed(clean), "week_start", rfm)
+    calendar week), computed on the unrounded sums and rounded to 4 dp.  ``sums``
+    are the weeks' sums where they are at hand (``cells.roll_up``)."""
+    wk = _sums_with_customers(completed(clean), "week_start", rfm) if sums is None else sums
     rev = F.col("_rev").cast("double")
     by_week = Window.orderBy("week_start")
     wk = wk.select(
@@ -211,12 +212,16 @@ def weekly_kpis(clean: DataFrame, rfm: DataFrame) -> DataFrame:
     return wk.select(*WEEKLY_COLUMNS)
 
 
-def performance_by(clean: DataFrame, dim: str) -> DataFrame:
+def performance_by(clean: DataFrame | None, dim: str, sums: DataFrame | None = None) -> DataFrame:
     """MT9 / MT10: revenue, orders, customers, AOV, margin, discount, margin %
     and share of total revenue per value of ``dim`` (completed orders)."""
-    comp = completed(clean)
-    grand = comp.filter(F.col(dim).isNotNull()).agg(F.sum("revenue").cast("double")).scalar()
-    g = _weekly_sums(comp, dim)
+    if sums is None:
+        comp = completed(clean)
+        grand = comp.filter(F.col(dim).isNotNull()).agg(F.sum("revenue").cast("double")).scalar()
+        g = _weekly_sums(comp, dim)
+    else:
+        g = sums
+        grand = g.agg(F.sum("_rev").cast("double")).scalar()
     rev = F.col("_rev").cast("double")
     return (g.select(
         dim,
@@ -230,10 +235,10 @@ def performance_by(clean: DataFrame, dim: str) -> DataFrame:
     ).orderBy(F.desc("total_revenue"), F.asc(dim)))
 
 
-def segment_performance(clean: DataFrame, rfm: DataFrame) -> DataFrame:
+def segment_performance(clean: DataFrame | None, rfm: DataFrame | None, sums: DataFrame | None = None) -> DataFrame:
     """MT11: per customer segment, with distinct repeat customers and the
     repeat rate (no discount / share columns)."""
-    g = _sums_with_customers(completed(clean), "customer_segment", rfm)
+    g = _sums_with_customers(completed(clean), "customer_segment", rfm) if sums is None else sums
     rev = F.col("_rev").cast("double")
     return (g.select(
         "customer_segment",

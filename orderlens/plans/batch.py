@@ -49,7 +49,7 @@ def serving_from_clean(clean: DataFrame, work_dir: str, learned: bool = True,
                                                 sizes.get("gbt_iters", MD.GBT_ITERS)),
                   "churn": MD.train_churn(cust, sizes.get("churn_forest_trees", MD.CHURN_FOREST_TREES)),
                   "demand": MD.train_demand(cat_wk, sizes.get("forest_trees", MD.FOREST_TREES))}
-            MD.save_models(ms, os.path.join(work_dir, "models"), cust, cat_wk)
+            MD.save_models(ms, os.path.join(work_dir, "models"), {"forecast": weekly, "churn": cust, "demand": cat_wk})
         f, c, d = ms["forecast"], ms["churn"], ms["demand"]
         scorers = {"forecast": (f.score, f.name), "churn": (c.score, c.name), "demand": (d.score, d.name)}
     else:
@@ -75,8 +75,10 @@ def serving_from_clean(clean: DataFrame, work_dir: str, learned: bool = True,
 def run_batch(spark: SparkSession, out_dir: str, *, sf_dir: str | None = None, raw_csv: str | None = None,
               completed_status: str | None = None, learned: bool = True,
               sizes: dict | None = None, write_processed: bool = False,
-              models_from: str | None = None) -> DataFrame:
-    """Run everything and return the export manifest.  ``models_from`` names
+              models_from: str | None = None, publish: bool = False) -> DataFrame:
+    """Run everything and return the export manifest.  With ``publish`` the
+    serving tables become a new version that readers switch to once it is whole
+    (``files.current``).  ``models_from`` names
     the model bundles of an earlier run (its ``_work/models``): they score, and
     nothing is trained.
 
@@ -99,5 +101,8 @@ def run_batch(spark: SparkSession, out_dir: str, *, sf_dir: str | None = None, r
         IO.write_parquet(FT.build_features(clean), os.path.join(out_dir, "processed", "orders_features"))
     tables = serving_from_clean(clean, work, learned=learned, sizes=sizes, models_from=models_from)
     serving_dir = os.path.join(out_dir, "serving")
-    IO.export_serving(tables, serving_dir)
+    if publish:
+        serving_dir = IO.publish(tables, serving_dir)
+    else:
+        IO.export_serving(tables, serving_dir)
     return IO.export_manifest(spark, serving_dir)

@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.operators import cells as CE
 from orderlens.operators import clean as C
 from orderlens.operators import features as FT
 from orderlens.operators import marts as M
@@ -229,6 +230,52 @@ def q_campaign_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.performance_by(S.orders_clean(spark, sf_dir), "campaign_name")
 
 
+@register("weekly_kpis_cells", O.with_base("SELECT * FROM weekly", O.WEEKLY_CTE))
+def q_weekly_kpis_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MT8 from the stored cells: sums added, buyers' bitmaps OR-ed."""
+    return M.weekly_kpis(S.orders_clean(spark, sf_dir), S.customers(spark, sf_dir),
+                         _cell_sums(spark, sf_dir, "week_start"))
+
+
+@register("campaign_performance_cells", O.performance_sql("campaign_name"))
+def q_campaign_performance_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MT9 from the stored cells."""
+    return M.performance_by(None, "campaign_name", _cell_sums(spark, sf_dir, "campaign_name"))
+
+
+@register("channel_performance_cells", O.performance_sql("sales_channel"))
+def q_channel_performance_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MT10 from the stored cells."""
+    return M.performance_by(None, "sales_channel", _cell_sums(spark, sf_dir, "sales_channel"))
+
+
+def _cell_sums(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    return CE.roll_up(S.cells(spark, sf_dir), [key]).where(F.col(key).isNotNull())
+
+
+ACTIVE_SUBSETS = ((), ("customer_segment",), ("sales_channel",), ("customer_segment", "sales_channel"))
+
+
+@register("active_customers_cells", O.with_base("""
+SELECT CAST(year(week_start) AS BIGINT) AS year, customer_segment, sales_channel,
+       count(DISTINCT customer_id) AS active_customers, count(*) AS total_orders
+FROM comp GROUP BY GROUPING SETS ((year(week_start)), (year(week_start), customer_segment),
+  (year(week_start), sales_channel), (year(week_start), customer_segment, sales_channel))"""))
+def q_active_customers_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ME7 by the year of the week and any subset of segment and channel, from
+    the cells alone: exact distinct buyers without a scan of the fact."""
+    cells = S.cells(spark, sf_dir).withColumn("year", F.year("week_start").cast("bigint"))
+    sets = [("year", *CE.KEY_SETS[0])]
+    out = None
+    for subset in ACTIVE_SUBSETS:
+        part = CE.roll_up(cells, ["year", *subset], key_sets=sets)
+        part = part.select("year", *[F.col(c) if c in subset else F.lit(None).cast("string").alias(c)
+                                     for c in ("customer_segment", "sales_channel")],
+                           F.col("unique_customers").alias("active_customers"), "total_orders")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @register("sales_channel_performance", O.performance_sql("sales_channel"))
 def q_sales_channel_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.performance_by(S.orders_clean(spark, sf_dir), "sales_channel")
@@ -248,6 +295,15 @@ def q_segment_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.segment_performance(S.orders_clean(spark, sf_dir), S.customers(spark, sf_dir))
 
 
+ORACLES["segment_performance_cells"] = ORACLES["segment_performance"]
+
+
+@register("segment_performance_cells")
+def q_segment_performance_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MT11 from the stored cells, repeat customers from their own bitmaps."""
+    return M.segment_performance(None, None, _cell_sums(spark, sf_dir, "customer_segment"))
+
+
 # ---------------------------------------------------------------------------
 # CSV landing zone end to end (IO1, IO2, IO5, CL2 on text)
 # ---------------------------------------------------------------------------
@@ -275,8 +331,8 @@ def q_csv_landing_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
         {c: F.col(c).cast("double") for c in C.NUMERIC_COLUMNS})
 
 
-def _landed(rows: DataFrame, sf_dir: str, name: str) -> DataFrame:
-    """Write rows to a CSV landing folder and run the landing read over it."""
+def _landing(rows: DataFrame, sf_dir: str, name: str) -> str:
+    """Write rows to a CSV landing folder."""
     import hashlib
     import os
 
@@ -287,7 +343,14 @@ def _landed(rows: DataFrame, sf_dir: str, name: str) -> DataFrame:
     digest = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10]
     landing = os.path.join(ensure_checkpoint_dir(spark), f"orderlens-landing-{name}", digest)
     IO.write_csv(rows, landing)
-    return IO.clean_raw_csv(spark, landing, TB.COMPLETED_STATUS_DRIVER)
+    return landing
+
+
+def _landed(rows: DataFrame, sf_dir: str, name: str) -> DataFrame:
+    """The landing read over rows written to a CSV landing folder."""
+    from orderlens.sources import files as IO
+
+    return IO.clean_raw_csv(rows.sparkSession, _landing(rows, sf_dir, name), TB.COMPLETED_STATUS_DRIVER)
 
 
 DIRTY_NAME = '24" Monitor, black'
@@ -312,6 +375,11 @@ def q_csv_landing_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     and missing numbers, missing words as keys, discounts missing or out of
     range, doubled quotes beside a comma, counts as ``3.0``, later copies that
     must lose, first copies that fail and take the id with them)."""
+    return _landed(_dirty_rows(spark, sf_dir), sf_dir, "dirty").select(*DIRTY_COLUMNS).withColumns(
+        {c: F.col(c).cast("double") for c in C.NUMERIC_COLUMNS})
+
+
+def _dirty_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = TB.raw_orders(spark, sf_dir, dedup=True).select(*TB.RAW_COLUMNS)
     text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
     key = F.split("order_id", "-")
@@ -323,9 +391,28 @@ def q_csv_landing_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     dirty = text.withColumns({c: _spoiled(c, how) for c, how in spoil.items()})
     later = text.where(F.col("k").isin(14, 15)).withColumn("quantity", F.lit("999"))
     both = dirty.withColumn("copy", F.lit(0)).unionByName(later.withColumn("copy", F.lit(1)))
-    rows = both.orderBy("order_id", "copy").select(*TB.RAW_COLUMNS)
-    return _landed(rows, sf_dir, "dirty").select(*DIRTY_COLUMNS).withColumns(
-        {c: F.col(c).cast("double") for c in C.NUMERIC_COLUMNS})
+    return both.orderBy("order_id", "copy").select(*TB.RAW_COLUMNS)
+
+
+@register("clean_audit_rules", O.with_base("""
+SELECT count(*) + count_if(k IN (14, 15)) AS rows_before, count_if(k IN (14, 15)) AS removed_duplicate,
+       count_if(f4) AS removed_not_positive, count_if(NOT f4 AND f5) AS removed_discount_out_of_range,
+       count_if(NOT f4 AND NOT f5 AND k IN (6, 7, 8)) AS removed_missing_key, count_if(k = 3) AS discount_filled,
+       count_if(NOT f4 AND NOT f5 AND k NOT IN (6, 7, 8)) AS rows_after
+FROM (SELECT *, k IN (0, 1, 2, 11, 15) OR NOT (revenue > 0 AND quantity > 0 AND unit_price > 0) AS f4,
+             k IN (4, 5) OR (k <> 3 AND NOT discount BETWEEN 0 AND 1) AS f5
+      FROM (SELECT *, (CAST(split_part(order_id, '-', 1) AS BIGINT) * 7 + CAST(split_part(order_id, '-', 2) AS BIGINT)) % 23 AS k
+            FROM raw) r) f"""))
+def q_clean_audit_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO10 by rule on the dirty landing zone: counts observed while the clean
+    stage is written, in one read of the files."""
+    from orderlens.sources import files as IO
+
+    clean, counts = IO.clean_raw_csv_audited(spark, _landing(_dirty_rows(spark, sf_dir), sf_dir, "dirty-audit"),
+                                             TB.COMPLETED_STATUS_DRIVER)
+    S.materialize_frame(clean, "clean-audited")
+    found = counts()
+    return spark.createDataFrame([tuple(found.values())], ", ".join(f"{c} long" for c in found))
 
 
 def _spoiled(column: str, how: dict) -> Column:

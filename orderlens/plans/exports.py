@@ -67,6 +67,15 @@ def q_export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return IO.export_manifest(spark, folder).select("table", "status", "rows")
 
 
+@register("published_manifest", _counts_sql())
+def q_published_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO4 / IO5 / IO8 as one switch: the tables are written as a version, which
+    readers see once its manifest is whole."""
+    root = export_folder(spark, sf_dir) + "-published"
+    IO.publish(serving_tables(spark, sf_dir), root)
+    return IO.export_manifest(spark, IO.current(spark, root)).select("table", "status", "rows")
+
+
 BUNDLE = ("fact_orders", "weekly_kpis")
 
 

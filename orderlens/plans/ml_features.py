@@ -115,6 +115,16 @@ def label_encode(df: DataFrame, col: str, out: str) -> DataFrame:
     return df.join(codes, col, "left")
 
 
+def encode_with(df: DataFrame, col: str, out: str, labels) -> DataFrame:
+    """SC5 by fitted labels: the code is a label's place among ``labels``,
+    whatever other rows the frame has.  A label that was not there when the
+    encoder was fitted gets the next code, ``len(labels)``; NULL stays NULL."""
+    codes = df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(labels)], "_label string, _code long")
+    known = df.drop(out).join(F.broadcast(codes), F.col(col) == F.col("_label"), "left")  # a row a fitted label
+    return known.withColumn(out, F.when(F.col(col).isNotNull(), F.coalesce("_code", F.lit(len(labels)).cast("long")))).drop(
+        "_label", "_code")
+
+
 def churn_features(clean: DataFrame, rfm: DataFrame) -> DataFrame:
     """ML2: one row per customer with a completed order: segment (first in
     row order), RFM values, churn label, encoded segment."""

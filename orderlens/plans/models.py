@@ -44,6 +44,7 @@ from orderlens.functions import exprs as E
 from orderlens.plans import metrics as MT
 from orderlens.plans import ml_features as MF
 from orderlens.plans import ml_queries as MQ
+from orderlens.plans import stages as S
 from orderlens.plans.catalog import register
 from orderlens.session import ensure_checkpoint_dir, input_version
 
@@ -109,8 +110,13 @@ class Fitted:
     features: tuple[str, ...]
     holdout: dict = field(default_factory=dict)  # metrics by candidate
     labels: tuple[str, ...] = ()
+    encoder: tuple[str, str] | None = None  # column, and column of its code
 
     def score(self, df: DataFrame) -> DataFrame:
+        """Scored frame.  Codes come from the labels the model was fitted with,
+        not from the labels that the frame happens to hold."""
+        if self.encoder and self.labels:
+            df = MF.encode_with(df, *self.encoder, self.labels)
         out = self.model.transform(df)
         if "probability" in out.columns:
             out = with_probability(out)
@@ -187,6 +193,20 @@ def train_demand(cat_wk: DataFrame, forest_trees=FOREST_TREES) -> Fitted:
 # IO9: persist / reload fitted pipelines
 # ---------------------------------------------------------------------------
 
+#: Encoded column of each model and the column of its code.
+ENCODERS = {"churn": ("customer_segment", "segment_enc"), "demand": ("product_category", "cat_enc")}
+
+
+def with_encoder(name: str, fitted: Fitted, frame: DataFrame) -> Fitted:
+    """Keep the labels of the frame a model was fitted on, in the order of their
+    codes (a row a label)."""
+    if name in ENCODERS:
+        column, code = fitted.encoder = ENCODERS[name]
+        fitted.labels = tuple(r[0] for r in frame.select(column, code).where(F.col(column).isNotNull()).distinct()
+                              .orderBy(code).collect())
+    return fitted
+
+
 _CARD = "name string, features array<string>, labels array<string>"
 
 
@@ -206,17 +226,26 @@ def load_model(path: str) -> Fitted:
                   labels=tuple(card["labels"] or ()))
 
 
-def save_models(models: dict[str, Fitted], folder: str, churn: DataFrame, demand: DataFrame) -> None:
-    """Bundles of all models; the encoders' labels are the distinct labels of
-    their frames (segments, categories)."""
-    segments = [r[0] for r in churn.select("customer_segment", "segment_enc").distinct().orderBy("segment_enc").collect()]
-    categories = [r[0] for r in demand.select("product_category", "cat_enc").distinct().orderBy("cat_enc").collect()]
+def save_models(models: dict[str, Fitted], folder: str, frames: dict[str, DataFrame]) -> None:
+    """Bundles of all models: pipeline, card with the fitted labels, and the
+    scoring frame."""
     for name, m in models.items():
-        save_model(m, f"{folder}/{name}", {"churn": segments, "demand": categories}.get(name, ()))
+        with_encoder(name, m, frames[name])
+        save_model(m, f"{folder}/{name}", m.labels)
+        frames[name].write.mode("overwrite").parquet(f"{folder}/{name}/frame")
 
 
 def load_models(folder: str) -> dict[str, Fitted]:
-    return {name: load_model(f"{folder}/{name}") for name in ("forecast", "churn", "demand")}
+    found = {name: load_model(f"{folder}/{name}") for name in ("forecast", "churn", "demand")}
+    for name, m in found.items():
+        m.encoder = ENCODERS.get(name)
+    return found
+
+
+def load_frames(folder: str) -> dict[str, DataFrame]:
+    """Scoring frames of saved bundles."""
+    spark = SparkSession.getActiveSession()
+    return {name: spark.read.parquet(f"{folder}/{name}/frame") for name in ("forecast", "churn", "demand")}
 
 
 # ---------------------------------------------------------------------------
@@ -228,7 +257,7 @@ _FITTED: dict[tuple, dict[str, Fitted]] = {}
 
 
 def fitted_models(spark: SparkSession, sf_dir: str) -> dict[str, Fitted]:
-    version = input_version(spark, sf_dir)
+    version = input_version(spark, sf_dir, S.ORDER_TABLES)
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), version)
     with _LOCK:
         if key not in _FITTED:
@@ -240,7 +269,7 @@ def fitted_models(spark: SparkSession, sf_dir: str) -> dict[str, Fitted]:
             }
             digest = hashlib.sha1(f"{os.path.abspath(sf_dir)} {version}".encode()).hexdigest()[:10]
             save_models(models, os.path.join(ensure_checkpoint_dir(spark), "orderlens-models", digest),
-                        MQ.churn_frame(spark, sf_dir), MQ.demand_frame(spark, sf_dir))
+                        {"forecast": weekly, "churn": MQ.churn_frame(spark, sf_dir), "demand": MQ.demand_frame(spark, sf_dir)})
             _FITTED[key] = models
         return _FITTED[key]
 

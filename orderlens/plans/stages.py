@@ -26,6 +26,9 @@ _LOCK = threading.RLock()
 _WRITTEN: dict[tuple[str, ...], tuple] = {}
 _KEY_LOCKS: dict[tuple[str, ...], threading.RLock] = {}
 
+#: Tables the stages come from; a change in others leaves the stages alone.
+ORDER_TABLES = ("lineitem", "orders", "customer", "nation", "part")
+
 _ADAPTER_ONLY = ("l_suppkey", "l_extendedprice", "l_tax", "l_shipdate")
 
 
@@ -48,7 +51,7 @@ def materialize(spark: SparkSession, sf_dir: str, name: str, build,
     with the schema it was written with (partition columns keep their type).
     New or rewritten input files make a new stage.  Different stages may be
     built concurrently from several threads."""
-    version = input_version(spark, sf_dir)
+    version = input_version(spark, sf_dir, ORDER_TABLES)
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), version, name)
     with _key_lock(key):
         entry = _WRITTEN.get(key)
@@ -103,6 +106,15 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
                        lambda: FT.customer_rfm(orders_clean(spark, sf_dir)))
 
 
+def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums and buyer sets of the fact by the marts' slicers, from one scan of it."""
+    from orderlens.operators import cells as CE
+    from orderlens.operators import marts as M
+
+    return materialize(spark, sf_dir, "cells",
+                       lambda: CE.build(M.completed(orders_clean(spark, sf_dir)), customers(spark, sf_dir)))
+
+
 def serving(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Serving tables read by the dashboard, measure and model queries,
     written once per session (the source model's serving zone).  Builder

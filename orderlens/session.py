@@ -68,17 +68,19 @@ def input_bytes(spark: SparkSession, paths) -> int:
     return total
 
 
-def input_version(spark: SparkSession, folder: str) -> str:
-    """Size and latest change of the files of an input folder (metadata only):
-    another value means that something was added, removed or rewritten."""
+def input_version(spark: SparkSession, folder: str, tables=()) -> str:
+    """Size and latest change of the files of an input folder, or of the named
+    tables in it (metadata only): another value means that something was added,
+    removed or rewritten."""
     jvm = spark.sparkContext._jvm
-    hp = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files = fs.listFiles(hp, True)
     size = count = latest = 0
-    while files.hasNext():
-        f = files.next()
-        size, count, latest = size + f.getLen(), count + 1, max(latest, f.getModificationTime())
+    for place in [f"{folder}/{t}.parquet" for t in tables] or [folder]:
+        hp = jvm.org.apache.hadoop.fs.Path(place)
+        fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files = fs.listFiles(hp, True)
+        while files.hasNext():
+            f = files.next()
+            size, count, latest = size + f.getLen(), count + 1, max(latest, f.getModificationTime())
     return f"{count}-{size}-{latest}"
 
 

@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,6 +76,16 @@ def clean_raw_csv(spark: SparkSession, path: str, completed_status: str = C.COMP
         {c: F.col(c).try_cast(LANDING_DECIMAL) for c in C.NUMERIC_COLUMNS if c in out.columns})
 
 
+def clean_raw_csv_audited(spark: SparkSession, path: str, completed_status: str = C.COMPLETED_STATUS,
+                          multi_line: bool = False):
+    """``clean_raw_csv`` and its counts by rule (``clean.clean_with_audit``)."""
+    raw = parse_dates(read_raw_csv(spark, path, multi_line)).drop(CORRUPT_RECORD)
+    raw = raw.withColumns({c: E.coerce_double(c).try_cast("bigint") for c in COUNT_COLUMNS if c in raw.columns})
+    out, counts = C.clean_with_audit(raw, completed_status=completed_status, dedup_order=[FILE_POSITION])
+    return out.drop(FILE_POSITION).withColumns(
+        {c: F.col(c).try_cast(LANDING_DECIMAL) for c in C.NUMERIC_COLUMNS if c in out.columns}), counts
+
+
 def landing_audit(spark: SparkSession, path: str, completed_status: str = C.COMPLETED_STATUS,
                   multi_line: bool = False) -> DataFrame:
     """IO10 of the landing zone in one row: rows read, corrupt rows among them,
@@ -189,6 +200,76 @@ def export_serving(tables: Mapping[str, DataFrame], folder: str, parallel: int =
         list(pool.map(write, tables.items()))
 
 
+# ---------------------------------------------------------------------------
+# Published versions: a bundle is readable only once it is whole
+# ---------------------------------------------------------------------------
+
+_VERSIONS, _POINTERS = "versions", "pointers"
+
+
+class PublishError(RuntimeError):
+    """A version was written but not switched to."""
+
+
+def _fs(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def _pointers(spark: SparkSession, root: str) -> list[str]:
+    """Pointers of a published folder, the oldest first: ``<number>.<version>``."""
+    fs, folder = _fs(spark, os.path.join(root, _POINTERS))
+    if not fs.exists(folder):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder))
+
+
+def current(spark: SparkSession, root: str) -> str | None:
+    """Folder of the version that the last pointer names; None before the first."""
+    names = _pointers(spark, root)
+    return os.path.join(root, _VERSIONS, names[-1].split(".", 1)[1]) if names else None
+
+
+def publish(tables: Mapping[str, DataFrame], root: str, write=None) -> str:
+    """IO4 / IO5 as one step: write all tables into a new version folder, check
+    its manifest, then switch readers to it by creating one empty pointer file.
+
+    A run that fails before the switch leaves the version before it readable;
+    its half-written folder is never named by a pointer.  Raises
+    ``PublishError`` if a table is missing or two runs switch at once."""
+    spark = next(iter(tables.values())).sparkSession
+    version = uuid.uuid4().hex
+    folder = os.path.join(root, _VERSIONS, version)
+    (write or export_serving)(tables, folder)
+    whole = {r["table"]: r["status"] for r in export_manifest(spark, folder).collect()}
+    lost = [t for t in tables if whole.get(t, "MISSING") != "OK"]
+    if lost:
+        raise PublishError(f"not switched: {lost} missing in {folder}")
+    names = _pointers(spark, root)
+    number = int(names[-1].split(".")[0]) + 1 if names else 0
+    fs, pointer = _fs(spark, os.path.join(root, _POINTERS, f"{number:012d}.{version}"))
+    if not fs.createNewFile(pointer):
+        raise PublishError(f"not switched: {pointer} exists")
+    same = [n for n in _pointers(spark, root) if n.startswith(f"{number:012d}.")]
+    if len(same) > 1 and same[-1] != pointer.getName():
+        raise PublishError(f"not switched: another run published at the same time ({same[-1]})")
+    return folder
+
+
+def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Remove all but the last ``keep`` published versions (and what failed
+    runs left); returns the versions removed."""
+    names = _pointers(spark, root)
+    held = {n.split(".", 1)[1] for n in names[-keep:]}
+    fs, folder = _fs(spark, os.path.join(root, _VERSIONS))
+    gone = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName() not in held] if fs.exists(folder) else []
+    for n in names[:-keep]:
+        fs.delete(_fs(spark, os.path.join(root, _POINTERS, n))[1], False)
+    for path in gone:
+        fs.delete(path, True)
+    return [p.getName() for p in gone]
+
+
 def _dir_size(spark: SparkSession, path: str) -> int | None:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
