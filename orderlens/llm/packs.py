@@ -3,6 +3,7 @@ the two exact substring operators send through their shuffles."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -146,6 +147,13 @@ def by_shard(work: Callable[[Shard], Iterator[tuple[int, bytes]]], shard_bytes:
     return run
 
 
+def bucket_of_shard(o: np.ndarray, tag: np.ndarray, buckets: int) -> int:
+    """Bucket that takes a shard's own intervals: by the hash of its first
+    document, so that shards spread over all buckets."""
+    return int.from_bytes(hashlib.blake2b(np.array([o[0], tag[0]], np.int64).tobytes(), digest_size=8).digest(),
+                          "little") % buckets
+
+
 def keyed(docs: DataFrame, tag: Column) -> DataFrame:
     return docs.select(doc_order().alias("_o"), tag.alias("_tag"), F.col("text").cast("string"))
 

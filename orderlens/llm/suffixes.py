@@ -51,36 +51,47 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(data)
     if n >= (1 << PLACE_BITS) - 1:
         raise ValueError("too many bytes for one suffix array")
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    h = min(5, depth)
-    key = np.zeros(n, np.uint64)
-    for k in range(h):
-        key = key << np.uint64(8) | padded[k:k + n]
-    key = key << _BITS | np.arange(n, dtype=np.uint64)
+    # bytes by their place in the alphabet at hand: more of them fit one key
+    used = np.bincount(data, minlength=256) > 0
+    code = (np.cumsum(used) * used).astype(np.uint8)
+    bits = max(1, int(used.sum()).bit_length())
+    h = min((64 - PLACE_BITS) // bits, depth)
+    padded = np.concatenate([code[data].astype(np.uint64), np.zeros(h, np.uint64)])
+    key = padded[:n].copy()
+    for k in range(1, h):
+        key <<= np.uint64(bits)
+        key |= padded[k:k + n]
+    key <<= _BITS
+    key |= np.arange(n, dtype=np.uint64)
     key.sort()
-    sa = (key & _MASK).astype(np.int64)
+    sa = (key & _MASK).astype(np.int32)
     key >>= _BITS
     head = np.ones(n, bool)
-    head[1:] = key[1:] != key[:-1]
-    rank = np.zeros(n + depth, np.uint64)  # 1 + slot of the group's first; 0 beyond the end
-    rank[sa] = np.maximum.accumulate(np.where(head, np.arange(n), 0)) + 1
+    np.not_equal(key[1:], key[:-1], out=head[1:])
+    # 1 + slot of the group's first; 0 beyond the end
+    rank = np.zeros(n + depth, np.uint32)
+    rank[sa] = np.maximum.accumulate(np.where(head, np.arange(1, n + 1, dtype=np.uint32), np.uint32(0)))
     while h < depth:
         step = min(h, depth - h)
         open_ = ~(head & np.append(head[1:], True))
-        slots = np.flatnonzero(open_)
+        slots = np.flatnonzero(open_).astype(np.int32)
         if len(slots) == 0:
             break
         at = sa[slots]
-        key = rank[at] << np.uint64(2 * PLACE_BITS) | rank[at + step] << _BITS | at.astype(np.uint64)
+        key = rank[at].astype(np.uint64)
+        key <<= _BITS
+        key |= rank[at + step]
+        key <<= _BITS
+        key |= at.astype(np.uint64)
         key.sort()
-        at = (key & _MASK).astype(np.int64)
+        at = (key & _MASK).astype(np.int32)
         key >>= _BITS
         first = np.ones(len(slots), bool)
-        first[1:] = key[1:] != key[:-1]
+        np.not_equal(key[1:], key[:-1], out=first[1:])
         sa[slots], head[slots] = at, first
-        rank[at] = slots[np.maximum.accumulate(np.where(first, np.arange(len(slots)), 0))] + 1
+        rank[at] = np.maximum.accumulate(np.where(first, slots + 1, 0)).astype(np.uint32)
         h += step
-    return sa, head
+    return sa.astype(np.int64), head
 
 
 def common_prefixes(data: np.ndarray, at: np.ndarray, before: np.ndarray, depth: int) -> np.ndarray:
@@ -253,11 +264,13 @@ def _shard_packs(window: int, gram: int, buckets: int, most: int, hot: np.ndarra
                     yield k, _pack(rows, none)
                 out, held = {}, 0
         local = [np.concatenate(c) for c in zip(*spans)]
-        if len(local[0]) and not out:
-            out[int(abs(o[0])) % buckets] = []
+        # the shard's own intervals go to a bucket by the shard, not to its first
+        own = P.bucket_of_shard(o, tag, buckets)
+        if len(local[0]):
+            out.setdefault(own, [])
+        none = [c[:0] for c in local]
         for k, rows in out.items():
-            yield k, _pack(rows, local)
-            local = [c[:0] for c in local]
+            yield k, _pack(rows, local if k == own else none)
 
     return work
 
@@ -269,7 +282,7 @@ def _pack(rows: list[tuple], spans: list[np.ndarray]) -> bytes:
     join = lambda c, kind: np.concatenate([np.zeros(0, np.int64), *c]).astype(kind)
     low = np.concatenate([np.zeros(0, np.uint64), *value]).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :VALUE_BYTES]
     return P.pack([join(o, "<i8"), join(tag, "<i8"), join(start, "<i4"), join(size, "<i4"),
-                   np.ascontiguousarray(low).ravel(), b"".join(r[5] for r in rows), *spans], level=6)
+                   np.ascontiguousarray(low).ravel(), b"".join(r[5] for r in rows), *spans], level=1)
 
 
 class _Merged:

@@ -2,6 +2,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from test_llm_dedup import brute, key
 
@@ -74,3 +75,29 @@ def test_super_kmers_hot_minimiser(spark, small):
     for hot in (2, 30):
         got = kmers.dedup_windows(df, 8, 2, 200000, with_text=True, hot_pieces=hot).collect()
         assert sorted(str((r.doc_id, r.n_words, r.n_removed, r.kept)) for r in got) == sorted(rows)
+
+
+def test_own_intervals_spread_over_the_buckets(spark):
+    """What shards find in themselves does not all go to one bucket."""
+    random.seed(5)
+    half = [" ".join(random.choice("abcdefgh") + str(random.randint(0, 9999)) for _ in range(20)) for _ in range(300)]
+    df = spark.createDataFrame([(i, f"{t} {t}") for i, t in enumerate(half)], "doc_id long, text string").repartition(6)
+    held = Counter()
+    for r in suffixes.sent_packs(df, row_tag(df), 40, 8, 4000, 4000, 10 ** 9).collect():
+        held[r.bucket] += len(packs.unpack(r.payload)[6])
+    assert sum(held.values()) >= 300
+    buckets = packs.bucket_count(df, suffixes.BUCKET_BYTES)
+    assert packs.bucket_of_shard(np.array([1]), np.array([0]), 97) == packs.bucket_of_shard(np.array([1]), np.array([0]), 97)
+    firsts = {packs.bucket_of_shard(np.array([i]), np.array([0]), 97) for i in range(2000)}
+    assert len(firsts) == 97 and buckets >= 1
+
+
+def test_own_intervals_of_many_shards(spark, small):
+    random.seed(6)
+    half = [" ".join(random.choice("abcdefgh") + str(random.randint(0, 9999)) for _ in range(20)) for _ in range(300)]
+    df = spark.createDataFrame([(i, f"{t} {t}") for i, t in enumerate(half)], "doc_id long, text string").repartition(6)
+    held = Counter()
+    for r in suffixes.sent_packs(df, row_tag(df), 40, 8, 4000, 4000, 10 ** 9).collect():
+        held[r.bucket] += len(packs.unpack(r.payload)[6])
+    assert sum(v > 0 for v in held.values()) > 10 and max(held.values()) < sum(held.values()) / 4
+    bytes_match(df, suffixes.dedup_bytes(df, 40, 8, 4000, 4000, with_bytes=True))
