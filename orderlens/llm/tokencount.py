@@ -68,6 +68,9 @@ def signed(rows: DataFrame, versions: dict[str, str], sign: int) -> DataFrame:
         (sign * F.col("t.n")).alias("n_tokens"), (sign * F.col("n_bytes")).alias("n_bytes"))
 
 
+LEDGER = "source string, lang string, tokenizer string, n_docs long, n_tokens long, n_bytes long"
+
+
 class Rollup:
     """Additive totals over a ledger of batches in a folder of shared storage."""
 
@@ -77,16 +80,17 @@ class Rollup:
     def commit(self, batch_id: str, deltas: DataFrame) -> None:
         """Add a batch (columns KEYS and SUMS, signed).  The partition of the
         batch is replaced as a whole: a batch that failed half-way or comes
-        again leaves its own rows once.  An empty batch leaves no partition."""
+        again leaves its own rows once.  Each partition holds one row of zeros
+        besides, so that an empty batch replaces what its id had before."""
         summed = deltas.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS])
-        (summed.withColumn("batch_id", F.lit(batch_id)).coalesce(1)
+        mark = self.spark.createDataFrame([(None, None, None, 0, 0, 0)], LEDGER)
+        (summed.unionByName(mark).withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(self.path))
 
     def totals(self) -> DataFrame:
         """Totals of all committed batches; groups without documents are left out."""
-        schema = "source string, lang string, tokenizer string, n_docs long, n_tokens long, n_bytes long, batch_id string"
-        ledger = self.spark.read.schema(schema).parquet(self.path)
+        ledger = self.spark.read.schema(f"{LEDGER}, batch_id string").parquet(self.path)
         return ledger.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).where(F.col("n_docs") != 0)
 
 

@@ -119,3 +119,13 @@ def test_verdicts_and_redaction(spark):
     assert texts[1] == "é [SECRET] and more" and texts[2] == "[SECRET]"
     assert texts[4] == f"secret={shared}" and texts[6] == "password=hunterhunter" and texts[7] is None
     assert out.count() == len(rows)
+
+
+def test_iban_stops_at_its_country_length(spark):
+    texts = {"ES91 2100 0418 4502 0005 1332 BIC": "iban:0:29", "AT61 1904 3002 3457 3201 EUR": "iban:0:24",
+             "NO9386011117947": "iban:0:15", "FR14 2004 1010 0505 0001 3M02 606 then": "iban:0:33",
+             "ES91 2100 0418 4502 0005 1333": "", "ZZ91 2100 0418 4502 0005 1332": ""}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find_pii(df).collect()}
+    for i, want in enumerate(texts.values()):
+        assert [s for s in got[i].split(",") if s.startswith("iban")] == ([want] if want else []), (i, got[i])

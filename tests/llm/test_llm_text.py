@@ -226,3 +226,13 @@ def test_pipeline_edge_rows(spark, edge, empty, sf_dir):
             docs = stage(spark, docs, sf_dir)
             assert docs.columns == edge.columns
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == docs.count()
+
+
+def test_an_empty_batch_replaces_its_partition(spark):
+    rollup = tokencount.Rollup(spark, stage_path(spark, "ledger"))
+    one = spark.createDataFrame([("s", "en", "t", 1, 5, 9), (None, None, "t", 1, 1, 1)], tokencount.LEDGER)
+    rollup.commit("a", one)
+    rollup.commit("b", one)
+    assert sorted(r.n_tokens for r in rollup.totals().collect()) == [2, 10]
+    rollup.commit("b", one.limit(0))
+    assert sorted(r.n_tokens for r in rollup.totals().collect()) == [1, 5]
