@@ -119,8 +119,8 @@ def exec_cards(fact: DataFrame, weekly: DataFrame, years=None) -> DataFrame:
     last = wk.agg(F.when(F.count(F.lit(1)) > 1,
                          F.max_by(F.struct("revenue_wow_growth", "orders_wow_growth"), "week_start"))
                   .alias("last"))
-    rev_wow = last.select("last.revenue_wow_growth").scalar()
-    ord_wow = last.select("last.orders_wow_growth").scalar()
+    wow = last.scalar()  # both from one subquery
+    rev_wow, ord_wow = wow.getField("revenue_wow_growth"), wow.getField("orders_wow_growth")
     cards = comp.agg(F.coalesce(F.sum("revenue").cast("double"), F.lit(0.0)).alias("total_revenue"),
                      F.count(F.lit(1)).alias("total_orders"),
                      F.coalesce(F.sum("margin").cast("double"), F.lit(0.0)).alias("_margin"),

@@ -26,6 +26,7 @@ import hashlib
 import os
 import threading
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -145,8 +146,10 @@ def _select(data: DataFrame, label: str, features: Sequence[str], candidates: di
     try:
         train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
         n_train = max(train.count(), 1)
-        fitted = {name: Fitted(name, _pipeline(features, make(n_train)).fit(train), tuple(features))
-                  for name, make in candidates.items()}
+        # candidates side by side: their jobs share the cluster
+        with ThreadPoolExecutor(max_workers=len(candidates)) as pool:
+            models = pool.map(lambda make: _pipeline(features, make(n_train)).fit(train), candidates.values())
+            fitted = {name: Fitted(name, model, tuple(features)) for name, model in zip(candidates, models)}
         table = {name: _holdout(f.score(test), label, larger) for name, f in fitted.items()}
     finally:
         data.unpersist()
@@ -159,7 +162,8 @@ def _select(data: DataFrame, label: str, features: Sequence[str], candidates: di
 
 def train_forecast(weekly: DataFrame, forest_trees=FOREST_TREES, gbt_iters=GBT_ITERS) -> Fitted:
     """ML7 / ML8 / ML13: the lower hold-out MAE of forest and boosting wins."""
-    return _select(weekly, "revenue", MF.FORECAST_FEATURES, {
+    # a row a week: one partition saves a task for each other in every tree
+    return _select(weekly.coalesce(1), "revenue", MF.FORECAST_FEATURES, {
         "RandomForest": lambda n: RandomForestRegressor(
             labelCol="revenue", numTrees=forest_trees, maxDepth=FOREST_DEPTH, featureSubsetStrategy="all", seed=SEED),
         "GradientBoosting": lambda n: GBTRegressor(
@@ -262,11 +266,13 @@ def fitted_models(spark: SparkSession, sf_dir: str) -> dict[str, Fitted]:
     with _LOCK:
         if key not in _FITTED:
             weekly = MQ.weekly_frame(spark, sf_dir)
-            models = {
-                "forecast": train_forecast(weekly, QUERY_SIZES["forest_trees"], QUERY_SIZES["gbt_iters"]),
-                "churn": train_churn(MQ.churn_frame(spark, sf_dir), QUERY_SIZES["churn_forest_trees"]),
-                "demand": train_demand(MQ.demand_frame(spark, sf_dir), QUERY_SIZES["forest_trees"]),
+            train = {
+                "forecast": lambda: train_forecast(weekly, QUERY_SIZES["forest_trees"], QUERY_SIZES["gbt_iters"]),
+                "churn": lambda: train_churn(MQ.churn_frame(spark, sf_dir), QUERY_SIZES["churn_forest_trees"]),
+                "demand": lambda: train_demand(MQ.demand_frame(spark, sf_dir), QUERY_SIZES["forest_trees"]),
             }
+            with ThreadPoolExecutor(max_workers=len(train)) as pool:
+                models = dict(zip(train, pool.map(lambda fit: fit(), train.values())))
             digest = hashlib.sha1(f"{os.path.abspath(sf_dir)} {version}".encode()).hexdigest()[:10]
             save_models(models, os.path.join(ensure_checkpoint_dir(spark), "orderlens-models", digest),
                         {"forecast": weekly, "churn": MQ.churn_frame(spark, sf_dir), "demand": MQ.demand_frame(spark, sf_dir)})

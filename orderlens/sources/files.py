@@ -18,7 +18,7 @@ import os
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +31,8 @@ RAW_DATE_COLUMNS = ("order_date", "customer_signup_date", "last_purchase_date")
 FILE_POSITION = "_file_pos"
 CORRUPT_RECORD = "_corrupt_record"
 COUNT_COLUMNS = ("visits", "cart_additions", "completed_orders")
-#: Exact type of landing numbers: no cent fraction that a file holds is cut.
+#: Exact type of landing numbers.  What does not fit (more than six decimals, 1e22
+#: and more, infinite) is counted by ``landing_audit`` and kept by ``uncut``.
 LANDING_DECIMAL = "decimal(28,6)"
 
 
@@ -64,12 +65,17 @@ def parse_dates(df: DataFrame, cols=RAW_DATE_COLUMNS) -> DataFrame:
 
 
 def clean_raw_csv(spark: SparkSession, path: str, completed_status: str = C.COMPLETED_STATUS,
-                  multi_line: bool = False) -> DataFrame:
-    """IO1 + CL8: keep-first in file order, coercing casts, rules, dates.
+                  multi_line: bool = False, uncut: bool = False) -> DataFrame:
+    """IO1 + CL8: keep-first in file order, coercing casts, rules, dates.  With
+    ``uncut`` every number and count is there once more, as the DOUBLE that the
+    file holds, in a column ``<name>_uncut``.
 
     Counts may be written as ``3.0`` (a count column with a missing value);
     numbers leave as exact decimals once the rules have seen them."""
     raw = parse_dates(read_raw_csv(spark, path, multi_line)).drop(CORRUPT_RECORD)
+    if uncut:
+        raw = raw.withColumns({f"{c}_uncut": E.coerce_double(c) for c in (*C.NUMERIC_COLUMNS, *COUNT_COLUMNS)
+                               if c in raw.columns})
     raw = raw.withColumns({c: E.coerce_double(c).try_cast("bigint") for c in COUNT_COLUMNS if c in raw.columns})
     out = C.clean(raw, completed_status=completed_status, dedup_order=[FILE_POSITION])
     return out.drop(FILE_POSITION).withColumns(
@@ -86,12 +92,31 @@ def clean_raw_csv_audited(spark: SparkSession, path: str, completed_status: str
         {c: F.col(c).try_cast(LANDING_DECIMAL) for c in C.NUMERIC_COLUMNS if c in out.columns}), counts
 
 
+def _inexact(columns) -> Column:
+    """Does a row hold a number that ``LANDING_DECIMAL`` cuts or drops, or a
+    count that is no whole number?"""
+    cut = F.lit(False)
+    for c in columns:
+        x = E.coerce_double(c)
+        if c in C.NUMERIC_COLUMNS:
+            kept = x.try_cast(LANDING_DECIMAL).try_cast("double")
+        elif c in COUNT_COLUMNS:
+            kept = x.try_cast("bigint").try_cast("double")
+        else:
+            continue
+        cut = cut | (x.isNotNull() & ~kept.eqNullSafe(x))
+    return cut
+
+
 def landing_audit(spark: SparkSession, path: str, completed_status: str = C.COMPLETED_STATUS,
                   multi_line: bool = False) -> DataFrame:
     """IO10 of the landing zone in one row: rows read, corrupt rows among them,
-    distinct order ids, rows after the rules."""
-    raw = read_raw_csv(spark, path, multi_line).select("order_id", CORRUPT_RECORD).agg(
+    rows with a number or count that its column cannot hold uncut, distinct
+    order ids, rows after the rules."""
+    raw = read_raw_csv(spark, path, multi_line)
+    raw = raw.select("order_id", CORRUPT_RECORD, _inexact(raw.columns).alias("_cut")).agg(
         F.count(F.lit(1)).alias("rows_read"), F.count(CORRUPT_RECORD).alias("rows_corrupt"),
+        F.count_if("_cut").alias("rows_inexact"),
         (F.count_distinct("order_id") + F.max(F.col("order_id").isNull().cast("int"))).alias("rows_after_dedup"))
     after = clean_raw_csv(spark, path, completed_status, multi_line).agg(F.count(F.lit(1))).scalar()
     return raw.select("*", after.alias("rows_after"))

@@ -95,3 +95,17 @@ def test_csv_sink_round_trip_of_quotes(spark, tmp_path):
     assert sorted((r.order_id, r.name) for r in got.select("order_id", "name").collect()) == rows
     IO.write_csv(spark.createDataFrame([("1", "two\nlines")], "order_id string, name string"), str(tmp_path / "ml"))
     assert IO.read_raw_csv(spark, str(tmp_path / "ml"), multi_line=True).first()["name"] == "two\nlines"
+
+
+def test_landing_numbers_are_uncut_or_counted(spark, tmp_path):
+    """Eight decimals, 1e25, infinity and 2.7 are there uncut; rows whose exact
+    columns cannot hold them are counted."""
+    head = "order_id,customer_id,product_id,order_date,quantity,unit_price,discount,revenue,margin,order_status,visits"
+    lines = ["o1,c,p,2024-01-01,1,1.12345678,0,1e25,1,Completed,3", "o2,c,p,2024-01-01,1,2,0,inf,1,Completed,3",
+             "o3,c,p,2024-01-01,1,2,0,2,1,Completed,2.7", "o4,c,p,2024-01-01,1,0.123456789012,0,2,1,Completed,"]
+    (tmp_path / "x.csv").write_text("\n".join([head, *lines]) + "\n")
+    out = {r.order_id: r for r in IO.clean_raw_csv(spark, str(tmp_path), uncut=True).collect()}
+    assert (out["o1"].unit_price_uncut, out["o1"].revenue_uncut, out["o2"].revenue_uncut) == (1.12345678, 1e25, float("inf"))
+    assert (out["o3"].visits_uncut, out["o3"].visits, out["o4"].visits_uncut) == (2.7, 2, None)
+    audit = IO.landing_audit(spark, str(tmp_path)).first()
+    assert (audit.rows_read, audit.rows_inexact, audit.rows_after) == (4, 4, 4)
