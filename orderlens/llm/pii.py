@@ -47,7 +47,8 @@ JVM_PATTERNS = {
     "ip": (r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", "."),
     "card": (r"[0-9](?:[\x20-]?[0-9]){15,}+", None),
     "phone": (BASE_PATTERNS["phone"], "+"),
-    "iban": (IBAN_PATTERN, None),
+    # two letters and two digits before any country is tried
+    "iban": (f"(?=[A-Z][A-Z][0-9][0-9]){IBAN_PATTERN}", None),
 }
 KINDS = ("email", "ip", "card", "phone", "iban")
 
