@@ -354,6 +354,8 @@ def encode_documents(docs: DataFrame, path: str, with_ids: bool = False) -> Data
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``encode_documents`` over the whole documents table (NULL text: no tokens;
+    repeated rows are listed each; an empty table gives none)."""
     return encode_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 

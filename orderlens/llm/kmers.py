@@ -313,6 +313,9 @@ def dedup_windows(docs: DataFrame, window: int = WINDOW_WORDS, gram: int = GRAM_
 
 
 def op2_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``dedup_windows`` over the whole documents table (NULL and empty texts keep
+    nothing and lose nothing; repeated rows get their document's result each; an
+    empty table gives none; other columns are ignored)."""
     return dedup_windows(table(spark, sf_dir, "documents"))
 
 

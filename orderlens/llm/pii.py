@@ -115,6 +115,8 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
 
 def op9_find_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``find_pii`` over the whole documents table (NULL text: empty; repeated rows
+    are listed each; an empty table gives none; other columns are ignored)."""
     return find_pii(table(spark, sf_dir, "documents"))
 
 

@@ -447,6 +447,9 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW_BYTES, gram: int = GRAM_BY
 
 
 def op4_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``dedup_bytes`` over the whole documents table (NULL text: empty; repeated
+    rows get their document's result each; an empty table gives none; other
+    columns are ignored)."""
     return dedup_bytes(table(spark, sf_dir, "documents"))
 
 

@@ -130,6 +130,8 @@ def token_rollup(docs: DataFrame, path: str, ledger: str) -> DataFrame:
 
 
 def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``token_rollup`` over the whole documents table (NULL text: no tokens; NULL
+    source or language: a group of its own; an empty table gives none)."""
     return token_rollup(table(spark, sf_dir, "documents"), tokenizer_path(), stage_path(spark, "token-ledger"))
 
 
