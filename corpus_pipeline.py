@@ -5,6 +5,11 @@ Each stage takes ``(spark, docs, sf_dir)`` and works on all that its predecessor
 kept; all but the last return the columns of ``docs``.  ``run`` writes every
 stage to the shared checkpoint folder, so a lost executor or a restart repeats
 one stage at most.
+
+NULL and empty texts fail the first stage's base rules; in the others a NULL text
+has no words, holds no benchmark item, no secret and no tokens.  Of repeated rows
+one stays in the second stage.  Columns may have any names and keep their values
+and types through the first four stages; an empty table stays empty.
 """
 
 from __future__ import annotations
