@@ -11,7 +11,6 @@ hits are.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import doc_order, stage_table, table, text_tag, whole_rows, workers_import
+from orderlens.llm.common import doc_order, stage_path, table, text_tag, whole_rows, workers_import
 
 #: Least tile in words, and the share of an item's words that tiles must cover.
 MIN_TILE, MIN_COVERAGE = 5, 0.8
@@ -28,6 +27,7 @@ BLOCK_WORDS = 1_000_000
 
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
 def words_of(text: str) -> list[bytes]:
@@ -46,48 +46,96 @@ def rolling_hashes(ids: np.ndarray, width: int) -> np.ndarray:
     return acc ^ (acc >> np.uint64(31))
 
 
-def common_runs(text: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """Maximal common runs of ``least`` numbers or more: (length, place in item,
-    place in text).  Window hashes propose, the numbers themselves decide."""
-    th, ih = rolling_hashes(text, least), rolling_hashes(item, least)
-    order = np.argsort(th, kind="stable")
-    low, high = np.searchsorted(th[order], ih, "left"), np.searchsorted(th[order], ih, "right")
-    count = high - low
-    if not count.sum():
-        return []
-    at_item = np.repeat(np.arange(len(ih)), count)
-    at_text = order[np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())]
-    same = (text[at_text[:, None] + np.arange(least)] == item[at_item[:, None] + np.arange(least)]).all(axis=1)
-    at_item, at_text = at_item[same], at_text[same]
-    # consecutive windows on one diagonal form one run
-    by = np.lexsort((at_item, at_text - at_item))
-    at_item, at_text = at_item[by], at_text[by]
-    breaks = np.flatnonzero((np.diff(at_text - at_item) != 0) | (np.diff(at_item) != 1)) + 1
-    firsts = np.concatenate([[0], breaks]) if len(at_item) else np.zeros(0, np.int64)
-    lasts = np.concatenate([breaks, [len(at_item)]]) if len(at_item) else firsts
-    return [(int(b - a) + least - 1, int(at_item[a]), int(at_text[a])) for a, b in zip(firsts, lasts)]
+class Windows:
+    """Karp-Rabin hashes (modulo 2^64) of a number sequence's windows of any
+    width, from running sums: a window's sum over powers of the base, moved back
+    to power zero."""
+
+    def __init__(self, ids: np.ndarray):
+        powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(ids), _BASE)]))
+        values = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers[:-1], dtype=np.uint64)])
+        self.back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(ids), _BASE_INVERSE)]))
+
+    def hashes(self, width: int) -> np.ndarray:
+        sums = self.sums[width:] - self.sums[:len(self.sums) - width]
+        return sums * self.back[:len(sums)]
+
+
+def unmarked(marks: np.ndarray, width: int) -> np.ndarray:
+    """For every window of ``width`` words, whether none of them is marked."""
+    total = np.concatenate([[0], np.cumsum(marks, dtype=np.int64)])
+    return total[width:] == total[:len(total) - width]
+
+
+class Matches:
+    """Equal unmarked windows of one width: places in the text are kept by hash,
+    so memory follows the words, never the pairs of equal windows."""
+
+    def __init__(self, text: tuple[np.ndarray, Windows, np.ndarray], item: tuple[np.ndarray, Windows, np.ndarray], width: int):
+        (self.text, text_windows, self.in_text), (self.item, item_windows, in_item) = text, item
+        self.width, self.in_item = width, in_item
+        self.at_item = np.flatnonzero(unmarked(in_item, width))
+        if not len(self.at_item):
+            return
+        keys, self.key_of = np.unique(item_windows.hashes(width)[self.at_item], return_inverse=True)
+        found = text_windows.hashes(width)
+        place = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+        at = np.flatnonzero((keys[place] == found) & unmarked(self.in_text, width))
+        self.at_text = at[np.argsort(place[at], kind="stable")]
+        self.ends = np.cumsum(np.bincount(place[at], minlength=len(keys)))
+
+    def in_order(self) -> Iterator[tuple[int, int]]:
+        """(place in item, place in text), earlier in the item first, each with its
+        earliest place in the text; marks made between two of them count."""
+        free = None
+        for k, i in enumerate(self.at_item.tolist()):
+            if self.in_item[i:i + self.width].any():
+                continue
+            low = self.ends[self.key_of[k] - 1] if self.key_of[k] else 0
+            places = self.at_text[low:self.ends[self.key_of[k]]]
+            if free is not None:
+                places = places[free[places]]
+            # hashes propose, the numbers themselves decide
+            t = next((t for t in places.tolist() if np.array_equal(
+                self.text[t:t + self.width], self.item[i:i + self.width])), None)
+            if t is not None:
+                yield i, t
+                free = unmarked(self.in_text, self.width)
 
 
 def tiles(text: np.ndarray, item: np.ndarray, least: int = MIN_TILE) -> list[tuple[int, int, int]]:
     """Greedy tiling of two number sequences: (length, place in item, place in
     text) of runs that do not overlap in either, longest first (ties: earlier
-    in the item, then in the text)."""
-    heap = [(-n, i, t) for n, i, t in common_runs(text, item, least)]
-    heapq.heapify(heap)
-    in_item, in_text, out = np.zeros(len(item), bool), np.zeros(len(text), bool), []
-    while heap:
-        n, i, t = heapq.heappop(heap)
-        n = -n
-        taken = in_item[i:i + n] | in_text[t:t + n]
-        if not taken.any():
-            in_item[i:i + n] = in_text[t:t + n] = True
-            out.append((n, i, t))
-            continue
-        # what is left of the run between marked words competes again
-        edges = np.flatnonzero(np.diff(np.concatenate([[True], taken, [True]]).astype(np.int8)))
-        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
-            if b - a >= least:
-                heapq.heappush(heap, (a - b, i + a, t + a))
+    in the item, then in the text).
+
+    The longest common run of unmarked words is found by trying widths, as a run
+    holds all shorter ones; all runs of that width are marked in their order,
+    then the next width is looked for below it.  Marked runs of different widths
+    add up to the item at most, so there are about sqrt(2 x its words) widths."""
+    out, top = [], min(len(text), len(item))
+    if top < least:
+        return out
+    in_item, in_text = np.zeros(len(item), bool), np.zeros(len(text), bool)
+    sides = (text, Windows(text), in_text), (item, Windows(item), in_item)
+    while top >= least:
+        # widths above ``top`` have no run left; go down by doubled steps, then halve the gap
+        low, step = top, 1
+        while low >= least and next(Matches(*sides, low).in_order(), None) is None:
+            top, low = low - 1, (max(low - step, least) if low > least else least - 1)
+            step *= 2
+        if low < least:
+            return out
+        while low < top:
+            middle = (low + top + 1) // 2
+            if next(Matches(*sides, middle).in_order(), None) is None:
+                top = middle - 1
+            else:
+                low = middle
+        for i, t in Matches(*sides, low).in_order():
+            in_item[i:i + low] = in_text[t:t + low] = True
+            out.append((low, i, t))
+        top = low - 1
     return out
 
 
@@ -175,14 +223,19 @@ def _blocks(benchmark: DataFrame, least: int, block_words: int) -> Iterator[Bloc
 
 def hits(docs: DataFrame, benchmark: DataFrame, least: int = MIN_TILE, coverage: float = MIN_COVERAGE,
          block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Every (document, item) whose tiles cover the item: one row each."""
+    """Every (document, item) whose tiles cover the item: one row each.
+
+    The hits of a block are written before the next one is read, so the driver
+    holds one block at a time; each block is a scan of the documents."""
     spark = docs.sparkSession
     workers_import(spark)
     rows = docs.select(doc_order().alias("_o"), text_tag().alias("_tag"), F.col("text").cast("string"))
-    found = spark.createDataFrame([], _HITS)
+    path = stage_path(spark, "benchmark-hits")
+    spark.createDataFrame([], _HITS).write.parquet(path)
     for block in _blocks(benchmark, least, block_words):
-        found = found.union(rows.mapInArrow(_find(block, coverage), _HITS))
-    return stage_table(found.distinct(), "benchmark-hits")
+        # an item is in one block, so repeated documents are told apart here
+        rows.mapInArrow(_find(block, coverage), _HITS).distinct().write.mode("append").parquet(path)
+    return spark.read.schema(_HITS).parquet(path)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, least: int = MIN_TILE, coverage: float = MIN_COVERAGE,
