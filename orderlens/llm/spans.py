@@ -27,8 +27,16 @@ def with_matches(rows: DataFrame, text: str, patterns: dict[str, tuple[str, str
     return rows.withColumns(cols)
 
 
+#: Matches that are placed together: a list grown by one item is copied, so
+#: placing all of a text's matches in one list would be quadratic.
+PLACED = 128
+
+
 def located(text: str, kind: str, pattern: str) -> Column:
-    """Spans of ``_m_<kind>``: start and end in code points, end exclusive."""
+    """Spans of ``_m_<kind>``: start and end in code points, end exclusive.
+
+    Parts of ``PLACED`` matches are measured first; each part then starts where
+    the parts before it end."""
     matches = F.col(f"_m_{kind}")
 
     def add(acc: Column, pair: Column) -> Column:
@@ -37,11 +45,25 @@ def located(text: str, kind: str, pattern: str) -> Column:
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(
             F.struct(start.alias("start"), end.alias("end"), pair["match"].alias("match")))).alias("out"))
 
+    def placed(pairs: Column, at: Column) -> Column:
+        start = F.struct(at.alias("at"), F.array().cast(SPAN).alias("out"))
+        return F.aggregate(pairs, start, add, lambda acc: acc["out"])
+
+    def follow(acc: Column, part: Column) -> Column:
+        size = F.aggregate(part, F.lit(0), lambda n, pair: n + F.length(pair["gap"]) + F.length(pair["match"]))
+        return F.struct((acc["at"] + size).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts"))
+
     pairs = F.arrays_zip(F.slice(F.split(F.col(text), pattern, -1), F.lit(1), F.size(matches)).alias("gap"),
                          matches.alias("match"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-    spans = F.aggregate(pairs, start, add, lambda acc: acc["out"])
-    return F.when(F.size(matches) > 0, spans).otherwise(F.array().cast(SPAN))
+    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+    # as the one item of an array the pairs are made once, not once a part
+    parts = F.transform(F.array(pairs), lambda every: F.transform(
+        F.sequence(F.lit(1), F.size(matches), F.lit(PLACED)), lambda k: F.slice(every, k, PLACED)))[0]
+    starts = F.aggregate(parts, first, follow, lambda acc: acc["starts"])
+    many = F.flatten(F.transform(F.arrays_zip(parts.alias("part"), starts.alias("at")),
+                                 lambda x: placed(x["part"], x["at"])))
+    return (F.when(F.size(matches) > PLACED, many).when(F.size(matches) > 0, placed(pairs, F.lit(0)))
+            .otherwise(F.array().cast(SPAN)))
 
 
 def digits(match: Column) -> Column:
