@@ -156,12 +156,14 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     if max_bits > 3:
         raise ValueError("Golay keys find pairs of up to 3 differing bits")
     workers_import(distinct.sparkSession)
+    # a fingerprint makes some hundred keys, which the size estimate of the key
+    # rows does not know: the hint keeps either side from being broadcast by it
     keys = distinct.select("fp").mapInArrow(_keys, "side byte, key long, fp long")
     a = keys.where(F.col("side") == 0).select("key", F.col("fp").alias("a"))
     b = keys.where(F.col("side") == 1).select(F.col("key").alias("key_b"), F.col("fp").alias("b"))
     near = ((F.col("key") == F.col("key_b")) & (F.col("a") < F.col("b"))
             & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
-    return a.join(b, near).select("a", "b").distinct()
+    return a.join(b.hint("merge"), near).select("a", "b").distinct()
 
 
 def with_components(found: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
