@@ -22,6 +22,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from orderlens.llm import packs as P
@@ -91,12 +92,12 @@ def _pieces_of(window: int, gram: int):
     return run
 
 
-def _shard_packs(window: int, gram: int, buckets: int, hot: np.ndarray, hot_buckets: int):
+def _shard_packs(window: int, gram: int, buckets: int, hot_values: Broadcast[np.ndarray], hot_buckets: int):
     most_held = P.HELD_BYTES
-    hot = frozenset(hot.tolist())
 
     def work(shard: P.Shard) -> Iterator[tuple[int, bytes]]:
         import xxhash
+        hot = hot_values.value
         o, tag, texts = shard.in_order()
         known = _Known(xxhash.xxh64_intdigest)
         sent: set[bytes] = set()
@@ -126,13 +127,14 @@ def _shard_packs(window: int, gram: int, buckets: int, hot: np.ndarray, hot_buck
             first, last = [0, *cut.tolist()], [*cut.tolist(), len(least)]
             joined = b" ".join(words)
             starts = [0, *np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1).tolist()]
-            for a, b, value in zip(first, last, least[first].tolist()):
+            values = least[first]
+            for a, b, value, one_by_one in zip(first, last, values.tolist(), P.among(values, hot).tolist()):
                 piece = joined[starts[a]:starts[b + window - 1] - 1]
                 if piece in sent:
                     local.append((d, a, b))
                     continue
                 sent.add(piece)
-                if value in hot:
+                if one_by_one:
                     # windows one by one, with bits of their own hash for the minimiser's
                     for at in range(a, b):
                         one = joined[starts[at]:starts[at + window] - 1]

@@ -9,18 +9,22 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import doc_order
+from orderlens.llm.common import doc_order, stage_table
 
 INTERVALS = "_o long, _tag long, a int, b int"
 PACKS = "bucket int, payload binary"
 #: Pieces of one minimiser from which its windows are dealt one by one, and bytes
 #: of single windows in each of the buckets they go to, on average.
 HOT_PIECES, HOT_BUCKET_BYTES = 10_000, 16_000_000
+#: Most hot minimisers, eight bytes each: the limit of pieces rises with all pieces
+#: so that no more can reach it.
+MOST_HOT = 1_000_000
 #: Text bytes counted together, those looked at in one go, and pieces of one
-#: minimiser below which such a stretch does not report it.
+#: minimiser below which such a stretch reports it for a share of the minimisers.
 COUNT_BYTES, PART_BYTES, LEAST_PIECES = 64_000_000, 4_000_000, 16
 #: Bytes of pieces a shard holds before it sends them on.
 HELD_BYTES = 48_000_000
@@ -75,6 +79,13 @@ def runs(places: np.ndarray, *groups: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(places) - 1]])
 
 
+def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in ``known`` (sorted), by binary search."""
+    if len(known) == 0:
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def intervals(o: np.ndarray, tag: np.ndarray, start: np.ndarray, window: int) -> list[np.ndarray]:
     """Intervals [a, b) covered by windows at ``start`` of documents (o, tag),
     touching windows merged."""
@@ -171,9 +182,14 @@ def _counted(pieces_of: Callable, least: int) -> Callable:
         _, first = np.unique(mark, return_index=True)
         values, inverse, count = np.unique(value[first], return_inverse=True, return_counts=True)
         total = np.bincount(inverse, windows[first], len(values)).astype(np.int64)
-        many = count >= least
+        # n pieces below ``least`` count as ``least`` in n of ``least`` stretches, else as
+        # none: a minimiser spread thin over many stretches is found all the same
+        few = count < least
+        drawn = ((values ^ mark[first].sum()) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(least) < count
+        total = np.where(few, total * least // np.maximum(count, 1), total)
+        told = ~few | drawn
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (
-            values[many].view(np.int64), count[many], total[many])], names=["value", "pieces", "windows"])
+            values[told].view(np.int64), np.maximum(count, least)[told], total[told])], names=["value", "pieces", "windows"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, texts, size, part = [], [], 0, 0
@@ -194,19 +210,25 @@ def _counted(pieces_of: Callable, least: int) -> Callable:
     return run
 
 
-def hot_minimisers(docs: DataFrame, pieces_of: Callable, window_bytes: int, hot_pieces: int) -> tuple[np.ndarray, int]:
+def hot_minimisers(docs: DataFrame, pieces_of: Callable, window_bytes: int,
+                   hot_pieces: int) -> tuple[Broadcast[np.ndarray], int]:
     """Minimisers (sorted) of ``hot_pieces`` different pieces or more, and the
     buckets their windows need.
 
     ``pieces_of`` lists (minimiser, fingerprint, windows) of the pieces of some
     texts.  The set only says where windows go, never which ones count: equal
-    windows have one minimiser and so go one way.  Copies count once a stretch."""
+    windows have one minimiser and so go one way.  Copies count once a stretch.
+    The set is bounded: of all counted pieces, at most ``MOST_HOT`` minimisers can
+    hold a share of one in ``MOST_HOT`` each, and a smaller share is not hot."""
     counted = docs.select(F.col("text").cast("string")).mapInArrow(
         _counted(pieces_of, min(LEAST_PIECES, hot_pieces)), "value long, pieces long, windows long")
-    rows = counted.groupBy("value").agg(F.sum("pieces").alias("pieces"), F.sum("windows").alias("windows")).where(
-        F.col("pieces") >= hot_pieces).select("value", "windows").collect()
-    values = np.sort(np.array([r.value for r in rows], np.int64).view(np.uint64))
-    return values, sum(r.windows for r in rows) * window_bytes // HOT_BUCKET_BYTES + 1
+    by_value = stage_table(counted.groupBy("value").agg(F.sum("pieces").alias("pieces"), F.sum("windows").alias("windows")),
+                           "minimisers")
+    total = by_value.agg(F.sum("pieces")).first()[0] or 0
+    rows = by_value.where(F.col("pieces") >= max(hot_pieces, -(-total // MOST_HOT))).select("value", "windows").toPandas()
+    values = np.sort(rows["value"].to_numpy(np.int64).view(np.uint64))
+    return (docs.sparkSession.sparkContext.broadcast(values),
+            int(rows["windows"].sum()) * window_bytes // HOT_BUCKET_BYTES + 1)
 
 
 def with_spans(docs: DataFrame, tag: Column, found: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from orderlens.llm import packs as P
@@ -214,11 +215,13 @@ def _pieces_of(window: int, gram: int, most: int):
     return run
 
 
-def _shard_packs(window: int, gram: int, buckets: int, most: int, hot: np.ndarray, hot_buckets: int):
+def _shard_packs(window: int, gram: int, buckets: int, most: int, hot_values: Broadcast[np.ndarray],
+                 hot_buckets: int):
     most_held = P.HELD_BYTES
 
     def work(shard: P.Shard) -> Iterator[tuple[int, bytes]]:
         import xxhash
+        hot = hot_values.value
         o, tag, texts = shard.in_order()
         out: dict[int, list[tuple]] = {}
         held = 0
@@ -240,7 +243,7 @@ def _shard_packs(window: int, gram: int, buckets: int, most: int, hot: np.ndarra
             first, last = P.runs(starts, least[starts], piece[starts])
             a, b, value = starts[first], starts[last] + window, least[starts[first]]
             bucket = ((value >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-            single = np.isin(value, hot)
+            single = P.among(value, hot)
             if single.any():
                 # windows one by one, with bits of their own hash for the minimiser's
                 n = (b - a - window + 1)[single]

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from test_llm_dedup import brute, key
 
-from orderlens.llm import kmers, packs, suffixes
+from orderlens.llm import kmers, packs, simhash, suffixes
 from orderlens.llm.common import row_tag
 
 
@@ -101,3 +101,38 @@ def test_own_intervals_of_many_shards(spark, small):
         held[r.bucket] += len(packs.unpack(r.payload)[6])
     assert sum(v > 0 for v in held.values()) > 10 and max(held.values()) < sum(held.values()) / 4
     bytes_match(df, suffixes.dedup_bytes(df, 40, 8, 4000, 4000, with_bytes=True))
+
+
+def test_minimisers_spread_thin_are_found(spark, monkeypatch):
+    """One piece a stretch, in very many stretches, still counts."""
+    monkeypatch.setattr(packs, "COUNT_BYTES", 1)
+    monkeypatch.setattr(packs, "PART_BYTES", 1)
+    random.seed(3)
+    rare = [" ".join(f"{random.choice('abcdefgh')}{random.randint(0, 10 ** 6)}" for _ in range(12)) for _ in range(3000)]
+    texts = [f"{t} same words here" if i % 3 == 0 else t for i, t in enumerate(rare)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+
+    def one_piece(texts):
+        for t in texts:
+            value = 7 if t.endswith(b"same words here") else hash(t) & 0xFFFFFFFF | 8
+            yield (np.array([value], np.uint64), np.array([hash(t) & 0xFFFFFFFF], np.uint64), np.array([1], np.int64))
+
+    hot, buckets = packs.hot_minimisers(df, one_piece, 100, 500)
+    assert hot.value.tolist() == [7] and buckets == 1
+
+
+def test_hot_minimisers_are_bounded(spark, monkeypatch):
+    """The limit rises with all pieces, so the list cannot outgrow its bound; the
+    result stays the same."""
+    monkeypatch.setattr(packs, "MOST_HOT", 5)
+    df = passage_df(spark, 90)
+    hot, _ = packs.hot_minimisers(df, suffixes._pieces_of(40, 8, 8000), 40, 2)
+    assert len(hot.value) <= 5
+    bytes_match(df, suffixes.dedup_bytes(df, 40, 8, 20000, 8000, with_bytes=True, hot_pieces=2))
+
+
+def test_simhash_key_rows_are_never_broadcast(spark):
+    """A fingerprint makes hundreds of key rows, whatever the estimate says."""
+    df = spark.createDataFrame([(i,) for i in range(50)], "fp long")
+    plan = simhash.links(df)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
