@@ -25,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -137,6 +138,17 @@ def _holdout(scored: DataFrame, label: str, classes: bool) -> dict[str, float |
     return {name: row[c] for c, name in REGRESSION_METRICS.items()}
 
 
+def _for_scoring(model: PipelineModel, spark: SparkSession) -> PipelineModel:
+    """The fitted pipeline without the training summary of a classifier, by way
+    of the shared folder.  A summary refers to its session, which cannot go to
+    the tasks once an observed plan has run in it, and so neither could the model."""
+    if not getattr(model.stages[-1], "hasSummary", False):
+        return model
+    path = os.path.join(ensure_checkpoint_dir(spark), "orderlens-fitted", uuid.uuid4().hex)
+    model.write().save(path)
+    return PipelineModel.load(path)
+
+
 def _select(data: DataFrame, label: str, features: Sequence[str], candidates: dict[str, Callable], metric: str,
             larger: bool) -> Fitted:
     """Fit every candidate on the train rows, measure all on the hold-out, pick
@@ -149,7 +161,8 @@ def _select(data: DataFrame, label: str, features: Sequence[str], candidates: di
         # candidates side by side: their jobs share the cluster
         with ThreadPoolExecutor(max_workers=len(candidates)) as pool:
             models = pool.map(lambda make: _pipeline(features, make(n_train)).fit(train), candidates.values())
-            fitted = {name: Fitted(name, model, tuple(features)) for name, model in zip(candidates, models)}
+            fitted = {name: Fitted(name, _for_scoring(model, data.sparkSession), tuple(features))
+                      for name, model in zip(candidates, models)}
         table = {name: _holdout(f.score(test), label, larger) for name, f in fitted.items()}
     finally:
         data.unpersist()

@@ -4,6 +4,7 @@ import os
 import shutil
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from orderlens.operators import cells as CE
@@ -149,6 +150,15 @@ def test_scoring_without_a_label_keeps_codes(spark, sf_dir, tmp_path):
     assert codes == {"BUILDING": 1, "new": 2, None: None}
 
 
+def test_models_score_after_an_observed_plan(spark, sf_dir):
+    """Observing makes the session unfit for tasks; a fitted model must not carry it."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    fitted = MD.train_churn(MQ.churn_frame(spark, sf_dir), forest_trees=3)
+    assert fitted.score(MQ.churn_frame(spark, sf_dir)).where("probability_1 BETWEEN 0 AND 1").count() > 0
+
+
 # --- stage versions ---------------------------------------------------------
 
 def test_other_tables_leave_the_stages_alone(spark, sf_dir, tmp_path):
