@@ -90,3 +90,8 @@ def roll_up(cells: DataFrame, by: Sequence[str] = (), where=None, slicers: Seque
         *[F.sum(c).alias(c) for c in SUMS],
         F.coalesce(F.sum(F.bitmap_count(F.col("_b"))), F.lit(0)).alias("unique_customers"),
         F.coalesce(F.sum(F.bitmap_count(F.col("_r"))), F.lit(0)).alias("repeat_customers"))
+
+
+def mart_sums(cells: DataFrame, key: str) -> DataFrame:
+    """The sums of one mart: a row for each value of ``key``, without NULL."""
+    return roll_up(cells, [key]).where(F.col(key).isNotNull())

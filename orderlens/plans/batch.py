@@ -13,6 +13,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlens.operators import cells as CE
 from orderlens.operators import features as FT
 from orderlens.operators import marts as M
 from orderlens.plans import metrics as MT
@@ -35,8 +36,10 @@ def serving_from_clean(clean: DataFrame, work_dir: str, learned: bool = True,
                        sizes: dict | None = None, models_from: str | None = None) -> dict[str, DataFrame]:
     """The 12 serving tables from a clean fact (with funnel columns).  Models
     are trained and their bundles saved under ``work_dir/models``, or loaded
-    from the bundles in ``models_from``."""
+    from the bundles in ``models_from``.  The four performance marts come from
+    cells, which read the fact once for all of them."""
     rfm = _stage(FT.customer_rfm(clean), os.path.join(work_dir, "customer_rfm"))
+    cells = _stage(CE.build(M.completed(clean), rfm), os.path.join(work_dir, "cells"))
     weekly = _stage(MF.weekly_features(clean), os.path.join(work_dir, "forecast_features"))
     cust = _stage(MF.churn_features(clean, rfm), os.path.join(work_dir, "churn_features"))
     cat_wk = _stage(MF.demand_features(clean), os.path.join(work_dir, "demand_features"))
@@ -61,10 +64,10 @@ def serving_from_clean(clean: DataFrame, work_dir: str, learned: bool = True,
         "dim_customers": M.dim_customers(clean, rfm),
         "dim_products": M.dim_products(clean),
         "dim_date": M.dim_date(clean),
-        "weekly_kpis": M.weekly_kpis(clean, rfm),
-        "campaign_performance": M.performance_by(clean, "campaign_name"),
-        "sales_channel_performance": M.performance_by(clean, "sales_channel"),
-        "segment_performance": M.segment_performance(clean, rfm),
+        "weekly_kpis": M.weekly_kpis(clean, rfm, CE.mart_sums(cells, "week_start")),
+        "campaign_performance": M.performance_by(None, "campaign_name", CE.mart_sums(cells, "campaign_name")),
+        "sales_channel_performance": M.performance_by(None, "sales_channel", CE.mart_sums(cells, "sales_channel")),
+        "segment_performance": M.segment_performance(None, None, CE.mart_sums(cells, "customer_segment")),
         "sales_forecast": MF.sales_forecast(weekly, fs, fname),
         "customer_churn_risk": MF.churn_risk(cust, cs),
         "product_demand_predictions": MF.demand_predictions(cat_wk, ds),

@@ -250,7 +250,7 @@ def q_channel_performance_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cell_sums(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
-    return CE.roll_up(S.cells(spark, sf_dir), [key]).where(F.col(key).isNotNull())
+    return CE.mart_sums(S.cells(spark, sf_dir), key)
 
 
 ACTIVE_SUBSETS = ((), ("customer_segment",), ("sales_channel",), ("customer_segment", "sales_channel"))
