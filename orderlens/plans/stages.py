@@ -29,6 +29,9 @@ _KEY_LOCKS: dict[tuple[str, ...], threading.RLock] = {}
 #: Tables the stages come from; a change in others leaves the stages alone.
 ORDER_TABLES = ("lineitem", "orders", "customer", "nation", "part")
 
+#: Files that a task may have open in a partitioned write.
+OPEN_FILES = 16
+
 _ADAPTER_ONLY = ("l_suppkey", "l_extendedprice", "l_tax", "l_shipdate")
 
 
@@ -63,11 +66,9 @@ def materialize(spark: SparkSession, sf_dir: str, name: str, build,
                 # into a few files.  The partitioned fact is written straight
                 # from its last shuffle (each task writes one file per year):
                 # a rebalance there would be one more full shuffle of the fact.
-                df = df.hint("rebalance")
-            writer = df.write.mode("overwrite")
-            if partition_by:
-                writer = writer.partitionBy(*partition_by)
-            writer.parquet(path)
+                df.hint("rebalance").write.mode("overwrite").parquet(path)
+            else:
+                _write_partitioned(df, path, partition_by)
             entry = (path, df.schema)
             with _LOCK:
                 _WRITTEN[key] = entry
@@ -76,6 +77,18 @@ def materialize(spark: SparkSession, sf_dir: str, name: str, build,
     return out.select(*schema.fieldNames())
 
 
+def _write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
+    """Write with a file open for each partition value (Spark sorts only the
+    rows beyond ``OPEN_FILES`` values), so no task sorts its wide rows by them."""
+    spark, name = df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters"
+    old = spark.conf.get(name)
+    spark.conf.set(name, str(OPEN_FILES))
+    try:
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    finally:
+        spark.conf.set(name, old)
+
+
 def materialize_frame(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate frame once to the shared folder and read it back."""
     path = os.path.join(ensure_checkpoint_dir(df.sparkSession), "orderlens-frames", f"{label}-{uuid.uuid4().hex}")

@@ -23,9 +23,14 @@ Plan shape (chosen for a fact table in the 100 TB range):
 * CL1 (keep-first de-duplication) runs on the narrow ``lineitem`` projection,
   *below* the joins: every join is a many-to-one lookup and the keep-first
   order uses line columns only, so de-duplicating first is equivalent and
-  shuffles far fewer bytes.  The de-duplication is a ``groupBy`` with
-  ``min(struct)``, which combines map-side, so a hot order key is collapsed
-  before the shuffle instead of landing whole in one task.
+  shuffles far fewer bytes.  Lines are dealt by order once: the keep-first
+  ``min(struct)`` and the header join both read that one shuffle and its sort.
+* An order of more than ``HOT_ORDER_LINES`` lines would land whole in one task
+  there; where there is one, copies are combined map-side before a shuffle of
+  their own (``dedup_lines`` as it stands), and the join has its own, which AQE
+  can split.
+* The shuffles carry the columns of the tables; columns that follow from them
+  (text of keys, revenue, margin) are made above the joins.
 * The order header (orders x customer x nation x signup date) is assembled on
   the order grain first, then joined once to the line grain; nation is a
   25-row table and is broadcast explicitly, the other sides are left to
@@ -37,7 +42,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DRIVER_TABLES = (
@@ -55,6 +60,10 @@ LINE_KEEP_FIRST_ORDER = (
 )
 
 
+#: Lines of one order that a single task may hold.
+HOT_ORDER_LINES = 1_000_000
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
@@ -64,21 +73,30 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def _line_level(lineitem: DataFrame) -> DataFrame:
-    """Line-grain canonical columns computed from ``lineitem`` alone."""
+_LINE_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus")
+
+
+def _line_derived() -> dict[str, Column]:
+    """Line-grain canonical columns that follow from ``lineitem`` alone."""
     discount = F.col("l_discount").cast("decimal(4,2)")
     quantity = F.col("l_quantity").cast("bigint")
+    return {
+        "product_id": F.col("l_partkey").cast("string"),
+        "quantity": quantity,
+        "discount": discount,
+        "revenue": F.round(F.col("l_extendedprice").cast("decimal(18,2)") * (F.lit(1) - discount), 2),
+        "cart_additions": quantity % 8,
+        "completed_orders": F.when(F.col("l_linestatus") == "F", 1).otherwise(0).cast("bigint"),
+        "payment_method": F.col("l_returnflag"),
+    }
+
+
+def _line_level(lineitem: DataFrame) -> DataFrame:
+    """Line-grain canonical columns computed from ``lineitem`` alone."""
     return lineitem.select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        "l_extendedprice", "l_tax", "l_shipdate",
-        F.col("l_partkey").cast("string").alias("product_id"),
-        quantity.alias("quantity"),
-        discount.alias("discount"),
-        F.round(F.col("l_extendedprice").cast("decimal(18,2)") * (F.lit(1) - discount), 2).alias("revenue"),
-        (quantity % 8).alias("cart_additions"),
-        F.when(F.col("l_linestatus") == "F", 1).otherwise(0).cast("bigint").alias("completed_orders"),
-        F.col("l_returnflag").alias("payment_method"),
-    )
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_tax", "l_shipdate",
+        *[c.alias(n) for n, c in _line_derived().items()])
 
 
 def dedup_lines(lines: DataFrame) -> DataFrame:
@@ -96,6 +114,22 @@ def dedup_lines(lines: DataFrame) -> DataFrame:
             .select("l_orderkey", "l_linenumber", "_first.*"))
 
 
+def _has_hot_order(lineitem: DataFrame) -> bool:
+    """Does an order have more lines than a task may hold (one narrow count)?"""
+    most = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return (most or 0) > HOT_ORDER_LINES
+
+
+def _first_lines(lineitem: DataFrame) -> DataFrame:
+    """CL1 on the columns of ``lineitem``: the row of each (l_orderkey,
+    l_linenumber) that is first in ``LINE_KEEP_FIRST_ORDER``, as it stands."""
+    made = _line_derived()
+    order = F.struct(*[made.get(c, F.col(c)).alias(f"_o{i}") for i, c in enumerate(LINE_KEEP_FIRST_ORDER)],
+                     *[F.col(c) for c in _LINE_COLUMNS[2:]])
+    return (lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.min(order).alias("_first"))
+            .select("l_orderkey", "l_linenumber", *[F.col(f"_first.{c}").alias(c) for c in _LINE_COLUMNS[2:]]))
+
+
 def order_header(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Order-grain columns: customer, segment, city, channel, status, dates.
 
@@ -147,16 +181,19 @@ def raw_orders(spark: SparkSession, sf_dir: str, dedup: bool = True) -> DataFram
     ``dedup=True`` applies CL1 at line grain before the joins (the production
     path); ``dedup=False`` returns every line, duplicates included, which is
     what CL1 / the row audit are tested against."""
-    lineitem = read_table(spark, sf_dir, "lineitem")
-    lines = _line_level(lineitem)
+    lineitem = read_table(spark, sf_dir, "lineitem").select(*_LINE_COLUMNS)
+    lines = lineitem
     if dedup:
-        lines = dedup_lines(lines)
+        # rows of an order meet once, for its copies and its header; a hot order
+        # is combined map-side first
+        lines = _first_lines(lineitem if _has_hot_order(lineitem) else lineitem.repartition("l_orderkey"))
     part = read_table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_type", "p_brand", "p_size", "p_retailprice")
     header = order_header(spark, sf_dir, lineitem)
     joined = (lines
               .join(header, lines.l_orderkey == header.o_orderkey, "inner")
-              .join(part, lines.l_partkey == part.p_partkey, "inner"))
+              .join(part, lines.l_partkey == part.p_partkey, "inner")
+              .withColumns(_line_derived()))
     margin_rate = (F.lit(18) + F.col("p_size") % 35).cast("decimal(4,0)") * F.lit(0.01).cast("decimal(3,2)")
     return joined.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
