@@ -273,44 +273,51 @@ _LOCK = threading.RLock()
 _FITTED: dict[tuple, dict[str, Fitted]] = {}
 
 
-def fitted_models(spark: SparkSession, sf_dir: str) -> dict[str, Fitted]:
+MODEL_NAMES = ("forecast", "churn", "demand")
+
+
+def fitted_models(spark: SparkSession, sf_dir: str, names: Sequence[str] = MODEL_NAMES) -> dict[str, Fitted]:
+    """The named models, each fitted and saved once per application and input;
+    a query that reads one model neither builds nor fits the others."""
     version = input_version(spark, sf_dir, S.ORDER_TABLES)
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), version)
+    frame = {"forecast": MQ.weekly_frame, "churn": MQ.churn_frame, "demand": MQ.demand_frame}
+    train = {
+        "forecast": lambda df: train_forecast(df, QUERY_SIZES["forest_trees"], QUERY_SIZES["gbt_iters"]),
+        "churn": lambda df: train_churn(df, QUERY_SIZES["churn_forest_trees"]),
+        "demand": lambda df: train_demand(df, QUERY_SIZES["forest_trees"]),
+    }
     with _LOCK:
-        if key not in _FITTED:
-            weekly = MQ.weekly_frame(spark, sf_dir)
-            train = {
-                "forecast": lambda: train_forecast(weekly, QUERY_SIZES["forest_trees"], QUERY_SIZES["gbt_iters"]),
-                "churn": lambda: train_churn(MQ.churn_frame(spark, sf_dir), QUERY_SIZES["churn_forest_trees"]),
-                "demand": lambda: train_demand(MQ.demand_frame(spark, sf_dir), QUERY_SIZES["forest_trees"]),
-            }
-            with ThreadPoolExecutor(max_workers=len(train)) as pool:
-                models = dict(zip(train, pool.map(lambda fit: fit(), train.values())))
+        fitted = _FITTED.setdefault(key, {})
+        missing = [n for n in names if n not in fitted]
+        if missing:
+            frames = {n: frame[n](spark, sf_dir) for n in missing}
+            with ThreadPoolExecutor(max_workers=len(missing)) as pool:
+                models = dict(zip(missing, pool.map(lambda n: train[n](frames[n]), missing)))
             digest = hashlib.sha1(f"{os.path.abspath(sf_dir)} {version}".encode()).hexdigest()[:10]
-            save_models(models, os.path.join(ensure_checkpoint_dir(spark), "orderlens-models", digest),
-                        {"forecast": weekly, "churn": MQ.churn_frame(spark, sf_dir), "demand": MQ.demand_frame(spark, sf_dir)})
-            _FITTED[key] = models
-        return _FITTED[key]
+            save_models(models, os.path.join(ensure_checkpoint_dir(spark), "orderlens-models", digest), frames)
+            fitted.update(models)
+        return {n: fitted[n] for n in names}
 
 
 @register("sales_forecast")
 def q_sales_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML14 / ML15 with the selected forecast model (rows-only)."""
-    m = fitted_models(spark, sf_dir)["forecast"]
+    m = fitted_models(spark, sf_dir, ["forecast"])["forecast"]
     return MF.sales_forecast(MQ.weekly_frame(spark, sf_dir), m.score, m.name)
 
 
 @register("customer_churn_risk")
 def q_customer_churn_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML16 with the selected churn model (rows-only)."""
-    m = fitted_models(spark, sf_dir)["churn"]
+    m = fitted_models(spark, sf_dir, ["churn"])["churn"]
     return MF.churn_risk(MQ.churn_frame(spark, sf_dir), m.score)
 
 
 @register("product_demand_predictions")
 def q_product_demand_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML17 with the demand model (rows-only)."""
-    m = fitted_models(spark, sf_dir)["demand"]
+    m = fitted_models(spark, sf_dir, ["demand"])["demand"]
     return MF.demand_predictions(MQ.demand_frame(spark, sf_dir), m.score)
 
 

@@ -42,3 +42,16 @@ def test_partitioned_write_sorts_no_rows(spark, sf_dir, tmp_path):
     assert spark.conf.get(name) == old
     back = spark.read.parquet(str(tmp_path / "t"))
     assert back.count() == 400 and back.where("v % 40 <> year").count() == 0
+
+
+def test_a_query_fits_only_the_models_it_reads(spark, sf_dir, monkeypatch):
+    from orderlens.plans import models as ML
+    monkeypatch.setattr(ML, "_FITTED", {})
+    fit, saved = [], []
+    for n in ML.MODEL_NAMES:
+        monkeypatch.setattr(ML, f"train_{n}", lambda *a, n=n, **k: fit.append(n) or n)
+    monkeypatch.setattr(ML, "save_models", lambda models, folder, frames: saved.append(sorted(frames)))
+    assert ML.fitted_models(spark, sf_dir, ["forecast"]) == {"forecast": "forecast"}
+    assert fit == ["forecast"] and saved == [["forecast"]]
+    ML.fitted_models(spark, sf_dir)
+    assert sorted(fit) == ["churn", "demand", "forecast"] and saved[1:] == [["churn", "demand"]]
