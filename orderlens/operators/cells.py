@@ -62,7 +62,10 @@ def build(completed: DataFrame, customers: DataFrame, key_sets: Sequence[Sequenc
         for i, s in enumerate(key_sets)]))
     rows = rows.select(sets.alias("_s"), *SUMS, F.bitmap_bucket_number(F.col("number")).alias("stretch"), position.alias("_p"),
                        F.when(F.col("is_repeat_customer"), position).alias("_r"))
-    return rows.select("_s.*", *SUMS, "stretch", "_p", "_r").groupBy(KEY_SET, *keys, "stretch").agg(
+    # a cell's rows meet before its bitmaps are made: what is sorted and sent is a
+    # position, not a bitmap for each task and cell.  A cell has a stretch's buyers
+    cell = [KEY_SET, *keys, "stretch"]
+    return rows.select("_s.*", *SUMS, "stretch", "_p", "_r").repartition(*cell).groupBy(*cell).agg(
         *[F.sum(c).alias(c) for c in SUMS], F.bitmap_construct_agg(F.col("_p")).alias("buyers"),
         F.bitmap_construct_agg(F.col("_r")).alias("repeat_buyers"))
 

@@ -44,6 +44,14 @@ def test_partitioned_write_sorts_no_rows(spark, sf_dir, tmp_path):
     assert back.count() == 400 and back.where("v % 40 <> year").count() == 0
 
 
+def test_cells_meet_before_their_bitmaps_are_made(spark, sf_dir):
+    from orderlens.operators import cells as CE
+    from orderlens.operators import marts as M
+    p = plan(CE.build(M.completed(S.orders_clean(spark, sf_dir)), S.customers(spark, sf_dir)))
+    sent = p[:p.index("partial_bitmap_construct_agg")]
+    assert "Exchange" not in sent, "bitmaps of each task and cell go through a shuffle"
+
+
 def test_a_query_fits_only_the_models_it_reads(spark, sf_dir, monkeypatch):
     from orderlens.plans import models as ML
     monkeypatch.setattr(ML, "_FITTED", {})
