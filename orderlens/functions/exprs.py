@@ -93,15 +93,15 @@ _SPECIAL_RE = r"^\s*[+-]?(inf|infinity)\s*$"
 
 
 def coerce_double(x: ColumnOrName) -> Column:
-    """Coercing numeric cast: unparseable text -> NULL, NaN -> NULL.
+    """Coercing numeric cast: unparseable text -> NULL, NaN -> NULL (its text
+    passes neither pattern).
 
     Accepts plain decimal / scientific notation and +-inf; rejects Java-style
     suffixes such as ``1.0d`` that ``try_cast`` alone would accept."""
     c = _c(x)
     s = c.cast("string")
     ok = s.rlike(_NUMERIC_RE) | F.lower(s).rlike(_SPECIAL_RE)
-    parsed = F.when(ok, F.trim(s).try_cast("double"))
-    return nan_to_null(parsed)
+    return F.when(ok, F.trim(s).try_cast("double"))
 
 
 # ---------------------------------------------------------------------------

@@ -327,7 +327,7 @@ def q_csv_landing_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the sort puts copies of a key into one file in keep-first order: the file
     # order is what the landing read de-duplicates by
     ordered = raw.orderBy("order_id", *TB.LINE_KEEP_FIRST_ORDER).select(*TB.RAW_COLUMNS)
-    return _landed(ordered, sf_dir, "clean").select(*LANDING_COLUMNS).withColumns(
+    return _landed(ordered, sf_dir, "clean", LANDING_COLUMNS).withColumns(
         {c: F.col(c).cast("double") for c in C.NUMERIC_COLUMNS})
 
 
@@ -346,11 +346,12 @@ def _landing(rows: DataFrame, sf_dir: str, name: str) -> str:
     return landing
 
 
-def _landed(rows: DataFrame, sf_dir: str, name: str) -> DataFrame:
+def _landed(rows: DataFrame, sf_dir: str, name: str, columns) -> DataFrame:
     """The landing read over rows written to a CSV landing folder."""
     from orderlens.sources import files as IO
 
-    return IO.clean_raw_csv(rows.sparkSession, _landing(rows, sf_dir, name), TB.COMPLETED_STATUS_DRIVER)
+    return IO.clean_raw_csv(rows.sparkSession, _landing(rows, sf_dir, name), TB.COMPLETED_STATUS_DRIVER,
+                            columns=columns).select(*columns)
 
 
 DIRTY_NAME = '24" Monitor, black'
@@ -375,7 +376,7 @@ def q_csv_landing_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     and missing numbers, missing words as keys, discounts missing or out of
     range, doubled quotes beside a comma, counts as ``3.0``, later copies that
     must lose, first copies that fail and take the id with them)."""
-    return _landed(_dirty_rows(spark, sf_dir), sf_dir, "dirty").select(*DIRTY_COLUMNS).withColumns(
+    return _landed(_dirty_rows(spark, sf_dir), sf_dir, "dirty", DIRTY_COLUMNS).withColumns(
         {c: F.col(c).cast("double") for c in C.NUMERIC_COLUMNS})
 
 

@@ -65,10 +65,12 @@ def parse_dates(df: DataFrame, cols=RAW_DATE_COLUMNS) -> DataFrame:
 
 
 def clean_raw_csv(spark: SparkSession, path: str, completed_status: str = C.COMPLETED_STATUS,
-                  multi_line: bool = False, uncut: bool = False) -> DataFrame:
+                  multi_line: bool = False, uncut: bool = False, columns=None) -> DataFrame:
     """IO1 + CL8: keep-first in file order, coercing casts, rules, dates.  With
     ``uncut`` every number and count is there once more, as the DOUBLE that the
-    file holds, in a column ``<name>_uncut``.
+    file holds, in a column ``<name>_uncut``.  ``columns`` names those that are
+    read further; with them only these and what the rules read go through the
+    shuffle of keep-first (its rows are structs, which Spark does not prune).
 
     Counts may be written as ``3.0`` (a count column with a missing value);
     numbers leave as exact decimals once the rules have seen them."""
@@ -77,6 +79,9 @@ def clean_raw_csv(spark: SparkSession, path: str, completed_status: str = C.COMP
         raw = raw.withColumns({f"{c}_uncut": E.coerce_double(c) for c in (*C.NUMERIC_COLUMNS, *COUNT_COLUMNS)
                                if c in raw.columns})
     raw = raw.withColumns({c: E.coerce_double(c).try_cast("bigint") for c in COUNT_COLUMNS if c in raw.columns})
+    if columns is not None:
+        kept = {*columns, *C.KEY_COLUMNS, *C.NUMERIC_COLUMNS, "order_status", FILE_POSITION}
+        raw = raw.select(*[c for c in raw.columns if c in kept])
     out = C.clean(raw, completed_status=completed_status, dedup_order=[FILE_POSITION])
     return out.drop(FILE_POSITION).withColumns(
         {c: F.col(c).try_cast(LANDING_DECIMAL) for c in C.NUMERIC_COLUMNS if c in out.columns})

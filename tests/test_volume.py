@@ -63,3 +63,19 @@ def test_a_query_fits_only_the_models_it_reads(spark, sf_dir, monkeypatch):
     assert fit == ["forecast"] and saved == [["forecast"]]
     ML.fitted_models(spark, sf_dir)
     assert sorted(fit) == ["churn", "demand", "forecast"] and saved[1:] == [["churn", "demand"]]
+
+
+def test_landing_read_sends_what_is_read_further(spark, tmp_path):
+    from orderlens.sources import files as IO
+    folder = str(tmp_path / "in")
+    spark.createDataFrame(
+        [("a", "c", "p", "2025-01-06", "1", "2.0", "0.1", "NaN", "1", "Completed", "n"),
+         ("b", "c", "p", "2025-01-06", "1", "2.0", "0.1", "3.5", "1", "Completed", "n")],
+        "order_id string, customer_id string, product_id string, order_date string, quantity string, unit_price string, "
+        "discount string, revenue string, margin string, order_status string, product_name string",
+    ).coalesce(1).write.option("header", True).csv(folder)
+    columns = ("order_id", "week_start", "revenue", "is_completed")
+    whole, few = IO.clean_raw_csv(spark, folder), IO.clean_raw_csv(spark, folder, columns=columns)
+    assert few.select(*columns).collect() == whole.select(*columns).collect() and whole.count() == 1
+    p = plan(few.select(*columns))
+    assert "product_name" not in p[:p.index("Scan csv")].split("partial_min")[0]
