@@ -14,7 +14,9 @@ measures of a call are planned together:
   the key of a distinct count.  The lines are reduced to a row per foreign key
   before a dimension is joined, so no line-grain join takes place, and a
   filtered dimension is joined as its remaining keys;
-* each context is a roll-up of those cells;
+* each context is a roll-up of those cells, which are stored first (``Model.store``)
+  where a table has several contexts: their roll-ups read different columns, so
+  Spark would make the cells once for each;
 * the small results meet null-safely on the slicer columns they have.
 """
 
@@ -121,6 +123,8 @@ class Model:
     relations: Sequence[Relation] = ()
     leaves: Mapping[str, Leaf] = field(default_factory=dict)
     measures: Mapping[str, object] = field(default_factory=dict)
+    #: Writes a frame that several plans read, and reads it back.
+    store: Callable[[DataFrame, str], DataFrame] | None = None
 
     def path(self, table: str, to: str) -> list[Relation] | None:
         """Relations from ``table`` to ``to``; None if there is no way."""
@@ -270,6 +274,8 @@ def evaluate(model: Model, names: Sequence[str], by: Sequence[str] | Mapping[str
             raise ValueError(f"measures of {table} count different keys: {sorted(counted)}")
         distinct = next(iter(counted), None)
         cells = _cells(model, table, leaves, refs, common, distinct)
+        if len(contexts) > 1 and model.store:
+            cells = model.store(cells, f"cells-{table}")
         for ctx in contexts:
             mine = {leaf: x for leaf, x in leaves.items() if (leaf, ctx) in columns}
             rows = _rolled_up(cells, mine, keys[ctx], [f for f in reached[ctx] if f not in common],

@@ -93,7 +93,7 @@ def model(spark: SparkSession, sf_dir: str) -> SM.Model:
         "fact_orders": S.orders_clean(spark, sf_dir), "dim_customers": Q.dim_customers_frame(spark, sf_dir),
         "dim_products": S.serving(spark, sf_dir, "dim_products"), "dim_date": S.serving(spark, sf_dir, "dim_date"),
         "churn": MQ.naive_churn_risk(spark, sf_dir), "weekly": Q.weekly_frame(spark, sf_dir),
-        "demand": MQ.naive_demand_predictions(spark, sf_dir)}, RELATIONS, LEAVES, MEASURES)
+        "demand": MQ.naive_demand_predictions(spark, sf_dir)}, RELATIONS, LEAVES, MEASURES, S.materialize_frame)
 
 
 STAR2 = f"""

@@ -122,6 +122,18 @@ def test_no_line_grain_join(spark, sf_dir):
         assert not any("Expand" in x for x in plan)
 
 
+def test_cells_of_several_contexts_are_made_once(spark, sf_dir):
+    """A measure and its share of all products are two contexts of the fact."""
+    m = MQ.model(spark, sf_dir)
+    ask = (["total_revenue", "active_customers", "revenue_share_of_all_products"], ["dim_products.product_category"])
+    scans = lambda df: sum("is_completed" in x and "Relation" in x for x in _plan(df))
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    bare = SM.Model(m.tables, m.relations, m.leaves, m.measures)
+    once, each = SM.evaluate(m, *ask), SM.evaluate(bare, *ask)
+    assert scans(each) == 2 and scans(once) == 0  # the stored cells alone
+    assert rows(once) == rows(each)
+
+
 def test_date_filter_prunes_partitions(spark, sf_dir):
     out = SM.evaluate(MQ.model(spark, sf_dir), ["total_orders"], ["dim_date.quarter"], [SM.one_of("dim_date.year", 1995)])
     plan = out._jdf.queryExecution().executedPlan().toString()
