@@ -84,7 +84,7 @@ def _write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...])
     old = spark.conf.get(name)
     spark.conf.set(name, str(OPEN_FILES))
     try:
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        df.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     finally:
         spark.conf.set(name, old)
 
@@ -92,7 +92,7 @@ def _write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...])
 def materialize_frame(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate frame once to the shared folder and read it back."""
     path = os.path.join(ensure_checkpoint_dir(df.sparkSession), "orderlens-frames", f"{label}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

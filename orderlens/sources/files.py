@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ COUNT_COLUMNS = ("visits", "cart_additions", "completed_orders")
 #: Exact type of landing numbers.  What does not fit (more than six decimals, 1e22
 #: and more, infinite) is counted by ``landing_audit`` and kept by ``uncut``.
 LANDING_DECIMAL = "decimal(28,6)"
+#: Rows of a compressed CSV file.
+GZIP_ROWS = 1_000_000
 
 
 def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -132,10 +135,16 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """IO5: header CSV directory (one part per task), dates as yyyy-MM-dd."""
-    (df.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd")
-     .option("escape", '"').csv(path))
+def write_csv(df: DataFrame, path: str, compressed: bool = False) -> None:
+    """IO5: header CSV directory (one part per task), dates as yyyy-MM-dd.
+
+    ``compressed`` writes ``.csv.gz``.  A gzip file is read by one task, so a
+    part then ends after ``GZIP_ROWS`` rows, however many a task holds."""
+    writer = (df.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd")
+              .option("escape", '"'))
+    if compressed:
+        writer = writer.option("compression", "gzip").option("maxRecordsPerFile", GZIP_ROWS)
+    writer.csv(path)
 
 
 def _schema(spec: str) -> T.StructType:
@@ -217,14 +226,14 @@ def load_bundle(spark: SparkSession, folder: str, names=("fact_orders", "weekly_
     return out
 
 
-def export_serving(tables: Mapping[str, DataFrame], folder: str, parallel: int = 4) -> None:
+def export_serving(tables: Mapping[str, DataFrame], folder: str, parallel: int = 4, compressed: bool = False) -> None:
     """Write every computed serving table as CSV under ``folder/<name>``; the
     independent write jobs are submitted concurrently from a small pool."""
     from concurrent.futures import ThreadPoolExecutor
 
     def write(item):
         name, df = item
-        write_csv(conform(df, name), os.path.join(folder, name))
+        write_csv(conform(df, name), os.path.join(folder, name), compressed)
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         list(pool.map(write, tables.items()))
@@ -263,6 +272,7 @@ def current(spark: SparkSession, root: str) -> str | None:
 def publish(tables: Mapping[str, DataFrame], root: str, write=None) -> str:
     """IO4 / IO5 as one step: write all tables into a new version folder, check
     its manifest, then switch readers to it by creating one empty pointer file.
+    Versions stay beside one another, so their CSV is compressed.
 
     A run that fails before the switch leaves the version before it readable;
     its half-written folder is never named by a pointer.  Raises
@@ -270,7 +280,7 @@ def publish(tables: Mapping[str, DataFrame], root: str, write=None) -> str:
     spark = next(iter(tables.values())).sparkSession
     version = uuid.uuid4().hex
     folder = os.path.join(root, _VERSIONS, version)
-    (write or export_serving)(tables, folder)
+    (write or partial(export_serving, compressed=True))(tables, folder)
     whole = {r["table"]: r["status"] for r in export_manifest(spark, folder).collect()}
     lost = [t for t in tables if whole.get(t, "MISSING") != "OK"]
     if lost:

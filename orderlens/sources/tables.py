@@ -62,6 +62,8 @@ LINE_KEEP_FIRST_ORDER = (
 
 #: Lines of one order that a single task may hold.
 HOT_ORDER_LINES = 1_000_000
+#: Hash buckets in which lines are counted before orders are.
+ORDER_BUCKETS = 1 << 12
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -115,9 +117,18 @@ def dedup_lines(lines: DataFrame) -> DataFrame:
 
 
 def _has_hot_order(lineitem: DataFrame) -> bool:
-    """Does an order have more lines than a task may hold (one narrow count)?"""
-    most = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return (most or 0) > HOT_ORDER_LINES
+    """Does an order have more lines than a task may hold?
+
+    Lines are counted by a hash of the order first, ``ORDER_BUCKETS`` rows a
+    task; only the orders of buckets above the bound are counted themselves."""
+    bucket = F.pmod(F.xxhash64("l_orderkey"), F.lit(ORDER_BUCKETS))
+    full = [r[0] for r in lineitem.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > HOT_ORDER_LINES).collect()]
+    if not full:
+        return False
+    most = (lineitem.where(bucket.isin(full)).groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.max("n")).first()[0])
+    return most > HOT_ORDER_LINES
 
 
 def _first_lines(lineitem: DataFrame) -> DataFrame:
@@ -158,8 +169,7 @@ def order_header(spark: SparkSession, sf_dir: str, lines: DataFrame | None = Non
     return (orders
             .join(cust, orders.o_custkey == cust.c_custkey, "inner")
             .select(
-                "o_orderkey",
-                F.col("o_custkey").cast("string").alias("customer_id"),
+                "o_orderkey", "o_custkey",
                 "customer_segment", "city", "customer_signup_date",
                 F.col("o_orderdate").cast("date").alias("order_date"),
                 F.col("o_orderpriority").alias("sales_channel"),
@@ -198,8 +208,8 @@ def raw_orders(spark: SparkSession, sf_dir: str, dedup: bool = True) -> DataFram
     return joined.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
         .alias("order_id"),
-        "order_date", "customer_id", "customer_segment", "customer_signup_date",
-        "product_id",
+        "order_date", F.col("o_custkey").cast("string").alias("customer_id"), "customer_segment",
+        "customer_signup_date", "product_id",
         F.col("p_type").alias("product_category"),
         F.col("p_name").alias("product_name"),
         "quantity",

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from orderlens.plans import stages as S
+from orderlens.sources import files as IO
 from orderlens.sources import tables as TB
 
 
@@ -34,6 +35,36 @@ def test_hot_order_is_combined_before_its_shuffle(spark, sf_dir, monkeypatch):
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+def test_orders_are_counted_in_full_buckets_only(spark, sf_dir, monkeypatch):
+    lineitem = TB.read_table(spark, sf_dir, "lineitem")
+    most = lineitem.groupBy("l_orderkey").count().agg(F.max("count")).first()[0]
+    for buckets in (1, TB.ORDER_BUCKETS):  # one bucket holds every order and says nothing of them
+        monkeypatch.setattr(TB, "ORDER_BUCKETS", buckets)
+        for bound, hot in ((most - 1, True), (most, False)):
+            monkeypatch.setattr(TB, "HOT_ORDER_LINES", bound)
+            assert TB._has_hot_order(lineitem) is hot
+    assert TB._has_hot_order(lineitem.limit(0)) is False
+
+
+def test_customer_text_is_made_above_the_shuffles(spark, sf_dir):
+    assert dict(TB.order_header(spark, sf_dir).dtypes)["o_custkey"] == "bigint"
+    assert dict(TB.raw_orders(spark, sf_dir).dtypes)["customer_id"] == "string"
+
+
+def test_compressed_csv_ends_a_file_after_so_many_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(IO, "GZIP_ROWS", 100)
+    df = spark.range(950).coalesce(1).selectExpr("CAST(id AS string) AS product_id", "'x' AS product_name",
+                                                 "'y' AS product_category", "1.5D AS unit_price")
+    root = str(tmp_path / "serving")
+    IO.publish({"dim_products": df}, root)
+    files = list((tmp_path / "serving").rglob("*.csv.gz"))
+    assert len(files) == 10 and not list((tmp_path / "serving").rglob("part-*.csv"))
+    back = IO.read_serving_csv(spark, IO.current(spark, root), "dim_products")
+    assert back.exceptAll(df).isEmpty() and back.count() == 950
+    IO.export_serving({"dim_products": df}, str(tmp_path / "plain"))  # the export for other readers stays plain text
+    assert list((tmp_path / "plain").rglob("part-*.csv")) and not list((tmp_path / "plain").rglob("*.gz"))
+
+
 def test_partitioned_write_sorts_no_rows(spark, sf_dir, tmp_path):
     name = "spark.sql.maxConcurrentOutputFileWriters"
     old = spark.conf.get(name)
