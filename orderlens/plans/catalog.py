@@ -332,7 +332,7 @@ def q_csv_landing_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _landing(rows: DataFrame, sf_dir: str, name: str) -> str:
-    """Write rows to a CSV landing folder."""
+    """Write rows to a compressed CSV landing folder."""
     import hashlib
     import os
 
@@ -342,7 +342,7 @@ def _landing(rows: DataFrame, sf_dir: str, name: str) -> str:
     spark = rows.sparkSession
     digest = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10]
     landing = os.path.join(ensure_checkpoint_dir(spark), f"orderlens-landing-{name}", digest)
-    IO.write_csv(rows, landing)
+    IO.write_csv(rows, landing, compressed=True)
     return landing
 
 
@@ -389,10 +389,14 @@ def _dirty_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
              "discount": {3: None, 4: "1.5", 5: "-0.1"}, "customer_id": {6: "NA"}, "product_id": {7: "null"},
              "order_date": {8: "not a date"}, "product_name": {9: DIRTY_NAME}, "visits": {10: "3.0"},
              "cart_additions": {10: "2.0"}, "customer_segment": {12: "N/A"}, "order_status": {13: "Refunded"}}
-    dirty = text.withColumns({c: _spoiled(c, how) for c, how in spoil.items()})
-    later = text.where(F.col("k").isin(14, 15)).withColumn("quantity", F.lit("999"))
-    both = dirty.withColumn("copy", F.lit(0)).unionByName(later.withColumn("copy", F.lit(1)))
-    return both.orderBy("order_id", "copy").select(*TB.RAW_COLUMNS)
+    # a row and its later copy leave one task side by side, so the file has them
+    # in keep-first order without a sort, and the lines are made once for both
+    copies = F.when(F.col("k").isin(14, 15), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    both = text.withColumn("copy", F.explode(copies))
+    spoiled = both.withColumns({c: F.when(F.col("copy") == 0, _spoiled(c, how)).otherwise(F.col(c))
+                                for c, how in spoil.items()})
+    return spoiled.withColumn("quantity", F.when(F.col("copy") == 1, F.lit("999")).otherwise(F.col("quantity"))).select(
+        *TB.RAW_COLUMNS)
 
 
 @register("clean_audit_rules", O.with_base("""

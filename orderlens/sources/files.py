@@ -41,8 +41,8 @@ GZIP_ROWS = 1_000_000
 
 def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """IO1: header CSV, all columns as STRING (no inference), missing words as
-    NULL, plus ``_file_pos`` = (file path, split start, row id within the
-    split), a total order equal to file order, and ``_corrupt_record``, the
+    NULL, plus ``_file_pos`` = (file path without what all paths begin with,
+    split start, row id within the split), a total order equal to file order, and ``_corrupt_record``, the
     text of a row with too few or too many fields (else NULL; such rows stay).
 
     Quotes are doubled inside quoted fields.  Fields that hold line breaks need
@@ -50,11 +50,14 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     ``AnalysisException`` (PATH_NOT_FOUND) when the frame is defined (IO2)."""
     reader = (spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
               .option("quote", '"').option("escape", '"').option("multiLine", multi_line))
-    names = reader.csv(path).columns
+    found = reader.csv(path)
+    # listed as file:///..., in the rows as file:/...
+    names, same = found.columns, os.path.commonprefix(found.inputFiles()).replace("file:///", "file:/", 1)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT_RECORD]])
     df = reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT_RECORD).option(
         "columnPruning", False).csv(path)  # a pruned read would not see that a row is too short
-    pos = F.struct(F.col("_metadata.file_path").alias("f"),
+    file = F.col("_metadata.file_path")
+    pos = F.struct(F.when(file.startswith(same), file.substr(len(same) + 1, 1 << 20)).otherwise(file).alias("f"),
                    F.col("_metadata.file_block_start").alias("b"),
                    F.monotonically_increasing_id().alias("r"))
     known = {c: F.when(~F.col(f"`{c}`").isin(*MISSING_WORDS), F.col(f"`{c}`")) for c in names}
@@ -95,6 +98,8 @@ def clean_raw_csv_audited(spark: SparkSession, path: str, completed_status: str
     """``clean_raw_csv`` and its counts by rule (``clean.clean_with_audit``)."""
     raw = parse_dates(read_raw_csv(spark, path, multi_line)).drop(CORRUPT_RECORD)
     raw = raw.withColumns({c: E.coerce_double(c).try_cast("bigint") for c in COUNT_COLUMNS if c in raw.columns})
+    # half the width of their text in the rows that keep-first shuffles
+    raw = raw.withColumns({c: E.coerce_double(c) for c in C.NUMERIC_COLUMNS if c in raw.columns})
     out, counts = C.clean_with_audit(raw, completed_status=completed_status, dedup_order=[FILE_POSITION])
     return out.drop(FILE_POSITION).withColumns(
         {c: F.col(c).try_cast(LANDING_DECIMAL) for c in C.NUMERIC_COLUMNS if c in out.columns}), counts

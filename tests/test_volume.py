@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from orderlens.plans import catalog as CT
 from orderlens.plans import stages as S
 from orderlens.sources import files as IO
 from orderlens.sources import tables as TB
@@ -51,6 +52,26 @@ def test_customer_text_is_made_above_the_shuffles(spark, sf_dir):
     assert dict(TB.raw_orders(spark, sf_dir).dtypes)["customer_id"] == "string"
 
 
+def test_dirty_landing_is_built_without_a_sort(spark, sf_dir, tmp_path):
+    made = CT._dirty_rows(spark, sf_dir)
+    assert "rangepartitioning" not in plan(made) and "Union" not in plan(made)
+    IO.write_csv(made, str(tmp_path / "landing"), compressed=True)
+    back = IO.read_raw_csv(spark, str(tmp_path / "landing"))
+    # a later copy lies behind its first in the file order, whatever the first was spoiled to
+    both = back.groupBy("order_id").agg(F.count("*").alias("n"), F.max_by("quantity", IO.FILE_POSITION).alias("last"),
+                                        F.min_by("quantity", IO.FILE_POSITION).alias("first")).where("n > 1")
+    assert both.count() > 0 and both.where("n > 2 OR last <> '999' OR first = '999'").count() == 0
+
+
+def test_file_position_keeps_the_order_of_paths(spark, tmp_path):
+    for name in ("b 1", "a", "b"):
+        (tmp_path / f"part-{name}.csv").write_text("order_id,x\n1,1\n2,2\n")
+    got = IO.read_raw_csv(spark, str(tmp_path)).select("*", F.col("_metadata.file_path").alias("path"))
+    by_place = [(r.path, r.order_id) for r in got.orderBy(IO.FILE_POSITION).collect()]
+    assert by_place == sorted(by_place) and len(by_place) == 6
+    assert max(len(r[IO.FILE_POSITION].f) for r in got.collect()) < 12  # what all paths begin with is left out
+
+
 def test_compressed_csv_ends_a_file_after_so_many_rows(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(IO, "GZIP_ROWS", 100)
     df = spark.range(950).coalesce(1).selectExpr("CAST(id AS string) AS product_id", "'x' AS product_name",
