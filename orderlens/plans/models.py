@@ -52,6 +52,9 @@ from orderlens.session import ensure_checkpoint_dir, input_version
 
 
 # the registered queries train at the source model's sizes
+#: Rows that a task of a fit has at least, where there are so many.
+FIT_ROWS = 25_000
+
 QUERY_SIZES = {"forest_trees": FOREST_TREES, "gbt_iters": GBT_ITERS, "churn_forest_trees": CHURN_FOREST_TREES}
 
 
@@ -184,10 +187,19 @@ def train_forecast(weekly: DataFrame, forest_trees=FOREST_TREES, gbt_iters=GBT_I
     }, "MAE", larger=False)
 
 
+def spread(df: DataFrame, key: str, n: int) -> DataFrame:
+    """``n`` rows over enough tasks for every core: a fit goes over its rows again
+    and again, in as many tasks as the files they were read from.  Rows lie by
+    ``key``, so that a fit sees them in the same order each time."""
+    tasks = min(2 * df.sparkSession.sparkContext.defaultParallelism, n // FIT_ROWS)
+    return df.repartition(tasks, key).sortWithinPartitions(key) if tasks > 1 else df
+
+
 def train_churn(cust: DataFrame, forest_trees=CHURN_FOREST_TREES) -> Fitted:
     """ML5 / ML9 / ML10 / ML13: the higher hold-out ROC-AUC wins."""
     data = exact_split(cust.withColumn("label", F.col("is_churned").cast("double")),
                        "customer_id", CHURN_TEST_SHARE, strata="label")
+    data = spread(data, "customer_id", cust.count())  # the frame that grows with the customers
     return _select(data, "label", MF.CHURN_FEATURES, {
         "LogisticRegression": lambda n: LogisticRegression(
             maxIter=LOGREG_ITERS, regParam=1.0 / n, elasticNetParam=0.0, standardization=False),

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from orderlens.plans import catalog as CT
+from orderlens.plans import models as ML
 from orderlens.plans import stages as S
 from orderlens.sources import files as IO
 from orderlens.sources import tables as TB
@@ -52,6 +53,17 @@ def test_customer_text_is_made_above_the_shuffles(spark, sf_dir):
     assert dict(TB.raw_orders(spark, sf_dir).dtypes)["customer_id"] == "string"
 
 
+def test_fit_rows_are_spread_over_the_cores(spark, monkeypatch):
+    df = spark.range(1000).coalesce(1).select(F.col("id").cast("string").alias("k"), "id")
+    assert ML.spread(df, "k", 1000) is df  # few rows stay as they are
+    monkeypatch.setattr(ML, "FIT_ROWS", 10)
+    cores = spark.sparkContext.defaultParallelism
+    for n, tasks in ((1000, min(100, 2 * cores)), (30, min(3, 2 * cores)), (19, 1)):
+        assert ML.spread(df, "k", n).rdd.getNumPartitions() == tasks
+    got, again = (ML.spread(df, "k", 1000).withColumn("p", F.spark_partition_id()).collect() for _ in range(2))
+    assert got == again and sorted(r.id for r in got) == list(range(1000))
+
+
 def test_dirty_landing_is_built_without_a_sort(spark, sf_dir, tmp_path):
     made = CT._dirty_rows(spark, sf_dir)
     assert "rangepartitioning" not in plan(made) and "Union" not in plan(made)
