@@ -15,6 +15,8 @@ shuffling the wide fact by customer.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +28,41 @@ RFM_COLUMNS = ("customer_id", "days_since_last_purchase", "purchase_frequency",
                "total_revenue", "avg_order_value", "is_repeat_customer", "is_churned")
 
 
+#: What order lines say of their customer and of their product.
+CUSTOMER_ATTRIBUTES = ("customer_segment", "city", "customer_signup_date")
+PRODUCT_ATTRIBUTES = ("product_name", "product_category")
+
+
+def customer_groups(clean: DataFrame) -> DataFrame:
+    """Customers, the attributes that lines give them and completion: a few rows
+    a customer, from which the attributes of MT5 and ML2 and the signups of AG10
+    follow without another pass over the lines."""
+    return clean.select("customer_id", *CUSTOMER_ATTRIBUTES, "is_completed").distinct()
+
+
+def product_groups(clean: DataFrame) -> DataFrame:
+    """Lines by product and the attributes that they give it, for MT6."""
+    return (clean.groupBy("product_id", *PRODUCT_ATTRIBUTES)
+            .agg(F.sum("unit_price").alias("_price"), F.count("unit_price").alias("_price_n")))
+
+
+def first_values(groups: DataFrame, clean: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """First non-missing value of each column in row order per ``key``, which is
+    not missing (CL6); ``groups`` are the groups of the lines of ``clean``.
+
+    A first value by row order holds text, so its aggregate sorts the lines.  It
+    is asked only of keys whose lines differ in a column; for others their one
+    row of values is the answer, and rows of fixed width are hashed."""
+    values = groups.select(key, *columns).distinct()
+    differ = values.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(key)
+    if differ.isEmpty():
+        return values
+    o = F.struct("order_date", "order_id")
+    by_line = (clean.join(differ, key, "left_semi").groupBy(key)
+               .agg(*[E.first_by(c, o).alias(c) for c in columns]))
+    return values.join(differ, key, "left_anti").unionByName(by_line)
+
+
 def snapshot_date(df: DataFrame):
     """Latest order date over *all* orders, as a scalar-subquery Column."""
     return df.agg(F.max("order_date")).scalar()

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from orderlens.constants import DIM_DATE_BUFFER_DAYS, FACT_COLUMNS
 from orderlens.functions import exprs as E
+from orderlens.operators import features as FT
 
 ROW_ORDER = ("order_date", "order_id")
 
@@ -52,15 +53,16 @@ def fact_orders(clean: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in MONEY_COLUMNS if c in df.columns})
 
 
-def dim_customers(clean: DataFrame, rfm: DataFrame) -> DataFrame:
+def dim_customers(clean: DataFrame, rfm: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """MT5: one row per customer with any order.  Attributes are the first
     non-missing value in row order; RFM values of customers that never
-    completed an order are 0 / False."""
-    o = row_order()
-    base = (clean.groupBy("customer_id")
-            .agg(E.first_by("customer_segment", o).alias("customer_segment"),
-                 E.first_by("city", o).alias("city"),
-                 E.first_by("customer_signup_date", o).alias("customer_signup_date")))
+    completed an order are 0 / False.  ``groups`` are the lines'
+    ``customer_groups`` where they are at hand."""
+    if groups is None:
+        o = row_order()
+        base = clean.groupBy("customer_id").agg(*[E.first_by(c, o).alias(c) for c in FT.CUSTOMER_ATTRIBUTES])
+    else:
+        base = FT.first_values(groups, clean, "customer_id", FT.CUSTOMER_ATTRIBUTES)
     out = base.join(rfm.select("customer_id", "days_since_last_purchase", "purchase_frequency",
                                "total_revenue", "avg_order_value", "is_repeat_customer", "is_churned"),
                     "customer_id", "left")
@@ -69,13 +71,19 @@ def dim_customers(clean: DataFrame, rfm: DataFrame) -> DataFrame:
                         "is_repeat_customer": False, "is_churned": False})
 
 
-def dim_products(clean: DataFrame) -> DataFrame:
-    """MT6: product name / category (first in row order) and mean unit price, 2 dp."""
-    o = row_order()
-    return (clean.groupBy("product_id")
-            .agg(E.first_by("product_name", o).alias("product_name"),
-                 E.first_by("product_category", o).alias("product_category"),
-                 (F.sum("unit_price").cast("double") / F.count("unit_price")).alias("_price"))
+def dim_products(clean: DataFrame, groups: DataFrame | None = None) -> DataFrame:
+    """MT6: product name / category (first in row order) and mean unit price, 2 dp.
+    ``groups`` are the lines' ``product_groups`` where they are at hand."""
+    if groups is None:
+        o = row_order()
+        rows = (clean.groupBy("product_id")
+                .agg(*[E.first_by(c, o).alias(c) for c in FT.PRODUCT_ATTRIBUTES],
+                     (F.sum("unit_price").cast("double") / F.count("unit_price")).alias("_price")))
+    else:
+        price = groups.groupBy("product_id").agg(
+            (F.sum("_price").cast("double") / F.sum("_price_n")).alias("_price"))
+        rows = FT.first_values(groups, clean, "product_id", FT.PRODUCT_ATTRIBUTES).join(price, "product_id")
+    return (rows
             .select("product_id", "product_name", "product_category",
                     E.rnd("_price", 2).alias("unit_price")))
 
@@ -99,7 +107,8 @@ def dim_date(clean: DataFrame, buffer_days: int = DIM_DATE_BUFFER_DAYS) -> DataF
 
 
 def new_customers_by_week(clean: DataFrame) -> DataFrame:
-    """AG10: distinct customers (having any order) per signup week."""
+    """AG10: distinct customers (having any order) per signup week, of lines or
+    of their ``customer_groups``."""
     return (clean.filter(F.col("customer_signup_date").isNotNull())
             .groupBy(E.week_start("customer_signup_date").alias("week_start"))
             .agg(F.count_distinct("customer_id").alias("new_customers")))
@@ -180,12 +189,14 @@ WEEKLY_COLUMNS = (
 )
 
 
-def weekly_kpis(clean: DataFrame, rfm: DataFrame, sums: DataFrame | None = None) -> DataFrame:
+def weekly_kpis(clean: DataFrame, rfm: DataFrame, sums: DataFrame | None = None,
+                groups: DataFrame | None = None) -> DataFrame:
     """MT8: one row per week with at least one completed order.
 
     Week-over-week growth is the change against the previous *row* (not the
     calendar week), computed on the unrounded sums and rounded to 4 dp.  ``sums``
-    are the weeks' sums where they are at hand (``cells.roll_up``)."""
+    are the weeks' sums where they are at hand (``cells.roll_up``), ``groups`` the
+    lines' ``customer_groups``."""
     wk = _sums_with_customers(completed(clean), "week_start", rfm) if sums is None else sums
     rev = F.col("_rev").cast("double")
     by_week = Window.orderBy("week_start")
@@ -207,7 +218,7 @@ def weekly_kpis(clean: DataFrame, rfm: DataFrame, sums: DataFrame | None = None)
         .alias("orders_wow_growth"),
         "repeat_customers",
     )
-    wk = (wk.join(new_customers_by_week(clean), "week_start", "left")
+    wk = (wk.join(new_customers_by_week(clean if groups is None else groups), "week_start", "left")
           .na.fill({"new_customers": 0}))
     return wk.select(*WEEKLY_COLUMNS)
 

@@ -23,6 +23,7 @@ from orderlens.constants import (CHURN_FEATURES, CLASS_THRESHOLD, DEMAND_FEATURE
                                  FORECAST_HORIZON, LAGS, RISK_BIN_EDGES,
                                  RISK_LEVELS, TEST_WEEKS, TREND_DOWN, TREND_LABELS, TREND_UP)
 from orderlens.functions import exprs as E
+from orderlens.operators import features as FT
 from orderlens.plans.stages import materialize_frame
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -125,13 +126,16 @@ def encode_with(df: DataFrame, col: str, out: str, labels) -> DataFrame:
         "_label", "_code")
 
 
-def churn_features(clean: DataFrame, rfm: DataFrame) -> DataFrame:
+def churn_features(clean: DataFrame, rfm: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """ML2: one row per customer with a completed order: segment (first in
-    row order), RFM values, churn label, encoded segment."""
-    o = F.struct("order_date", "order_id")
-    seg = (clean.filter(F.col("is_completed"))
-           .groupBy("customer_id")
-           .agg(E.first_by("customer_segment", o).alias("customer_segment")))
+    row order), RFM values, churn label, encoded segment.  ``groups`` are
+    the lines' ``customer_groups`` where they are at hand."""
+    comp = clean.filter(F.col("is_completed"))
+    if groups is None:
+        o = F.struct("order_date", "order_id")
+        seg = comp.groupBy("customer_id").agg(E.first_by("customer_segment", o).alias("customer_segment"))
+    else:
+        seg = FT.first_values(groups.filter(F.col("is_completed")), comp, "customer_id", ["customer_segment"])
     cust = (seg.join(rfm.select("customer_id", "days_since_last_purchase", "purchase_frequency",
                                 "total_revenue", "avg_order_value", "is_churned"),
                      "customer_id", "inner")

@@ -87,13 +87,18 @@ FACT_MEASURES = ("total_revenue", "total_orders", "average_order_value", "units_
                  "cart_abandonment_rate")
 
 
+MODEL_TABLES = ("weekly_kpis", "dim_customers", "dim_products", "dim_date", "churn_features", "demand_features")
+
+
 def model(spark: SparkSession, sf_dir: str) -> SM.Model:
-    """The model over the serving tables (stand-in scorers for predictions)."""
+    """The model over the serving tables (stand-in scorers for predictions),
+    which are written side by side."""
+    S.build_serving(spark, sf_dir, MODEL_TABLES)
     return SM.Model({
         "fact_orders": S.orders_clean(spark, sf_dir), "dim_customers": Q.dim_customers_frame(spark, sf_dir),
         "dim_products": S.serving(spark, sf_dir, "dim_products"), "dim_date": S.serving(spark, sf_dir, "dim_date"),
         "churn": MQ.naive_churn_risk(spark, sf_dir), "weekly": Q.weekly_frame(spark, sf_dir),
-        "demand": MQ.naive_demand_predictions(spark, sf_dir)}, RELATIONS, LEAVES, MEASURES, S.materialize_frame)
+        "demand": MQ.naive_demand_predictions(spark, sf_dir)}, RELATIONS, LEAVES, MEASURES, S.store_cells)
 
 
 STAR2 = f"""

@@ -14,6 +14,8 @@ import hashlib
 import os
 import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +34,9 @@ ORDER_TABLES = ("lineitem", "orders", "customer", "nation", "part")
 #: Files that a task may have open in a partitioned write.
 OPEN_FILES = 16
 
+#: Columns of the fact with about a value a row.
+ONCE_ONLY = ("order_id", "revenue", "margin")
+
 _ADAPTER_ONLY = ("l_suppkey", "l_extendedprice", "l_tax", "l_shipdate")
 
 
@@ -77,16 +82,36 @@ def materialize(spark: SparkSession, sf_dir: str, name: str, build,
     return out.select(*schema.fieldNames())
 
 
-def _write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
-    """Write with a file open for each partition value (Spark sorts only the
-    rows beyond ``OPEN_FILES`` values), so no task sorts its wide rows by them."""
-    spark, name = df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters"
-    old = spark.conf.get(name)
-    spark.conf.set(name, str(OPEN_FILES))
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    old = {name: spark.conf.get(name) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
     try:
-        df.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+        yield
     finally:
-        spark.conf.set(name, old)
+        for name, value in old.items():
+            spark.conf.set(name, value)
+
+
+def _hashed_joins(spark: SparkSession) -> dict[str, str]:
+    """A join hashes a side whose partitions, as measured when they are made, all
+    lie within AQE's advisory size, instead of sorting the lines for it; larger
+    sides are sorted and merged as before."""
+    return {"spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold":
+            spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+
+
+def _write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
+    """Write with a file open for each partition value (Spark sorts only the
+    rows beyond ``OPEN_FILES`` values), so no task sorts its wide rows by them.
+    Columns that hardly repeat get no dictionary."""
+    spark = df.sparkSession
+    writer = df.write.mode("overwrite").option("compression", "zstd")
+    for c in ONCE_ONLY:
+        writer = writer.option(f"parquet.enable.dictionary#{c}", "false")
+    with _settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES), **_hashed_joins(spark)}):
+        writer.partitionBy(*partition_by).parquet(path)
 
 
 def materialize_frame(df: DataFrame, label: str) -> DataFrame:
@@ -96,6 +121,13 @@ def materialize_frame(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def store_cells(df: DataFrame, label: str) -> DataFrame:
+    """``materialize_frame`` of cells, whose lines join dimensions.  Sets the
+    session's joins meanwhile, so not for several threads at once."""
+    with _settings(df.sparkSession, _hashed_joins(df.sparkSession)):
+        return materialize_frame(df, label)
+
+
 def clean_orders_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lazy plan of the clean fact: adapter (CL1 at line grain) -> CL2-CL8 ->
     MT3 funnel columns (row-local, so they ride along for free)."""
@@ -112,6 +144,15 @@ def orders_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
                        partition_by=("year",))
 
 
+def customer_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one pass over the lines behind the customers' attributes."""
+    return materialize(spark, sf_dir, "customer_groups", lambda: FT.customer_groups(orders_clean(spark, sf_dir)))
+
+
+def product_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(spark, sf_dir, "product_groups", lambda: FT.product_groups(orders_clean(spark, sf_dir)))
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MT1 customer table (materialized; one row per customer with a
     completed order)."""
@@ -137,14 +178,17 @@ def serving(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     from orderlens.plans import ml_features as MF
 
     builders = {
-        "weekly_kpis": lambda: M.weekly_kpis(orders_clean(spark, sf_dir), customers(spark, sf_dir)),
-        "dim_customers": lambda: M.dim_customers(orders_clean(spark, sf_dir), customers(spark, sf_dir)),
-        "dim_products": lambda: M.dim_products(orders_clean(spark, sf_dir)),
+        "weekly_kpis": lambda: M.weekly_kpis(orders_clean(spark, sf_dir), customers(spark, sf_dir),
+                                             groups=customer_groups(spark, sf_dir)),
+        "dim_customers": lambda: M.dim_customers(orders_clean(spark, sf_dir), customers(spark, sf_dir),
+                                                 customer_groups(spark, sf_dir)),
+        "dim_products": lambda: M.dim_products(orders_clean(spark, sf_dir), product_groups(spark, sf_dir)),
         "dim_date": lambda: M.dim_date(orders_clean(spark, sf_dir)),
         "segment_performance": lambda: M.segment_performance(orders_clean(spark, sf_dir),
                                                              customers(spark, sf_dir)),
         "forecast_features": lambda: MF.weekly_features(orders_clean(spark, sf_dir)),
-        "churn_features": lambda: MF.churn_features(orders_clean(spark, sf_dir), customers(spark, sf_dir)),
+        "churn_features": lambda: MF.churn_features(orders_clean(spark, sf_dir), customers(spark, sf_dir),
+                                                    customer_groups(spark, sf_dir)),
         "demand_features": lambda: MF.demand_features(orders_clean(spark, sf_dir)),
     }
     return materialize(spark, sf_dir, f"serving_{name}", builders[name])
