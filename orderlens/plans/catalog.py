@@ -323,11 +323,12 @@ def q_csv_landing_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw order lines (duplicates included) are written to a CSV landing
     folder in keep-first order, read back as text and cleaned: file-order
     de-duplication, coercing numeric casts, date parsing, rules."""
-    raw = TB.raw_orders(spark, sf_dir, dedup=False)
-    # the sort puts copies of a key into one file in keep-first order: the file
-    # order is what the landing read de-duplicates by
-    ordered = raw.orderBy("order_id", *TB.LINE_KEEP_FIRST_ORDER).select(*TB.RAW_COLUMNS)
-    return _landed(ordered, sf_dir, "clean", LANDING_COLUMNS).withColumns(
+    # copies of a key lie in one file in keep-first order: the file order is what
+    # the landing read de-duplicates by
+    ordered = TB.raw_orders_in_keep_first_order(spark, sf_dir).select(*TB.RAW_COLUMNS)
+    with S.hashed_joins(spark):
+        landed = _landed(ordered, sf_dir, "clean", LANDING_COLUMNS)
+    return landed.withColumns(
         {c: F.col(c).cast("double") for c in C.NUMERIC_COLUMNS})
 
 

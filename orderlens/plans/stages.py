@@ -102,6 +102,12 @@ def _hashed_joins(spark: SparkSession) -> dict[str, str]:
             spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")}
 
 
+def hashed_joins(spark: SparkSession):
+    """``_hashed_joins`` while a query writes; the session's, so not for several
+    threads at once."""
+    return _settings(spark, _hashed_joins(spark))
+
+
 def _write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
     """Write with a file open for each partition value (Spark sorts only the
     rows beyond ``OPEN_FILES`` values), so no task sorts its wide rows by them.
@@ -124,7 +130,7 @@ def materialize_frame(df: DataFrame, label: str) -> DataFrame:
 def store_cells(df: DataFrame, label: str) -> DataFrame:
     """``materialize_frame`` of cells, whose lines join dimensions.  Sets the
     session's joins meanwhile, so not for several threads at once."""
-    with _settings(df.sparkSession, _hashed_joins(df.sparkSession)):
+    with hashed_joins(df.sparkSession):
         return materialize_frame(df, label)
 
 

@@ -39,6 +39,14 @@ LANDING_DECIMAL = "decimal(28,6)"
 GZIP_ROWS = 1_000_000
 
 
+def _alike(files: list[str]) -> tuple[str, str]:
+    """What all paths begin with and, where they are of one length (else their
+    order could change without it), what they end with."""
+    same = os.path.commonprefix(files)
+    rest = [f[len(same):][::-1] for f in files]
+    return same, os.path.commonprefix(rest)[::-1] if len({len(r) for r in rest}) == 1 else ""
+
+
 def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """IO1: header CSV, all columns as STRING (no inference), missing words as
     NULL, plus ``_file_pos`` = (file path without what all paths begin with,
@@ -52,12 +60,14 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> Da
               .option("quote", '"').option("escape", '"').option("multiLine", multi_line))
     found = reader.csv(path)
     # listed as file:///..., in the rows as file:/...
-    names, same = found.columns, os.path.commonprefix(found.inputFiles()).replace("file:///", "file:/", 1)
+    names, files = found.columns, [f.replace("file:///", "file:/", 1) for f in found.inputFiles()]
+    same, end = _alike(files)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT_RECORD]])
     df = reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT_RECORD).option(
         "columnPruning", False).csv(path)  # a pruned read would not see that a row is too short
     file = F.col("_metadata.file_path")
-    pos = F.struct(F.when(file.startswith(same), file.substr(len(same) + 1, 1 << 20)).otherwise(file).alias("f"),
+    within = file.substr(F.lit(len(same) + 1), F.length(file) - F.lit(len(same) + len(end)))
+    pos = F.struct(F.when(file.startswith(same) & file.endswith(end), within).otherwise(file).alias("f"),
                    F.col("_metadata.file_block_start").alias("b"),
                    F.monotonically_increasing_id().alias("r"))
     known = {c: F.when(~F.col(f"`{c}`").isin(*MISSING_WORDS), F.col(f"`{c}`")) for c in names}
@@ -70,6 +80,14 @@ def parse_dates(df: DataFrame, cols=RAW_DATE_COLUMNS) -> DataFrame:
     return df.withColumns({c: F.try_to_date(F.trim(F.col(c))) for c in present}) if present else df
 
 
+def _parse_numbers(raw: DataFrame) -> DataFrame:
+    """Numbers and counts of a text landing zone, before keep-first: half the
+    width of their text in the rows that it shuffles."""
+    return raw.withColumns({
+        **{c: E.coerce_double(c).try_cast("bigint") for c in COUNT_COLUMNS if c in raw.columns},
+        **{c: E.coerce_double(c) for c in C.NUMERIC_COLUMNS if c in raw.columns}})
+
+
 def clean_raw_csv(spark: SparkSession, path: str, completed_status: str = C.COMPLETED_STATUS,
                   multi_line: bool = False, uncut: bool = False, columns=None) -> DataFrame:
     """IO1 + CL8: keep-first in file order, coercing casts, rules, dates.  With
@@ -84,7 +102,7 @@ def clean_raw_csv(spark: SparkSession, path: str, completed_status: str = C.COMP
     if uncut:
         raw = raw.withColumns({f"{c}_uncut": E.coerce_double(c) for c in (*C.NUMERIC_COLUMNS, *COUNT_COLUMNS)
                                if c in raw.columns})
-    raw = raw.withColumns({c: E.coerce_double(c).try_cast("bigint") for c in COUNT_COLUMNS if c in raw.columns})
+    raw = _parse_numbers(raw)
     if columns is not None:
         kept = {*columns, *C.KEY_COLUMNS, *C.NUMERIC_COLUMNS, "order_status", FILE_POSITION}
         raw = raw.select(*[c for c in raw.columns if c in kept])
@@ -97,9 +115,7 @@ def clean_raw_csv_audited(spark: SparkSession, path: str, completed_status: str
                           multi_line: bool = False):
     """``clean_raw_csv`` and its counts by rule (``clean.clean_with_audit``)."""
     raw = parse_dates(read_raw_csv(spark, path, multi_line)).drop(CORRUPT_RECORD)
-    raw = raw.withColumns({c: E.coerce_double(c).try_cast("bigint") for c in COUNT_COLUMNS if c in raw.columns})
-    # half the width of their text in the rows that keep-first shuffles
-    raw = raw.withColumns({c: E.coerce_double(c) for c in C.NUMERIC_COLUMNS if c in raw.columns})
+    raw = _parse_numbers(raw)
     out, counts = C.clean_with_audit(raw, completed_status=completed_status, dedup_order=[FILE_POSITION])
     return out.drop(FILE_POSITION).withColumns(
         {c: F.col(c).try_cast(LANDING_DECIMAL) for c in C.NUMERIC_COLUMNS if c in out.columns}), counts

@@ -207,16 +207,26 @@ def raw_orders(spark: SparkSession, sf_dir: str, dedup: bool = True) -> DataFram
         # rows of an order meet once, for its copies and its header; a hot order
         # is combined map-side first
         lines = _first_lines(lineitem if _has_hot_order(lineitem) else lineitem.repartition("l_orderkey"))
-    margin_rate = (F.lit(18) + F.col("p_size") % 35).cast("decimal(4,0)") * F.lit(0.01).cast("decimal(3,2)")
-    part = read_table(spark, sf_dir, "part").select(
-        "p_partkey", "p_name", "p_type", "p_brand", "p_size",
-        F.col("p_retailprice").cast("decimal(18,2)").alias("unit_price"), margin_rate.alias("_margin_rate"))
     header = order_header(spark, sf_dir, lineitem)
+    part = _parts(spark, sf_dir)
     joined = (lines
               .join(header, lines.l_orderkey == header.o_orderkey, "inner")
               .join(part, lines.l_partkey == part.p_partkey, "inner")
               .withColumns({c: x for c, x in made.items() if c not in _LINE_MONEY}))
-    return joined.select(
+    return joined.select(*_raw_columns())
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part-grain columns; price and margin rate are made once a part."""
+    margin_rate = (F.lit(18) + F.col("p_size") % 35).cast("decimal(4,0)") * F.lit(0.01).cast("decimal(3,2)")
+    return read_table(spark, sf_dir, "part").select(
+        "p_partkey", "p_name", "p_type", "p_brand", "p_size",
+        F.col("p_retailprice").cast("decimal(18,2)").alias("unit_price"), margin_rate.alias("_margin_rate"))
+
+
+def _raw_columns() -> list[str | Column]:
+    """The raw orders frame from a line with its header, part and derived columns."""
+    return [
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
         .alias("order_id"),
         "order_date", F.col("o_custkey").cast("string").alias("customer_id"), "customer_segment",
@@ -233,4 +243,25 @@ def raw_orders(spark: SparkSession, sf_dir: str, dedup: bool = True) -> DataFram
         "cart_additions", "completed_orders", "order_status",
         # keep-first key columns, so CL1 can also be replayed on this frame
         "l_suppkey", "l_extendedprice", "l_tax", "l_shipdate",
-    )
+    ]
+
+
+def raw_orders_in_keep_first_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_orders`` with duplicates, the copies of a line one behind another
+    in one task, in ``LINE_KEEP_FIRST_ORDER``: the order that files of it have.
+
+    Lines meet their part first, so the shuffle by order that the header join
+    takes is the last, and each task sorts what it has; there is no shuffle for
+    the sort.  Lines of a hot order are sorted across tasks instead."""
+    lineitem = read_table(spark, sf_dir, "lineitem").select(*_LINE_COLUMNS)
+    if _has_hot_order(lineitem):
+        return raw_orders(spark, sf_dir, dedup=False).orderBy("order_id", *LINE_KEEP_FIRST_ORDER)
+    made = _line_derived()
+    header = order_header(spark, sf_dir, lineitem)
+    part = _parts(spark, sf_dir)
+    # the header join takes this shuffle as it is; AQE splits no skewed partition of
+    # one asked for by column, which would part the copies of a line
+    dealt = lineitem.join(part, lineitem.l_partkey == part.p_partkey, "inner").repartition("l_orderkey")
+    return (dealt.join(header, dealt.l_orderkey == header.o_orderkey, "inner")
+            .sortWithinPartitions("l_orderkey", "l_linenumber", *[made.get(c, F.col(c)) for c in LINE_KEEP_FIRST_ORDER])
+            .withColumns(made).select(*_raw_columns()))
