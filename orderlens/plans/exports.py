@@ -80,10 +80,12 @@ BUNDLE = ("fact_orders", "weekly_kpis")
 
 
 def _bundle(spark: SparkSession, sf_dir: str, names) -> dict[str, DataFrame]:
+    """The named tables as CSV, read back at once by the same session alone, so
+    compressed: as plain text the fact is most of what such a query writes."""
     folder = export_folder(spark, sf_dir) + "-bundle"
     made = {"fact_orders": lambda: M.fact_orders(S.orders_clean(spark, sf_dir)),
             "weekly_kpis": lambda: M.weekly_kpis(S.orders_clean(spark, sf_dir), S.customers(spark, sf_dir))}
-    IO.export_serving({n: made[n]() for n in names}, folder)
+    IO.export_serving({n: made[n]() for n in names}, folder, compressed=True)
     return IO.load_bundle(spark, folder, names)
 
 
